@@ -1,0 +1,6 @@
+"""Streaming.
+
+The pipeline being rebuilt is batch only: it has no stream source, no
+watermark, window or state. Nothing here adds stream operators; the jobs in
+``courtline.plans.jobs`` are batch DataFrame plans.
+"""
