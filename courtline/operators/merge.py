@@ -179,6 +179,7 @@ class FactTable:
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
+        self.rejects_path = self.path + "_rejects"
 
     def exists(self, spark: SparkSession) -> bool:
         return storage.is_table(spark, self.path)
@@ -228,7 +229,13 @@ class FactTable:
         try:
             staged_in, p = _stage(spark, incoming, "incoming")
             scratch.append(p)
-            checked, rep = validate_keys(staged_in, on_duplicate=on_duplicate)
+            try:
+                checked, rep = validate_keys(staged_in, on_duplicate=on_duplicate)
+            except NullKeyError as e:
+                # Keep the rejected rows where they outlive this run's scratch.
+                e.rejects.write.mode("overwrite").parquet(self.rejects_path)
+                e.rejects = spark.read.parquet(self.rejects_path)
+                raise
             n_in = rep["rows"]
             if checked is not staged_in:
                 staged_in, p = _stage(spark, checked, "incoming-dedup")

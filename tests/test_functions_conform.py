@@ -1,0 +1,108 @@
+import decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from courtline import schemas
+from courtline.functions import columns as fn
+from courtline.operators import combine, conform
+from tests.fixtures import frame, game
+
+
+def test_half_values_round_away_from_zero(spark):
+    df = spark.createDataFrame([(2.5,), (-2.5,), (0.5,), (-0.49,)], "x double")
+    got = [r[0] for r in df.select(fn.to_bigint("x", df.schema["x"].dataType)).collect()]
+    assert got == [3, -3, 1, 0]
+
+
+def test_percentages_keep_their_scale(spark):
+    df = spark.createDataFrame([(0.457,)], "x double")
+    (v,) = df.select(fn.to_decimal("x")).first()
+    assert v == decimal.Decimal("0.457000000")
+
+
+def test_conform_games_contract_and_leading_zeros(spark):
+    df = conform.conform_games(frame(spark, [game(player=2544, team=1610612747, game_id="0022300001")]))
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [
+        (f.name, f.dataType) for f in schemas.FACT.fields
+    ]
+    r = df.first()
+    assert r.GAME_ID == 22300001
+    assert r.ID == "254400223000011610612747"
+    assert r.SEASON_YEAR == "2023-24"
+    assert r.FG_PCT == decimal.Decimal("0.500000000")
+
+
+def test_key_is_null_when_a_part_is_null(spark):
+    df = conform.conform_games(frame(spark, [game(player=None)]), stamp=False)
+    assert df.first().ID is None
+
+
+def test_fill_stats_only_named_columns(spark):
+    raw = frame(spark, [game(FTA=None, REB=None, AST=None, PF=None, PTS=None)])
+    r = conform.fill_stats(raw).first()
+    assert (r.FTA, r.REB, r.AST, r.PF) == (0, 0, 0, 0)
+    assert r.PTS is None
+    types = dict(conform.fill_stats(raw).dtypes)
+    assert types["FTA"] == "bigint" and types["PTS"] == "double"
+
+
+def test_fill_all_numeric_only(spark):
+    df = spark.createDataFrame([(None, None)], "a double, s string")
+    r = conform.fill_all(df).first()
+    assert r.a == 0 and r.s is None
+
+
+def test_parse_dates_from_text(spark):
+    df = spark.createDataFrame([("2024-01-05T00:00:00",), (None,)], "GAME_DATE string")
+    out = conform.parse_dates(df)
+    assert dict(out.dtypes)["GAME_DATE"] == "timestamp_ntz"
+    assert out.where(F.col("GAME_DATE").isNull()).count() == 1
+
+
+def test_missing_column_fails_fact_conform(spark):
+    raw = frame(spark, [game()]).drop("GAME_TYPE", "SEASON")
+    missing, extra = conform.check_columns(raw, schemas.RAW_GAME_LOG)
+    assert missing == ["GAME_TYPE", "SEASON"] and extra == []
+    with pytest.raises(conform.SchemaMismatch):
+        conform.conform_games(raw)
+
+
+def test_missing_column_is_null_in_by_name_union(spark):
+    a = frame(spark, [game(game_id="0000000001")]).drop("GAME_TYPE", "SEASON")
+    b = frame(spark, [game(game_id="0000000002")])
+    u = combine.union_by_name(a, b)
+    rows = {r.GAME_ID: r for r in u.collect()}
+    assert rows["0000000001"].GAME_TYPE is None and rows["0000000002"].GAME_TYPE == "Regular Season"
+
+
+def test_enforce_schema_fills_missing(spark):
+    raw = frame(spark, [game()]).drop("BLKA")
+    out = conform.enforce_schema(raw, schemas.RAW_GAME_LOG, fill_missing=True)
+    assert out.columns == schemas.names(schemas.RAW_GAME_LOG)
+    assert out.first().BLKA is None
+    with pytest.raises(conform.SchemaMismatch):
+        conform.enforce_schema(raw, schemas.RAW_GAME_LOG)
+
+
+def test_positional_union_checks_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "a long, b string")
+    b = spark.createDataFrame([("y", 2)], "b string, a long")
+    with pytest.raises(ValueError):
+        combine.union_all(a, b)
+
+
+def test_dimensions_typed(spark):
+    p = spark.createDataFrame([(1, "A B", "A", "B", True)], schemas.RAW_PLAYERS)
+    t = spark.createDataFrame([(1, "Team", "TMA", "Nick", "City", "State", 1946)], schemas.RAW_TEAMS)
+    def shape(st):
+        return [(f.name, f.dataType) for f in st.fields]
+
+    assert shape(conform.conform_players(p).schema) == shape(schemas.PLAYERS)
+    assert shape(conform.conform_teams(t).schema) == shape(schemas.TEAMS)
+
+
+def test_year_start(spark):
+    df = spark.createDataFrame([("2024-07-09",)], "d string")
+    (v,) = df.select(fn.year_start(F.col("d"))).first()
+    assert str(v) == "2024-01-01"
