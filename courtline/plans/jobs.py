@@ -113,8 +113,7 @@ def land_current(
 
 def land_team_past(spark: SparkSession, team_logs_root: str, out_path: str, cutoff=None) -> LandingResult:
     """Past team games, before the first game date of the latest season."""
-    logs = spark.read.option("basePath", team_logs_root).parquet(team_logs_root)
-    logs = conform.parse_dates(logs)
+    logs = conform.parse_dates(landed.read_laid_out(spark, team_logs_root))
     cut = cutoff if cutoff is not None else split.cutoff(logs)
     past = split.past_side(logs, cut)
     sinks.write_landed(past, out_path)

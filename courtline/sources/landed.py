@@ -53,6 +53,21 @@ def read_game_logs(
     return df
 
 
+def read_laid_out(spark: SparkSession, root: str, partition_cols=("SEASON",)) -> DataFrame:
+    """A partition-folder layout whose file columns are read as written.
+
+    Partition values are kept as text: discovery would otherwise turn a
+    folder ``SEASON=2001`` into an integer column and ``SEASON=2001-02`` into
+    text, depending on the data.
+    """
+    inferred = spark.read.option("basePath", root).parquet(root).schema
+    fields = [
+        T.StructField(f.name, T.StringType(), True) if f.name in partition_cols else f
+        for f in inferred.fields
+    ]
+    return spark.read.schema(T.StructType(fields)).option("basePath", root).parquet(root)
+
+
 def read_team_year_totals(spark: SparkSession, root: str) -> DataFrame:
     """Per-team yearly totals laid out ``TEAM_ID=…/``, all teams in one scan."""
     return spark.read.schema(schemas.TEAM_YEAR_TOTALS).option("basePath", root).parquet(root)
