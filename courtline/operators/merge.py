@@ -55,14 +55,28 @@ class DuplicateKeyError(ValueError):
 
 
 def new_keys(source: DataFrame, target: DataFrame, keys=KEYS) -> DataFrame:
-    """Rows of ``source`` whose key is not in ``target`` (anti join).
+    """Rows of ``source`` whose key is not in ``target``.
 
-    An equi anti join on the key columns: it shuffles both sides on the key
-    (or broadcasts the target keys when AQE measures them small). The
-    single-column ``NOT IN`` form would be planned as a null-aware broadcast
-    of every target key, which does not scale with the table.
+    Two steps, so that the wide source rows are not shuffled just to learn
+    that most of their keys already exist:
+
+    1. an anti join of the source *keys* against the target keys (a narrow
+       shuffle of three columns on each side);
+    2. a semi join of the source rows with those new keys, on null-safe
+       equality (a row with a null key part is new, as in a plain anti join).
+       When few keys are new, AQE broadcasts them and the source rows are
+       filtered where they are read; otherwise it is an ordinary shuffle join.
+
+    The single-column ``NOT IN`` form would be planned as a null-aware
+    broadcast of every target key, which does not scale with the table.
     """
-    return source.join(target.select(*keys), list(keys), "left_anti")
+    fresh = source.select(*keys).join(target.select(*keys), list(keys), "left_anti")
+    f = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        c = source[k].eqNullSafe(f[f"_new_{k}"])
+        cond = c if cond is None else cond & c
+    return source.join(f, cond, "left_semi")
 
 
 def incoming_rows(current: DataFrame, past: DataFrame, target: DataFrame | None = None, keys=KEYS) -> DataFrame:
@@ -222,51 +236,60 @@ class FactTable:
         """
         incremental = not full_refresh and self.exists(spark)
         target = self.read(spark) if incremental else None
-        incoming = incoming_rows(current, past, target)
-        incoming = with_year(sample_limit(incoming, sample))
+        incoming = with_year(sample_limit(incoming_rows(current, past, target), sample))
 
         scratch = []
         try:
-            staged_in, p = _stage(spark, incoming, "incoming")
-            scratch.append(p)
+            # Incoming rows are read several times below (key checks, years,
+            # layout sample, write). When they come out of a shuffle (the
+            # anti join against the target, a sample) they are written once
+            # to the shared checkpoint folder; a plain read of landed files is
+            # cheap to read again and is not copied.
+            if incremental or sample is not None:
+                incoming, p = _stage(spark, incoming, "incoming")
+                scratch.append(p)
             try:
-                checked, rep = validate_keys(staged_in, on_duplicate=on_duplicate)
+                checked, rep = validate_keys(incoming, on_duplicate=on_duplicate)
             except NullKeyError as e:
                 # Keep the rejected rows where they outlive this run's scratch.
                 e.rejects.write.mode("overwrite").parquet(self.rejects_path)
                 e.rejects = spark.read.parquet(self.rejects_path)
                 raise
             n_in = rep["rows"]
-            if checked is not staged_in:
-                staged_in, p = _stage(spark, checked, "incoming-dedup")
+            if checked is not incoming:
+                incoming, p = _stage(spark, checked, "incoming-dedup")
                 scratch.append(p)
                 n_in = rep["rows"] - rep["dup_rows"]
 
-            in_years = {r[0] for r in staged_in.select(YEAR).distinct().collect()}
+            # Distinct years: bounded by the calendar, a few values.
+            in_years = {r[0] for r in incoming.select(YEAR).distinct().collect()}
             if incremental:
                 # Years of target rows whose key arrives again (a game may
-                # move to another year). Bounded by the number of years.
-                moved = target.join(staged_in.select(*KEYS), KEYS, "left_semi").select(YEAR).distinct()
+                # move to another year).
+                moved = target.join(incoming.select(*KEYS), KEYS, "left_semi").select(YEAR).distinct()
                 touched = in_years | {r[0] for r in moved.collect()}
                 kept = target.where(F.col(YEAR).isin(sorted(touched))).join(
-                    staged_in.select(*KEYS), KEYS, "left_anti"
+                    incoming.select(*KEYS), KEYS, "left_anti"
                 )
-                rewrite = kept.unionByName(staged_in.select(*kept.columns))
+                rewrite = kept.unionByName(incoming.select(*kept.columns))
+                # The rewrite reads the partitions it replaces, so it is
+                # written out first; its folders also tell which touched years
+                # still have rows.
+                out_path = session.scratch_path(spark, "rewrite")
+                scratch.append(out_path)
+                rewrite.write.mode("overwrite").partitionBy(YEAR).parquet(out_path)
+                present = {int(v) for v in storage.list_partition_values(spark, out_path, YEAR)}
+                source = spark.read.schema(FACT_TABLE_SCHEMA).parquet(out_path)
                 mode = "incremental"
             else:
                 touched = in_years | set(self.years(spark))
-                rewrite = staged_in
+                present = in_years
+                source = incoming
                 mode = "full_refresh" if self.exists(spark) else "create"
 
-            staged_out_path = session.scratch_path(spark, "rewrite")
-            scratch.append(staged_out_path)
-            with_year(rewrite).write.mode("overwrite").partitionBy(YEAR).parquet(staged_out_path)
-            present = {int(v) for v in storage.list_partition_values(spark, staged_out_path, YEAR)}
-            staged_out = spark.read.schema(FACT_TABLE_SCHEMA).parquet(staged_out_path)
-
             if present:
                 (
-                    clustered(staged_out)
+                    clustered(source)
                     .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
                     .partitionBy(YEAR)
@@ -275,7 +298,7 @@ class FactTable:
             dropped = sorted(y for y in touched if y is not None and y not in present)
             for y in dropped:
                 storage.delete(spark, f"{self.path}/{YEAR}={y}")
-            return MergeResult(self.path, mode, n_in, sorted(present), dropped)
+            return MergeResult(self.path, mode, n_in, sorted(y for y in present if y is not None), dropped)
         finally:
             for p in scratch:
                 storage.delete(spark, p)

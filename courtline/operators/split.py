@@ -1,10 +1,11 @@
 """Season list, cutoff date, and the current / past split of game logs.
 
-The cutoff is the first game date of the current (latest) season. It is
-computed as a scalar subquery: one partial aggregate per season (a handful of
-rows leave each task), then the latest season's minimum. The filters compare
-``cast(GAME_DATE as date)`` with it, so a game on the cutoff day is current
-and a null date lands on neither side, as in the landing tasks.
+The cutoff is the first game date of the current (latest) season: one
+partial aggregate per season (a handful of rows leave each task), then the
+latest season's minimum. It is available as a value (``cutoff_value``, so the
+split filters are pushed to the Parquet scan) or as a scalar-subquery column
+(``cutoff``, a single plan). A game on the cutoff day is current and a null
+date lands on neither side, as in the landing tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtline.functions import columns as fn
 
@@ -41,22 +43,45 @@ def cutoff(games: DataFrame, season_col: str = "SEASON", date_col: str = "GAME_D
     return first_game_date(games, season_col, date_col).select("FIRST_GAME_DATE").scalar()
 
 
-def _as_column(value) -> Column:
-    if isinstance(value, Column):
-        return value
-    if isinstance(value, str):
-        value = _dt.date.fromisoformat(value)
-    return F.lit(value)
+def cutoff_value(games: DataFrame, season_col: str = "SEASON", date_col: str = "GAME_DATE") -> _dt.date | None:
+    """The cutoff date as a value (one small aggregate job).
+
+    A literal cutoff lets the split filters reach the Parquet scan as pushed
+    filters, which a scalar subquery does not.
+    """
+    row = first_game_date(games, season_col, date_col).first()
+    return None if row is None else row["FIRST_GAME_DATE"]
+
+
+def _bounds(games: DataFrame, cut, date_col: str):
+    """(column, bound) to compare, on the raw column where that is exact.
+
+    For a date-time column, ``cast(ts as date) >= d`` equals ``ts >= d 00:00``;
+    comparing the raw column keeps the predicate pushable to Parquet.
+    """
+    if isinstance(cut, Column):
+        return fn.to_date(date_col), cut
+    if isinstance(cut, str):
+        cut = _dt.date.fromisoformat(cut)
+    if isinstance(cut, _dt.datetime):
+        cut = cut.date()
+    dtype = games.schema[date_col].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        start = _dt.datetime(cut.year, cut.month, cut.day)
+        return F.col(date_col), F.lit(start).cast(dtype)
+    return fn.to_date(date_col), F.lit(cut)
 
 
 def current_side(games: DataFrame, cut, date_col: str = "GAME_DATE") -> DataFrame:
     """Games on or after the cutoff."""
-    return games.where(fn.to_date(date_col) >= _as_column(cut))
+    c, b = _bounds(games, cut, date_col)
+    return games.where(c >= b)
 
 
 def past_side(games: DataFrame, cut, date_col: str = "GAME_DATE") -> DataFrame:
     """Games before the cutoff."""
-    return games.where(fn.to_date(date_col) < _as_column(cut))
+    c, b = _bounds(games, cut, date_col)
+    return games.where(c < b)
 
 
 def seasons(team_year_totals: DataFrame, year_col: str = "YEAR") -> DataFrame:

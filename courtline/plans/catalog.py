@@ -28,7 +28,7 @@ def _games(spark, d):
 
 def _sides(spark, d):
     g = _games(spark, d)
-    cut = split.cutoff(g)
+    cut = split.cutoff_value(g)
     return split.current_side(g, cut), split.past_side(g, cut)
 
 
@@ -49,7 +49,10 @@ def _facts(spark, d):
 
 
 def _target(typed: DataFrame) -> DataFrame:
-    """A prior fact table: games with an even id, PTS one higher."""
+    """A prior fact table: games with an even id, PTS one higher.
+
+    Built from all dated games, which are the rows of the typed union.
+    """
     return typed.where(F.col("GAME_ID") % 2 == 0).withColumn("PTS", F.col("PTS") + 1)
 
 
@@ -106,12 +109,12 @@ def q_skipped_seasons(spark, d):
 
 def q_new_past_keys(spark, d):
     cur, past = _typed_sides(spark, d)
-    return merge.new_keys(past, _target(combine.union_all(cur, past)))
+    return merge.new_keys(past, _target(_facts(spark, d)))
 
 
 def q_merged_facts(spark, d):
     cur, past = _typed_sides(spark, d)
-    return merge.merge_plan(_target(combine.union_all(cur, past)), cur, past)
+    return merge.merge_plan(_target(_facts(spark, d)), cur, past)
 
 
 def q_sample_run(spark, d):

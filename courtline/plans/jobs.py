@@ -84,7 +84,7 @@ def land_past(
         found = logs.select("SEASON").distinct()
         skipped = reports.skipped_seasons(wanted, found)
     logs = _prepare(logs)
-    cut = cutoff if cutoff is not None else split.cutoff(logs)
+    cut = cutoff if cutoff is not None else split.cutoff_value(logs)
     past = split.past_side(logs, cut)
     sinks.write_landed(past, out_path)
     written = spark.read.parquet(out_path)
@@ -104,7 +104,7 @@ def land_current(
     if season is not None:
         logs = logs.where(F.col("SEASON") == season)
     logs = _prepare(logs)
-    cut = cutoff if cutoff is not None else split.cutoff(logs)
+    cut = cutoff if cutoff is not None else split.cutoff_value(logs)
     cur = split.current_side(logs, cut)
     sinks.write_landed(cur, out_path)
     written = spark.read.parquet(out_path)
@@ -114,7 +114,7 @@ def land_current(
 def land_team_past(spark: SparkSession, team_logs_root: str, out_path: str, cutoff=None) -> LandingResult:
     """Past team games, before the first game date of the latest season."""
     logs = conform.parse_dates(landed.read_laid_out(spark, team_logs_root))
-    cut = cutoff if cutoff is not None else split.cutoff(logs)
+    cut = cutoff if cutoff is not None else split.cutoff_value(logs)
     past = split.past_side(logs, cut)
     sinks.write_landed(past, out_path)
     written = spark.read.parquet(out_path)

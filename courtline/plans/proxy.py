@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtline.sources.landed import spread
+
 # The proxy mapping of a raw player game log.
 # Stats are cast to double, as extracts carry them (NaN for missing).
 GAME_LOG_EXPR = {
@@ -91,7 +93,7 @@ def _select(df: DataFrame, exprs: dict) -> DataFrame:
 
 def game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw game logs: line items joined to their orders."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     o = table(spark, sf_dir, "orders")
     return _select(li.join(o, F.col("l_orderkey") == F.col("o_orderkey")), GAME_LOG_EXPR)
 

@@ -31,6 +31,26 @@ def _prune(df: DataFrame, col: str, values) -> DataFrame:
     return df.where(F.col(col).isin([str(v) for v in values]))
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Spread a scan with fewer input splits than task slots over all slots.
+
+    A Parquet file is split at row-group boundaries, so a file written as one
+    row group is read by a single task and so is everything pipelined after
+    it. When that happens the rows are hash-partitioned on ``cols`` (choose
+    columns that are unique per row, so no hot value lands in one task). A
+    scan that already has enough splits is returned unchanged: on a cluster
+    reading many files this is a no-op.
+    """
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without an RDD API plan the scan as is
+        return df
+    if splits >= slots:
+        return df
+    return df.repartition(slots, *cols) if cols else df.repartition(slots)
+
+
 def read_game_logs(
     spark: SparkSession,
     root: str,
