@@ -57,12 +57,28 @@ def latest_game(games: DataFrame, date_col: str = "GAME_DATE", tie=("GAME_ID", "
 # -------------------------------------------------------- dashboard joins ---
 
 
-def with_names(facts: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+# A dimension is broadcast only when it has at most this many rows.
+DIM_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast after checking its row count.
+
+    The count is a job over the (small) dimension only. Above the bound the
+    frame is returned as is and the planner chooses (a shuffle join). This
+    does not rely on the optimizer's size estimate, which multiplies the
+    sizes of joined inputs and so never broadcasts a dimension built from a
+    join.
+    """
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def with_names(facts: DataFrame, players: DataFrame, teams: DataFrame, max_dim_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """Fact rows with player and team names (left joins on the dimension ids).
 
-    The dimensions are small next to the facts; the planner broadcasts them
-    when their size estimate is under the broadcast threshold and AQE
-    re-checks the measured size at run time, otherwise it shuffles.
+    Dimensions within the row bound are broadcast, so the fact rows are
+    joined where they are read and never shuffled for the names.
     """
     p = players.select(F.col("ID").alias("PLAYER_ID"), F.col("FULL_NAME").alias("PLAYER_NAME"))
     t = teams.select(
@@ -70,6 +86,8 @@ def with_names(facts: DataFrame, players: DataFrame, teams: DataFrame) -> DataFr
         F.col("FULL_NAME").alias("TEAM_NAME"),
         F.col("ABBREVIATION").alias("TEAM_ABBREVIATION"),
     )
+    p = broadcast_if_small(p, max_dim_rows)
+    t = broadcast_if_small(t, max_dim_rows)
     return facts.join(p, "PLAYER_ID", "left").join(t, "TEAM_ID", "left")
 
 
@@ -101,8 +119,11 @@ def compare(facts: DataFrame, entity: str, named, metric: str = "PTS", by: str =
     return out.select(by, *[F.col(f"`{v}`").alias(f"{prefix}_{v}_{metric}") for v in named])
 
 
-def rank_within(df: DataFrame, partition, metric: str, tie: str) -> DataFrame:
-    """rank and dense_rank of ``metric`` (descending) inside each partition."""
+def rank_within(df: DataFrame, partition, metric: str) -> DataFrame:
+    """rank and dense_rank of ``metric`` (descending) inside each partition.
+
+    Equal values share a rank, so no tie-break column is needed.
+    """
     w = Window.partitionBy(*partition).orderBy(F.col(metric).desc())
     return df.select(
         "*",

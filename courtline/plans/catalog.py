@@ -158,7 +158,7 @@ def _player_season_pts(spark, d, by=("PLAYER_ID", "SEASON_YEAR", "GAME_TYPE")):
 
 
 def q_rank_players(spark, d):
-    return reports.rank_within(_player_season_pts(spark, d), ["SEASON_YEAR", "GAME_TYPE"], "PTS", "PLAYER_ID")
+    return reports.rank_within(_player_season_pts(spark, d), ["SEASON_YEAR", "GAME_TYPE"], "PTS")
 
 
 def q_trend_team(spark, d):

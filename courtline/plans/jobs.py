@@ -176,7 +176,7 @@ def dashboard(
         "totals_by_player": reports.totals(facts, ["PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"]),
         "totals_by_team": reports.totals(facts, ["TEAM_ID", "SEASON_YEAR", "GAME_TYPE"]),
         "totals_by_season_type": reports.totals(facts, ["SEASON_YEAR", "GAME_TYPE"]),
-        "rank_players": reports.rank_within(per_player, ["SEASON_YEAR", "GAME_TYPE"], "PTS", "PLAYER_ID"),
+        "rank_players": reports.rank_within(per_player, ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
         "trend_team": reports.trend(facts, "TEAM_ID", "PTS"),
         "trend_player": reports.trend(facts, "PLAYER_ID", "PTS"),
         "top_k": reports.top_k(career, "PTS", k, "PLAYER_ID"),

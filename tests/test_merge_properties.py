@@ -1,0 +1,66 @@
+"""Random sequences of merge runs against a plain model of the upsert rules.
+
+Model: incoming = current + past rows whose key is not in the table; every
+incoming row replaces the row with its key. The table must equal the model
+after every run, hold one row per key, and keep exactly the year folders that
+have rows.
+"""
+
+import datetime as dt
+import os
+import tempfile
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from courtline.operators import conform, merge
+from tests.fixtures import frame, game
+
+KEY = st.tuples(st.integers(1, 3), st.integers(1, 4), st.integers(1, 2))
+DAY = st.dates(min_value=dt.date(2021, 12, 30), max_value=dt.date(2024, 1, 2))
+ROW = st.tuples(KEY, DAY, st.integers(0, 40))
+
+
+def _batch(rows):
+    out, seen = [], set()
+    for k, d, p in rows:
+        if k not in seen:
+            seen.add(k)
+            out.append((k, d, p))
+    return out
+
+
+RUN = st.tuples(st.lists(ROW, max_size=4), st.lists(ROW, max_size=5)).map(
+    lambda cp: (_batch(cp[0]), [r for r in _batch(cp[1]) if r[0] not in {c[0] for c in _batch(cp[0])}])
+)
+
+
+def _raw(spark, rows):
+    return conform.conform_games(
+        frame(
+            spark,
+            [game(player=k[0], game_id=f"{k[1]:010d}", team=k[2], date=d.isoformat(), pts=float(p)) for k, d, p in rows],
+        )
+    )
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(runs=st.lists(RUN, min_size=1, max_size=3))
+def test_merge_matches_model(spark, runs):
+    table = merge.FactTable(os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "facts"))
+    model = {}
+    for current, past in runs:
+        incoming = list(current) + [r for r in past if r[0] not in model]
+        for k, d, p in incoming:
+            model[k] = (d, p)
+        table.merge(spark, _raw(spark, current), _raw(spark, past))
+        if not model:
+            assert not table.exists(spark) or table.read(spark).count() == 0
+            continue
+        got = {
+            (r.PLAYER_ID, r.GAME_ID, r.TEAM_ID): (r.GAME_DATE, r.PTS)
+            for r in table.read(spark).collect()
+        }
+        assert table.read(spark).count() == len(got)
+        assert got == model
+        assert table.years(spark) == sorted({d.year for d, _ in model.values()})

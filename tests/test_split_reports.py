@@ -57,7 +57,7 @@ def test_top_k_per_group_and_rank(spark):
         ("s1", 2, 1), ("s1", 3, 2), ("s2", 1, 1)
     ]
     ranked = {r.PLAYER_ID: (r.PTS_RANK, r.PTS_DENSE_RANK) for r in
-              reports.rank_within(df.where("SEASON_YEAR = 's1'"), ["SEASON_YEAR"], "PTS", "PLAYER_ID").collect()}
+              reports.rank_within(df.where("SEASON_YEAR = 's1'"), ["SEASON_YEAR"], "PTS").collect()}
     assert ranked == {2: (1, 1), 3: (1, 1), 1: (3, 2), 4: (4, 3)}
 
 
