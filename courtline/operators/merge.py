@@ -176,6 +176,10 @@ def clustered(df: DataFrame) -> DataFrame:
     )
 
 
+# Upper bound of rows per written file of the fact table (a split bound on
+# file size, not a cap on data: a task with more rows writes more files).
+MAX_RECORDS_PER_FILE = 5_000_000
+
 FACT_TABLE_SCHEMA = T.StructType(schemas.FACT.fields + [T.StructField(YEAR, schemas.LONG, True)])
 
 
@@ -292,6 +296,7 @@ class FactTable:
                     clustered(source)
                     .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
+                    .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
                     .partitionBy(YEAR)
                     .parquet(self.path)
                 )

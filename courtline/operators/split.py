@@ -67,8 +67,10 @@ def _bounds(games: DataFrame, cut, date_col: str):
         cut = cut.date()
     dtype = games.schema[date_col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        start = _dt.datetime(cut.year, cut.month, cut.day)
-        return F.col(date_col), F.lit(start).cast(dtype)
+        # A date cast to the column's type is midnight of that day, in the
+        # session time zone for zoned timestamps, as ``cast(ts as date)`` is;
+        # no Python-side time zone is involved.
+        return F.col(date_col), F.lit(cut).cast(dtype)
     return fn.to_date(date_col), F.lit(cut)
 
 
