@@ -60,8 +60,10 @@ def new_keys(source: DataFrame, target: DataFrame, keys=KEYS) -> DataFrame:
     Two steps, so that the wide source rows are not shuffled just to learn
     that most of their keys already exist:
 
-    1. an anti join of the source *keys* against the target keys (a narrow
-       shuffle of three columns on each side);
+    1. an anti join of the distinct source *keys* against the target keys (a
+       narrow shuffle of three columns on each side; the distinct is reduced
+       inside each task first, so a heavily repeated key does not pile up in
+       one task, and the join reuses its partitioning);
     2. a semi join of the source rows with those new keys, on null-safe
        equality (a row with a null key part is new, as in a plain anti join).
        When few keys are new, AQE broadcasts them and the source rows are
@@ -70,7 +72,7 @@ def new_keys(source: DataFrame, target: DataFrame, keys=KEYS) -> DataFrame:
     The single-column ``NOT IN`` form would be planned as a null-aware
     broadcast of every target key, which does not scale with the table.
     """
-    fresh = source.select(*keys).join(target.select(*keys), list(keys), "left_anti")
+    fresh = source.select(*keys).distinct().join(target.select(*keys), list(keys), "left_anti")
     f = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     cond = None
     for k in keys:

@@ -3,7 +3,8 @@
 Scale notes. Every report aggregates first (partial aggregation inside each
 map task, so a player or team holding a large share of the rows is reduced
 before the shuffle), and windows only run over the aggregated rows:
-* ranks are partitioned by (season, game type) over per-player totals;
+* ranks come from the histogram of values per (season, game type), so the
+  window runs over distinct values, not over players;
 * the season trend is partitioned by entity over per-season totals;
 * top-k per group uses ``row_number() <= k``, which Spark plans as a
   ``WindowGroupLimit`` that keeps k rows per group inside each task first;
@@ -119,17 +120,32 @@ def compare(facts: DataFrame, entity: str, named, metric: str = "PTS", by: str =
     return out.select(by, *[F.col(f"`{v}`").alias(f"{prefix}_{v}_{metric}") for v in named])
 
 
-def rank_within(df: DataFrame, partition, metric: str) -> DataFrame:
-    """rank and dense_rank of ``metric`` (descending) inside each partition.
+def rank_within(df: DataFrame, partition, metric: str, max_dim_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """rank and dense_rank of ``metric`` (descending, nulls last) in each partition.
 
-    Equal values share a rank, so no tie-break column is needed.
+    Computed from the histogram of metric values, not with a window over the
+    rows: ``rank`` of a value is 1 + the number of rows above it and
+    ``dense_rank`` is 1 + the number of distinct values above it. The window
+    then runs over the distinct values of each partition, which the value
+    range bounds, so one season holding a third of all rows is never sorted
+    in one task. The ranks join back to the rows on (partition, value), with
+    the checked broadcast.
     """
-    w = Window.partitionBy(*partition).orderBy(F.col(metric).desc())
-    return df.select(
-        "*",
-        F.rank().over(w).cast("bigint").alias(f"{metric}_RANK"),
-        F.dense_rank().over(w).cast("bigint").alias(f"{metric}_DENSE_RANK"),
+    part = list(partition)
+    hist = df.groupBy(*part, metric).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*part).orderBy(F.col(metric).desc_nulls_last())
+    above = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    ranks = hist.select(
+        *[F.col(c).alias(f"_r_{c}") for c in part + [metric]],
+        (F.coalesce(above, F.lit(0)) + 1).cast("bigint").alias(f"{metric}_RANK"),
+        F.row_number().over(w).cast("bigint").alias(f"{metric}_DENSE_RANK"),
     )
+    ranks = broadcast_if_small(ranks, max_dim_rows)
+    cond = None
+    for c in part + [metric]:
+        e = df[c].eqNullSafe(ranks[f"_r_{c}"])
+        cond = e if cond is None else cond & e
+    return df.join(ranks, cond, "inner").select(*df.columns, f"{metric}_RANK", f"{metric}_DENSE_RANK")
 
 
 def trend(facts: DataFrame, entity: str, metric: str = "PTS", season_col: str = "SEASON_YEAR") -> DataFrame:

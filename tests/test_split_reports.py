@@ -88,3 +88,23 @@ def test_totals_percentages(spark):
     r = reports.totals(df, ["PLAYER_ID"]).first()
     assert (r.GAMES, r.WINS) == (2, 1)
     assert abs(r.FG_PCT - 0.4) < 1e-12 and r.FG3_PCT is None and r.FT_PCT == 0.5
+
+
+def test_histogram_rank_equals_window_rank(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    rnd = random.Random(7)
+    rows = [
+        (rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), rnd.randint(1, 400),
+         rnd.choice([None] + list(range(8))))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, "S string, T string, P long, PTS long")
+    got = reports.rank_within(df, ["S", "T"], "PTS")
+    w = Window.partitionBy("S", "T").orderBy(F.col("PTS").desc())
+    want = df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    a = sorted((tuple(r) for r in got.collect()), key=repr)
+    b = sorted((tuple(r) for r in want.collect()), key=repr)
+    assert a == b
