@@ -17,29 +17,34 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_bigint(c, source_type: T.DataType | None = None) -> Column:
+def _cast(c: Column, to, strict: bool) -> Column:
+    return c.cast(to) if strict else c.try_cast(to)
+
+
+def to_bigint(c, source_type: T.DataType | None = None, strict: bool = True) -> Column:
     """Cast to a 64-bit integer the way the warehouse does.
 
     Fractional inputs are rounded half away from zero first (Spark's plain
     cast truncates, so 2.5 would become 2). Integral inputs are cast as is,
     which keeps ids above 2**53 exact. Text is cast strictly: '0022300001'
     becomes 22300001 and a malformed value raises under ANSI mode.
+    ``strict=False`` gives null instead of an error (``try_cast``).
     """
     c = _col(c)
     if isinstance(source_type, (T.IntegralType, T.StringType)):
-        return c.cast(schemas.LONG)
+        return _cast(c, schemas.LONG, strict)
     if isinstance(source_type, T.BooleanType):
         return c.cast("int").cast(schemas.LONG)
-    return F.round(c).cast(schemas.LONG)
+    return _cast(F.round(c), schemas.LONG, strict)
 
 
-def to_decimal(c, precision: int = 38, scale: int = 9) -> Column:
-    return _col(c).cast(T.DecimalType(precision, scale))
+def to_decimal(c, precision: int = 38, scale: int = 9, strict: bool = True) -> Column:
+    return _cast(_col(c), T.DecimalType(precision, scale), strict)
 
 
-def to_date(c) -> Column:
+def to_date(c, strict: bool = True) -> Column:
     """Date part of a date-time (or a 'yyyy-MM-dd...' text)."""
-    return _col(c).cast(schemas.DATE)
+    return _cast(_col(c), schemas.DATE, strict)
 
 
 def parse_datetime(c, source_type: T.DataType | None = None, fmt: str | None = None) -> Column:

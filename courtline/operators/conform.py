@@ -84,28 +84,18 @@ def parse_dates(df: DataFrame, cols=("GAME_DATE",), fmt: str | None = None) -> D
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
-def conform_games(raw: DataFrame, stamp: bool = True) -> DataFrame:
+def conform_games(raw: DataFrame, stamp: bool = True, strict: bool = True) -> DataFrame:
     """Typed projection of a raw game log into the 31-column fact shape.
 
     The key ``ID`` is built from the raw values before GAME_ID is cast, so
     it keeps the leading zeros that the integer GAME_ID loses. SEASON is
-    renamed SEASON_YEAR. ``stamp`` adds the LAST_UPDATE load time.
+    renamed SEASON_YEAR. ``stamp`` adds the LAST_UPDATE load time. Casts are
+    strict (a malformed value fails the query, as the warehouse does);
+    ``strict=False`` turns such values into nulls (see ``split_cast_rejects``).
     """
     required = schemas.without(schemas.RAW_GAME_LOG)
     require_columns(raw, required)
-    types = dict((f.name, f.dataType) for f in raw.schema.fields)
-    cols = [
-        fn.to_bigint("PLAYER_ID", types["PLAYER_ID"]).alias("PLAYER_ID"),
-        fn.to_bigint("TEAM_ID", types["TEAM_ID"]).alias("TEAM_ID"),
-        fn.to_bigint("GAME_ID", types["GAME_ID"]).alias("GAME_ID"),
-        fn.to_date("GAME_DATE").alias("GAME_DATE"),
-        F.col("WL").cast("string").alias("WL"),
-    ]
-    for c in schemas.FACT_STAT_ORDER:
-        if c in schemas.RATIO_STATS:
-            cols.append(fn.to_decimal(c).alias(c))
-        else:
-            cols.append(fn.to_bigint(c, types[c]).alias(c))
+    cols = [e.alias(n) for n, e in _typed_exprs(raw, strict).items()]
     cols += [
         fn.game_key().alias("ID"),
         F.col("GAME_TYPE").cast("string").alias("GAME_TYPE"),
@@ -116,6 +106,45 @@ def conform_games(raw: DataFrame, stamp: bool = True) -> DataFrame:
     return raw.select(*cols)
 
 
+def _typed_exprs(raw: DataFrame, strict: bool = True) -> dict:
+    """Typed expression of every cast column of the fact, by output name."""
+    types = dict((f.name, f.dataType) for f in raw.schema.fields)
+    out = {
+        "PLAYER_ID": fn.to_bigint("PLAYER_ID", types["PLAYER_ID"], strict),
+        "TEAM_ID": fn.to_bigint("TEAM_ID", types["TEAM_ID"], strict),
+        "GAME_ID": fn.to_bigint("GAME_ID", types["GAME_ID"], strict),
+        "GAME_DATE": fn.to_date("GAME_DATE", strict),
+        "WL": F.col("WL").cast("string"),
+    }
+    for c in schemas.FACT_STAT_ORDER:
+        if c in schemas.RATIO_STATS:
+            out[c] = fn.to_decimal(c, strict=strict)
+        else:
+            out[c] = fn.to_bigint(c, types[c], strict)
+    return out
+
+
+def split_cast_rejects(raw: DataFrame, stamp: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, raw rows that a strict cast would fail on).
+
+    A row is rejected when some column has a value whose lenient cast is
+    null (malformed text, overflow). The rejects keep their raw values and
+    list the failing columns in ``REJECTED_COLUMNS``; the other rows are
+    conformed with strict casts, which cannot fail on them. One pass, no
+    shuffle.
+    """
+    require_columns(raw, schemas.without(schemas.RAW_GAME_LOG))
+    lenient = _typed_exprs(raw, strict=False)
+    failed = F.filter(
+        F.array(*[F.when(F.col(n).isNotNull() & e.isNull(), F.lit(n)) for n, e in lenient.items()]),
+        lambda x: x.isNotNull(),
+    )
+    flagged = raw.withColumn("REJECTED_COLUMNS", failed)
+    bad = F.size("REJECTED_COLUMNS") > 0
+    good = conform_games(flagged.where(~bad).drop("REJECTED_COLUMNS"), stamp=stamp)
+    return good, flagged.where(bad)
+
+
 def conform_players(raw: DataFrame, stamp: bool = True) -> DataFrame:
     """Player dimension: typed projection of the landed player list."""
     require_columns(raw, schemas.RAW_PLAYERS)

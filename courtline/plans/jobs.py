@@ -133,14 +133,29 @@ def refresh_facts(
     full_refresh: bool = False,
     on_duplicate: str = "error",
     sample: int | None = None,
+    on_bad_cast: str = "error",
 ) -> merge.MergeResult:
-    """Conform both landed inputs and merge them into the fact table."""
+    """Conform both landed inputs and merge them into the fact table.
+
+    ``on_bad_cast="error"`` (default) fails on a value that does not cast;
+    ``"reject"`` writes such rows, with the failing columns named, to
+    ``<table>_cast_rejects/{current,past}`` and merges the others.
+    """
     cur = current if isinstance(current, DataFrame) else spark.read.parquet(current)
     pst = past if isinstance(past, DataFrame) else spark.read.parquet(past)
+    if on_bad_cast == "reject":
+        typed = {}
+        for name, raw in (("current", cur), ("past", pst)):
+            good, bad = conform.split_cast_rejects(raw)
+            sinks.write_landed(bad, f"{table_path.rstrip('/')}_cast_rejects/{name}")
+            typed[name] = good
+        cur_t, pst_t = typed["current"], typed["past"]
+    else:
+        cur_t, pst_t = conform.conform_games(cur), conform.conform_games(pst)
     return merge.FactTable(table_path).merge(
         spark,
-        conform.conform_games(cur),
-        conform.conform_games(pst),
+        cur_t,
+        pst_t,
         full_refresh=full_refresh,
         on_duplicate=on_duplicate,
         sample=sample,

@@ -106,3 +106,19 @@ def test_year_start(spark):
     df = spark.createDataFrame([("2024-07-09",)], "d string")
     (v,) = df.select(fn.year_start(F.col("d"))).first()
     assert str(v) == "2024-01-01"
+
+
+def test_cast_rejects_split_and_strict_failure(spark):
+    raw = frame(spark, [
+        game(game_id="0000000001"),
+        game(game_id="00000000x2"),
+        game(game_id="0000000003", PTS=1e30),
+    ])
+    good, bad = conform.split_cast_rejects(raw)
+    assert [r.GAME_ID for r in good.collect()] == [1]
+    got = sorted((r.GAME_ID, tuple(r.REJECTED_COLUMNS)) for r in bad.collect())
+    assert got == [("0000000003", ("PTS",)), ("00000000x2", ("GAME_ID",))]
+    with pytest.raises(Exception):
+        conform.conform_games(raw).collect()
+    lenient = {r.ID: r.GAME_ID for r in conform.conform_games(raw, strict=False).collect()}
+    assert lenient["100000000x210"] is None

@@ -103,3 +103,16 @@ def test_dashboard_tables(spark, tmp_dir):
     assert len(paths) == len(tables)
     assert spark.read.parquet(paths[0]).count() == facts.count()
     assert tables["top_k"].count() == 10
+
+
+def test_refresh_facts_rejects_bad_casts(spark, tmp_dir):
+    from tests.fixtures import frame, game
+
+    cur = frame(spark, [game(game_id="0000000001"), game(game_id="0000000x02")])
+    past = frame(spark, [game(game_id="0000000003", date="2023-03-01", season="2022-23")])
+    table = os.path.join(tmp_dir, "facts")
+    res = jobs.refresh_facts(spark, cur, past, table, on_bad_cast="reject")
+    assert res.incoming_rows == 2
+    rej = spark.read.parquet(table + "_cast_rejects/current")
+    assert [r.GAME_ID for r in rej.collect()] == ["0000000x02"]
+    assert spark.read.parquet(table + "_cast_rejects/past").count() == 0
