@@ -18,17 +18,23 @@ _DEFAULTS = {
 }
 
 
-def builder(app: str = "courtline", master: str | None = None, conf: dict | None = None):
+def get_spark(app: str = "courtline", master: str | None = None, conf: dict | None = None) -> SparkSession:
+    """Get or create a session; library defaults fill only keys left unset.
+
+    ``conf`` is applied as given. A default is set only when neither ``conf``
+    nor the deployment (spark-defaults, submit options) names the key.
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in {**_DEFAULTS, **(conf or {})}.items():
+    for k, v in (conf or {}).items():
         b = b.config(k, v)
-    return b
-
-
-def get_spark(app: str = "courtline", master: str | None = None, conf: dict | None = None) -> SparkSession:
-    return builder(app, master, conf).getOrCreate()
+    spark = b.getOrCreate()
+    deployed = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if k not in (conf or {}) and not deployed.contains(k):
+            spark.conf.set(k, v)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:

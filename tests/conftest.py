@@ -15,8 +15,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    # Tests run without a cluster, so they name their own checkpoint folder.
-    ckpt = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    from courtline import session
+
     s = (
         SparkSession.builder.master("local[4]")
         .appName("courtline-tests")
@@ -24,11 +24,13 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", ckpt)
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    # The session's checkpoint folder is used; tests name their own only
+    # when the environment sets none.
+    session.checkpoint_dir(s, default=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     yield s
     s.stop()
 
