@@ -120,7 +120,7 @@ def compare(facts: DataFrame, entity: str, named, metric: str = "PTS", by: str =
     return out.select(by, *[F.col(f"`{v}`").alias(f"{prefix}_{v}_{metric}") for v in named])
 
 
-def rank_within(df: DataFrame, partition, metric: str, max_dim_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+def rank_within(df: DataFrame, partition, metric: str) -> DataFrame:
     """rank and dense_rank of ``metric`` (descending, nulls last) in each partition.
 
     Computed from the histogram of metric values, not with a window over the
@@ -128,8 +128,9 @@ def rank_within(df: DataFrame, partition, metric: str, max_dim_rows: int = DIM_B
     ``dense_rank`` is 1 + the number of distinct values above it. The window
     then runs over the distinct values of each partition, which the value
     range bounds, so one season holding a third of all rows is never sorted
-    in one task. The ranks join back to the rows on (partition, value), with
-    the checked broadcast.
+    in one task. The ranks join back to the rows on (partition, value); they
+    come out of a shuffle, so AQE measures their size at run time and
+    broadcasts them when small (and splits a skewed value otherwise).
     """
     part = list(partition)
     hist = df.groupBy(*part, metric).agg(F.count(F.lit(1)).alias("_n"))
@@ -140,7 +141,6 @@ def rank_within(df: DataFrame, partition, metric: str, max_dim_rows: int = DIM_B
         (F.coalesce(above, F.lit(0)) + 1).cast("bigint").alias(f"{metric}_RANK"),
         F.row_number().over(w).cast("bigint").alias(f"{metric}_DENSE_RANK"),
     )
-    ranks = broadcast_if_small(ranks, max_dim_rows)
     cond = None
     for c in part + [metric]:
         e = df[c].eqNullSafe(ranks[f"_r_{c}"])
