@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline import schemas
 from courtline.operators import combine, conform, merge, reports, split
 from courtline.sources import landed, sinks
 
@@ -209,7 +208,3 @@ def write_dashboard(tables: dict[str, DataFrame], out_root: str) -> list[str]:
         sinks.write_table(df, p)
         paths.append(p)
     return paths
-
-
-def fact_schema_names() -> list[str]:
-    return schemas.names(schemas.FACT)

@@ -93,12 +93,6 @@ TEAMS = _struct(
 # Per-team yearly totals: only YEAR is read (to list the seasons to load).
 TEAM_YEAR_TOTALS = _struct([("TEAM_ID", LONG), ("YEAR", STRING)])
 
-# Team game log: GAME_DATE is the only column the pipeline names.
-RAW_TEAM_GAME_LOG = _struct(
-    [("TEAM_ID", LONG), ("GAME_ID", STRING), ("GAME_DATE", T.TimestampNTZType()),
-     ("WL", STRING), ("PTS", DOUBLE), ("SEASON", STRING)]
-)
-
 
 def names(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,7 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/courtline-{name}-{uuid.uuid4().hex}"
-
-
-def bench_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))
