@@ -161,6 +161,33 @@ def refresh_facts(
     )
 
 
+def run_daily(
+    spark: SparkSession,
+    current_extracts: str,
+    landed_current: str,
+    landed_past: str,
+    table_path: str,
+    **merge_options,
+) -> tuple[LandingResult, merge.MergeResult]:
+    """The daily chain: land the current season, then merge it (K4 -> K5)."""
+    cur = land_current(spark, current_extracts, landed_current)
+    return cur, refresh_facts(spark, cur.path, landed_past, table_path, **merge_options)
+
+
+def run_monthly(
+    spark: SparkSession,
+    history_extracts: str,
+    landed_current: str,
+    landed_past: str,
+    table_path: str,
+    team_totals_root: str | None = None,
+    **merge_options,
+) -> tuple[LandingResult, merge.MergeResult]:
+    """The monthly chain: land past seasons, then merge them (K3 -> K5)."""
+    past = land_past(spark, history_extracts, landed_past, team_totals_root=team_totals_root)
+    return past, refresh_facts(spark, landed_current, past.path, table_path, **merge_options)
+
+
 def union_report(spark: SparkSession, past: DataFrame, current: DataFrame, view: str = "game_logs") -> DataFrame:
     """Past and current by name, nulls filled, latest game through SQL."""
     full = conform.fill_all(combine.union_by_name(past, current))

@@ -116,3 +116,17 @@ def test_refresh_facts_rejects_bad_casts(spark, tmp_dir):
     rej = spark.read.parquet(table + "_cast_rejects/current")
     assert [r.GAME_ID for r in rej.collect()] == ["0000000x02"]
     assert spark.read.parquet(table + "_cast_rejects/past").count() == 0
+
+
+def test_daily_and_monthly_chains(spark, tmp_dir):
+    ext = os.path.join(tmp_dir, "extracts")
+    _lay_out_extracts(spark, ext)
+    paths = {n: os.path.join(tmp_dir, n) for n in ("cur", "past", "facts")}
+    # The monthly chain needs a landed current extract; land it first.
+    jobs.land_current(spark, ext, paths["cur"])
+    past, res = jobs.run_monthly(spark, ext, paths["cur"], paths["past"], paths["facts"], on_duplicate="latest")
+    assert res.mode == "create"
+    cur, res = jobs.run_daily(spark, ext, paths["cur"], paths["past"], paths["facts"], on_duplicate="latest")
+    assert res.mode == "incremental"
+    n = spark.read.parquet(paths["facts"]).count()
+    assert n == spark.read.parquet(paths["facts"]).select("PLAYER_ID", "GAME_ID", "TEAM_ID").distinct().count()

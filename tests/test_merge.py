@@ -145,3 +145,14 @@ def test_between_dates_prunes_years(spark, tmp_dir):
     assert [r.GAME_ID for r in df.collect()] == [2]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*GAME_YEAR", plan)
+
+
+def test_failed_merge_leaves_table_unchanged(spark, tmp_dir):
+    t = _table(spark, tmp_dir)
+    past = [game(game_id="0000000001", date="2023-03-01", season="2022-23", pts=5.0)]
+    t.merge(spark, _typed(spark, [game(game_id="0000000002", date="2024-01-02", pts=1.0)]), _typed(spark, past))
+    before = _rows(t.read(spark))
+    dup = [game(game_id="0000000002", date="2024-01-02", pts=8.0), game(game_id="0000000002", date="2024-01-03", pts=9.0)]
+    with pytest.raises(merge.DuplicateKeyError):
+        t.merge(spark, _typed(spark, dup), _typed(spark, past))
+    assert _rows(t.read(spark)) == before
