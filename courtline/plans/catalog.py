@@ -161,10 +161,19 @@ def q_rank_players(spark, d):
     return reports.rank_within(_player_season_pts(spark, d), ["SEASON_YEAR", "GAME_TYPE"], "PTS")
 
 
+def q_rank_teams(spark, d):
+    per_team = _player_season_pts(spark, d, ("TEAM_ID", "SEASON_YEAR", "GAME_TYPE"))
+    return reports.rank_within(per_team, ["SEASON_YEAR", "GAME_TYPE"], "PTS")
+
+
 def q_trend_team(spark, d):
     return reports.trend(_facts(spark, d), "TEAM_ID", "PTS")
 
 
+def q_trend_player(spark, d):
+    return reports.trend(_facts(spark, d), "PLAYER_ID", "PTS")
+
+
 def q_top_k(spark, d):
     return reports.top_k(_player_season_pts(spark, d, ("PLAYER_ID",)), "PTS", 10, "PLAYER_ID")
 
@@ -197,7 +206,9 @@ QUERIES: dict[str, Builder] = {
     "totals_by_season_type": q_totals_by_season_type,
     "compare_teams": q_compare_teams,
     "rank_players": q_rank_players,
+    "rank_teams": q_rank_teams,
     "trend_team": q_trend_team,
+    "trend_player": q_trend_player,
     "top_k": q_top_k,
     "top_k_per_season": q_top_k_per_season,
 }

@@ -177,6 +177,20 @@ BODIES = {
         "cast(dense_rank() over w as bigint) as PTS_DENSE_RANK from player_season "
         "window w as (partition by SEASON_YEAR, GAME_TYPE order by PTS desc)"
     ),
+    "rank_teams": (
+        "select *, cast(rank() over w as bigint) as PTS_RANK, "
+        "cast(dense_rank() over w as bigint) as PTS_DENSE_RANK from ("
+        "select TEAM_ID, SEASON_YEAR, GAME_TYPE, cast(sum(PTS) as bigint) as PTS "
+        "from facts group by TEAM_ID, SEASON_YEAR, GAME_TYPE) "
+        "window w as (partition by SEASON_YEAR, GAME_TYPE order by PTS desc)"
+    ),
+    "trend_player": (
+        "select PLAYER_ID, SEASON_YEAR, GAMES, PTS, lag(PTS) over w as PREV_PTS, "
+        "PTS - lag(PTS) over w as PTS_CHANGE from ("
+        "select PLAYER_ID, SEASON_YEAR, count(*) as GAMES, cast(sum(PTS) as bigint) as PTS "
+        "from facts group by PLAYER_ID, SEASON_YEAR) "
+        "window w as (partition by PLAYER_ID order by SEASON_YEAR)"
+    ),
     "trend_team": (
         "select TEAM_ID, SEASON_YEAR, GAMES, PTS, lag(PTS) over w as PREV_PTS, "
         "PTS - lag(PTS) over w as PTS_CHANGE from ("
