@@ -156,3 +156,13 @@ def test_failed_merge_leaves_table_unchanged(spark, tmp_dir):
     with pytest.raises(merge.DuplicateKeyError):
         t.merge(spark, _typed(spark, dup), _typed(spark, past))
     assert _rows(t.read(spark)) == before
+
+
+def test_keep_latest_with_a_hot_duplicated_key(spark):
+    hot = [game(date=f"2024-01-{1 + i % 28:02d}", pts=float(i)) for i in range(60)]
+    other = [game(game_id=f"{i:010d}", date="2024-01-02") for i in range(100, 220)]
+    df = _typed(spark, hot + other)
+    out = merge.keep_latest(df, order=("GAME_DATE", "PTS"))
+    assert out.count() == 121
+    (r,) = out.where(F.col("GAME_ID") == 22300001).collect()
+    assert str(r.GAME_DATE) == "2024-01-28" and r.PTS == 55
