@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from courtline.operators import combine, conform, merge, reports, split
 from courtline.sources import landed, sinks
 
+# The game types that extracts are landed for.
 GAME_TYPES = ("Regular Season", "Playoffs")
 
 
