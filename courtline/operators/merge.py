@@ -164,7 +164,11 @@ def with_year(df: DataFrame) -> DataFrame:
     return df.withColumn(YEAR, fn.game_year("GAME_DATE"))
 
 
-def clustered(df: DataFrame) -> DataFrame:
+# Input bytes per layout task when writing the fact table.
+BYTES_PER_WRITE_TASK = 256 * 1024 * 1024
+
+
+def clustered(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Range-partition on (year, team, player, game) and sort inside files.
 
     Range partitioning spreads one large year over many tasks (GAME_ID at the
@@ -173,9 +177,23 @@ def clustered(df: DataFrame) -> DataFrame:
     groups for team and player filters.
     """
     df = with_year(df)
-    return df.repartitionByRange(YEAR, *schemas.CLUSTER_COLUMNS, "GAME_ID").sortWithinPartitions(
-        YEAR, *schemas.CLUSTER_COLUMNS
-    )
+    cols = (YEAR, *schemas.CLUSTER_COLUMNS, "GAME_ID")
+    df = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    return df.sortWithinPartitions(YEAR, *schemas.CLUSTER_COLUMNS)
+
+
+def write_tasks(spark: SparkSession, df: DataFrame) -> int:
+    """Number of layout tasks: input bytes / 256 MB, at least the task slots.
+
+    AQE can merge small range partitions but never splits a large one, so the
+    count is sized from the data instead of a fixed shuffle setting.
+    """
+    slots = spark.sparkContext.defaultParallelism
+    try:
+        size = storage.total_bytes(spark, df.inputFiles())
+    except Exception:  # unknown size: leave it to spark.sql.shuffle.partitions
+        return 0
+    return max(slots, -(-size // BYTES_PER_WRITE_TASK))
 
 
 # Upper bound of rows per written file of the fact table (a split bound on
@@ -295,7 +313,7 @@ class FactTable:
 
             if present:
                 (
-                    clustered(source)
+                    clustered(source, write_tasks(spark, source) or None)
                     .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
                     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)

@@ -45,3 +45,23 @@ def is_table(spark: SparkSession, path: str) -> bool:
     return exists(spark, path.rstrip("/") + "/_SUCCESS") or bool(
         list_partition_values(spark, path, "GAME_YEAR")
     )
+
+
+def total_bytes(spark: SparkSession, files, per_file_limit: int = 2000) -> int:
+    """Bytes of the given files.
+
+    Up to ``per_file_limit`` files are sized one by one; above that, per
+    parent folder (one call per partition folder, which holds only the
+    table's files).
+    """
+    files = list(files)
+    total = 0
+    if len(files) <= per_file_limit:
+        for f in files:
+            fs, p = _fs(spark, f)
+            total += int(fs.getFileStatus(p).getLen())
+        return total
+    for d in {f.rsplit("/", 1)[0] for f in files}:
+        fs, p = _fs(spark, d)
+        total += int(fs.getContentSummary(p).getLength())
+    return total
