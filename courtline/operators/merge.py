@@ -225,8 +225,9 @@ class FactTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(FACT_TABLE_SCHEMA).parquet(self.path)
 
-    def years(self, spark: SparkSession) -> list[int]:
-        return [int(v) for v in storage.list_partition_values(spark, self.path, YEAR)]
+    def years(self, spark: SparkSession) -> list:
+        """Year folders present (None for rows without a GAME_DATE)."""
+        return sorted(_years_at(spark, self.path), key=lambda y: (y is None, y))
 
     def between_dates(self, spark: SparkSession, start, end) -> DataFrame:
         """Rows with start <= GAME_DATE <= end, pruned to the matching year folders.
@@ -292,9 +293,10 @@ class FactTable:
                 # move to another year).
                 moved = target.join(incoming.select(*KEYS), KEYS, "left_semi").select(YEAR).distinct()
                 touched = in_years | {r[0] for r in moved.collect()}
-                kept = target.where(F.col(YEAR).isin(sorted(touched))).join(
-                    incoming.select(*KEYS), KEYS, "left_anti"
-                )
+                years = F.col(YEAR).isin(sorted(y for y in touched if y is not None))
+                if None in touched:
+                    years = years | F.col(YEAR).isNull()
+                kept = target.where(years).join(incoming.select(*KEYS), KEYS, "left_anti")
                 rewrite = kept.unionByName(incoming.select(*kept.columns))
                 # The rewrite reads the partitions it replaces, so it is
                 # written out first; its folders also tell which touched years
@@ -302,7 +304,7 @@ class FactTable:
                 out_path = session.scratch_path(spark, "rewrite")
                 scratch.append(out_path)
                 rewrite.write.mode("overwrite").partitionBy(YEAR).parquet(out_path)
-                present = {int(v) for v in storage.list_partition_values(spark, out_path, YEAR)}
+                present = _years_at(spark, out_path)
                 source = spark.read.schema(FACT_TABLE_SCHEMA).parquet(out_path)
                 mode = "incremental"
             else:
@@ -320,15 +322,27 @@ class FactTable:
                     .partitionBy(YEAR)
                     .parquet(self.path)
                 )
-            dropped = sorted(y for y in touched if y is not None and y not in present)
+            dropped = sorted((y for y in touched if y not in present), key=lambda y: (y is None, y))
             for y in dropped:
-                storage.delete(spark, f"{self.path}/{YEAR}={y}")
-            return MergeResult(self.path, mode, n_in, sorted(y for y in present if y is not None), dropped)
+                storage.delete(spark, f"{self.path}/{YEAR}={_NULL_FOLDER if y is None else y}")
+            written = sorted(present, key=lambda y: (y is None, y))
+            return MergeResult(self.path, mode, n_in, written, dropped)
         finally:
             for p in scratch:
                 storage.delete(spark, p)
 
 
+# Folder name Spark gives the partition of a null value.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _years_at(spark: SparkSession, path: str) -> set:
+    return {
+        None if v == _NULL_FOLDER else int(v)
+        for v in storage.list_partition_values(spark, path, YEAR)
+    }
+
+
 def _stage(spark: SparkSession, df: DataFrame, name: str):
     """Write ``df`` to the shared checkpoint folder and read it back."""
     path = session.scratch_path(spark, name)

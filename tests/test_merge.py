@@ -166,3 +166,14 @@ def test_keep_latest_with_a_hot_duplicated_key(spark):
     assert out.count() == 121
     (r,) = out.where(F.col("GAME_ID") == 22300001).collect()
     assert str(r.GAME_DATE) == "2024-01-28" and r.PTS == 55
+
+
+def test_rows_without_a_date_keep_their_own_folder(spark, tmp_dir):
+    t = _table(spark, tmp_dir)
+    cur = _typed(spark, [game(game_id="0000000002", date="2024-01-02"), game(game_id="0000000005", date=None)])
+    t.merge(spark, cur, _typed(spark, []))
+    assert t.years(spark) == [2024, None]
+    res = t.merge(spark, _typed(spark, [game(game_id="0000000005", date="2024-02-01")]), _typed(spark, []))
+    assert res.years_dropped == [None]
+    assert t.years(spark) == [2024]
+    assert t.read(spark).count() == 2
