@@ -54,7 +54,7 @@ class DuplicateKeyError(ValueError):
 # ---------------------------------------------------------------- plans ---
 
 
-def new_keys(source: DataFrame, target: DataFrame, keys=KEYS) -> DataFrame:
+def new_keys(source: DataFrame, target: DataFrame, keys=KEYS, narrow: bool = True) -> DataFrame:
     """Rows of ``source`` whose key is not in ``target``.
 
     Two steps, so that the wide source rows are not shuffled just to learn
@@ -69,9 +69,14 @@ def new_keys(source: DataFrame, target: DataFrame, keys=KEYS) -> DataFrame:
        When few keys are new, AQE broadcasts them and the source rows are
        filtered where they are read; otherwise it is an ordinary shuffle join.
 
+    ``narrow=False`` is the one-step anti join of the wide rows, cheaper when
+    most keys are new (a first load or a backfill).
+
     The single-column ``NOT IN`` form would be planned as a null-aware
     broadcast of every target key, which does not scale with the table.
     """
+    if not narrow:
+        return source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
     fresh = source.select(*keys).distinct().join(target.select(*keys), list(keys), "left_anti")
     f = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     cond = None

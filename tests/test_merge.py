@@ -177,3 +177,11 @@ def test_rows_without_a_date_keep_their_own_folder(spark, tmp_dir):
     assert res.years_dropped == [None]
     assert t.years(spark) == [2024]
     assert t.read(spark).count() == 2
+
+
+def test_new_keys_narrow_and_wide_agree(spark):
+    src = _typed(spark, [game(game_id=f"{i:010d}") for i in range(6)] + [game(player=None, game_id="0000000099")])
+    tgt = _typed(spark, [game(game_id=f"{i:010d}") for i in range(0, 6, 2)])
+    a = sorted(repr(tuple(r)) for r in merge.new_keys(src, tgt).drop("LAST_UPDATE").collect())
+    b = sorted(repr(tuple(r)) for r in merge.new_keys(src, tgt, narrow=False).drop("LAST_UPDATE").collect())
+    assert a == b and len(a) == 4
