@@ -14,6 +14,7 @@ K10 dashboard          fact table + dimensions -> report tables
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -189,8 +190,13 @@ def run_monthly(
     return past, refresh_facts(spark, landed_current, past.path, table_path, **merge_options)
 
 
-def union_report(spark: SparkSession, past: DataFrame, current: DataFrame, view: str = "game_logs") -> DataFrame:
-    """Past and current by name, nulls filled, latest game through SQL."""
+def union_report(spark: SparkSession, past: DataFrame, current: DataFrame, view: str | None = None) -> DataFrame:
+    """Past and current by name, nulls filled, latest game through SQL.
+
+    The union is registered as a session view (a unique name unless given, so
+    concurrent calls in one session do not replace each other's view).
+    """
+    view = view or f"game_logs_{uuid.uuid4().hex}"
     full = conform.fill_all(combine.union_by_name(past, current))
     full.createOrReplaceTempView(view)
     return spark.sql(
