@@ -15,13 +15,14 @@ K10 dashboard          fact table + dimensions -> report tables
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.operators import combine, conform, merge, reports, split
-from courtline.sources import landed, sinks
+from courtline.sources import landed, sinks, storage
 
 # The game types that extracts are landed for.
 GAME_TYPES = ("Regular Season", "Playoffs")
@@ -100,7 +101,15 @@ def land_current(
     game_types=GAME_TYPES,
     cutoff=None,
 ) -> LandingResult:
-    """Current games: the current season's extracts, from the cutoff on."""
+    """Current games: the current season's extracts, from the cutoff on.
+
+    ``season`` defaults to the latest ``SEASON=`` folder under the root (a
+    listing, no data read), so the daily scan is pruned to one season instead
+    of reading every extract.
+    """
+    if season is None:
+        found = [unquote(v) for v in storage.list_partition_values(spark, extracts_root, "SEASON")]
+        season = max(found) if found else None
     logs = landed.read_game_logs(spark, extracts_root, game_types=game_types, with_game_type=game_types is not None)
     if season is not None:
         logs = logs.where(F.col("SEASON") == season)

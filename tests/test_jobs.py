@@ -130,3 +130,17 @@ def test_daily_and_monthly_chains(spark, tmp_dir):
     assert res.mode == "incremental"
     n = spark.read.parquet(paths["facts"]).count()
     assert n == spark.read.parquet(paths["facts"]).select("PLAYER_ID", "GAME_ID", "TEAM_ID").distinct().count()
+
+
+def test_land_current_reads_only_the_latest_season_folder(spark, tmp_dir):
+    from courtline.sources import landed as L
+
+    ext = os.path.join(tmp_dir, "extracts")
+    g = _lay_out_extracts(spark, ext)
+    latest = g.agg(F.max("SEASON")).first()[0]
+    res = jobs.land_current(spark, ext, os.path.join(tmp_dir, "cur"))
+    out = spark.read.parquet(res.path)
+    assert {r.SEASON for r in out.select("SEASON").distinct().collect()} == {latest}
+    assert out.count() == g.where(F.col("SEASON") == latest).count()
+    plan = L.read_game_logs(spark, ext).where(F.col("SEASON") == latest)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(SEASON" in plan
