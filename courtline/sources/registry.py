@@ -50,14 +50,24 @@ class Registry:
         self.sources[name] = Source(name, path, fmt, schema)
         return self
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, check: bool = False) -> DataFrame:
+        """The source as a DataFrame.
+
+        With ``check`` the columns are compared with the staging contract and
+        a ``SchemaMismatch`` lists the missing ones (extra columns pass).
+        """
         if name not in self.sources:
             raise KeyError(f"unknown source {name!r}; known: {sorted(self.sources)}")
         s = self.sources[name]
         reader = self.spark.read.format(s.format)
         if s.schema is not None and s.format != "parquet":
             reader = reader.schema(s.schema)
-        return reader.load(s.path)
+        df = reader.load(s.path)
+        if check and s.schema is not None:
+            from courtline.operators.conform import require_columns
+
+            require_columns(df, s.schema)
+        return df
 
     def register_views(self, names=None, prefix: str = "") -> list[str]:
         """Expose sources as session views (the staging layer as views)."""

@@ -54,3 +54,16 @@ def test_checkpoint_dir_is_read_from_session(spark):
     d = session.checkpoint_dir(spark)
     assert d == spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_path(spark, "x").startswith(d.rstrip("/") + "/courtline-x-")
+
+
+def test_registry_contract_check(spark, tmp_dir):
+    import pytest
+
+    from courtline.operators.conform import SchemaMismatch
+
+    frame(spark, [game()]).drop("GAME_TYPE").write.parquet(os.path.join(tmp_dir, "player_games_past"))
+    reg = Registry.under(spark, tmp_dir, names=["player_games_past"])
+    assert reg.table("player_games_past").count() == 1
+    with pytest.raises(SchemaMismatch) as e:
+        reg.table("player_games_past", check=True)
+    assert e.value.missing == ["GAME_TYPE"]
