@@ -1,10 +1,12 @@
 """I-Match fingerprints over randomised lexicon subsets.
 
-Terms within a band of document frequency are the lexicon. A subset keeps a
-term with a rate from one half down to 2^-LEVELS, in several families of
-independent choices; the sorted distinct terms that a document has in a subset
-are hashed. A few changes leave many subsets of low rate as they were, so the
-share of equal hashes is a likeness; equal texts have equal fingerprints.
+Terms within a band of document frequency are the lexicon. Subset (f, l) keeps
+each term with rate 2^-l by the f-th of ``FAMILIES`` independent draws, so that
+the subsets of a family are nested. The sorted distinct terms that a document
+has in a subset are hashed, for the levels at which it is expected to have
+one, a half and a quarter of a term. A change of a document leaves the subsets
+that miss the changed terms as they were, so the share of equal hashes
+approaches the share of common terms; equal texts have equal fingerprints.
 
 Document frequencies are counted for ``CLASSES`` hash classes of terms, so
 that what the tasks send and the lexicon they are given have a fixed size.
@@ -25,8 +27,11 @@ from courtline.llm import common
 from courtline.llm.minhash import mix, word_hashes
 
 CLASSES = 1 << 16
-FAMILIES, LEVELS = 4, 12
+FAMILIES, LEVELS = 24, 3
 NONE = "-"
+_SALTS = np.array([(f + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for f in range(FAMILIES)], np.uint64)
+#: Draws made at once.
+_DRAWS = 2_000_000
 
 
 def classes_of(terms: np.ndarray) -> np.ndarray:
@@ -62,28 +67,46 @@ def lexicon(docs: DataFrame, most: float = 0.05, least: int = 2) -> np.ndarray:
 
 
 def fingerprint(text: str | None, band: np.ndarray) -> str:
-    """Eight hex digits for each subset, ``-`` where the text has no term in it, family by family, high rates first."""
+    """``level:`` and eight hex digits for each subset of each family, ``-`` for one without a term; ``-`` for no terms."""
     terms = np.unique(mix(word_hashes(text)))
     terms = terms[band[classes_of(terms)]]
+    if not len(terms):
+        return NONE
+    low = round(float(np.log2(len(terms))))
+    limits = [(1 << 64) >> (low + k) for k in range(LEVELS)]
+    found: list[list[tuple[int, int]]] = [[] for _ in range(FAMILIES)]
+    step = max(1, _DRAWS // len(terms))
+    for at in range(0, FAMILIES, step):
+        draws = mix(terms[None, :] + _SALTS[at : at + step, None])
+        rows, columns = np.nonzero(draws <= np.uint64(limits[0] - 1))
+        for f, t, d in zip(rows.tolist(), terms[columns].tolist(), draws[rows, columns].tolist(), strict=True):
+            found[at + f].append((t, d))
     out = []
-    for family in range(FAMILIES):
-        if len(terms):
-            draw = mix(terms + np.uint64((family + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        left = terms
-        for _ in range(LEVELS):
-            if len(left):
-                half = (draw & np.uint64(1)) == 0
-                left, draw = left[half], draw[half] >> np.uint64(1)
-            out.append(f"{xxhash.xxh32_intdigest(left.tobytes()):08x}" if len(left) else NONE)
-    return ",".join(out)
+    for kept in found:  # in the order of the terms
+        for limit in limits:
+            kept = [x for x in kept if x[1] < limit]
+            out.append(f"{xxhash.xxh32_intdigest(b''.join(t.to_bytes(8, 'little') for t, _ in kept)):08x}" if kept else NONE)
+    return f"{low}:" + ",".join(out)
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal hashes among the subsets in which either text has terms; 1 for two texts without any."""
+    """Share of equal hashes among the subsets that both texts look at and either has terms in.
+
+    1 for equal fingerprints, so for two texts without any term; 0 for texts
+    whose numbers of terms are so unlike that no level is common.
+    """
     if a == b:
         return 1.0
-    pairs = [(x, y) for x, y in zip(a.split(","), b.split(","), strict=True) if x != NONE or y != NONE]
-    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+    if NONE in (a, b):
+        return 0.0
+    (low_a, hashes_a), (low_b, hashes_b) = ((int(level), h.split(",")) for level, h in (x.split(":") for x in (a, b)))
+    equal = seen = 0
+    for level in range(max(low_a, low_b), min(low_a, low_b) + LEVELS):
+        for x, y in zip(hashes_a[level - low_a :: LEVELS], hashes_b[level - low_b :: LEVELS], strict=True):
+            if x != NONE or y != NONE:
+                seen += 1
+                equal += x == y
+    return equal / seen if seen else 0.0
 
 
 def edited(text: str, following: str) -> str:
