@@ -15,14 +15,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.llm import common
 from courtline.llm.components import components
 
-#: 30 bands of 5: a pair of likeness 0.85 shares none with probability 2e-8, of 0.8 with 7e-6.
-ROWS, BANDS = 5, 30
+#: 20 bands of 4: a pair of likeness 0.85 shares none with probability 4e-7, of 0.8 with 3e-5.
+ROWS, BANDS = 4, 20
 SIZE = ROWS * BANDS
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -144,11 +144,13 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     another member names it; an empty table gives no rows; columns other than
     doc_id and text are not read.
 
-    A bucket's members are first tested against one pivot each (linear in the
-    bucket), and members of one component are never tested against each other.
-    Buckets that still hold more than one component take further pivots,
-    sixteen times as many a round, until every pair of different components
-    has been tested: no link is lost and no pair of a settled group is made.
+    A shingle that only one candidate has is in no intersection: classes with
+    too many of them are linked with nothing and left out, exactly. Then a
+    bucket's members are tested against one pivot each, the member that shares
+    most (linear in the bucket). Where a bucket still holds more than one
+    component, members that the pivot isn't linked with look for others by
+    what sets them apart from it (``_beyond``); no pair of a settled group is
+    made and no link is lost.
     """
     spark = docs.sparkSession
     common.short_batches(spark)
@@ -172,48 +174,91 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
+#: Runtime filters from 16 MB of input on, from lists of up to 1 GB.
+RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "16MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+}
+
+
 def _links(texts: DataFrame, full: DataFrame, same: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (a, b) between classes that make all links' components."""
+    spark = texts.sparkSession
     heads = full.select("same", "bands", "doc_id").join(
         same.select("same", F.col("class").alias("doc_id")), ["same", "doc_id"]
     ).dropDuplicates(["same"])
     member = heads.select(F.col("doc_id").alias("id"), F.explode(F.transform("bands", lambda h, i: F.xxhash64(h, i))).alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    member = common.stored(
-        member.join(shared, "bucket").withColumn("u", (F.xxhash64(F.lit("pivot"), "id") / float(1 << 64)) + 0.5), "buckets"
-    )
-    near = member.select("id").distinct()
+    member = common.stored(member.join(shared, "bucket").drop("n"), "buckets")
+    # a stored list of keys tells the planner its true size: it broadcasts a short one and else filters the texts
+    # with a Bloom filter of it before they are shuffled
+    for name, value in RUNTIME_FILTER.items():
+        spark.conf.set(name, value)
+    near = common.stored(member.groupBy(F.col("id").alias("doc_id")).agg(F.count(F.lit(1)).alias("shared")), "near")
+    near = near.filter("shared > 0").select("doc_id")
     # equal ids hold equal sets only by chance of repeated keys: one set is kept for each id
     sets = common.stored(
-        texts.join(near.withColumnRenamed("id", "doc_id"), "doc_id").mapInArrow(_sets(width), "id long, items array<long>").dropDuplicates(["id"]),
-        "sets",
+        texts.join(near, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, items array<long>").dropDuplicates(["id"]), "sets"
     )
-    pivot = member.groupBy("bucket").agg(F.min(F.struct("u", "id"))["id"].alias("p"))
-    star = member.join(pivot, "bucket").filter("id != p").select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b"))
-    edges = common.stored(_linked(star.distinct(), sets, percent), "edges")
-    tested, share = 0.0, 16.0
-    open_ = member.filter("n > 2")
-    while True:
-        label = components(edges)
-        open_ = open_.select("bucket", "id", "n", "u").join(
-            label.withColumnRenamed("node", "id"), "id", "left"
-        ).withColumn("c", F.coalesce("component", "id")).drop("component")
-        mixed = open_.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("bucket")
-        open_ = common.stored(open_.join(mixed, "bucket"), "open")
-        most = open_.agg(F.max("n")).first()[0]
-        if most is None or tested >= most:
-            return edges
-        # pivots are the members whose fixed random number is among the lowest of their bucket
-        first = open_.filter((F.col("u") >= F.lit(tested) / F.col("n")) & (F.col("u") < F.lit(share) / F.col("n")))
-        first = first.select("bucket", F.col("id").alias("p"), F.col("u").alias("pu"), F.col("c").alias("pc"))
-        more = (
-            open_.join(first, "bucket")
-            .filter((F.col("c") != F.col("pc")) & ((F.col("u") > F.col("pu")) | ((F.col("u") == F.col("pu")) & (F.col("id") > F.col("p")))))
-            .select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b"))
-            .distinct()
-        )
-        edges = common.stored(edges.union(_linked(more, sets, percent)), "edges")
-        tested, share = share, share * 16
+    # the items of each set that another candidate has: at most those are in an intersection
+    item = sets.select("id", F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+    alone = item.filter("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    bound = (
+        sets.select("id", F.size("items").alias("size"))
+        .join(alone, "id", "left")
+        .select("id", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most"))
+        .filter(100 * F.col("most") >= percent * F.col("size"))
+    )
+    member = member.join(bound, "id").withColumn("u", (F.xxhash64(F.lit("pivot"), "id") / float(1 << 64)) + 0.5)
+    count = member.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(-F.col("most") / F.col("size"), "u", "id", "size", "most")).alias("p")
+    )
+    member = common.stored(member.join(count.filter("n > 1"), "bucket"), "members")
+
+    room = (100 + percent) * F.least("most", "p.most") >= percent * (F.col("size") + F.col("p.size"))
+    star = member.filter((F.col("id") != F.col("p.id")) & room)
+    star = star.select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+    edges = common.stored(_linked(star, sets, percent), "edges")
+    label = components(edges).withColumnRenamed("node", "id")
+    found = member.filter("n > 2").select("bucket", "id", F.col("p.id").alias("pivot")).join(label, "id", "left")
+    found = found.withColumn("c", F.coalesce("component", "id"))
+    mixed = found.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("bucket")
+    group = common.stored(found.join(mixed, "bucket").select("pivot", "id", "c").distinct(), "mixed")
+    return edges.union(_linked(_beyond(group, sets, percent), sets, percent))
+
+
+def _beyond(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components ``c`` under one pivot, all that may be linked.
+
+    The symmetric difference of x and y is that of their differences dx and dy
+    to the pivot. A link allows at most h = (|x| + |y|) (100 - p) / (100 + p)
+    differing shingles, so dx and dy have at least o = (|dx| + |dy| - h) / 2 in
+    common. Of two members in different components one, x, isn't linked with
+    the pivot; then o > 0 (sizes differ by no more than differences do). So
+    with the shingles of dy in any order, rarest first, one of the first
+    |dy| - o + 1 is in dx: members join on those. Copies of one template differ
+    from it in shingles that hardly two of them share, so they meet few others.
+    """
+    p = percent
+    own = group.join(sets.select("id", F.col("items").alias("x")), "id")
+    both = own.join(sets.select(F.col("id").alias("pivot"), F.col("items").alias("t")), "pivot")
+    apart = both.select(
+        "pivot", "id", "c", F.size("x").alias("size"), F.size("t").alias("t_size"), F.concat(F.array_except("x", "t"), F.array_except("t", "x")).alias("d")
+    ).withColumn("apart", F.size("d"))
+    apart = apart.withColumn("far", F.col("apart") * (100 + p) > (F.col("size") + F.col("t_size")) * (100 - p))
+    one = common.stored(apart.select("pivot", "id", "c", "size", "apart", "far", F.explode("d").alias("item")), "apart")
+    often = one.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # an item that one member alone differs in meets nobody, but takes its place in the order
+    ranked = one.join(often, ["pivot", "item"], "left").withColumn(
+        "k", F.row_number().over(Window.partitionBy("pivot", "id").orderBy(F.coalesce("often", F.lit(1)), "item")) - 1
+    )
+    ranked = ranked.filter("often IS NOT NULL")
+    y = ranked.filter(F.col("k") * (100 + p) < F.col("apart") * 100).select("pivot", "item", "k", *[F.col(c).alias(f"y_{c}") for c in ("id", "c", "size", "apart")])
+    x = ranked.filter("far").select("pivot", "item", "id", "c", "size", "apart")
+    enough = 2 * (F.col("y_apart") - F.col("k")) * (100 + p) >= (F.col("apart") + F.col("y_apart")) * (100 + p) - (F.col("size") + F.col("y_size")) * (100 - p)
+    met = x.join(y, ["pivot", "item"]).filter((F.col("c") != F.col("y_c")) & enough)
+    return met.select(F.greatest("id", "y_id").alias("a"), F.least("id", "y_id").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -224,6 +269,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """
     groups = common.stored(classes(docs, width, percent), "groups")
     gone = groups.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = common.stored(gone, "gone")  # of a size the planner knows
     left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     again = groups.filter("kept AND n_shingles > 0").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
     if again.isEmpty():
