@@ -21,8 +21,16 @@ def _cast(c: Column, to, strict: bool) -> Column:
     return c.cast(to) if strict else c.try_cast(to)
 
 
+def missing_as_null(c, source_type: T.DataType | None = None) -> Column:
+    """NaN, which extracts carry for a missing value, becomes null (floating inputs only)."""
+    c = _col(c)
+    if isinstance(source_type, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), c)
+    return c
+
+
 def to_bigint(c, source_type: T.DataType | None = None, strict: bool = True) -> Column:
-    """Cast to a 64-bit integer the way the warehouse does.
+    """Cast to a 64-bit integer the way the warehouse does; NaN is null.
 
     Fractional inputs are rounded half away from zero first (Spark's plain
     cast truncates, so 2.5 would become 2). Integral inputs are cast as is,
@@ -30,7 +38,7 @@ def to_bigint(c, source_type: T.DataType | None = None, strict: bool = True) ->
     becomes 22300001 and a malformed value raises under ANSI mode.
     ``strict=False`` gives null instead of an error (``try_cast``).
     """
-    c = _col(c)
+    c = missing_as_null(c, source_type)
     if isinstance(source_type, (T.IntegralType, T.StringType)):
         return _cast(c, schemas.LONG, strict)
     if isinstance(source_type, T.BooleanType):
@@ -38,8 +46,9 @@ def to_bigint(c, source_type: T.DataType | None = None, strict: bool = True) ->
     return _cast(F.round(c), schemas.LONG, strict)
 
 
-def to_decimal(c, precision: int = 38, scale: int = 9, strict: bool = True) -> Column:
-    return _cast(_col(c), T.DecimalType(precision, scale), strict)
+def to_decimal(c, source_type: T.DataType | None = None, precision: int = 38, scale: int = 9, strict: bool = True) -> Column:
+    """Cast to a decimal; NaN is null."""
+    return _cast(missing_as_null(c, source_type), T.DecimalType(precision, scale), strict)
 
 
 def to_date(c, strict: bool = True) -> Column:
@@ -80,8 +89,9 @@ def game_year(c="GAME_DATE") -> Column:
     return F.year(_col(c)).cast(schemas.LONG)
 
 
-def zero_if_null(c) -> Column:
-    return F.coalesce(_col(c), F.lit(0))
+def zero_if_null(c, source_type: T.DataType | None = None) -> Column:
+    """0 for null and, on floating inputs, for NaN."""
+    return F.coalesce(missing_as_null(c, source_type), F.lit(0))
 
 
 def safe_ratio(num, den) -> Column:

@@ -63,17 +63,17 @@ def enforce_schema(df: DataFrame, schema: T.StructType, fill_missing: bool = Fal
 
 
 def fill_stats(df: DataFrame, cols=schemas.FILL_ZERO_STATS) -> DataFrame:
-    """Nulls become 0 on the named statistics, which are then integers.
+    """Nulls and NaN become 0 on the named statistics, which are then integers.
 
     Other columns keep their nulls.
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
-    repl = {c: fn.to_bigint(fn.zero_if_null(c), types[c]).alias(c) for c in cols if c in types}
+    repl = {c: fn.to_bigint(fn.zero_if_null(c, types[c]), types[c]).alias(c) for c in cols if c in types}
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
 def fill_all(df: DataFrame) -> DataFrame:
-    """Whole-frame null fill with 0: numeric columns only, text keeps nulls."""
+    """Whole-frame fill of nulls and NaN with 0: numeric columns only, text keeps nulls."""
     return df.fillna(0)
 
 
@@ -118,7 +118,7 @@ def _typed_exprs(raw: DataFrame, strict: bool = True) -> dict:
     }
     for c in schemas.FACT_STAT_ORDER:
         if c in schemas.RATIO_STATS:
-            out[c] = fn.to_decimal(c, strict=strict)
+            out[c] = fn.to_decimal(c, types[c], strict=strict)
         else:
             out[c] = fn.to_bigint(c, types[c], strict)
     return out
@@ -134,9 +134,10 @@ def split_cast_rejects(raw: DataFrame, stamp: bool = True) -> tuple[DataFrame, D
     shuffle.
     """
     require_columns(raw, schemas.without(schemas.RAW_GAME_LOG))
+    types = dict((f.name, f.dataType) for f in raw.schema.fields)
     lenient = _typed_exprs(raw, strict=False)
     failed = F.filter(
-        F.array(*[F.when(F.col(n).isNotNull() & e.isNull(), F.lit(n)) for n, e in lenient.items()]),
+        F.array(*[F.when(fn.missing_as_null(n, types[n]).isNotNull() & e.isNull(), F.lit(n)) for n, e in lenient.items()]),
         lambda x: x.isNotNull(),
     )
     flagged = raw.withColumn("REJECTED_COLUMNS", failed)

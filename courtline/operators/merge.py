@@ -13,17 +13,19 @@ string, which is ambiguous without a separator. Null key parts are rejected
 and duplicate incoming keys fail the run (or keep the latest row with
 ``on_duplicate="latest"``), as a warehouse MERGE does.
 
-The write is scoped to the partitions a run touches. Every intermediate
-result that a later step reads twice is written to the shared checkpoint
-folder first, so a lost executor recomputes from those files and not from the
-sources, and each step's output is complete before the table is touched.
+A run never changes files a reader may hold. It writes the years it touches as
+new folders and then commits a manifest that names one folder for each year;
+the highest manifest is the table. A run that fails at any point leaves the
+table as it was, and running it again is safe.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,25 +88,25 @@ def new_keys(source: DataFrame, target: DataFrame, keys=KEYS, narrow: bool = Tru
     return source.join(f, cond, "left_semi")
 
 
-def incoming_rows(current: DataFrame, past: DataFrame, target: DataFrame | None = None, keys=KEYS) -> DataFrame:
-    """current UNION ALL (past, restricted to new keys when a target exists)."""
-    past_new = past if target is None else new_keys(past, target, keys)
-    return union_all(current, past_new.select(*current.columns))
-
-
-def upsert(target: DataFrame, incoming: DataFrame, keys=KEYS) -> DataFrame:
-    """Target rows without an incoming key, plus every incoming row."""
-    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(incoming.select(*kept.columns))
-
-
 def merge_plan(target: DataFrame, current: DataFrame, past: DataFrame, keys=KEYS) -> DataFrame:
-    """The merged table as one DataFrame (what a run would leave behind)."""
-    return upsert(target, incoming_rows(current, past, target, keys), keys)
+    """The merged table as one DataFrame (what a run would leave behind).
+
+    Rows are tagged current, target or past, united once, and those of the
+    first tag that a key has are kept: a key's current rows, else its target
+    rows, else its past rows. One shuffle of the wide rows, on the key. Rows
+    with a null key part match nothing and all stay.
+    """
+    tagged = [df.select(*target.columns, F.lit(n).alias("_tag")) for n, df in enumerate((current, target, past))]
+    rows = union_all(*tagged)
+    first = F.min("_tag").over(Window.partitionBy(*keys))
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    return rows.withColumn("_first", first).where((F.col("_tag") == F.col("_first")) | ~complete).drop("_tag", "_first")
 
 
 def sample_limit(df: DataFrame, n: int | None, order=("ID",) + schemas.KEY_COLUMNS) -> DataFrame:
-    """Test-run sample: the first ``n`` rows in a total order (off when None)."""
+    """Test-run sample: the first ``n`` rows in a total order (off when None). For reading; no writer takes it."""
     if n is None:
         return df
     return df.orderBy(*order).limit(n)
@@ -118,9 +120,11 @@ def duplicate_keys(df: DataFrame, keys=KEYS) -> DataFrame:
 def keep_latest(df: DataFrame, keys=KEYS, order=("GAME_DATE", "LAST_UPDATE")) -> DataFrame:
     """One row per key: the greatest by ``order``, then by every other column.
 
-    A ``max`` over a struct is an ordinary aggregate with a map-side partial
-    step, so a key that holds a large share of the rows is reduced inside each
-    task before anything is shuffled (a window per key would not be).
+    A ``max`` over a struct has a map-side partial step, so a key that holds a
+    large share of the rows is reduced inside each task before anything is
+    shuffled (a window per key would not be). The partial step sorts the wide
+    rows of a task by key (a sort aggregate), which a hash aggregate of
+    fixed-width values would not.
     """
     order = [c for c in order if c in df.columns]
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -169,42 +173,26 @@ def with_year(df: DataFrame) -> DataFrame:
     return df.withColumn(YEAR, fn.game_year("GAME_DATE"))
 
 
-# Input bytes per layout task when writing the fact table.
-BYTES_PER_WRITE_TASK = 256 * 1024 * 1024
-
-
-def clustered(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def clustered(df: DataFrame) -> DataFrame:
     """Range-partition on (year, team, player, game) and sort inside files.
 
     Range partitioning spreads one large year over many tasks (GAME_ID at the
     end splits even a single hot team and player), and each written file
     holds a narrow TEAM_ID range, so Parquet min/max statistics skip row
-    groups for team and player filters.
+    groups for team and player filters. The number of ranges is the session's
+    ``spark.sql.shuffle.partitions``; AQE merges small ones.
     """
-    df = with_year(df)
-    cols = (YEAR, *schemas.CLUSTER_COLUMNS, "GAME_ID")
-    df = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    df = with_year(df).repartitionByRange(YEAR, *schemas.CLUSTER_COLUMNS, "GAME_ID")
     return df.sortWithinPartitions(YEAR, *schemas.CLUSTER_COLUMNS)
 
 
-def write_tasks(spark: SparkSession, df: DataFrame) -> int:
-    """Number of layout tasks: input bytes / 256 MB, at least the task slots.
-
-    AQE can merge small range partitions but never splits a large one, so the
-    count is sized from the data instead of a fixed shuffle setting.
-    """
-    slots = spark.sparkContext.defaultParallelism
-    try:
-        size = storage.total_bytes(spark, df.inputFiles())
-    except Exception:  # unknown size: leave it to spark.sql.shuffle.partitions
-        return 0
-    return max(slots, -(-size // BYTES_PER_WRITE_TASK))
-
-
 # Upper bound of rows per written file of the fact table (a split bound on
 # file size, not a cap on data: a task with more rows writes more files).
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# Partition column above the year folders: the run that wrote them.
+_VERSION = "VERSION"
+
 FACT_TABLE_SCHEMA = T.StructType(schemas.FACT.fields + [T.StructField(YEAR, schemas.LONG, True)])
 
 
@@ -218,35 +206,60 @@ class MergeResult:
 
 
 class FactTable:
-    """The year-partitioned, keyed fact table at ``path``."""
+    """The year-partitioned, keyed fact table at ``path``.
+
+    ``path/_manifests/<n>.json`` names, for each year, the folder
+    ``data/<version>/GAME_YEAR=<year>`` that holds it; the highest n is the
+    table. Folders that no kept manifest names are removed by ``vacuum``.
+    """
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
         self.rejects_path = self.path + "_rejects"
+        self.manifests = f"{self.path}/_manifests"
+
+    # -------------------------------------------------------------- read ---
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        names = storage.list_names(spark, self.manifests)
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def manifest(self, spark: SparkSession, version: int | None = None) -> dict[int | None, str]:
+        """Year -> folder below ``path``; the latest version unless given, empty for no table."""
+        if version is None:
+            found = self.versions(spark)
+            if not found:
+                return {}
+            version = found[-1]
+        entries = json.loads(storage.read_text(spark, f"{self.manifests}/{version}.json"))
+        return {e["year"]: e["folder"] for e in entries}
 
     def exists(self, spark: SparkSession) -> bool:
-        return storage.is_table(spark, self.path)
+        return bool(self.versions(spark))
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(FACT_TABLE_SCHEMA).parquet(self.path)
+    def read(self, spark: SparkSession, version: int | None = None, years=None) -> DataFrame:
+        """The table (of a version, of some ``years``) as one scan of the folders that its manifest names."""
+        folders = [f for y, f in self.manifest(spark, version).items() if years is None or y in years]
+        if not folders:
+            return spark.createDataFrame([], FACT_TABLE_SCHEMA)
+        schema = T.StructType([*FACT_TABLE_SCHEMA.fields, T.StructField(_VERSION, schemas.LONG, True)])
+        paths = [f"{self.path}/{f}" for f in folders]
+        return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).drop(_VERSION)
 
     def years(self, spark: SparkSession) -> list:
-        """Year folders present (None for rows without a GAME_DATE)."""
-        return sorted(_years_at(spark, self.path), key=lambda y: (y is None, y))
+        """Years present (None for rows without a GAME_DATE)."""
+        return sorted(self.manifest(spark), key=lambda y: (y is None, y))
 
     def between_dates(self, spark: SparkSession, start, end) -> DataFrame:
         """Rows with start <= GAME_DATE <= end, pruned to the matching year folders.
 
-        A GAME_DATE filter alone does not prune partitions; the year range is
-        added so only those folders are listed and read.
+        A GAME_DATE filter alone does not prune partitions; only the year
+        range's folders are listed and read.
         """
-        import datetime as dt
-
         s = dt.date.fromisoformat(start) if isinstance(start, str) else start
         e = dt.date.fromisoformat(end) if isinstance(end, str) else end
-        return self.read(spark).where(
-            F.col(YEAR).between(s.year, e.year) & F.col("GAME_DATE").between(F.lit(s), F.lit(e))
-        )
+        rows = self.read(spark, years={y for y in self.years(spark) if y is not None and s.year <= y <= e.year})
+        return rows.where(F.col(YEAR).between(s.year, e.year) & F.col("GAME_DATE").between(F.lit(s), F.lit(e)))
 
     # ------------------------------------------------------------- write ---
 
@@ -258,26 +271,33 @@ class FactTable:
         *,
         full_refresh: bool = False,
         on_duplicate: str = "error",
-        sample: int | None = None,
     ) -> MergeResult:
         """Create, fully refresh, or incrementally merge the table.
 
         ``current`` and ``past`` are conformed fact frames (31 columns).
-        """
-        incremental = not full_refresh and self.exists(spark)
-        target = self.read(spark) if incremental else None
-        incoming = with_year(sample_limit(incoming_rows(current, past, target), sample))
 
-        scratch = []
+        The target's keys are joined once, with the distinct incoming keys;
+        the answer (which keys the target has, in which years) is stored and
+        serves for the past rows to insert, the years to rewrite and the
+        target rows to replace.
+        """
+        old = self.manifest(spark)
+        incremental = not full_refresh and bool(old)
+        scratch: list[str] = []
         try:
-            # Incoming rows are read several times below (key checks, years,
-            # layout sample, write). When they come out of a shuffle (the
-            # anti join against the target, a sample) they are written once
-            # to the shared checkpoint folder; a plain read of landed files is
-            # cheap to read again and is not copied.
-            if incremental or sample is not None:
+            moved: set = set()
+            if incremental:
+                target = self.read(spark)
+                asked = current.select(*KEYS).union(past.select(*KEYS)).distinct()
+                met, p = _stage(spark, target.select(*KEYS, YEAR).join(asked, KEYS, "left_semi"), "met-keys")
+                scratch.append(p)
+                fresh = past.join(met.select(*KEYS), KEYS, "left_anti").select(*current.columns)
+                incoming = with_year(union_all(current, fresh))
+                # Incoming rows come out of the anti join and are read several times below.
                 incoming, p = _stage(spark, incoming, "incoming")
                 scratch.append(p)
+            else:
+                incoming = with_year(union_all(current, past.select(*current.columns)))
             try:
                 checked, rep = validate_keys(incoming, on_duplicate=on_duplicate)
             except NullKeyError as e:
@@ -293,49 +313,54 @@ class FactTable:
 
             # Distinct years: bounded by the calendar, a few values.
             in_years = {r[0] for r in incoming.select(YEAR).distinct().collect()}
+            source = incoming
             if incremental:
-                # Years of target rows whose key arrives again (a game may
-                # move to another year).
-                moved = target.join(incoming.select(*KEYS), KEYS, "left_semi").select(YEAR).distinct()
-                touched = in_years | {r[0] for r in moved.collect()}
-                years = F.col(YEAR).isin(sorted(y for y in touched if y is not None))
-                if None in touched:
-                    years = years | F.col(YEAR).isNull()
-                kept = target.where(years).join(incoming.select(*KEYS), KEYS, "left_anti")
-                rewrite = kept.unionByName(incoming.select(*kept.columns))
-                # The rewrite reads the partitions it replaces, so it is
-                # written out first; its folders also tell which touched years
-                # still have rows.
-                out_path = session.scratch_path(spark, "rewrite")
-                scratch.append(out_path)
-                rewrite.write.mode("overwrite").partitionBy(YEAR).parquet(out_path)
-                present = _years_at(spark, out_path)
-                source = spark.read.schema(FACT_TABLE_SCHEMA).parquet(out_path)
-                mode = "incremental"
-            else:
-                touched = in_years | set(self.years(spark))
-                present = in_years
-                source = incoming
-                mode = "full_refresh" if self.exists(spark) else "create"
-
-            if present:
+                # Years of target rows that are replaced (a game may move to another year).
+                replaced = met.join(current.select(*KEYS), KEYS, "left_semi")
+                moved = {r[0] for r in replaced.select(YEAR).distinct().collect()}
+                kept = self.read(spark, years=in_years | moved).join(replaced.select(*KEYS), KEYS, "left_anti")
+                source = kept.unionByName(incoming.select(*kept.columns))
+            touched = in_years | moved if incremental else in_years | set(old)
+
+            version = max([0, *self.versions(spark), *self._data_versions(spark)]) + 1
+            folder = f"data/{_VERSION}={version}"
+            if touched:
                 (
-                    clustered(source, write_tasks(spark, source) or None)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
+                    clustered(source)
+                    .write.mode("errorifexists")
                     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
                     .partitionBy(YEAR)
-                    .parquet(self.path)
+                    .parquet(f"{self.path}/{folder}")
                 )
-            dropped = sorted((y for y in touched if y not in present), key=lambda y: (y is None, y))
-            for y in dropped:
-                storage.delete(spark, f"{self.path}/{YEAR}={_NULL_FOLDER if y is None else y}")
+            present = _years_at(spark, f"{self.path}/{folder}") if touched else set()
+            new = {y: f for y, f in old.items() if y not in touched} if incremental else {}
+            new |= {y: f"{folder}/{YEAR}={_NULL_FOLDER if y is None else y}" for y in present}
+            entries = [{"year": y, "folder": new[y]} for y in sorted(new, key=lambda y: (y is None, y))]
+            if not storage.write_text(spark, f"{self.manifests}/{version}.json", json.dumps(entries)):
+                raise RuntimeError(f"version {version} of {self.path} was committed by another run; run again")
+            dropped = sorted((y for y in old if y not in new), key=lambda y: (y is None, y))
             written = sorted(present, key=lambda y: (y is None, y))
+            mode = "incremental" if incremental else "full_refresh" if old else "create"
             return MergeResult(self.path, mode, n_in, written, dropped)
         finally:
             for p in scratch:
                 storage.delete(spark, p)
 
+    def _data_versions(self, spark: SparkSession) -> list[int]:
+        return [int(v) for v in storage.list_partition_values(spark, f"{self.path}/data", _VERSION)]
+
+    def vacuum(self, spark: SparkSession, keep: int = 2) -> list[int]:
+        """Remove data that none of the last ``keep`` versions names, and older manifests; returns the removed data versions."""
+        found = self.versions(spark)
+        kept = found[-keep:]
+        named = {int(f.split("/")[1].partition("=")[2]) for v in kept for f in self.manifest(spark, v).values()}
+        for v in found[: -keep or None]:
+            storage.delete(spark, f"{self.manifests}/{v}.json")
+        gone = [v for v in self._data_versions(spark) if v not in named and kept and v < kept[-1]]
+        for v in gone:
+            storage.delete(spark, f"{self.path}/data/{_VERSION}={v}")
+        return gone
+
 
 # Folder name Spark gives the partition of a null value.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"

@@ -3,8 +3,8 @@
 Scale notes. Every report aggregates first (partial aggregation inside each
 map task, so a player or team holding a large share of the rows is reduced
 before the shuffle), and windows only run over the aggregated rows:
-* ranks come from the histogram of values per (season, game type), so the
-  window runs over distinct values, not over players;
+* ranks come from the histogram of values per (season, game type), cut into
+  ranges of values, so a window runs over one range's distinct values;
 * the season trend is partitioned by entity over per-season totals;
 * top-k per group uses ``row_number() <= k``, which Spark plans as a
   ``WindowGroupLimit`` that keeps k rows per group inside each task first;
@@ -51,35 +51,26 @@ def skipped_seasons(requested: DataFrame, found: DataFrame, col: str = "SEASON")
 
 
 def latest_game(games: DataFrame, date_col: str = "GAME_DATE", tie=("GAME_ID", "PLAYER_ID", "TEAM_ID")) -> DataFrame:
-    """The most recent game row; ties broken by the key for a stable answer."""
-    return games.orderBy(F.col(date_col).desc_nulls_last(), *tie).limit(1)
-
-
-# -------------------------------------------------------- dashboard joins ---
-
-
-# A dimension is broadcast only when it has at most this many rows.
-DIM_BROADCAST_MAX_ROWS = 2_000_000
+    """The most recent game row; ties broken by the key for a stable answer.
 
+    Two pruned steps: the greatest date from that one column, then the rows of
+    that date (a filter that reaches the scan), of which the first is taken.
+    Without any date the first row by key is.
+    """
+    last = games.agg(F.max(date_col).alias("d")).first()["d"]  # one value
+    if last is not None:
+        games = games.where(F.col(date_col) == F.lit(last).cast(games.schema[date_col].dataType))
+    return games.orderBy(*tie).limit(1)
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast after checking its row count.
 
-    The count is a job over the (small) dimension only. Above the bound the
-    frame is returned as is and the planner chooses (a shuffle join). This
-    does not rely on the optimizer's size estimate, which multiplies the
-    sizes of joined inputs and so never broadcasts a dimension built from a
-    join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+# -------------------------------------------------------- dashboard joins ---
 
 
-def with_names(facts: DataFrame, players: DataFrame, teams: DataFrame, max_dim_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+def with_names(facts: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
     """Fact rows with player and team names (left joins on the dimension ids).
 
-    Dimensions within the row bound are broadcast, so the fact rows are
-    joined where they are read and never shuffled for the names.
+    Left to the planner's and AQE's byte thresholds: a dimension below them is
+    broadcast and the fact rows are joined where they are read.
     """
     p = players.select(F.col("ID").alias("PLAYER_ID"), F.col("FULL_NAME").alias("PLAYER_NAME"))
     t = teams.select(
@@ -87,8 +78,6 @@ def with_names(facts: DataFrame, players: DataFrame, teams: DataFrame, max_dim_r
         F.col("FULL_NAME").alias("TEAM_NAME"),
         F.col("ABBREVIATION").alias("TEAM_ABBREVIATION"),
     )
-    p = broadcast_if_small(p, max_dim_rows)
-    t = broadcast_if_small(t, max_dim_rows)
     return facts.join(p, "PLAYER_ID", "left").join(t, "TEAM_ID", "left")
 
 
@@ -120,29 +109,53 @@ def compare(facts: DataFrame, entity: str, named, metric: str = "PTS", by: str =
     return out.select(by, *[F.col(f"`{v}`").alias(f"{prefix}_{v}_{metric}") for v in named])
 
 
-def rank_within(df: DataFrame, partition, metric: str) -> DataFrame:
+def rank_within(df: DataFrame, partition, metric: str, ranges: int = 64) -> DataFrame:
     """rank and dense_rank of ``metric`` (descending, nulls last) in each partition.
 
-    Computed from the histogram of metric values, not with a window over the
-    rows: ``rank`` of a value is 1 + the number of rows above it and
-    ``dense_rank`` is 1 + the number of distinct values above it. The window
-    then runs over the distinct values of each partition, which the value
-    range bounds, so one season holding a third of all rows is never sorted
-    in one task. The ranks join back to the rows on (partition, value); they
-    come out of a shuffle, so AQE measures their size at run time and
-    broadcasts them when small (and splits a skewed value otherwise).
+    The rows are aggregated once to a histogram that keeps each value's rows,
+    and the histogram is dealt into ``ranges`` ranges of values within each
+    partition (equal steps between its least and greatest value). Windows run
+    inside a range, and ranges' totals are summed before, so neither a season
+    with a third of all rows nor one with as many distinct values as rows is
+    sorted in one task.
     """
     part = list(partition)
+    value = F.col(metric)
     hist = df.groupBy(*part, metric).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*part).orderBy(F.col(metric).desc_nulls_last())
-    above = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    ranks = hist.select(
-        *[F.col(c).alias(f"_r_{c}") for c in part + [metric]],
-        (F.coalesce(above, F.lit(0)) + 1).cast("bigint").alias(f"{metric}_RANK"),
-        F.row_number().over(w).cast("bigint").alias(f"{metric}_DENSE_RANK"),
+    as_key = [F.col(c).alias(f"_p_{c}") for c in part]
+    bounds = hist.groupBy(*part).agg(
+        F.min(value.cast("double")).alias("_lo"), F.max(value.cast("double")).alias("_hi")
+    ).select(*as_key, "_lo", "_hi")
+
+    def same(other: DataFrame, prefix: str, *more: str):
+        cond = None
+        for c in [*part, *more]:
+            e = F.col(c).eqNullSafe(other[f"{prefix}{c}"])
+            cond = e if cond is None else cond & e
+        return cond
+
+    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
+    step = F.floor((F.col("_hi") - value.cast("double")) / width * (ranges - 1)).cast("int")
+    dealt = hist.join(bounds, same(bounds, "_p_"))
+    dealt = dealt.withColumn("_range", F.coalesce(step, F.lit(ranges))).drop("_lo", "_hi", *[f"_p_{c}" for c in part])
+    per = dealt.groupBy(*part, "_range").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(
+        *as_key,
+        F.col("_range").alias("_p__range"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_values_before"),
+    )
+    inside = Window.partitionBy(*part, "_range").orderBy(value.desc_nulls_last())
+    above = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = dealt.select("*", above.alias("_above"), F.row_number().over(inside).alias("_place"))
+    ranks = ranked.join(per, same(per, "_p_", "_range")).select(
+        *[F.col(c).alias(f"_r_{c}") for c in [*part, metric]],
+        (F.col("_rows_before") + F.col("_above") + 1).cast("bigint").alias(f"{metric}_RANK"),
+        (F.col("_values_before") + F.col("_place")).cast("bigint").alias(f"{metric}_DENSE_RANK"),
     )
     cond = None
-    for c in part + [metric]:
+    for c in [*part, metric]:
         e = df[c].eqNullSafe(ranks[f"_r_{c}"])
         cond = e if cond is None else cond & e
     return df.join(ranks, cond, "inner").select(*df.columns, f"{metric}_RANK", f"{metric}_DENSE_RANK")

@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 from courtline.functions import columns as fn
 
 
+class EmptyCutoff(ValueError):
+    """There is no game to take the cutoff from; nothing may be split or written."""
+
+
 def first_game_dates(games: DataFrame, season_col: str = "SEASON", date_col: str = "GAME_DATE") -> DataFrame:
     """First game date of every season (one row per season)."""
     return (
@@ -43,14 +47,17 @@ def cutoff(games: DataFrame, season_col: str = "SEASON", date_col: str = "GAME_D
     return first_game_date(games, season_col, date_col).select("FIRST_GAME_DATE").scalar()
 
 
-def cutoff_value(games: DataFrame, season_col: str = "SEASON", date_col: str = "GAME_DATE") -> _dt.date | None:
+def cutoff_value(games: DataFrame, season_col: str = "SEASON", date_col: str = "GAME_DATE") -> _dt.date:
     """The cutoff date as a value (one small aggregate job).
 
     A literal cutoff lets the split filters reach the Parquet scan as pushed
-    filters, which a scalar subquery does not.
+    filters, which a scalar subquery does not. Raises ``EmptyCutoff`` where
+    there is no such date.
     """
     row = first_game_date(games, season_col, date_col).first()
-    return None if row is None else row["FIRST_GAME_DATE"]
+    if row is None or row["FIRST_GAME_DATE"] is None:
+        raise EmptyCutoff("no dated game of a named season: the current season's first game date is unknown")
+    return row["FIRST_GAME_DATE"]
 
 
 def _bounds(games: DataFrame, cut, date_col: str):
@@ -59,6 +66,8 @@ def _bounds(games: DataFrame, cut, date_col: str):
     For a date-time column, ``cast(ts as date) >= d`` equals ``ts >= d 00:00``;
     comparing the raw column keeps the predicate pushable to Parquet.
     """
+    if cut is None:
+        raise EmptyCutoff("the cutoff is empty")
     if isinstance(cut, Column):
         return fn.to_date(date_col), cut
     if isinstance(cut, str):

@@ -5,24 +5,28 @@ K2 refresh_teams       landed team list -> typed dimension, full refresh
 K3 land_past           per-season extracts -> past games before the cutoff
 K4 land_current        current-season extracts -> games from the cutoff on
 K5 refresh_facts       landed current + past -> keyed merge into the fact table
-K6 land_team_past      team game logs -> past team games
+K6 land_team_past      team game logs -> past team games, coverage report
 K7 (K3/K4 with game_types=None: extracts laid out by season only)
 K8 union_report        past and current by name -> latest game through SQL
 K9 (coverage: requested seasons without an extract, returned by K3/K6)
 K10 dashboard          fact table + dimensions -> report tables
+
+All feeds are split at one date, the first game of the current season
+(``current_cutoff``), so that each dated game lands on exactly one side.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from urllib.parse import unquote
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtline import schemas, session
 from courtline.operators import combine, conform, merge, reports, split
-from courtline.sources import landed, sinks, storage
+from courtline.sources import landed, sinks
 
 # The game types that extracts are landed for.
 GAME_TYPES = ("Regular Season", "Playoffs")
@@ -30,29 +34,26 @@ GAME_TYPES = ("Regular Season", "Playoffs")
 
 @dataclass
 class LandingResult:
+    """What a landing wrote. ``no_season`` has the rows read without a season, which no season's report counts."""
+
     path: str
     rows: DataFrame
     skipped: DataFrame | None = None
+    no_season: int = 0
 
 
 # --------------------------------------------------------- dimensions ---
 
 
-def refresh_players(spark: SparkSession, src, out_path: str, fmt: str = "parquet", sample: int | None = None) -> DataFrame:
+def refresh_players(spark: SparkSession, src, out_path: str, fmt: str = "parquet") -> DataFrame:
     raw = src if isinstance(src, DataFrame) else landed.read_list(spark, src, fmt)
-    dim = conform.conform_players(raw)
-    if sample is not None:
-        dim = dim.orderBy("ID").limit(sample)
-    sinks.write_table(dim, out_path)
+    sinks.write_table(conform.conform_players(raw), out_path)
     return spark.read.parquet(out_path)
 
 
-def refresh_teams(spark: SparkSession, src, out_path: str, fmt: str = "parquet", sample: int | None = None) -> DataFrame:
+def refresh_teams(spark: SparkSession, src, out_path: str, fmt: str = "parquet") -> DataFrame:
     raw = src if isinstance(src, DataFrame) else landed.read_list(spark, src, fmt)
-    dim = conform.conform_teams(raw)
-    if sample is not None:
-        dim = dim.orderBy("ID").limit(sample)
-    sinks.write_table(dim, out_path)
+    sinks.write_table(conform.conform_teams(raw), out_path)
     return spark.read.parquet(out_path)
 
 
@@ -64,71 +65,121 @@ def _prepare(df: DataFrame) -> DataFrame:
     return conform.parse_dates(conform.fill_stats(df))
 
 
+def _read(spark: SparkSession, root: str, game_types, seasons=None) -> DataFrame:
+    return landed.read_game_logs(
+        spark, root, seasons=seasons, game_types=game_types, with_game_type=game_types is not None
+    )
+
+
+def _rows_without_season(df: DataFrame) -> int:
+    return df.where(F.col("SEASON").isNull()).count()
+
+
+def current_cutoff(spark: SparkSession, current_extracts: str, season: str | None = None, game_types=GAME_TYPES) -> dt.date:
+    """First game date of the current season, by which every feed is split.
+
+    The season is the latest ``SEASON=`` folder of the current extracts
+    unless given; only that season's dates are read. Raises ``EmptyCutoff``
+    where there is none.
+    """
+    if season is None:
+        found = landed.list_seasons(spark, current_extracts)
+        if not found:
+            raise split.EmptyCutoff(f"no season under {current_extracts}")
+        season = found[-1]
+    return split.cutoff_value(_read(spark, current_extracts, game_types, [season]).select("SEASON", "GAME_DATE"))
+
+
 def land_past(
     spark: SparkSession,
     extracts_root: str,
     out_path: str,
+    cutoff: dt.date | str,
     team_totals_root: str | None = None,
     game_types=GAME_TYPES,
-    cutoff=None,
 ) -> LandingResult:
-    """Past games: every listed season's extracts, before the cutoff.
+    """Past games: every listed season's extracts, before ``cutoff``.
 
-    Seasons are listed from the yearly team totals when given (distinct,
-    sorted); a listed season with no extract is reported, not fatal. The
-    cutoff defaults to the first game date of the latest season found.
+    ``cutoff`` is that of the current season (``current_cutoff``), whatever
+    this root holds. Seasons are listed from the yearly team totals when given
+    (distinct, sorted); a listed season with no extract is reported, not
+    fatal. Dated rows without a season are landed and counted.
     """
-    logs = landed.read_game_logs(spark, extracts_root, game_types=game_types, with_game_type=game_types is not None)
-    skipped = None
+    skipped = seasons = None
     if team_totals_root is not None:
         wanted = split.seasons(landed.read_team_year_totals(spark, team_totals_root))
-        logs = logs.join(wanted, "SEASON", "left_semi")
-        found = logs.select("SEASON").distinct()
-        skipped = reports.skipped_seasons(wanted, found)
-    logs = _prepare(logs)
-    cut = cutoff if cutoff is not None else split.cutoff_value(logs)
-    past = split.past_side(logs, cut)
+        have = landed.list_seasons(spark, extracts_root)
+        skipped = reports.skipped_seasons(wanted, spark.createDataFrame([(s,) for s in have], "SEASON string"))
+        seasons = [r["SEASON"] for r in wanted.collect()]  # one row for each season ever played
+    logs = _read(spark, extracts_root, game_types)
+    if seasons is not None:
+        logs = logs.where(F.col("SEASON").isin(seasons) | F.col("SEASON").isNull())
+    past = split.past_side(_prepare(logs), cutoff)
     sinks.write_landed(past, out_path)
     written = spark.read.parquet(out_path)
-    return LandingResult(out_path, reports.running_rows(written), skipped)
+    return LandingResult(out_path, reports.running_rows(written), skipped, _rows_without_season(written))
 
 
 def land_current(
     spark: SparkSession,
     extracts_root: str,
     out_path: str,
+    cutoff: dt.date | str | None = None,
     season: str | None = None,
     game_types=GAME_TYPES,
-    cutoff=None,
 ) -> LandingResult:
     """Current games: the current season's extracts, from the cutoff on.
 
     ``season`` defaults to the latest ``SEASON=`` folder under the root (a
     listing, no data read), so the daily scan is pruned to one season instead
-    of reading every extract.
+    of reading every extract; ``cutoff`` to that season's first game date.
+    Rows without a season are read along with it: those from the cutoff on
+    are landed and counted.
     """
     if season is None:
-        found = [unquote(v) for v in storage.list_partition_values(spark, extracts_root, "SEASON")]
-        season = max(found) if found else None
-    logs = landed.read_game_logs(spark, extracts_root, game_types=game_types, with_game_type=game_types is not None)
-    if season is not None:
-        logs = logs.where(F.col("SEASON") == season)
-    logs = _prepare(logs)
-    cut = cutoff if cutoff is not None else split.cutoff_value(logs)
-    cur = split.current_side(logs, cut)
+        found = landed.list_seasons(spark, extracts_root)
+        if not found:
+            raise split.EmptyCutoff(f"no season under {extracts_root}")
+        season = found[-1]
+    if cutoff is None:
+        cutoff = current_cutoff(spark, extracts_root, season, game_types)
+    logs = landed.read_laid_out(
+        spark,
+        extracts_root,
+        ["SEASON"] if game_types is None else ["SEASON", "GAME_TYPE"],
+        schemas.without(schemas.RAW_GAME_LOG, "GAME_TYPE") if game_types is None else schemas.RAW_GAME_LOG,
+        lambda v: v[0] in (season, None) and (game_types is None or v[1] in game_types),
+    )
+    cur = split.current_side(_prepare(logs), cutoff)
     sinks.write_landed(cur, out_path)
     written = spark.read.parquet(out_path)
-    return LandingResult(out_path, reports.rows_per_season(written))
+    return LandingResult(out_path, reports.rows_per_season(written), no_season=_rows_without_season(written))
 
 
-def land_team_past(spark: SparkSession, team_logs_root: str, out_path: str, cutoff=None) -> LandingResult:
-    """Past team games, before the first game date of the latest season."""
+def land_team_past(
+    spark: SparkSession,
+    team_logs_root: str,
+    out_path: str,
+    cutoff: dt.date | str,
+    team_totals_root: str | None = None,
+) -> LandingResult:
+    """Past team games, before the current season's first game date.
+
+    Extracts are appended by name; with the yearly totals, their seasons
+    without an extract are reported.
+    """
     logs = conform.parse_dates(landed.read_laid_out(spark, team_logs_root))
-    cut = cutoff if cutoff is not None else split.cutoff_value(logs)
-    past = split.past_side(logs, cut)
+    skipped = None
+    if team_totals_root is not None:
+        wanted = split.seasons(landed.read_team_year_totals(spark, team_totals_root))
+        have = landed.list_seasons(spark, team_logs_root)
+        skipped = reports.skipped_seasons(wanted, spark.createDataFrame([(s,) for s in have], "SEASON string"))
+        listed = [r["SEASON"] for r in wanted.collect()]
+        logs = logs.where(F.col("SEASON").isin(listed) | F.col("SEASON").isNull())
+    past = split.past_side(logs, cutoff)
     sinks.write_landed(past, out_path)
     written = spark.read.parquet(out_path)
-    return LandingResult(out_path, reports.rows_per_season(written))
+    return LandingResult(out_path, reports.rows_per_season(written), skipped, _rows_without_season(written))
 
 
 # -------------------------------------------------------------- facts ---
@@ -142,7 +193,6 @@ def refresh_facts(
     *,
     full_refresh: bool = False,
     on_duplicate: str = "error",
-    sample: int | None = None,
     on_bad_cast: str = "error",
 ) -> merge.MergeResult:
     """Conform both landed inputs and merge them into the fact table.
@@ -168,7 +218,6 @@ def refresh_facts(
         pst_t,
         full_refresh=full_refresh,
         on_duplicate=on_duplicate,
-        sample=sample,
     )
 
 
@@ -178,24 +227,31 @@ def run_daily(
     landed_current: str,
     landed_past: str,
     table_path: str,
+    cutoff: dt.date | str | None = None,
     **merge_options,
 ) -> tuple[LandingResult, merge.MergeResult]:
     """The daily chain: land the current season, then merge it (K4 -> K5)."""
-    cur = land_current(spark, current_extracts, landed_current)
+    cur = land_current(spark, current_extracts, landed_current, cutoff)
     return cur, refresh_facts(spark, cur.path, landed_past, table_path, **merge_options)
 
 
 def run_monthly(
     spark: SparkSession,
     history_extracts: str,
+    current_extracts: str,
     landed_current: str,
     landed_past: str,
     table_path: str,
+    cutoff: dt.date | str | None = None,
     team_totals_root: str | None = None,
     **merge_options,
 ) -> tuple[LandingResult, merge.MergeResult]:
-    """The monthly chain: land past seasons, then merge them (K3 -> K5)."""
-    past = land_past(spark, history_extracts, landed_past, team_totals_root=team_totals_root)
+    """The monthly chain: land past seasons, then merge them (K3 -> K5).
+
+    The cutoff defaults to the current extracts', as in the daily chain.
+    """
+    cut = cutoff if cutoff is not None else current_cutoff(spark, current_extracts)
+    past = land_past(spark, history_extracts, landed_past, cut, team_totals_root=team_totals_root)
     return past, refresh_facts(spark, landed_current, past.path, table_path, **merge_options)
 
 
@@ -208,8 +264,11 @@ def union_report(spark: SparkSession, past: DataFrame, current: DataFrame, view:
     view = view or f"game_logs_{uuid.uuid4().hex}"
     full = conform.fill_all(combine.union_by_name(past, current))
     full.createOrReplaceTempView(view)
+    # two pruned steps: the greatest date from one column, then only that date's rows
+    last = spark.sql(f"SELECT max(GAME_DATE) AS d FROM {view}").first()["d"]
+    where = "" if last is None else "WHERE GAME_DATE = :last"
     return spark.sql(
-        f"SELECT * FROM {view} ORDER BY GAME_DATE DESC NULLS LAST, GAME_ID, PLAYER_ID, TEAM_ID LIMIT 1"
+        f"SELECT * FROM {view} {where} ORDER BY GAME_ID, PLAYER_ID, TEAM_ID LIMIT 1", args={} if last is None else {"last": last}
     )
 
 
@@ -224,8 +283,13 @@ def dashboard(
     k: int = 10,
     k_per_season: int = 5,
 ) -> dict[str, DataFrame]:
-    """The report tables of the dashboard, as DataFrames."""
+    """The report tables of the dashboard, as DataFrames.
+
+    What the ranks read twice is staged under the shared checkpoint folder.
+    """
     per_player = facts.groupBy("PLAYER_ID", "SEASON_YEAR", "GAME_TYPE").agg(F.sum("PTS").alias("PTS"))
+    per_team = facts.groupBy("TEAM_ID", "SEASON_YEAR", "GAME_TYPE").agg(F.sum("PTS").alias("PTS"))
+    per_player, per_team = session.staged(per_player, "player-points"), session.staged(per_team, "team-points")
     career = facts.groupBy("PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
     per_season = facts.groupBy("SEASON_YEAR", "PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
     out = {
@@ -234,6 +298,7 @@ def dashboard(
         "totals_by_team": reports.totals(facts, ["TEAM_ID", "SEASON_YEAR", "GAME_TYPE"]),
         "totals_by_season_type": reports.totals(facts, ["SEASON_YEAR", "GAME_TYPE"]),
         "rank_players": reports.rank_within(per_player, ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
+        "rank_teams": reports.rank_within(per_team, ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
         "trend_team": reports.trend(facts, "TEAM_ID", "PTS"),
         "trend_player": reports.trend(facts, "PLAYER_ID", "PTS"),
         "top_k": reports.top_k(career, "PTS", k, "PLAYER_ID"),

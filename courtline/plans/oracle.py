@@ -9,11 +9,24 @@ key uses ``||``.
 
 from __future__ import annotations
 
-from courtline import schemas
-from courtline.operators.reports import SUM_METRICS
 from courtline.plans import proxy
 
-RAW = schemas.names(schemas.RAW_GAME_LOG)
+# The columns of a raw game log and of the fact table, written out
+# here so that a column lost by a plan isn't lost on both sides.
+STATS = (
+    "MIN", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA",
+    "FT_PCT", "OREB", "DREB", "REB", "AST", "TOV", "STL", "BLK", "BLKA", "PF",
+    "PFD", "PTS", "PLUS_MINUS",
+)
+DECIMALS = ("MIN", "FG_PCT", "FG3_PCT", "FT_PCT")
+FILLED = ("FTA", "REB", "AST", "PF")
+RAW = ("PLAYER_ID", "TEAM_ID", "GAME_ID", "GAME_DATE", "WL", *STATS, "GAME_TYPE", "SEASON")
+SUMMED = (
+    "MIN", "PTS", "FGM", "FGA", "FG3M", "FG3A", "FTM", "FTA", "OREB", "DREB",
+    "REB", "AST", "STL", "BLK", "TOV", "PF",
+)
+# Every column of the fact table but the keys and the date, by which the latest of equal keys is told.
+REST = ("WL", *STATS, "ID", "GAME_TYPE", "SEASON_YEAR")
 
 
 def _int(c: str) -> str:
@@ -28,8 +41,8 @@ def _typed_cols() -> str:
         "cast(GAME_DATE as date) as GAME_DATE",
         "cast(WL as varchar) as WL",
     ]
-    for c in schemas.FACT_STAT_ORDER:
-        if c in schemas.RATIO_STATS:
+    for c in STATS:
+        if c in DECIMALS:
             cols.append(f"cast({c} as decimal(38,9)) as {c}")
         else:
             cols.append(f"{_int(c)} as {c}")
@@ -47,9 +60,9 @@ def _landed_cols(fill_all: bool = False, drop=()) -> str:
     for c in RAW:
         if c in drop:
             continue
-        if c in schemas.FILL_ZERO_STATS:
+        if c in FILLED:
             out.append(f"{_int(f'coalesce({c}, 0)')} as {c}")
-        elif fill_all and c in schemas.FACT_STAT_ORDER + ("PLAYER_ID", "TEAM_ID"):
+        elif fill_all and c in STATS + ("PLAYER_ID", "TEAM_ID"):
             out.append(f"coalesce({c}, 0) as {c}")
         else:
             out.append(c)
@@ -59,7 +72,7 @@ def _landed_cols(fill_all: bool = False, drop=()) -> str:
 _KEY_MATCH = "t.PLAYER_ID = s.PLAYER_ID and t.GAME_ID = s.GAME_ID and t.TEAM_ID = s.TEAM_ID"
 
 PRELUDE = f"""
-with games as ({proxy.GAME_LOG_SQL}),
+with games as materialized ({proxy.GAME_LOG_SQL}),
 cut as (
   select min(cast(GAME_DATE as date)) as d from games
   where SEASON = (select max(SEASON) from games)
@@ -100,8 +113,8 @@ player_season as (
 def _totals_sql(by: list[str]) -> str:
     keys = ", ".join(by)
     aggs = ["count(*) as GAMES", "count(case when WL = 'W' then 1 end) as WINS"]
-    for m in SUM_METRICS:
-        if m in schemas.RATIO_STATS:
+    for m in SUMMED:
+        if m in DECIMALS:
             aggs.append(f"sum({m}) as {m}")
         else:
             aggs.append(f"cast(sum({m}) as bigint) as {m}")
@@ -140,17 +153,23 @@ BODIES = {
     ),
     "filled_stats": (
         "select PLAYER_ID, GAME_ID, TEAM_ID, "
-        f"{_int('coalesce(nullif(FTA, 1), 0)')} as FTA, {_int('coalesce(REB, 0)')} as REB, "
-        f"{_int('coalesce(AST, 0)')} as AST, {_int('coalesce(PF, 0)')} as PF, PTS from games"
+        + ", ".join(f"{_int(f'case when {c} in (1, 2) then 0 else coalesce({c}, 0) end')} as {c}" for c in FILLED)
+        + ", PTS from games"
+    ),
+    "filled_all": (
+        "select PLAYER_ID, GAME_ID, TEAM_ID, GAME_DATE, "
+        "case when FGM in (1, 2) then 0 else FGM end as FGM, case when STL in (1, 2) then 0 else STL end as STL, "
+        "nullif(WL, 'W') as WL from games"
     ),
     "skipped_seasons": (
         f"select cast(s as varchar) as SEASON from range({_FIRST}, {_LAST + 1}) r(s) "
         "where cast(s as varchar) not in (select SEASON from found_seasons)"
     ),
     "new_past_keys": "select * from past_new",
+    # Closed form: current rows are fresh, past rows that the target has (even games) keep its points.
     "merged_facts": (
-        f"select * from target t where not exists (select 1 from incoming s where {_KEY_MATCH}) "
-        "union all select * from incoming"
+        "select * from cur union all "
+        "select * replace (case when GAME_ID % 2 = 0 then PTS + 1 else PTS end as PTS) from past"
     ),
     "sample_run": "select * from typed order by ID, PLAYER_ID, GAME_ID, TEAM_ID limit 500",
     "rows_per_season": "select SEASON, N_ROWS from season_rows",
@@ -208,6 +227,36 @@ BODIES = {
         "select SEASON_YEAR, PLAYER_ID, cast(sum(PTS) as bigint) as PTS from facts "
         "group by SEASON_YEAR, PLAYER_ID)) where POS <= 5"
     ),
+    "landed_past": f"select {_landed_cols()} from past_raw",
+    "landed_current": f"select {_landed_cols()} from cur_raw",
+    "landed_without_type": (
+        f"select {_landed_cols(drop=('GAME_TYPE',))} from past_raw union all select {_landed_cols(drop=('GAME_TYPE',))} from cur_raw"
+    ),
+    "landed_mixed": (
+        f"select {_landed_cols()}, case when cast(SEASON as int) % 2 = 1 then 'player ' || cast(PLAYER_ID as varchar) end as PLAYER_NAME "
+        "from games where GAME_DATE is not null"
+    ),
+    "landed_team_past": (
+        "select distinct TEAM_ID, GAME_ID, GAME_DATE, SEASON, case when cast(SEASON as int) % 2 = 1 then 'home' end as SIDE from past_raw"
+    ),
+    "landed_seasons": "select SEASON from found_seasons order by SEASON",
+    "merge_job_result": (
+        "select * exclude (pos), cast(year(GAME_DATE) as bigint) as GAME_YEAR, true as STAMPED from ("
+        "select *, row_number() over (partition by PLAYER_ID, GAME_ID, TEAM_ID order by GAME_DATE desc nulls last, "
+        + ", ".join(f"{c} desc nulls last" for c in REST)
+        + ") as pos from (select * from cur union all "
+        "select * replace (case when GAME_ID % 2 = 0 then PTS + 1 else PTS end as PTS) from past)) where pos = 1"
+    ),
+    "refreshed_players": "select *, true as STAMPED from dim_players",
+    "refreshed_teams": "select *, true as STAMPED from dim_teams",
+    "staging_view": "select PLAYER_ID, GAME_ID, TEAM_ID, PTS from games",
+    "enforced_schema": (
+        "select " + ", ".join("cast(null as double) as BLKA" if c == "BLKA" else c for c in RAW) + " from games"
+    ),
+    "year_starts": (
+        "select PLAYER_ID, GAME_ID, TEAM_ID, cast(date_trunc('year', GAME_DATE) as date) as YEAR_START, "
+        "cast(year(GAME_DATE) as bigint) as GAME_YEAR from facts"
+    ),
 }
 
 ORACLE_SQL = {name: PRELUDE + body for name, body in BODIES.items()}

@@ -25,19 +25,14 @@ KEY_COLUMNS = ("PLAYER_ID", "GAME_ID", "TEAM_ID")
 PARTITION_COLUMN = "GAME_YEAR"
 CLUSTER_COLUMNS = ("TEAM_ID", "PLAYER_ID")
 
-# Per-game statistics, in the order of the fact table.
-# The column list of a player game log.
-COUNT_STATS = (
-    "FGM", "FGA", "FG3M", "FG3A", "FTM", "FTA", "OREB", "DREB", "REB", "AST",
-    "TOV", "STL", "BLK", "BLKA", "PF", "PFD", "PTS", "PLUS_MINUS",
-)
+# Statistics that are ratios or minutes, not counts.
 RATIO_STATS = ("MIN", "FG_PCT", "FG3_PCT", "FT_PCT")
 
 # Statistics that the landing step fills with 0 before casting to integer.
 # The fill list of the landing tasks.
 FILL_ZERO_STATS = ("FTA", "REB", "AST", "PF")
 
-# Order of the statistic columns in the fact table.
+# The statistic columns of a player game log, in the order of the fact table.
 FACT_STAT_ORDER = (
     "MIN", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA",
     "FT_PCT", "OREB", "DREB", "REB", "AST", "TOV", "STL", "BLK", "BLKA", "PF",
@@ -68,6 +63,7 @@ FACT = _struct(
        ("LAST_UPDATE", TIMESTAMP)]
 )
 
+# The columns of the landed player list.
 RAW_PLAYERS = _struct(
     [("id", LONG), ("full_name", STRING), ("first_name", STRING),
      ("last_name", STRING), ("is_active", BOOLEAN)]
@@ -78,6 +74,7 @@ PLAYERS = _struct(
      ("LAST_NAME", STRING), ("IS_ACTIVE", BOOLEAN), ("LAST_UPDATE", TIMESTAMP)]
 )
 
+# The columns of the landed team list.
 RAW_TEAMS = _struct(
     [("id", LONG), ("full_name", STRING), ("abbreviation", STRING),
      ("nickname", STRING), ("city", STRING), ("state", STRING),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults that only apply when the deployment has not set the key already.
 _DEFAULTS = {
@@ -12,7 +14,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
@@ -41,11 +42,14 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
 
     On a cluster this must be a shared file system path, never a
     machine-local temporary folder. ``default`` is used (and set on the
-    session) only when the session names none, as in tests.
+    session) only when the session names none, as in tests; a local master,
+    whose tasks all run in this process, then gets a folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and default is None and re.match(r"local(\[|$)", spark.sparkContext.master):
+        default = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not d:
         if default is None:
             raise RuntimeError(
@@ -58,6 +62,13 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     return d
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back: later steps read it without computing it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -1,20 +1,29 @@
 """Readers of landed extracts.
 
 Per-season (and per-game-type) extracts are laid out as partition folders,
-``root/SEASON=2001-02/GAME_TYPE=Playoffs/part-*.parquet``, and read in one
-scan: partition discovery supplies the SEASON and GAME_TYPE tags, a filter on
-them prunes folders before any file is opened, and the files are read in
-parallel. This replaces fetching one extract at a time and appending it to a
-growing in-memory frame.
+``root/SEASON=2001-02/GAME_TYPE=Playoffs/part-*.parquet``. Partition folders
+supply the SEASON and GAME_TYPE tags and are pruned by listing, before any
+file is opened. Extracts differ in their physical types (a statistic is an
+integer in a season without missing values, a date is text or a date-time) and
+in their columns, so folders of one schema are read in one scan, conformed,
+and the scans are appended by name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline import schemas
+from courtline.functions import columns as fn
+from courtline.operators import combine
+from courtline.sources import storage
+
+# Folder name Spark gives the partition of a null value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_extract(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -25,30 +34,90 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType | None = N
     return r.parquet(path)
 
 
-def _prune(df: DataFrame, col: str, values) -> DataFrame:
-    if values is None:
-        return df
-    return df.where(F.col(col).isin([str(v) for v in values]))
+def list_seasons(spark: SparkSession, root: str, column: str = "SEASON") -> list[str]:
+    """Seasons that have a folder under ``root``, ascending; rows without a season aren't one."""
+    found = storage.list_partition_values(spark, root, column)
+    return sorted(unquote(v) for v in found if v != NULL_FOLDER)
+
+
+def has_null_season(spark: SparkSession, root: str, column: str = "SEASON") -> bool:
+    return NULL_FOLDER in storage.list_partition_values(spark, root, column)
+
+
+def _as(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A raw value in the contract's type; NaN and fractions are the conform's to judge."""
+    if have == want:
+        return c
+    if isinstance(want, T.TimestampNTZType):
+        return fn.parse_datetime(c, have)
+    return c.cast(want)
+
 
+def _common(types: list[T.DataType]) -> T.DataType:
+    """One type for a column that is in no contract: the widest number, else text."""
+    first = types[0]
+    if all(t == first for t in types):
+        return first
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    return T.DoubleType() if all(isinstance(t, T.NumericType) for t in types) else T.StringType()
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Spread a scan with fewer input splits than task slots over all slots.
 
-    A Parquet file is split at row-group boundaries, so a file written as one
-    row group is read by a single task and so is everything pipelined after
-    it. When that happens the rows are hash-partitioned on ``cols`` (choose
-    columns that are unique per row, so no hot value lands in one task). A
-    scan that already has enough splits is returned unchanged: on a cluster
-    reading many files this is a no-op.
+def read_laid_out(
+    spark: SparkSession,
+    root: str,
+    partition_cols=("SEASON",),
+    contract: T.StructType | None = None,
+    keep=None,
+) -> DataFrame:
+    """All extracts under ``root``, appended by name, every column kept.
+
+    Columns of ``contract`` get its type whatever an extract stored; other
+    columns keep theirs, or the widest where extracts differ; a column that an
+    extract lacks is null there (a contract column that none has is all null).
+    Partition values are text: discovery would otherwise turn a folder
+    ``SEASON=2001`` into an integer column and ``SEASON=2001-02`` into text.
+    ``keep`` (of a tuple of partition values, None for null) selects folders.
+
+    One footer is read for each folder (on the driver: a few bytes for each
+    season and game type) and one scan planned for each distinct schema.
     """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without an RDD API plan the scan as is
-        return df
-    if splits >= slots:
-        return df
-    return df.repartition(slots, *cols) if cols else df.repartition(slots)
+    partition_cols = list(partition_cols)
+    root = root.rstrip("/")
+    groups: dict[tuple, list[str]] = {}
+    schema_of: dict[tuple, T.StructType] = {}
+    for values in storage.leaf_folders(spark, root, partition_cols):
+        plain = tuple(None if v == NULL_FOLDER else unquote(v) for v in values)
+        if keep is not None and not keep(plain):
+            continue
+        path = "/".join([root, *(f"{c}={v}" for c, v in zip(partition_cols, values, strict=True))])
+        schema = spark.read.option("basePath", path).parquet(path).schema
+        key = tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
+        groups.setdefault(key, []).append(path)
+        schema_of[key] = schema
+    tags = [T.StructField(c, T.StringType(), True) for c in partition_cols]
+    wanted = {f.name: f.dataType for f in (contract.fields if contract is not None else []) if f.name not in partition_cols}
+    loose: dict[str, list[T.DataType]] = {}
+    for schema in schema_of.values():
+        for f in schema.fields:
+            if f.name not in wanted:
+                loose.setdefault(f.name, []).append(f.dataType)
+    kinds = wanted | {c: _common(ts) for c, ts in loose.items()}
+    names = [*kinds, *partition_cols]
+    frames = []
+    for key, paths in groups.items():
+        schema = schema_of[key]
+        have = {f.name: f.dataType for f in schema.fields}
+        df = spark.read.schema(T.StructType(schema.fields + tags)).option("basePath", root).parquet(*paths)
+        frames.append(
+            df.select(
+                *[(_as(F.col(c), have[c], t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in kinds.items()],
+                *partition_cols,
+            )
+        )
+    if not frames:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, kinds.get(c, T.StringType()), True) for c in names]))
+    return combine.append_all(frames)
 
 
 def read_game_logs(
@@ -59,33 +128,22 @@ def read_game_logs(
     schema: T.StructType = schemas.RAW_GAME_LOG,
     with_game_type: bool = True,
 ) -> DataFrame:
-    """Game logs laid out ``SEASON=…[/GAME_TYPE=…]`` as one DataFrame.
+    """Game logs laid out ``SEASON=…[/GAME_TYPE=…]`` as one DataFrame, with the extracts' other columns.
 
     ``with_game_type=False`` reads the layout without a game-type level; the
     frame then has no GAME_TYPE column.
     """
-    if not with_game_type:
-        schema = schemas.without(schema, "GAME_TYPE")
-    df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    df = _prune(df, "SEASON", seasons)
-    if with_game_type:
-        df = _prune(df, "GAME_TYPE", game_types)
-    return df
-
+    tags = ["SEASON", "GAME_TYPE"] if with_game_type else ["SEASON"]
+    seasons = None if seasons is None else {str(s) for s in seasons}
+    game_types = None if game_types is None else {str(g) for g in game_types}
 
-def read_laid_out(spark: SparkSession, root: str, partition_cols=("SEASON",)) -> DataFrame:
-    """A partition-folder layout whose file columns are read as written.
+    def keep(values: tuple) -> bool:
+        if seasons is not None and values[0] not in seasons:
+            return False
+        return not with_game_type or game_types is None or values[1] in game_types
 
-    Partition values are kept as text: discovery would otherwise turn a
-    folder ``SEASON=2001`` into an integer column and ``SEASON=2001-02`` into
-    text, depending on the data.
-    """
-    inferred = spark.read.option("basePath", root).parquet(root).schema
-    fields = [
-        T.StructField(f.name, T.StringType(), True) if f.name in partition_cols else f
-        for f in inferred.fields
-    ]
-    return spark.read.schema(T.StructType(fields)).option("basePath", root).parquet(root)
+    contract = schema if with_game_type else schemas.without(schema, "GAME_TYPE")
+    return read_laid_out(spark, root, tags, contract, keep)
 
 
 def read_team_year_totals(spark: SparkSession, root: str) -> DataFrame:

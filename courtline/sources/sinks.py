@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 
 
 def write_landed(df: DataFrame, path: str, partition_by=None) -> None:
-    """Replace a landed extract as a whole."""
-    w = df.write.mode("overwrite")
+    """Replace a landed extract as a whole, partitions that get no row included."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -1,12 +1,14 @@
 """File system calls on the cluster's file system (through Hadoop's FileSystem).
 
 Only metadata operations live here: existence checks, listing partition
-folders, and removing folders that a merge emptied. Data always moves through
-Spark reads and writes.
+folders, small manifests, and removing folders no manifest names. Data always
+moves through Spark reads and writes.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -40,28 +42,43 @@ def list_partition_values(spark: SparkSession, path: str, column: str) -> list[s
     return sorted(out)
 
 
-def is_table(spark: SparkSession, path: str) -> bool:
-    """A written table: the folder exists and its write committed."""
-    return exists(spark, path.rstrip("/") + "/_SUCCESS") or bool(
-        list_partition_values(spark, path, "GAME_YEAR")
-    )
-
-
-def total_bytes(spark: SparkSession, files, per_file_limit: int = 2000) -> int:
-    """Bytes of the given files.
-
-    Up to ``per_file_limit`` files are sized one by one; above that, per
-    parent folder (one call per partition folder, which holds only the
-    table's files).
-    """
-    files = list(files)
-    total = 0
-    if len(files) <= per_file_limit:
-        for f in files:
-            fs, p = _fs(spark, f)
-            total += int(fs.getFileStatus(p).getLen())
-        return total
-    for d in {f.rsplit("/", 1)[0] for f in files}:
-        fs, p = _fs(spark, d)
-        total += int(fs.getContentSummary(p).getLength())
-    return total
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path`` (none if it does not exist)."""
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def leaf_folders(spark: SparkSession, root: str, columns) -> list[tuple[str, ...]]:
+    """Value tuples of the partition folders ``root/<c1>=…/<c2>=…`` (a listing; no data is read)."""
+    columns = list(columns)
+    found: list[tuple[str, ...]] = [()]
+    for depth, column in enumerate(columns):
+        found = [
+            (*v, x)
+            for v in found
+            for x in list_partition_values(spark, "/".join([root.rstrip("/"), *(f"{c}={y}" for c, y in zip(columns[:depth], v, strict=True))]), column)
+        ]
+    return found
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` in one step (written aside, then renamed); False if it is there already."""
+    fs, p = _fs(spark, path)
+    _, aside = _fs(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(text.encode())
+    out.close()
+    done = not fs.exists(p) and bool(fs.rename(aside, p))
+    if not done:
+        fs.delete(aside, False)
+    return done
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -108,3 +108,15 @@ def test_histogram_rank_equals_window_rank(spark):
     a = sorted((tuple(r) for r in got.collect()), key=repr)
     b = sorted((tuple(r) for r in want.collect()), key=repr)
     assert a == b
+
+
+def test_rank_of_ratios_and_of_one_value(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(500).selectExpr("id as P", "'s' as S", "cast(id * 7919 % 500 as double) / 499 as PTS")
+    one = spark.createDataFrame([(1, "t", 3.0), (2, "t", 3.0), (3, "u", None)], "P long, S string, PTS double")
+    df = df.unionByName(one)
+    w = Window.partitionBy("S").orderBy(F.col("PTS").desc())
+    want = df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    got = reports.rank_within(df, ["S"], "PTS")
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, (tuple(r) for r in want.collect())))
