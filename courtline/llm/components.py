@@ -20,18 +20,23 @@ def components(edges: DataFrame) -> DataFrame:
     links = common.stored(
         edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
+    before = _signature(links)
     while True:
         large = _star(links.union(links.select("b", "a")), larger=True)
-        new = common.stored(_star(large, larger=False), "links")
-        same = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        old = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        links = new
-        if same == old:
+        links = common.stored(_star(large, larger=False), "links")
+        after = _signature(links)
+        if after == before:
             break
+        before = after
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
+def _signature(edges: DataFrame) -> tuple:
+    """Number of edges and the exact sum of their hashes: equal tables have equal ones."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """Link each node's larger neighbours, or its smaller ones and itself, to its least neighbour."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
