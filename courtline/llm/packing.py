@@ -9,6 +9,7 @@ its rank within the length.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,9 @@ END_ID = 1
 # --- tokens ------------------------------------------------------------------
 
 _CUT = "\x01"
+#: Outside of these, lower-casing a character by itself and composing it are the same everywhere, and letters are letters.
+_UNSAFE = re.compile("[\u0130\u0250-\U0010ffff]")
+_MARKS = frozenset(".,;:!?")
 
 
 class WordIds(dict):
@@ -32,11 +36,13 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins characters across it, so a
     text's ids are its words' ids one after another. Words split at ASCII
-    white space only; any other white space is left to the tokenizer. New
-    words are encoded together, between marks that are a token of their own.
+    white space only; any other white space is left to the tokenizer. Letters
+    and a mark after them are the letters' ids and the mark's. New words are
+    encoded together: plain letters are cut where a token ends a word, others
+    between marks that are a token of their own.
     """
 
-    LIMIT = 600_000
+    LIMIT = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,36 +51,57 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = self.tokenizer.encode(_CUT, add_special_tokens=False).ids
         self.joint = len(self.cut) == 1
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
     def one(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-            new = list(words)
-        whole = [w for w in new if self.joint and _CUT not in w and "<|" not in w]
-        for w in set(new).difference(whole):
+        """Add ``words``."""
+        marked = [w for w in words if w[-1:] in _MARKS and w[:-1].isalpha() and not _UNSAFE.search(w)]
+        parts = words.difference(marked)
+        parts.update(w[:-1] for w in marked)
+        parts.update(w[-1] for w in marked)
+        new = [w for w in parts if w not in self]
+        letters = [w for w in new if w.isalpha() and not _UNSAFE.search(w)]
+        self._encode(letters, " ", lambda ids: self.ends[ids])
+        others = set(new).difference(letters)
+        whole = [w for w in others if self.joint and _CUT not in w and "<|" not in w]
+        self._encode(whole, f" {_CUT} ", None)
+        for w in others.difference(whole):
             self[w] = self.one(w)
-        for at in range(0, len(whole), 2000):
-            part = whole[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(f" {_CUT} ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.cut[0]) * 4
-            if len(cuts) != len(part) - 1:
-                self.update((w, self.one(w)) for w in part)
-                continue
+        for w in marked:
+            self[w] = self[w[:-1]] + self[w[-1]]
+
+    def _encode(self, words: list[str], between: str, ends) -> None:
+        """Add ``words``, joined by ``between``: cut after the tokens that ``ends`` marks, or at the cutting mark."""
+        parts = [words[at : at + 500] for at in range(0, len(words), 500)]
+        coded = self.tokenizer.encode_batch_fast([between.join(p) for p in parts], add_special_tokens=False)
+        for part, code in zip(parts, coded, strict=True):
+            ids = np.array(code.ids, "<u4")
             raw = ids.tobytes()
-            edges = [0, *cuts.tolist()]
-            ends = [*cuts.tolist(), len(raw)]
-            self.update((w, raw[a + 4 * (i > 0) : b]) for i, (w, a, b) in enumerate(zip(part, edges, ends, strict=True)))
+            if ends is None:
+                cuts = (np.flatnonzero(ids == self.cut[0]) * 4).tolist()
+                starts, stops = [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]
+            else:
+                stops = ((np.flatnonzero(ends(ids)) + 1) * 4).tolist()
+                starts = [0, *stops[:-1]]
+            if len(stops) != len(part) or stops[-1] != len(raw):
+                self.update((w, self.one(w)) for w in part)
+            else:
+                self.update((w, raw[a:b]) for w, a, b in zip(part, starts, stops, strict=True))
 
 
 _VOCABULARIES: dict[str, WordIds] = {}
 
 
 def words_of(text: str) -> list[str]:
-    for c in "\t\n\v\f\r":
+    if not _UNSAFE.search(text):
+        text = text.lower()  # as the tokenizer does
+    for c in "\n\t\v\f\r":
         if c in text:
             text = text.replace(c, " ")
     return text.split(" ")
@@ -83,24 +110,35 @@ def words_of(text: str) -> list[str]:
 def encode(texts: list[str | None], path: str, end_id: int = END_ID) -> list[bytes]:
     """Ids of each whole text, then ``end_id``, as little-endian unsigned 32-bit bytes."""
     known = _VOCABULARIES.get(path) or _VOCABULARIES.setdefault(path, WordIds(path))
+    if len(known) > known.LIMIT:
+        known.clear()
     end = np.array([end_id], "<u4").tobytes()
+    # a special token's string may hold white space or join words: such a text is encoded as a whole
+    words = [[] if t is None or "<|" in t else words_of(t) for t in texts]
+    coded = [list(map(known.get, w)) for w in words]
+    gaps = [_gaps(c) for c in coded]
+    new = {ws[i] for ws, at in zip(words, gaps, strict=True) for i in at}
+    if new:
+        known.learn(new)
     out = []
-    for text in texts:
-        words = words_of(text or "")
-        special = "<|" in (text or "")  # a special token's string may hold white space or join words: the text as a whole
-        if special:
-            out.append(known.one(text) + end)
-            continue
-        missing = {w for w in words if w not in known}
-        if missing:
-            if len(known) + len(missing) > known.LIMIT:
-                known.clear()
-                missing = set(words)
-            known.learn(missing)
-        out.append(b"".join(map(known.__getitem__, words)) + end)
+    for text, ws, c, at in zip(texts, words, coded, gaps, strict=True):
+        for i in at:
+            c[i] = known[ws[i]]
+        out.append((known.one(text) if text is not None and "<|" in text else b"".join(c)) + end)
     return out
 
 
+def _gaps(coded: list) -> list[int]:
+    """Places of None."""
+    at, i = [], -1
+    try:
+        while True:
+            i = coded.index(None, i + 1)
+            at.append(i)
+    except ValueError:
+        return at
+
+
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
