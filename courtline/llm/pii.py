@@ -254,7 +254,7 @@ def train(windows: list[tuple[str, list[Span]]], steps: int = 250, batch: int =
     return w
 
 
-def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 2048) -> list[np.ndarray]:
+def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 1024) -> list[np.ndarray]:
     """The tag of every character of every text, by overlapping windows over the whole texts.
 
     Windows are ``WINDOW`` long and overlap by twice ``MARGIN``; where two
