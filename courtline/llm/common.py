@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,19 +20,9 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir; a local session that names none gets its own."""
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-            session.checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return session.scratch_path(spark, name)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lineage cut that survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return session.staged(df, name)
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
