@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import chat, imatch, langid, licenses, minhash, mixing, packing, pii, sharding, topk
+from courtline.llm import chat, imatch, langid, licenses, minhash, mixing, oracle, packing, pii, sharding, topk
 from courtline.llm.common import table
 
 
@@ -70,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_imatch": fingerprints,
 }
 
-ORACLE_SQL = {"op8_chat": chat.ORACLE}
+ORACLE_SQL = oracle.ORACLE_SQL
