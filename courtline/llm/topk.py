@@ -76,7 +76,8 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
     rows = rows.withColumn("bucket", _bucket())
     counts = rows.groupBy("dim", "bucket").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("_n"))
     # repeated ids are dealt apart as well: the hash takes in where the row is stored
-    dealt = rows.join(counts, ["dim", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("vec_id", "_row"), F.col("_n")).cast("int"))
+    # one row for each dimension and bucket: all norms of a double are in fewer than 16,000 buckets
+    dealt = rows.join(F.broadcast(counts), ["dim", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("vec_id", "_row"), F.col("_n")).cast("int"))
     return dealt.select("dim", "bucket", "sub", "vec_id", "v", "norm").groupBy("dim", "bucket", "sub").applyInArrow(_packed, _BLOCK)
 
 
@@ -189,6 +190,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20, scale: int = 64,
         "dim", F.col("bucket").alias("q_bucket"), F.col("sub").alias("q_sub"), F.col("most").alias("q_most"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q")
     )
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows are whole blocks now
+    asked = asked.repartition(max(1, asked.count()), "dim", "q_bucket", "q_sub")  # rows are large, the table isn't
 
     # the seed: each dimension's longest vectors, whole blocks until there are enough
     order = Window.partitionBy("dim").orderBy(F.desc("bucket"), "sub").rowsBetween(Window.unboundedPreceding, -1)
