@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm import common
-from courtline.llm.minhash import mix, word_hashes
+from courtline.llm.minhash import _WORDS, mix, word_hashes
 
 CLASSES = 1 << 16
 FAMILIES, LEVELS = 24, 3
@@ -45,6 +45,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in b.column("text").to_pylist():
             n[np.unique(classes_of(mix(word_hashes(text))))] += 1
             docs += 1
+    _WORDS.clear()  # workers outlive tasks
     at = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([docs, *n[at].tolist()], pa.int64())], names=["class", "n"])
 
@@ -191,6 +192,7 @@ def compare(docs: DataFrame, band: np.ndarray | None = None, rows_per_block: int
             if len(part) == common.ARROW_ROWS:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), _OUT, strict=True)], schema=_OUT)
                 part = []
+        _WORDS.clear()
         if part:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), _OUT, strict=True)], schema=_OUT)
 

@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are few enough."""
 
-    LIMIT = 300_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -108,6 +108,7 @@ def _sketched(width: int):
                 ],
                 schema=_SKETCHED,
             )
+        _WORDS.clear()  # workers outlive tasks
 
     return run
 
@@ -119,6 +120,7 @@ def _sets(width: int):
                 [b.column("doc_id"), pa.array([shingles(t, width).view(np.int64) for t in b.column("text").to_pylist()], pa.list_(pa.int64()))],
                 names=["id", "items"],
             )
+        _WORDS.clear()
 
     return run
 

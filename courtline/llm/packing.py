@@ -9,6 +9,7 @@ its rank within the length.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,7 +43,8 @@ class WordIds(dict):
     between marks that are a token of their own.
     """
 
-    LIMIT = 800_000
+    #: Words held at most when a batch begins, and those kept between tasks: the first ones met, which are the common ones.
+    LIMIT, KEPT = 250_000, 100_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -60,7 +62,7 @@ class WordIds(dict):
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        """Add ``words``."""
+        """Add ``words``, of letters and a mark the letters and the mark."""
         marked = [w for w in words if w[-1:] in _MARKS and w[:-1].isalpha() and not _UNSAFE.search(w)]
         parts = words.difference(marked)
         parts.update(w[:-1] for w in marked)
@@ -73,8 +75,11 @@ class WordIds(dict):
         self._encode(whole, f" {_CUT} ", None)
         for w in others.difference(whole):
             self[w] = self.one(w)
-        for w in marked:
-            self[w] = self[w[:-1]] + self[w[-1]]
+
+    def of(self, word: str) -> bytes:
+        """Ids of a learned word: its own, or those of its letters and its mark."""
+        ids = self.get(word)
+        return self[word[:-1]] + self[word[-1]] if ids is None else ids
 
     def _encode(self, words: list[str], between: str, ends) -> None:
         """Add ``words``, joined by ``between``: cut after the tokens that ``ends`` marks, or at the cutting mark."""
@@ -109,9 +114,11 @@ def words_of(text: str) -> list[str]:
 
 def encode(texts: list[str | None], path: str, end_id: int = END_ID) -> list[bytes]:
     """Ids of each whole text, then ``end_id``, as little-endian unsigned 32-bit bytes."""
-    known = _VOCABULARIES.get(path) or _VOCABULARIES.setdefault(path, WordIds(path))
+    if path not in _VOCABULARIES:
+        _VOCABULARIES[path] = WordIds(path)
+    known = _VOCABULARIES[path]
     if len(known) > known.LIMIT:
-        known.clear()
+        forget(path)
     end = np.array([end_id], "<u4").tobytes()
     # a special token's string may hold white space or join words: such a text is encoded as a whole
     words = [[] if t is None or "<|" in t else words_of(t) for t in texts]
@@ -123,11 +130,20 @@ def encode(texts: list[str | None], path: str, end_id: int = END_ID) -> list[byt
     out = []
     for text, ws, c, at in zip(texts, words, coded, gaps, strict=True):
         for i in at:
-            c[i] = known[ws[i]]
+            c[i] = known.of(ws[i])
         out.append((known.one(text) if text is not None and "<|" in text else b"".join(c)) + end)
     return out
 
 
+def forget(path: str) -> None:
+    """Keep only the words met first."""
+    known = _VOCABULARIES.get(path)
+    if known is not None and len(known) > known.KEPT:
+        first = list(itertools.islice(known.items(), known.KEPT))
+        known.clear()
+        known.update(first)
+
+
 def _gaps(coded: list) -> list[int]:
     """Places of None."""
     at, i = [], -1
@@ -158,6 +174,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             )
+        forget(tokenizer)  # workers outlive tasks, and other operators need their memory
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECE)
     return out if with_ids else out.drop("ids")
