@@ -1,10 +1,10 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-DataFrame functions only. A file's passages (its lines, which covers headers
-wherever they stand, and the whole of a licence file) are compared with each
-template on words weighted by inverse document frequency over all files. Files
-without a licence of their own take that of the nearest directory above that
-holds a licence file.
+DataFrame functions only. A file's passages (its lines, as many successive
+words as a template has, wherever lines break, and the whole of a licence file)
+are compared with each template on words weighted by inverse document frequency
+over all files. Files without a licence of their own take that of the nearest
+directory above that holds a licence file.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtline.llm import common
+
 # Short notices of common licences.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -33,8 +35,48 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != ""))
 
 
+def _sequence(text: str) -> list[str]:
+    return "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split()
+
+
 def _words(text: str) -> set[str]:
-    return {w for w in "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split()}
+    return set(_sequence(text))
+
+
+def passages(files: DataFrame, anchors: Mapping[str, set[str]], lengths: Mapping[str, int], passage: str = "\n") -> DataFrame:
+    """(file_id, _w): the distinct words of each passage of ``files`` that holds an anchor, a template's weightier word.
+
+    Runs of ``lengths[name]`` words are taken around the anchors of that
+    template, so that their number grows with the anchors in the text.
+    """
+    known = sorted(set().union(*anchors.values()))
+    low = F.lower(F.col("text"))
+    some = F.lit(False)
+    for a in known:
+        some = some | low.contains(a)
+    any_of = F.array(*[F.lit(a) for a in known]).cast("array<string>")
+    whole = F.filter(F.split(low, "[^a-z0-9]+"), lambda w: w != "")
+    path = F.col("path") if "path" in files.columns else F.lit(None).cast("string")
+    # stored, so that the words of a text are split once, not for each run
+    held = common.stored(
+        files.filter(some & F.arrays_overlap(whole, any_of)).select(
+            "file_id", F.coalesce(path.rlike(LICENSE_FILE), F.lit(False)).alias("_file"), F.split("text", passage).alias("_lines"), whole.alias("_all")
+        ),
+        "licence_words",
+    )
+    out = held.select("file_id", F.explode("_lines").alias("_p")).select("file_id", _terms(F.col("_p")).alias("_w"))
+    out = out.union(held.filter("_file").select("file_id", F.array_distinct("_all").alias("_w")))
+    runs: dict[int, set[str]] = {}
+    for name, k in lengths.items():
+        runs.setdefault(k, set()).update(anchors[name])
+    count = F.size("_all")
+    for k, words in sorted(runs.items()):
+        mine = F.array(*[F.lit(w) for w in sorted(words)]).cast("array<string>")
+        at = F.filter(F.transform("_all", lambda w, i: F.when(F.array_contains(mine, w), i + 1)), lambda i: i.isNotNull())
+        last = F.greatest(count - k + 1, F.lit(1))  # a text of fewer words is one run
+        starts = F.array_distinct(F.flatten(F.transform(at, lambda i: F.sequence(F.least(F.greatest(i - k + 1, F.lit(1)), last), F.least(i, last)))))
+        out = out.union(held.select("file_id", F.explode(F.transform(starts, lambda i: F.array_distinct(F.slice("_all", i, F.lit(k))))).alias("_w")))
+    return out.filter(F.arrays_overlap("_w", any_of))
 
 
 def frequencies(files: DataFrame, terms: set[str]) -> tuple[int, dict[str, int]]:
@@ -51,31 +93,29 @@ def own_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     Presence TF-IDF: a word weighs log((1 + files) / (1 + files with it)) + 1;
     a word of no template weighs as one in a single file. Passages without the
     template's weightier words can't reach ``least`` (by Cauchy-Schwarz on the
-    rest), so only files with such words are cut into passages. The best
-    passage counts, ties go to the template first by name.
+    rest), so only files with such words are cut into passages: lines, runs of
+    as many words as the template has, and the whole text where ``path`` is
+    that of a licence file. The best passage counts, ties go to the template
+    last by name.
     """
     vocabulary = {name: _words(text) for name, text in templates.items()}
     terms = set().union(*vocabulary.values())
     n, held = frequencies(files, terms)
     weight = {t: math.log((1 + n) / (1 + held.get(t, 0))) + 1 for t in terms}
     other = math.log((1 + n) / 2) + 1
-    anchors: set[str] = set()
-    for words in vocabulary.values():
+    anchors: dict[str, set[str]] = {}
+    for name, words in vocabulary.items():
         order = sorted(words, key=lambda w: (-weight[w], w))
         norm = sum(weight[w] ** 2 for w in words)
         rest = norm
+        anchors[name] = set()
         for w in order:
             if rest < (least**2) * norm * (1 - 1e-9):
                 break
-            anchors.add(w)
+            anchors[name].add(w)
             rest -= weight[w] ** 2
-    low = F.lower(F.col("text"))
-    some = F.lit(False)
-    for a in sorted(anchors):
-        some = some | low.contains(a)
     weights = F.create_map(*[x for t in sorted(terms) for x in (F.lit(t), F.lit(weight[t]))])
-    parts = files.filter(some).select("file_id", F.explode(F.split("text", passage)).alias("_p"))
-    parts = parts.select("file_id", _terms(F.col("_p")).alias("_w")).filter(F.size("_w") > 0)
+    parts = passages(files, anchors, {name: len(_sequence(text)) for name, text in templates.items()}, passage)
 
     def square(words: Column) -> Column:
         return F.aggregate(words, F.lit(0.0), lambda a, w: a + F.pow(F.coalesce(F.try_element_at(weights, w), F.lit(other)), 2))

@@ -77,3 +77,17 @@ def test_odd_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = licenses.scan(licenses.as_files(table(spark, "/root/testdata/sf0.001", "documents")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_notices_over_several_lines(spark):
+    rows = [
+        (1, "a/LICENSE", "Licensed under the Apache License,\nVersion 2.0."), (2, "a/x.py", "code"),
+        (3, "b/x.py", "# This work is licensed under the\n# GNU General Public\n#\n# License, version 3.\nimport os"),
+        (4, "c/x.py", "Released\n\nunder the\nMIT\nLicense."), (5, "d/x.py", "the Apache\n" + "filler words\n" * 9 + "License"),
+        (6, "e/COPYING", "MIT License:\nreleased as a work\nunder the same"), (7, "e/x.py", "code"),
+        *[(100 + i, f"z/{i}", f"the work of number{i} is under version {i}") for i in range(60)],
+    ]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    by = {r["file_id"]: r["license"] for r in licenses.scan(files).collect()}
+    assert [by[i] for i in range(1, 6)] == ["Apache-2.0", "Apache-2.0", "GPL-3.0", "MIT", None]
+    assert sum(v is not None for v in by.values()) <= 6
