@@ -90,8 +90,9 @@ def frequencies(files: DataFrame, terms: set[str]) -> tuple[int, dict[str, int]]
 def own_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.75, passage: str = "\n") -> DataFrame:
     """(file_id, license, score) for files with a passage whose cosine to a template is at least ``least``.
 
-    Presence TF-IDF: a word weighs log((1 + files) / (1 + files with it)) + 1;
-    a word of no template weighs as one in a single file. Passages without the
+    Presence TF-IDF: a word weighs log((1 + files) / (1 + files with it)) + 1,
+    counted for every word of a passage that may reach ``least`` (where its
+    words of no template weigh 1, the least there is). Passages without the
     template's weightier words can't reach ``least`` (by Cauchy-Schwarz on the
     rest), so only files with such words are cut into passages: lines, runs of
     as many words as the template has, and the whole text where ``path`` is
@@ -102,7 +103,6 @@ def own_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     terms = set().union(*vocabulary.values())
     n, held = frequencies(files, terms)
     weight = {t: math.log((1 + n) / (1 + held.get(t, 0))) + 1 for t in terms}
-    other = math.log((1 + n) / 2) + 1
     anchors: dict[str, set[str]] = {}
     for name, words in vocabulary.items():
         order = sorted(words, key=lambda w: (-weight[w], w))
@@ -118,16 +118,26 @@ def own_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     parts = passages(files, anchors, {name: len(_sequence(text)) for name, text in templates.items()}, passage)
 
     def square(words: Column) -> Column:
-        return F.aggregate(words, F.lit(0.0), lambda a, w: a + F.pow(F.coalesce(F.try_element_at(weights, w), F.lit(other)), 2))
+        return F.aggregate(words, F.lit(0.0), lambda a, w: a + F.pow(F.try_element_at(weights, w), 2))
 
+    known = F.array(*[F.lit(t) for t in sorted(terms)])
     scored = []
     for name in sorted(vocabulary):
         mine = F.array(*[F.lit(w) for w in sorted(vocabulary[name])])
         norm = math.sqrt(sum(weight[w] ** 2 for w in vocabulary[name]))
         # both vectors have the same weight at a common word: the product is the sum of squares
-        scored.append(F.struct((square(F.array_intersect("_w", mine)) / (F.sqrt(F.col("_n")) * norm)).alias("score"), F.lit(name).alias("license")))
-    best = parts.withColumn("_n", square(F.col("_w"))).withColumn("_s", F.explode(F.array(*scored)))
-    best = best.filter(F.col("_s.score") >= least).select("file_id", F.round("_s.score", 9).alias("score"), F.col("_s.license").alias("license"))
+        scored.append(F.struct((square(F.array_intersect("_w", mine)) / norm).alias("dot"), F.lit(name).alias("license")))
+    parts = parts.select("file_id", square(F.array_intersect("_w", known)).alias("_n"), F.array_except("_w", known).alias("_other"), F.array(*scored).alias("_s"))
+    near = parts.withColumn("_s", F.explode("_s")).filter(F.col("_s.dot") >= (least - 1e-9) * F.sqrt(F.col("_n") + F.size("_other")))
+    near = common.numbered(near.select("file_id", "_n", "_other", "_s.dot", "_s.license"), "licence_passages")
+    one = near.select("_row", F.explode("_other").alias("t"))
+    # a stored list of words: of a size the planner knows
+    asked = common.stored(one.select("t").distinct(), "licence_terms")
+    held = files.select(F.explode(_terms(F.col("text"))).alias("t")).join(asked, "t").groupBy("t").agg(F.count(F.lit(1)).alias("held"))
+    rest = one.join(held, "t").groupBy("_row").agg(F.sum(F.pow(F.log((1 + n) / (1 + F.col("held"))) + 1, 2)).alias("_rest"))
+    score = F.col("dot") / F.sqrt(F.col("_n") + F.coalesce("_rest", F.lit(0.0)))
+    best = near.join(rest, "_row", "left").withColumn("score", score)
+    best = best.filter(F.col("score") >= least).select("file_id", F.round("score", 9).alias("score"), "license")
     return best.groupBy("file_id").agg(F.max("score").alias("score"), F.max_by("license", F.struct("score", F.col("license"))).alias("license"))
 
 

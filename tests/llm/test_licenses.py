@@ -1,6 +1,8 @@
 import math
 import re
 
+from pyspark.sql import functions as F
+
 from courtline.llm import licenses
 from courtline.llm.common import table
 from llm_util import collected, empty, odd_documents
@@ -91,3 +93,20 @@ def test_notices_over_several_lines(spark):
     by = {r["file_id"]: r["license"] for r in licenses.scan(files).collect()}
     assert [by[i] for i in range(1, 6)] == ["Apache-2.0", "Apache-2.0", "GPL-3.0", "MIT", None]
     assert sum(v is not None for v in by.values()) <= 6
+
+
+def test_frequencies_of_all_words_are_counted(spark):
+    line = "All of it was released under the MIT License as it is and was."
+    rows = [(1, "a/x.py", line), *[(100 + i, f"z/{i}", f"all of it was as it is and the other number{i}") for i in range(400)]]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    n = len(rows)
+    held = {w: sum(w in words(t) for _, _, t in rows) for w in words(line)}
+    weight = {w: math.log((1 + n) / (1 + c)) + 1 for w, c in held.items()}
+    v = words(licenses.TEMPLATES["MIT"])
+    want = math.sqrt(sum(weight[w] ** 2 for w in v) / sum(x**2 for x in weight.values()))
+    # as a line: the words of no template are in every file and weigh little
+    assert want > 0.75
+    one = files.withColumn("text", F.regexp_replace("text", "MIT License", "MIT all License"))
+    for r in licenses.own_licenses(one, {"MIT": licenses.TEMPLATES["MIT"]}).collect():
+        assert r["license"] == "MIT" and abs(r["score"] - want) < 1e-9
+    assert licenses.own_licenses(one, {"MIT": licenses.TEMPLATES["MIT"]}).count() == 1
