@@ -27,6 +27,22 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
 }
+# Notices that differ from those in a word or two, so that the nearest one decides.
+NEIGHBOURS = {
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
+    "MPL-1.1": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    "CC-BY-4.0": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0": "Licensed under CC0 1.0.",
+}
+NOTICES = TEMPLATES | NEIGHBOURS
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 
 
@@ -87,7 +103,7 @@ def frequencies(files: DataFrame, terms: set[str]) -> tuple[int, dict[str, int]]
     return row["n"], {r["t"]: r["count"] for r in held}
 
 
-def own_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.75, passage: str = "\n") -> DataFrame:
+def own_licenses(files: DataFrame, templates: Mapping[str, str] = NOTICES, least: float = 0.75, passage: str = "\n") -> DataFrame:
     """(file_id, license, score) for files with a passage whose cosine to a template is at least ``least``.
 
     Presence TF-IDF: a word weighs log((1 + files) / (1 + files with it)) + 1,
@@ -141,7 +157,7 @@ def own_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     return best.groupBy("file_id").agg(F.max("score").alias("score"), F.max_by("license", F.struct("score", F.col("license"))).alias("license"))
 
 
-def scan(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.75) -> DataFrame:
+def scan(files: DataFrame, templates: Mapping[str, str] = NOTICES, least: float = 0.75) -> DataFrame:
     """file_id, path, own_license, own_score, from_dir, inherited, license of every row of ``files`` (file_id, path, text).
 
     A licence file (LICENSE, COPYING or NOTICE) with a licence gives it to its

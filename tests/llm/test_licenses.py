@@ -110,3 +110,14 @@ def test_frequencies_of_all_words_are_counted(spark):
     for r in licenses.own_licenses(one, {"MIT": licenses.TEMPLATES["MIT"]}).collect():
         assert r["license"] == "MIT" and abs(r["score"] - want) < 1e-9
     assert licenses.own_licenses(one, {"MIT": licenses.TEMPLATES["MIT"]}).count() == 1
+
+
+def test_nearest_of_like_notices(spark):
+    names = sorted(licenses.NOTICES)
+    rows = [
+        *[(i, f"a{i}/LICENSE", licenses.NOTICES[name]) for i, name in enumerate(names)],
+        *[(100 + i, f"z/{i}", f"the work is under version 2 and 3 by number{i} of 4 or 1 or 0") for i in range(400)],
+    ]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r["file_id"]: (r["license"], r["score"]) for r in licenses.own_licenses(files).collect()}
+    assert got == {i: (name, 1.0) for i, name in enumerate(names)}
