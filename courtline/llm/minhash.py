@@ -11,11 +11,12 @@ minima at the cost of one or two hash passes over the set.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.llm import common
@@ -116,9 +117,13 @@ def _sketched(width: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            sets = [shingles(t, width) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([shingles(t, width).view(np.int64) for t in b.column("text").to_pylist()], pa.list_(pa.int64()))],
-                names=["id", "items"],
+                [
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["same", "items"],
             )
         _WORDS.clear()
 
@@ -134,11 +139,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
+#: Places of a class's number below its doc_id, and the numbers used of them (so that a quotient isn't rounded up).
+_UNIT, _USED = Decimal(10**18), 9 * 10**17
+
+
+def _class_of(doc_id: Column, same: Column) -> Column:
+    """A class's number, ordered by its smallest doc_id: classes of one doc_id differ by a hash of their sets."""
+    low = F.pmod(F.xxhash64(same), F.lit(_USED)).cast("decimal(18,0)")
+    return (doc_id.cast("decimal(19,0)") * F.lit(_UNIT) + low).cast("decimal(38,0)")
+
+
+def _id_of(number: Column) -> Column:
+    return F.floor(number / F.lit(_UNIT)).cast("long")
+
+
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
     Documents with equal shingle sets are one class, represented by the
-    smallest doc_id; classes that share a band are tested on their full sets,
+    smallest doc_id and the set (rows that repeat a doc_id with other texts are
+    other classes); classes that share a band are tested on their full sets,
     and links close transitively. Null, empty and wordless texts have no
     shingles and are linked with nothing: each is a component of its own.
     Repeated rows are in one component (and both ``kept`` if they share the
@@ -154,6 +174,11 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     what sets them apart from it (``_beyond``); no pair of a settled group is
     made and no link is lost.
     """
+    return _grouped(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``classes`` with ``same``, the digest of the row's set, and ``first``, whether its class is the one of its component to keep."""
     spark = docs.sparkSession
     common.short_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -161,18 +186,21 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         texts.mapInArrow(_sketched(width), "doc_id long, n_shingles long, same binary, bands array<long>"), "sketches"
     )
     full = rows.filter("n_shingles > 0")
-    same = full.groupBy("same").agg(F.min("doc_id").alias("class"))
+    same = full.groupBy("same").agg(F.min("doc_id").alias("doc_id")).withColumn("class", _class_of(F.col("doc_id"), F.col("same")))
     found = _links(texts, full, same, width, percent)
     merged = components(found)
     named = (
         same.join(merged.withColumnRenamed("node", "class"), "class", "left")
         .select("same", F.coalesce("component", "class").alias("_component"))
     )
+    component = F.when(F.col("n_shingles") > 0, _id_of(F.col("_component"))).otherwise(F.col("doc_id"))
     return rows.join(named, "same", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id")), F.lit(False)).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        "same",
+        F.coalesce((F.col("n_shingles") == 0) | (_class_of(F.col("doc_id"), F.col("same")) == F.col("_component")), F.lit(False)).alias("first"),
     )
 
 
@@ -187,21 +215,24 @@ RUNTIME_FILTER = {
 def _links(texts: DataFrame, full: DataFrame, same: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (a, b) between classes that make all links' components."""
     spark = texts.sparkSession
-    heads = full.select("same", "bands", "doc_id").join(
-        same.select("same", F.col("class").alias("doc_id")), ["same", "doc_id"]
-    ).dropDuplicates(["same"])
-    member = heads.select(F.col("doc_id").alias("id"), F.explode(F.transform("bands", lambda h, i: F.xxhash64(h, i))).alias("bucket"))
+    heads = full.select("same", "bands", "doc_id").join(same, ["same", "doc_id"]).dropDuplicates(["same"])
+    member = heads.select(F.col("class").alias("id"), "doc_id", "same", F.explode(F.transform("bands", lambda h, i: F.xxhash64(h, i))).alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = common.stored(member.join(shared, "bucket").drop("n"), "buckets")
     # a stored list of keys tells the planner its true size: it broadcasts a short one and else filters the texts
     # with a Bloom filter of it before they are shuffled
     for name, value in RUNTIME_FILTER.items():
         spark.conf.set(name, value)
-    near = common.stored(member.groupBy(F.col("id").alias("doc_id")).agg(F.count(F.lit(1)).alias("shared")), "near")
-    near = near.filter("shared > 0").select("doc_id")
-    # equal ids hold equal sets only by chance of repeated keys: one set is kept for each id
+    near = common.stored(member.groupBy("id", "doc_id", "same").agg(F.count(F.lit(1)).alias("shared")), "near").filter("shared > 0")
+    member = member.select("id", "bucket")
+    # of the texts of a repeated doc_id, those of the classes: rows meet by their sets
     sets = common.stored(
-        texts.join(near, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, items array<long>").dropDuplicates(["id"]), "sets"
+        texts.join(near.select("doc_id"), "doc_id", "left_semi")
+        .mapInArrow(_sets(width), "same binary, items array<long>")
+        .dropDuplicates(["same"])
+        .join(near.select("id", "same"), "same")
+        .select("id", "items"),
+        "sets",
     )
     # the items of each set that another candidate has: at most those are in an intersection
     item = sets.select("id", F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
@@ -267,14 +298,28 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id; all columns unchanged.
 
     Rows with a null doc_id and rows without words stay. Of repeated rows with
-    one doc_id and words, one stays.
+    one doc_id and one set of shingles, one stays; rows that repeat a doc_id with another
+    set are judged by that set, so that clean texts stay whatever their key.
     """
-    groups = common.stored(classes(docs, width, percent), "groups")
-    gone = groups.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
+    groups = common.stored(_grouped(docs, width, percent), "groups")
+    again = groups.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
+    again = common.stored(again, "again")
+    gone = groups.filter("NOT first AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone"), F.col("same").alias("_same")).distinct()
     gone = common.stored(gone, "gone")  # of a size the planner knows
-    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    again = groups.filter("kept AND n_shingles > 0").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
     if again.isEmpty():
-        return left
-    once = left.join(again, left["doc_id"] == again["_again"], "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, left["doc_id"] == again["_again"], "left_anti").unionByName(once)
+        return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    once = docs.join(again, docs["doc_id"] == again["_again"], "left_anti")
+    once = once.join(gone, once["doc_id"] == gone["_gone"], "left_anti")
+
+    @F.arrow_udf("binary")
+    def digest(texts: pa.Array) -> pa.Array:
+        """That of the set of shingles; null for a text without words."""
+        sets = [shingles(t, width) for t in texts.to_pylist()]
+        _WORDS.clear()
+        return pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+
+    rest = docs.join(again, docs["doc_id"] == again["_again"], "left_semi").withColumn("_set", digest("text"))
+    wordless = rest.filter("_set IS NULL").drop("_set")
+    rest = rest.filter("_set IS NOT NULL")
+    rest = rest.join(gone, (rest["doc_id"] == gone["_gone"]) & (rest["_set"] == gone["_same"]), "left_anti").dropDuplicates(["doc_id", "_set"]).drop("_set")
+    return once.unionByName(rest).unionByName(wordless)

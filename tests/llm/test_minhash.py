@@ -119,3 +119,16 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_ids_with_different_texts(spark):
+    """One key on many clean texts, and on a copy of another document: every distinct text stays once."""
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    clean, copied, negative = [text() for _ in range(30)], text(), text()
+    rows = [*[(7, t) for t in clean], (7, clean[0]), (3, copied), (7, copied + " end"), (7, ""), (-5, negative), (9, negative + " end"), (12, clean[4] + " end")]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [*[(7, t) for t in clean], (3, copied), (7, ""), (-5, negative)]
+    assert sorted(map(tuple, kept.collect())) == sorted(want)
+    got = minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["component_id"] for r in got) == sorted([7] * 33 + [3] * 2 + [-5] * 2)
