@@ -161,10 +161,21 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` whose language is known (not ``und``), all columns unchanged."""
+    """The rows of ``docs`` whose language is known (not ``und``), all columns unchanged.
+
+    Where nothing could be learned, the rows whose text has a letter.
+    """
     common.short_batches(docs.sparkSession)
-    language = predictor(docs.sparkSession, model or fit(docs))
+    model = model or fit(docs)
+    language = predictor(docs.sparkSession, model)
     name = "_language"
     while name in docs.columns:
         name += "_"
+    if not model.langs:
+
+        @F.arrow_udf("boolean")
+        def lettered(texts: pa.Array) -> pa.Array:
+            return pa.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()], pa.bool_())
+
+        return docs.withColumn(name, lettered(docs["text"])).filter(F.col(name)).drop(name)
     return docs.withColumn(name, language(docs["text"])).filter(F.col(name)["lang_pred"] != UNKNOWN).drop(name)

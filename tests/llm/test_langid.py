@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from courtline.llm import langid
 from courtline.llm.common import table
 from llm_util import collected, empty, odd_documents
@@ -58,3 +60,10 @@ def test_kernel_is_shared_ngrams_over_norms():
     plain = [{t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)} for t in texts]
     want = [[len(a & b) / (len(a) * len(b)) ** 0.5 for b in plain] for a in plain]
     assert np.allclose(model.scores(grams), want, atol=1e-5)
+
+
+def test_filter_keeps_texts_where_nothing_could_be_learned(spark):
+    docs = odd_documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = langid.keep_known(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [1, 2, 2, 7, 8, 9, 11]
