@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import chat, imatch, langid, licenses, minhash, mixing, oracle, packing, pii, runs, sharding, topk
+from courtline.llm import chat, imatch, langid, licenses, minhash, mixing, oracle, packing, pii, runs, sharding, topk, trie
 from courtline.llm.common import table
 
 
@@ -57,6 +57,10 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare(table(spark, sf_dir, "documents"))
 
 
+def prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": chats,
     "op9_topk": nearest_vectors,
     "op10_imatch": fingerprints,
+    "op11_trie": prefixes,
     "op12_runs": word_runs,
 }
 

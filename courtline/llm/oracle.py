@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtline.llm import chat
+from courtline.llm import chat, trie
 from courtline.llm.licenses import TEMPLATES
 
 # Pairs that share a shingle, tested on their full sets; components by reachability.
@@ -96,4 +96,5 @@ ORACLE_SQL = {
     "op5_licenses": LICENSES,
     "op8_chat": chat.ORACLE,
     "op9_topk": NEAREST_VECTORS,
+    "op11_trie": trie.ORACLE,
 }
