@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import chat, imatch, langid, licenses, minhash, mixing, oracle, packing, pii, runs, sharding, topk, trie
+from courtline.llm import chat, extraction, imatch, langid, licenses, minhash, mixing, oracle, packing, pii, runs, sharding, topk, trie
 from courtline.llm.common import table
 
 
@@ -65,6 +65,10 @@ def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic(table(spark, sf_dir, "documents"))
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": languages,
     "op2_minhash": near_duplicates,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_imatch": fingerprints,
     "op11_trie": prefixes,
     "op12_runs": word_runs,
+    "op13_extraction": main_texts,
 }
 
 ORACLE_SQL = oracle.ORACLE_SQL

@@ -162,22 +162,26 @@ def _rolled(blocks: DataFrame, **sums: str) -> DataFrame:
 def _sha256(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted pieces of the nodes' lists of ids to digests; a piece is all that is held of a list."""
     at, digest = None, None
+    out: list[tuple] = []
 
     def told() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in at), pa.array([digest.hexdigest()])], names=[*_NODE, "ends_sha256"])
+        columns = zip(*out, strict=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == len(_NODE) else pa.int64()) for i, c in enumerate(columns)], names=[*_NODE, "ends_sha256"])
+        out.clear()
+        return batch
 
     for batch in batches:
-        out = []
         for *node, ids in zip(*(batch.column(c).to_pylist() for c in (*_NODE, "ids")), strict=True):
-            if node != at:
-                if at is not None:
-                    out.append(told())
-                at, digest = node, hashlib.sha256(ids.encode())
-            else:
+            if node == at:
                 digest.update(b"," + ids.encode())
+                continue
+            if at is not None:
+                out.append((*at, digest.hexdigest()))
+            at, digest = node, hashlib.sha256(ids.encode())
         if out:
-            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+            yield told()
     if at is not None:
+        out.append((*at, digest.hexdigest()))
         yield told()
 
 

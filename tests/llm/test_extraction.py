@@ -1,0 +1,176 @@
+import duckdb
+import pytest
+
+from courtline.llm import catalog, extraction
+from courtline.llm.extraction import Page
+
+SCHEMA = "page_id long, url string, html string, text string, host string, region string, _row string"
+SF = "/root/testdata/sf0.01"
+
+
+def one(html):
+    """A page's main text by itself."""
+    page = Page(html)
+    return page.chosen(extraction.region_of([(t, p, w, k) for t, p, _, w, k in page.tokens()]))
+
+
+def article_of(html):
+    """The given tables' pages, read another way: what stands between the article's tags, cut at its blocks' tags."""
+    import html as entities
+    import re
+
+    body = re.search("<article>(.*?)(?:</article>|$)", html, re.DOTALL)[1]
+    blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", "", re.sub("<br>", " ", b))).split()) for b in re.split("</?(?:p|h1)>", body)]
+    return "\n\n".join(b for b in blocks if b)
+
+
+LAYOUT = """<!doctype html><HTML><head><title>{n} &mdash; site</title><style>p > a {{ color: red }}</style>
+<script>if (a < b) document.write("<article><p>no</p></article>")</script></head><body class="home has-sidebar">
+<header><h1>The Site</h1><form action="/s"><input name=q><button>Search it</button></form></header>
+<nav><ul><li><a href="/">Home</a><li><a href='/news?x=1>2'>News</a></ul></nav>
+<div class="cookie-notice"><p>We use cookies on page {n}.</p></div><div id="ad-{n}">Buy {n} now</div>
+<div id="content"><article class="post-{n}"><h1>Title {n} &amp; more</h1><p>First   paragraph
+of {n}.<p>Second &eacute;t&eacute; <b>bold<br>line</b> <a href=x>link</a>.</p><div class="share">Share this</div><blockquote>Quoted {n}</blockquote>
+<ul><li>One<li>Two</ul><section id="comments"><h2>Comments</h2><p>Reader says {n}</p></section></article>
+<aside><h3>Related</h3><p>Elsewhere {n}</p></aside></div>
+<footer><p>&copy; The Site {n}</p></footer></body></html>"""
+WANTED = "Title {n} & more|First paragraph of {n}.|Second été bold line link.|Quoted {n}|One|Two"
+
+
+def test_article_without_the_rest():
+    assert one(LAYOUT.format(n=7)) == WANTED.format(n=7).split("|")
+
+
+def test_references_and_white_space():
+    said = one("<article><p>a&nbsp;&#233;&#x1F600; &lt;b&gt; &amp;amp; &xyz; 3 < 4 &am</p><pre>  x\n\ty </pre><p> \n </p></article>")
+    assert said == ["a é😀 <b> &amp; &xyz; 3 < 4 &am", "x y"]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("", []),
+        ("   ", []),
+        ("no markup at all", ["no markup at all"]),
+        ("<p>one<p>two", ["one", "two"]),
+        ("<article><h1>t</h1><p>cut off in <b>a wor", ["t", "cut off in a wor"]),
+        ("<article><p>kept</p><a href='never ends", ["kept"]),
+        ("<article><p>kept<!-- never ends <p>gone", ["kept"]),
+        ("<article><p>kept<script>never ends <p>gone</p>", ["kept"]),
+        ("<nav><a>only</a> a menu</nav><footer>f</footer>", []),
+        ("</div></p></article><article><p>stray ends</p></div></article>", ["stray ends"]),
+        ('<article><p title="a > b">quoted</p><p title=">odd>two</p></article>', ["quoted", "odd>two"]),
+        ("<article><h1>Head</h1><p><b>Bold.<br><p>Next.</p></article><div class=ad>x</div>", ["Head", "Bold.", "Next."]),
+        ("<div class='soft banner'><article><p>the article wins</p></article></div>", ["the article wins"]),
+        ("<div><p>" + "long text " * 30 + "</p></div><div class='Comments'><p>reader</p></div>", ["long text " * 29 + "long text"]),
+        ("<article><table><tr><td>a<td>b<tr><td>c</table><p>d</article>", ["a", "b", "c", "d"]),
+    ],
+)
+def test_odd_markup(html, want):
+    assert one(html) == want
+
+
+def test_deep_and_long_pages_are_linear():
+    deep = "<article>" + "<div>x" * 30_000
+    assert one(deep) == ["x"] * 30_000
+    assert one("<article>" + "<p>y</p>" * 100_000) == ["y"] * 100_000
+    assert one("<article><p>z</p>" + '<a href="q' * 2_000) == ["z"]
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", "z", "w") for r in rows], SCHEMA).repartition(5)
+
+
+def soup(i, host, lead="", tail=""):
+    """No article, no telling names: only the template says what is a menu."""
+    return (
+        i,
+        f"https://{host}/p/{i}",
+        f"<html><body><div class='q1'>Home News Sport All about us and what we do every day of the year</div>{lead}<div class='q2'>"
+        + "".join(f"<p>Page {i} sentence {k} has words of its own and goes on for a while</p>" for k in range(3 + i % 4))
+        + f"<p>All our stories are free</p></div>{tail}<div class='q3'>Write to us at the usual place, we read it all</div></body></html>",
+    )
+
+
+def want_soup(i):
+    return "\n\n".join(f"Page {i} sentence {k} has words of its own and goes on for a while" for k in range(3 + i % 4))
+
+
+@pytest.mark.parametrize("bound", [extraction.BROADCAST, -1])
+def test_template_finds_slots(spark, bound):
+    rows = [soup(i, "a.example") for i in range(20)] + [soup(i, "b.example", lead="<span>x</span>") for i in range(100, 104)]
+    got = {r["page_id"]: r for r in extraction.extract(pages_of(spark, rows), bound).collect()}
+    for i, r in got.items():
+        assert (r["text"], r["by"], r["n_chars"]) == (want_soup(i), "template", len(want_soup(i)))
+
+
+def test_classes_against_brute_force(spark):
+    """Vectors, support, size and order, host by host."""
+    rows = [soup(i, f"h{i % 3}.example", lead="<i>l</i>" * (i % 2), tail="<hr>" * (i % 5)) for i in range(30)]
+    rows += [(100 + i, "https://h9.example/", LAYOUT.format(n=i)) for i in range(4)] + [(200, "https://single.example/", LAYOUT.format(n=1))]
+    df = pages_of(spark, rows).selectExpr("split(url, '/')[2] AS host", "page_id AS _row", "html")
+    tokens = df.mapInArrow(extraction._tokenised, extraction._TOKENS)
+    got = {}
+    for r in extraction.classes(tokens).collect():
+        got.setdefault((r["host"], r["class"]), set()).add(r["t"])
+    pages = {}
+    for r in df.collect():
+        pages.setdefault(r["host"], []).append([t for t in Page(r["html"]).tokens()])
+    want = set()
+    for host, all_ in pages.items():
+        vectors, info = {}, {}
+        for i, tokens_ in enumerate(all_):
+            for t, parent, n, _, kind in tokens_:
+                vectors.setdefault(t, []).append((i, n))
+                info[t] = parent, kind
+        by = {}
+        for t, v in vectors.items():
+            if len(v) >= max(2, len(all_) / 2):
+                by.setdefault(tuple(v), []).append(t)
+        for members in by.values():
+            if sum(1 if info[t][1] & extraction.TEXT else 2 for t in members) < 3:
+                continue
+            kept = set()
+            for parent in {info[t][0] for t in members}:
+                group = [t for t in members if info[t][0] == parent]
+                orders = {tuple(t for t, *_ in tokens_ if t in group) for tokens_ in all_}
+                if len(orders - {()}) == 1:
+                    kept |= set(group)
+            if kept:
+                want.add((host, frozenset(kept)))
+    assert {(h, frozenset(v)) for (h, _), v in got.items()} == want
+    assert not any(h == "single.example" for h, _ in want)
+
+
+def test_siblings_that_change_places_are_not_a_template(spark):
+    swapped = [(i, "http://s.example/", f"<div><u>1</u></div><div class=a><p>{'a' * i}x</p></div><div class=b></div>") for i in range(1, 5)]
+    swapped += [(9, "http://s.example/", "<div><u>1</u></div><div class=b></div><div class=a><p>x</p></div>")]
+    df = pages_of(spark, swapped).selectExpr("split(url, '/')[2] AS host", "page_id AS _row", "html")
+    kept = {r["t"] for r in extraction.classes(df.mapInArrow(extraction._tokenised, extraction._TOKENS)).collect()}
+    a, b, plain = (extraction._hashed(f"0/{s}") for s in ("div.a#", "div.b#", "div"))
+    assert a not in kept and b not in kept and plain not in kept  # all three are siblings of one class
+    assert extraction._hashed(f"{plain}/u") in kept  # other siblings of that class stay
+
+
+def test_query(spark):
+    got = {r["page_id"]: r for r in catalog.QUERIES["op13_extraction"](spark, SF).collect()}
+    rows = duckdb.connect().sql(f"SELECT page_id, url, html FROM '{SF}/pages.parquet'").fetchall()
+    assert len(got) == len(rows)
+    for i, url, html in rows:
+        assert got[i]["text"] == article_of(html) and got[i]["url"] == url and got[i]["n_chars"] == len(got[i]["text"])
+    assert sum(r["by"] == "template" for r in got.values()) > 200
+
+
+def test_odd_rows(spark):
+    rows = [soup(i, "c.example") for i in range(4)] + [soup(3, "c.example")]  # a repeated row
+    rows += [(50, None, LAYOUT.format(n=1)), (51, "c.example/no-scheme", LAYOUT.format(n=2)), (52, "https://c.example/", None), (None, "https://c.example/", "")]
+    rows += [(None, None, None), (53, "HTTPS://user@C.example:80/x", "<article>" + "<p>very long " * 100_000)]
+    got = sorted(((r["page_id"] or -1, r["text"]) for r in extraction.extract(pages_of(spark, rows)).collect()))
+    want = [(i, want_soup(i)) for i in (0, 1, 2, 3, 3)] + [(50, WANTED.format(n=1).replace("|", "\n\n")), (51, WANTED.format(n=2).replace("|", "\n\n"))]
+    assert got == sorted([*((i or -1, t) for i, t in want), (52, ""), (-1, ""), (-1, ""), (53, "\n\n".join(["very long"] * 100_000))])
+    assert extraction.extract(pages_of(spark, rows).limit(0)).count() == 0
+
+
+def test_pages_are_not_shuffled(spark):
+    plan = catalog.QUERIES["op13_extraction"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange") == plan.count("BroadcastExchange")
