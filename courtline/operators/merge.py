@@ -14,15 +14,27 @@ and duplicate incoming keys fail the run (or keep the latest row with
 ``on_duplicate="latest"``), as a warehouse MERGE does.
 
 A run never changes files a reader may hold. It writes the years it touches as
-new folders and then commits a manifest that names one folder for each year;
-the highest manifest is the table. A run that fails at any point leaves the
-table as it was, and running it again is safe.
+new folders of its own and then commits a manifest that names one folder for
+each year; the highest manifest is the table. A run that fails at any point
+leaves the table as it was, and running it again is safe.
+
+Runs may overlap. A run remembers the version it read and commits the next one
+only if no other run has. If one has, the years that it changed are compared
+with what this run read: if they hold none of its keys and none of its years,
+its own years are put into the newer manifest; else the run is made anew on it.
+So the outcome is that of some order of the runs.
+
+Beside each year's rows lie its keys, bucketed by key. A run matches its keys
+there: the target side of that join is read as it lies, without an exchange.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import re
+import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -191,9 +203,14 @@ def clustered(df: DataFrame) -> DataFrame:
 MAX_RECORDS_PER_FILE = 5_000_000
 
 # Partition column above the year folders: the run that wrote them.
-_VERSION = "VERSION"
+_RUN = "RUN"
 
 FACT_TABLE_SCHEMA = T.StructType(schemas.FACT.fields + [T.StructField(YEAR, schemas.LONG, True)])
+_KEY_SCHEMA = T.StructType([f for f in schemas.FACT.fields if f.name in KEYS])
+
+
+class ConcurrentRuns(RuntimeError):
+    """Other runs committed first, again and again."""
 
 
 @dataclass
@@ -203,20 +220,28 @@ class MergeResult:
     incoming_rows: int
     years_written: list = field(default_factory=list)
     years_dropped: list = field(default_factory=list)
+    version: int = 0
+    #: How often the run was made anew or put on a newer version, because another one had committed.
+    conflicts: int = 0
 
 
 class FactTable:
     """The year-partitioned, keyed fact table at ``path``.
 
     ``path/_manifests/<n>.json`` names, for each year, the folder
-    ``data/<version>/GAME_YEAR=<year>`` that holds it; the highest n is the
-    table. Folders that no kept manifest names are removed by ``vacuum``.
+    ``data/RUN=<run>/GAME_YEAR=<year>`` with its rows and the one under
+    ``keys`` with its keys in buckets. Their number is set when the table is
+    created (``buckets``, or that session's ``spark.sql.shuffle.partitions``);
+    a join reads them as they lie in sessions with no more shuffle partitions.
+    The highest n is the table. Folders that no kept manifest names are
+    removed by ``vacuum``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, buckets: int | None = None):
         self.path = path.rstrip("/")
         self.rejects_path = self.path + "_rejects"
         self.manifests = f"{self.path}/_manifests"
+        self.buckets = buckets
 
     # -------------------------------------------------------------- read ---
 
@@ -224,27 +249,31 @@ class FactTable:
         names = storage.list_names(spark, self.manifests)
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
+    def _entries(self, spark: SparkSession, version: int) -> list[dict]:
+        return json.loads(storage.read_text(spark, f"{self.manifests}/{version}.json")) if version else []
+
+    def _latest(self, spark: SparkSession) -> int:
+        """The highest version, 0 for no table."""
+        return max(self.versions(spark), default=0)
+
     def manifest(self, spark: SparkSession, version: int | None = None) -> dict[int | None, str]:
         """Year -> folder below ``path``; the latest version unless given, empty for no table."""
-        if version is None:
-            found = self.versions(spark)
-            if not found:
-                return {}
-            version = found[-1]
-        entries = json.loads(storage.read_text(spark, f"{self.manifests}/{version}.json"))
-        return {e["year"]: e["folder"] for e in entries}
+        version = self._latest(spark) if version is None else version
+        return {e["year"]: e["folder"] for e in self._entries(spark, version)}
 
     def exists(self, spark: SparkSession) -> bool:
         return bool(self.versions(spark))
 
     def read(self, spark: SparkSession, version: int | None = None, years=None) -> DataFrame:
         """The table (of a version, of some ``years``) as one scan of the folders that its manifest names."""
-        folders = [f for y, f in self.manifest(spark, version).items() if years is None or y in years]
+        return self._scan(spark, [f for y, f in self.manifest(spark, version).items() if years is None or y in years])
+
+    def _scan(self, spark: SparkSession, folders: list[str]) -> DataFrame:
         if not folders:
             return spark.createDataFrame([], FACT_TABLE_SCHEMA)
-        schema = T.StructType([*FACT_TABLE_SCHEMA.fields, T.StructField(_VERSION, schemas.LONG, True)])
+        schema = T.StructType([*FACT_TABLE_SCHEMA.fields, T.StructField(_RUN, T.StringType(), True)])
         paths = [f"{self.path}/{f}" for f in folders]
-        return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).drop(_VERSION)
+        return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).drop(_RUN)
 
     def years(self, spark: SparkSession) -> list:
         """Years present (None for rows without a GAME_DATE)."""
@@ -261,6 +290,30 @@ class FactTable:
         rows = self.read(spark, years={y for y in self.years(spark) if y is not None and s.year <= y <= e.year})
         return rows.where(F.col(YEAR).between(s.year, e.year) & F.col("GAME_DATE").between(F.lit(s), F.lit(e)))
 
+    def keys(self, spark: SparkSession, version: int | None = None) -> tuple[DataFrame, str | None]:
+        """The table's keys with their years, as a bucketed scan, and the name of its catalog entry (to be dropped).
+
+        Spark knows buckets by the catalog only, so the folders that the
+        manifest names are entered as partitions of an external table of this
+        session; dropping it leaves them as they are.
+        """
+        version = self._latest(spark) if version is None else version
+        entries = self._entries(spark, version)
+        if not entries:
+            return spark.createDataFrame([], T.StructType([*_KEY_SCHEMA.fields, T.StructField(YEAR, schemas.LONG, True)])), None
+        name = f"courtline_keys_{uuid.uuid4().hex}"
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _KEY_SCHEMA.fields)
+        by = ", ".join(KEYS)
+        # one partition column, a number of the entry: null years are partitions like others
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}, AT INT) USING parquet PARTITIONED BY (AT) "
+            f"CLUSTERED BY ({by}) INTO {entries[0]['buckets']} BUCKETS LOCATION '{_quoted(self.path)}/keys'"
+        )
+        parts = " ".join(f"PARTITION (AT = {i}) LOCATION '{_quoted(self.path)}/{_quoted(e['keys'])}'" for i, e in enumerate(entries))
+        spark.sql(f"ALTER TABLE {name} ADD {parts}")
+        years = F.element_at(F.array(*[F.lit(e["year"]).cast("bigint") for e in entries]), F.col("AT") + 1)
+        return spark.table(name).select(*KEYS, years.alias(YEAR)), name
+
     # ------------------------------------------------------------- write ---
 
     def merge(
@@ -271,6 +324,7 @@ class FactTable:
         *,
         full_refresh: bool = False,
         on_duplicate: str = "error",
+        attempts: int = 5,
     ) -> MergeResult:
         """Create, fully refresh, or incrementally merge the table.
 
@@ -279,25 +333,38 @@ class FactTable:
         The target's keys are joined once, with the distinct incoming keys;
         the answer (which keys the target has, in which years) is stored and
         serves for the past rows to insert, the years to rewrite and the
-        target rows to replace.
+        target rows to replace. Where another run's commit changed what this
+        one read, it is made anew, ``attempts`` times at most.
         """
-        old = self.manifest(spark)
+        for made in range(attempts):
+            out = self._merge_once(spark, current, past, full_refresh, on_duplicate)
+            if out is not None:
+                out.conflicts += made
+                return out
+        raise ConcurrentRuns(f"{attempts} runs on {self.path} met commits of other runs; run again")
+
+    def _merge_once(self, spark: SparkSession, current: DataFrame, past: DataFrame, full_refresh: bool, on_duplicate: str) -> MergeResult | None:
+        base = self._latest(spark)
+        old = {e["year"]: e for e in self._entries(spark, base)}
         incremental = not full_refresh and bool(old)
         scratch: list[str] = []
+        entered: list[str] = []
         try:
             moved: set = set()
             if incremental:
-                target = self.read(spark)
-                asked = current.select(*KEYS).union(past.select(*KEYS)).distinct()
-                met, p = _stage(spark, target.select(*KEYS, YEAR).join(asked, KEYS, "left_semi"), "met-keys")
+                asked, p = _stage(spark, current.select(*KEYS).union(past.select(*KEYS)).distinct(), "asked-keys")
+                scratch.append(p)
+                target, name = self.keys(spark, base)
+                entered.append(name)
+                met, p = _stage(spark, target.join(asked, KEYS, "left_semi"), "met-keys")
                 scratch.append(p)
                 fresh = past.join(met.select(*KEYS), KEYS, "left_anti").select(*current.columns)
                 incoming = with_year(union_all(current, fresh))
-                # Incoming rows come out of the anti join and are read several times below.
-                incoming, p = _stage(spark, incoming, "incoming")
-                scratch.append(p)
             else:
                 incoming = with_year(union_all(current, past.select(*current.columns)))
+            # Incoming rows come out of casts and joins and are read several times below.
+            incoming, p = _stage(spark, incoming, "incoming")
+            scratch.append(p)
             try:
                 checked, rep = validate_keys(incoming, on_duplicate=on_duplicate)
             except NullKeyError as e:
@@ -318,47 +385,104 @@ class FactTable:
                 # Years of target rows that are replaced (a game may move to another year).
                 replaced = met.join(current.select(*KEYS), KEYS, "left_semi")
                 moved = {r[0] for r in replaced.select(YEAR).distinct().collect()}
-                kept = self.read(spark, years=in_years | moved).join(replaced.select(*KEYS), KEYS, "left_anti")
+                kept = self._scan(spark, [e["folder"] for y, e in old.items() if y in in_years | moved])
+                kept = kept.join(replaced.select(*KEYS), KEYS, "left_anti")
                 source = kept.unionByName(incoming.select(*kept.columns))
             touched = in_years | moved if incremental else in_years | set(old)
-
-            version = max([0, *self.versions(spark), *self._data_versions(spark)]) + 1
-            folder = f"data/{_VERSION}={version}"
-            if touched:
-                (
-                    clustered(source)
-                    .write.mode("errorifexists")
-                    .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-                    .partitionBy(YEAR)
-                    .parquet(f"{self.path}/{folder}")
-                )
-            present = _years_at(spark, f"{self.path}/{folder}") if touched else set()
-            new = {y: f for y, f in old.items() if y not in touched} if incremental else {}
-            new |= {y: f"{folder}/{YEAR}={_NULL_FOLDER if y is None else y}" for y in present}
-            entries = [{"year": y, "folder": new[y]} for y in sorted(new, key=lambda y: (y is None, y))]
-            if not storage.write_text(spark, f"{self.manifests}/{version}.json", json.dumps(entries)):
-                raise RuntimeError(f"version {version} of {self.path} was committed by another run; run again")
-            dropped = sorted((y for y in old if y not in new), key=lambda y: (y is None, y))
-            written = sorted(present, key=lambda y: (y is None, y))
+            own = self._write(spark, source, base, _buckets(spark, old, self.buckets)) if touched else {}
+
+            version, now, conflicts = base, old, 0
+            while True:
+                kept_years = {y: e for y, e in now.items() if y not in touched} if incremental else {}
+                entries = sorted((kept_years | own).values(), key=lambda e: (e["year"] is None, e["year"]))
+                # a manifest that was committed and vacuumed since must not be written again
+                if self._latest(spark) == version and storage.write_text(spark, f"{self.manifests}/{version + 1}.json", json.dumps(entries)):
+                    break
+                conflicts += 1
+                version = self._latest(spark)
+                now = {e["year"]: e for e in self._entries(spark, version)}
+                if conflicts > 20:
+                    return None
+                if not full_refresh and not (incremental and self._untouched(spark, old, now, touched, asked)):
+                    return None  # a full refresh replaces whatever there is
+            dropped = sorted((y for y in now if y not in kept_years and y not in own), key=lambda y: (y is None, y))
+            written = sorted(own, key=lambda y: (y is None, y))
             mode = "incremental" if incremental else "full_refresh" if old else "create"
-            return MergeResult(self.path, mode, n_in, written, dropped)
+            return MergeResult(self.path, mode, n_in, written, dropped, version + 1, conflicts)
         finally:
+            for name in entered:
+                if name:
+                    spark.sql(f"DROP TABLE IF EXISTS {name}")
             for p in scratch:
                 storage.delete(spark, p)
 
-    def _data_versions(self, spark: SparkSession) -> list[int]:
-        return [int(v) for v in storage.list_partition_values(spark, f"{self.path}/data", _VERSION)]
+    def _write(self, spark: SparkSession, source: DataFrame, base: int, buckets: int) -> dict:
+        """Write rows and keys of the touched years into folders of this run's own: year -> manifest entry."""
+        run = f"{base + 1}-{uuid.uuid4().hex}"
+        rows, keys = f"data/{_RUN}={run}", f"keys/{_RUN}={run}"
+        (
+            clustered(source)
+            .write.mode("errorifexists")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .partitionBy(YEAR)
+            .parquet(f"{self.path}/{rows}")
+        )
+        written = self._scan_run(spark, rows).select(*KEYS, YEAR)
+        name = f"courtline_keys_{uuid.uuid4().hex}"
+        try:
+            (
+                written.repartition(buckets, *KEYS)
+                .write.partitionBy(YEAR)
+                .bucketBy(buckets, *KEYS)
+                .option("path", f"{self.path}/{keys}")
+                .format("parquet")
+                .saveAsTable(name)
+            )
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        out = {}
+        for y in _years_at(spark, f"{self.path}/{rows}"):
+            year = f"{YEAR}={_NULL_FOLDER if y is None else y}"
+            out[y] = {"year": y, "folder": f"{rows}/{year}", "keys": f"{keys}/{year}", "buckets": buckets}
+        return out
+
+    def _scan_run(self, spark: SparkSession, rows: str) -> DataFrame:
+        return spark.read.schema(FACT_TABLE_SCHEMA).parquet(f"{self.path}/{rows}")
+
+    def _untouched(self, spark: SparkSession, old: dict, newer: dict, touched: set, asked: DataFrame) -> bool:
+        """Whether what others changed since ``old`` has no part in this run: neither its years nor its keys."""
+        changed = {y for y in set(old) | set(newer) if old.get(y) != newer.get(y)}
+        if changed & touched:
+            return False
+        folders = [m[y]["keys"] for m in (old, newer) for y in changed if y in m]
+        if not folders:
+            return True
+        there = spark.read.schema(_KEY_SCHEMA).parquet(*[f"{self.path}/{f}" for f in folders])
+        return there.join(asked, KEYS, "left_semi").isEmpty()
+
+    def vacuum(self, spark: SparkSession, keep: int = 2, older_than_hours: float = 24.0) -> list[str]:
+        """Remove data that none of the last ``keep`` versions names, and older manifests; returns the removed runs.
 
-    def vacuum(self, spark: SparkSession, keep: int = 2) -> list[int]:
-        """Remove data that none of the last ``keep`` versions names, and older manifests; returns the removed data versions."""
+        What is younger than ``older_than_hours`` stays: folders may be those of
+        a run that has not committed yet, manifests tell such a run that
+        others have, and someone may be reading.
+        """
         found = self.versions(spark)
-        kept = found[-keep:]
-        named = {int(f.split("/")[1].partition("=")[2]) for v in kept for f in self.manifest(spark, v).values()}
-        for v in found[: -keep or None]:
+        if not found or keep < 1:
+            return []
+        before = time.time() - older_than_hours * 3600
+        old = [v for v in found[:-keep] if storage.modified(spark, f"{self.manifests}/{v}.json") <= before]
+        named = {re.search(f"{_RUN}=([^/]+)", e["folder"])[1] for v in found if v not in old for e in self._entries(spark, v)}
+        for v in old:
             storage.delete(spark, f"{self.manifests}/{v}.json")
-        gone = [v for v in self._data_versions(spark) if v not in named and kept and v < kept[-1]]
-        for v in gone:
-            storage.delete(spark, f"{self.path}/data/{_VERSION}={v}")
+        gone = []
+        for kind in ("data", "keys"):
+            for run in storage.list_partition_values(spark, f"{self.path}/{kind}", _RUN):
+                folder = f"{self.path}/{kind}/{_RUN}={run}"
+                if run not in named and storage.modified(spark, folder) <= before:
+                    storage.delete(spark, folder)
+                    if run not in gone:
+                        gone.append(run)
         return gone
 
 
@@ -366,6 +490,16 @@ class FactTable:
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
+def _buckets(spark: SparkSession, entries: dict, given: int | None) -> int:
+    """That of the table, else the given number, else the session's shuffle partitions."""
+    of_table = next((e["buckets"] for e in entries.values()), None)
+    return of_table or given or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _years_at(spark: SparkSession, path: str) -> set:
     return {
         None if v == _NULL_FOLDER else int(v)

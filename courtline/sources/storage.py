@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -28,6 +29,12 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     return bool(fs.delete(p, recursive))
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When ``path`` was last written to, in seconds since 1970."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def list_partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of ``column=value`` folders directly under ``path``."""
     fs, p = _fs(spark, path)
@@ -48,6 +55,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def list_data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path`` that Spark reads (not hidden, not markers)."""
+    fs, p = _fs(spark, path)
+    names = [(st.getPath().getName(), st.isFile()) for st in fs.listStatus(p)]
+    return sorted(n for n, is_file in names if is_file and not n.startswith(("_", ".")))
+
+
 def leaf_folders(spark: SparkSession, root: str, columns) -> list[tuple[str, ...]]:
     """Value tuples of the partition folders ``root/<c1>=…/<c2>=…`` (a listing; no data is read)."""
     columns = list(columns)
@@ -62,16 +76,29 @@ def leaf_folders(spark: SparkSession, root: str, columns) -> list[tuple[str, ...
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text`` in one step (written aside, then renamed); False if it is there already."""
+    """Create ``path`` with ``text`` in one step; False if it is there already.
+
+    The text is written aside and renamed without replacing, which of several
+    writers one can do (HDFS and other file systems with an atomic rename).
+    """
+    jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
     _, aside = _fs(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
     out = fs.create(aside, False)
     out.write(text.encode())
     out.close()
-    done = not fs.exists(p) and bool(fs.rename(aside, p))
-    if not done:
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.NONE
+    try:
+        files.rename(fs.makeQualified(aside), fs.makeQualified(p), how)
+        return True
+    except Py4JJavaError as e:
         fs.delete(aside, False)
-    return done
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:
