@@ -34,12 +34,21 @@ GAME_TYPES = ("Regular Season", "Playoffs")
 
 @dataclass
 class LandingResult:
-    """What a landing wrote. ``no_season`` has the rows read without a season, which no season's report counts."""
+    """What a landing wrote, and what it did not.
+
+    ``no_season`` counts the rows read without a season, which no season's
+    report counts; ``skipped`` has the listed seasons without an extract,
+    ``unlisted`` the seasons with an extract that are not listed (not landed);
+    ``failed`` the files that could not be read (SEASON, FILE, ERROR), whose
+    folders were left out.
+    """
 
     path: str
     rows: DataFrame
     skipped: DataFrame | None = None
     no_season: int = 0
+    unlisted: DataFrame | None = None
+    failed: DataFrame | None = None
 
 
 # --------------------------------------------------------- dimensions ---
@@ -65,12 +74,27 @@ def _prepare(df: DataFrame) -> DataFrame:
     return conform.parse_dates(conform.fill_stats(df))
 
 
-def _read(spark: SparkSession, root: str, game_types, seasons=None) -> DataFrame:
+def _read(spark: SparkSession, root: str, game_types, seasons=None, failed: list | None = None) -> DataFrame:
     return landed.read_game_logs(
-        spark, root, seasons=seasons, game_types=game_types, with_game_type=game_types is not None
+        spark, root, seasons=seasons, game_types=game_types, with_game_type=game_types is not None, failed=failed
     )
 
 
+def _failures(spark: SparkSession, failed: list) -> DataFrame:
+    """One row for each unreadable file."""
+    return spark.createDataFrame([(values[0], file, error) for values, file, error in failed], "SEASON string, FILE string, ERROR string")
+
+
+def _coverage(spark: SparkSession, extracts_root: str, team_totals_root: str | None):
+    """(listed seasons, those without an extract, extracts' seasons that are not listed); nulls without yearly totals."""
+    if team_totals_root is None:
+        return None, None, None
+    wanted = split.seasons(landed.read_team_year_totals(spark, team_totals_root))
+    have = spark.createDataFrame([(s,) for s in landed.list_seasons(spark, extracts_root)], "SEASON string")
+    listed = [r["SEASON"] for r in wanted.collect()]  # one row for each season ever played
+    return listed, reports.skipped_seasons(wanted, have), reports.skipped_seasons(have, wanted)
+
+
 def _rows_without_season(df: DataFrame) -> int:
     return df.where(F.col("SEASON").isNull()).count()
 
@@ -97,6 +121,7 @@ def land_past(
     cutoff: dt.date | str,
     team_totals_root: str | None = None,
     game_types=GAME_TYPES,
+    on_unreadable: str = "skip",
 ) -> LandingResult:
     """Past games: every listed season's extracts, before ``cutoff``.
 
@@ -104,20 +129,22 @@ def land_past(
     this root holds. Seasons are listed from the yearly team totals when given
     (distinct, sorted); a listed season with no extract is reported, not
     fatal. Dated rows without a season are landed and counted.
+
+    All footers are read before anything is written. A folder with a file that
+    cannot be read is left out and reported, and the other seasons land
+    (``on_unreadable="error"`` raises instead).
     """
-    skipped = seasons = None
-    if team_totals_root is not None:
-        wanted = split.seasons(landed.read_team_year_totals(spark, team_totals_root))
-        have = landed.list_seasons(spark, extracts_root)
-        skipped = reports.skipped_seasons(wanted, spark.createDataFrame([(s,) for s in have], "SEASON string"))
-        seasons = [r["SEASON"] for r in wanted.collect()]  # one row for each season ever played
-    logs = _read(spark, extracts_root, game_types)
-    if seasons is not None:
-        logs = logs.where(F.col("SEASON").isin(seasons) | F.col("SEASON").isNull())
+    listed, skipped, unlisted = _coverage(spark, extracts_root, team_totals_root)
+    failed: list = []
+    logs = _read(spark, extracts_root, game_types, failed=failed if on_unreadable == "skip" else None)
+    if listed is not None:
+        logs = logs.where(F.col("SEASON").isin(listed) | F.col("SEASON").isNull())
     past = split.past_side(_prepare(logs), cutoff)
     sinks.write_landed(past, out_path)
     written = spark.read.parquet(out_path)
-    return LandingResult(out_path, reports.running_rows(written), skipped, _rows_without_season(written))
+    return LandingResult(
+        out_path, reports.running_rows(written), skipped, _rows_without_season(written), unlisted, _failures(spark, failed)
+    )
 
 
 def land_current(
@@ -162,24 +189,24 @@ def land_team_past(
     out_path: str,
     cutoff: dt.date | str,
     team_totals_root: str | None = None,
+    on_unreadable: str = "skip",
 ) -> LandingResult:
     """Past team games, before the current season's first game date.
 
     Extracts are appended by name; with the yearly totals, their seasons
-    without an extract are reported.
+    without an extract are reported; unreadable folders as in ``land_past``.
     """
-    logs = conform.parse_dates(landed.read_laid_out(spark, team_logs_root))
-    skipped = None
-    if team_totals_root is not None:
-        wanted = split.seasons(landed.read_team_year_totals(spark, team_totals_root))
-        have = landed.list_seasons(spark, team_logs_root)
-        skipped = reports.skipped_seasons(wanted, spark.createDataFrame([(s,) for s in have], "SEASON string"))
-        listed = [r["SEASON"] for r in wanted.collect()]
+    listed, skipped, unlisted = _coverage(spark, team_logs_root, team_totals_root)
+    failed: list = []
+    logs = conform.parse_dates(landed.read_laid_out(spark, team_logs_root, failed=failed if on_unreadable == "skip" else None))
+    if listed is not None:
         logs = logs.where(F.col("SEASON").isin(listed) | F.col("SEASON").isNull())
     past = split.past_side(logs, cutoff)
     sinks.write_landed(past, out_path)
     written = spark.read.parquet(out_path)
-    return LandingResult(out_path, reports.rows_per_season(written), skipped, _rows_without_season(written))
+    return LandingResult(
+        out_path, reports.rows_per_season(written), skipped, _rows_without_season(written), unlisted, _failures(spark, failed)
+    )
 
 
 # -------------------------------------------------------------- facts ---
@@ -228,11 +255,18 @@ def run_daily(
     landed_past: str,
     table_path: str,
     cutoff: dt.date | str | None = None,
+    keep_versions: int = 2,
     **merge_options,
 ) -> tuple[LandingResult, merge.MergeResult]:
-    """The daily chain: land the current season, then merge it (K4 -> K5)."""
+    """The daily chain: land the current season, merge it, remove what no kept version names (K4 -> K5)."""
     cur = land_current(spark, current_extracts, landed_current, cutoff)
-    return cur, refresh_facts(spark, cur.path, landed_past, table_path, **merge_options)
+    return cur, _merged_and_vacuumed(spark, cur.path, landed_past, table_path, keep_versions, **merge_options)
+
+
+def _merged_and_vacuumed(spark, current, past, table_path, keep_versions, **merge_options) -> merge.MergeResult:
+    out = refresh_facts(spark, current, past, table_path, **merge_options)
+    merge.FactTable(table_path).vacuum(spark, keep=keep_versions)
+    return out
 
 
 def run_monthly(
@@ -244,15 +278,20 @@ def run_monthly(
     table_path: str,
     cutoff: dt.date | str | None = None,
     team_totals_root: str | None = None,
+    keep_versions: int = 2,
     **merge_options,
 ) -> tuple[LandingResult, merge.MergeResult]:
     """The monthly chain: land past seasons, then merge them (K3 -> K5).
 
-    The cutoff defaults to the current extracts', as in the daily chain.
+    The cutoff defaults to the current extracts', as in the daily chain. A
+    season that cannot be read is left out of the landing and stays in the
+    table as it is; a full refresh would lose it, so that raises instead.
     """
     cut = cutoff if cutoff is not None else current_cutoff(spark, current_extracts)
     past = land_past(spark, history_extracts, landed_past, cut, team_totals_root=team_totals_root)
-    return past, refresh_facts(spark, landed_current, past.path, table_path, **merge_options)
+    if merge_options.get("full_refresh") and not past.failed.isEmpty():
+        raise landed.UnreadableExtract([(r["FILE"], r["ERROR"]) for r in past.failed.limit(5).collect()])
+    return past, _merged_and_vacuumed(spark, landed_current, past.path, table_path, keep_versions, **merge_options)
 
 
 def union_report(spark: SparkSession, past: DataFrame, current: DataFrame, view: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from courtline import schemas
 from courtline.operators import conform, merge, split
 from courtline.plans import jobs, proxy
-from courtline.sources import Registry
+from courtline.sources import Registry, landed, storage
 from tests.conftest import SF_SMALL
 
 
@@ -222,3 +222,61 @@ def test_land_current_reads_only_the_latest_season_folder(spark, tmp_dir):
     assert {r.SEASON for r in out.select("SEASON").distinct().collect()} == {latest}
     assert out.count() == g.where(F.col("SEASON") == latest).count()
     assert {f.split("SEASON=")[1].split("/")[0] for f in L.read_game_logs(spark, ext, seasons=[latest]).inputFiles()} == {latest}
+
+
+def _two_seasons(spark, root):
+    g = conform.enforce_schema(proxy.game_logs(spark, SF_SMALL), schemas.RAW_GAME_LOG)
+    g.where("SEASON in ('1996', '1997')").write.partitionBy("SEASON", "GAME_TYPE").parquet(root)
+    return g.where("SEASON in ('1996', '1997')")
+
+
+def test_files_of_two_schemas_in_one_folder(spark, tmp_dir):
+    """The second file has a column more and other types: nothing is lost, nothing fails."""
+    ext = os.path.join(tmp_dir, "ext")
+    a = spark.createDataFrame([(1, "0000000001", 10.5)], "PLAYER_ID long, GAME_ID string, PTS double")
+    b = spark.createDataFrame([(2, "0000000002", 7, "somebody")], "PLAYER_ID long, GAME_ID string, PTS long, PLAYER_NAME string")
+    for df in (a, b):
+        df.coalesce(1).write.mode("append").parquet(f"{ext}/SEASON=1993/GAME_TYPE=Playoffs")
+    out = landed.read_game_logs(spark, ext)
+    assert sorted((r.PLAYER_ID, r.PTS, r.PLAYER_NAME, r.SEASON) for r in out.collect()) == [(1, 10.5, None, "1993"), (2, 7.0, "somebody", "1993")]
+
+
+def test_schemas_that_agree_are_one_scan(spark, tmp_dir):
+    ext = os.path.join(tmp_dir, "ext")
+    for i in range(12):
+        kind = "long" if i % 2 else "double"
+        row = (i, i if i % 2 else float(i))
+        spark.createDataFrame([row], f"PLAYER_ID long, PTS {kind}").withColumn(f"C{i % 3}", F.lit(i)).write.parquet(f"{ext}/SEASON={1990 + i}/GAME_TYPE=x")
+    out = landed.read_game_logs(spark, ext)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2  # one for each type of PTS
+    got = {r.PLAYER_ID: (r.PTS, r.C0, r.C1, r.C2, r.SEASON) for r in out.collect()}
+    assert got == {i: (float(i), *(i if i % 3 == k else None for k in range(3)), str(1990 + i)) for i in range(12)}
+
+
+def test_a_season_that_cannot_be_read_is_left_out_and_reported(spark, tmp_dir):
+    ext = os.path.join(tmp_dir, "ext")
+    g = _two_seasons(spark, ext)
+    broken = f"{ext}/SEASON=1996/GAME_TYPE=Playoffs/part-x.parquet"
+    storage.write_text(spark, broken, "no footer")
+    storage.write_text(spark, f"{ext}/SEASON=1997/GAME_TYPE=Playoffs/_note.txt", "hidden files are no extracts")
+    out = jobs.land_past(spark, ext, os.path.join(tmp_dir, "out"), "2100-01-01")
+    kept = g.where("not (SEASON = '1996' and GAME_TYPE = 'Playoffs')").count()
+    assert 0 < kept < g.count()
+    assert spark.read.parquet(out.path).count() == kept
+    (r,) = out.failed.collect()
+    assert (r.SEASON, r.FILE) == ("1996", broken) and r.ERROR
+    before = spark.read.parquet(out.path).count()
+    with pytest.raises(landed.UnreadableExtract, match="part-x"):
+        jobs.land_past(spark, ext, out.path, "2100-01-01", on_unreadable="error")
+    assert spark.read.parquet(out.path).count() == before  # nothing was written
+    with pytest.raises(landed.UnreadableExtract):
+        jobs.run_monthly(spark, ext, ext, out.path, os.path.join(tmp_dir, "p"), os.path.join(tmp_dir, "f"), "2100-01-01", full_refresh=True)
+
+
+def test_seasons_that_are_not_listed_are_reported(spark, tmp_dir):
+    ext, ty = os.path.join(tmp_dir, "ext"), os.path.join(tmp_dir, "ty")
+    g = _two_seasons(spark, ext)
+    _lay_out_team_years(spark, ty, g.where("SEASON = '1997'"), extra_seasons=("2050",))
+    out = jobs.land_past(spark, ext, os.path.join(tmp_dir, "out"), "2100-01-01", team_totals_root=ty)
+    assert [r.SEASON for r in out.skipped.collect()] == ["2050"] and [r.SEASON for r in out.unlisted.collect()] == ["1996"]
+    assert {r.SEASON for r in spark.read.parquet(out.path).select("SEASON").distinct().collect()} == {"1997"}
