@@ -109,39 +109,47 @@ def compare(facts: DataFrame, entity: str, named, metric: str = "PTS", by: str =
     return out.select(by, *[F.col(f"`{v}`").alias(f"{prefix}_{v}_{metric}") for v in named])
 
 
+def dealt_by_value(hist: DataFrame, partition, metric: str, ranges: int = 64) -> DataFrame:
+    """``hist`` (one row for each partition and value) with ``_range``: ranges of about as many distinct values each.
+
+    The bounds are quantiles of a partition's distinct values (partial
+    sketches, ``ranges`` - 1 values for a partition), greatest values first;
+    equal values are in one range, nulls in the last one.
+    """
+    part = list(partition)
+    at = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
+    bounds = hist.groupBy(*part).agg(F.percentile_approx(metric, at, F.lit(100 * ranges)).alias("_cuts"))
+    bounds = bounds.select(*[F.col(c).alias(f"_p_{c}") for c in part], "_cuts")
+    above = F.size(F.filter("_cuts", lambda c: c > F.col(metric)))
+    dealt = hist.join(bounds, _same(hist, bounds, part, "_p_"), "left")
+    return dealt.withColumn("_range", F.when(F.col(metric).isNull(), F.lit(ranges)).otherwise(F.coalesce(above, F.lit(0)))).select(*hist.columns, "_range")
+
+
+def _same(left: DataFrame, right: DataFrame, columns, prefix: str):
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & left[c].eqNullSafe(right[f"{prefix}{c}"])
+    return cond
+
+
 def rank_within(df: DataFrame, partition, metric: str, ranges: int = 64) -> DataFrame:
     """rank and dense_rank of ``metric`` (descending, nulls last) in each partition.
 
     The rows are aggregated once to a histogram that keeps each value's rows,
-    and the histogram is dealt into ``ranges`` ranges of values within each
-    partition (equal steps between its least and greatest value). Windows run
-    inside a range, and ranges' totals are summed before, so neither a season
-    with a third of all rows nor one with as many distinct values as rows is
-    sorted in one task.
+    and the histogram is dealt into ``ranges`` ranges of values of equal depth
+    within each partition (``dealt_by_value``). Windows run inside a range, and
+    ranges' totals are summed before, so neither a season with a third of all
+    rows nor one with as many distinct values as rows is sorted in one task,
+    however its values are spread.
     """
     part = list(partition)
     value = F.col(metric)
     hist = df.groupBy(*part, metric).agg(F.count(F.lit(1)).alias("_n"))
-    as_key = [F.col(c).alias(f"_p_{c}") for c in part]
-    bounds = hist.groupBy(*part).agg(
-        F.min(value.cast("double")).alias("_lo"), F.max(value.cast("double")).alias("_hi")
-    ).select(*as_key, "_lo", "_hi")
-
-    def same(other: DataFrame, prefix: str, *more: str):
-        cond = None
-        for c in [*part, *more]:
-            e = F.col(c).eqNullSafe(other[f"{prefix}{c}"])
-            cond = e if cond is None else cond & e
-        return cond
-
-    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    step = F.floor((F.col("_hi") - value.cast("double")) / width * (ranges - 1)).cast("int")
-    dealt = hist.join(bounds, same(bounds, "_p_"))
-    dealt = dealt.withColumn("_range", F.coalesce(step, F.lit(ranges))).drop("_lo", "_hi", *[f"_p_{c}" for c in part])
+    dealt = dealt_by_value(hist, part, metric, ranges)
     per = dealt.groupBy(*part, "_range").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
     before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(
-        *as_key,
+        *[F.col(c).alias(f"_p_{c}") for c in part],
         F.col("_range").alias("_p__range"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_values_before"),
@@ -149,16 +157,12 @@ def rank_within(df: DataFrame, partition, metric: str, ranges: int = 64) -> Data
     inside = Window.partitionBy(*part, "_range").orderBy(value.desc_nulls_last())
     above = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = dealt.select("*", above.alias("_above"), F.row_number().over(inside).alias("_place"))
-    ranks = ranked.join(per, same(per, "_p_", "_range")).select(
+    ranks = ranked.join(per, _same(ranked, per, [*part, "_range"], "_p_")).select(
         *[F.col(c).alias(f"_r_{c}") for c in [*part, metric]],
         (F.col("_rows_before") + F.col("_above") + 1).cast("bigint").alias(f"{metric}_RANK"),
         (F.col("_values_before") + F.col("_place")).cast("bigint").alias(f"{metric}_DENSE_RANK"),
     )
-    cond = None
-    for c in [*part, metric]:
-        e = df[c].eqNullSafe(ranks[f"_r_{c}"])
-        cond = e if cond is None else cond & e
-    return df.join(ranks, cond, "inner").select(*df.columns, f"{metric}_RANK", f"{metric}_DENSE_RANK")
+    return df.join(ranks, _same(df, ranks, [*part, metric], "_r_"), "inner").select(*df.columns, f"{metric}_RANK", f"{metric}_DENSE_RANK")
 
 
 def trend(facts: DataFrame, entity: str, metric: str = "PTS", season_col: str = "SEASON_YEAR") -> DataFrame:

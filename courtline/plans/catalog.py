@@ -19,7 +19,7 @@ from courtline import schemas, session
 from courtline.functions import columns as fn
 from courtline.operators import combine, conform, merge, reports, split
 from courtline.plans import jobs, proxy
-from courtline.sources import Registry, landed
+from courtline.sources import Registry, landed, storage
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -250,6 +250,35 @@ def q_landed_mixed(spark, d):
     return combine.union_by_name(*(spark.read.parquet(r.path) for r in (past, cur)))
 
 
+def q_landed_mixed_folders(spark, d):
+    """Files of two schemas within each folder of a season: numbers or integers, date-times or text, a column that one has."""
+    root = _scratch(spark, "landed-mixed-folders")
+    g = _games(spark, d)
+    odd = "cast(GAME_ID as bigint) % 2 = 1"
+    other = g.where(odd).withColumns(
+        {c: F.col(c).cast("bigint") for c in ("FGM", "OREB", "PTS", "FTA", "PF")}
+        | {"GAME_DATE": F.date_format("GAME_DATE", "yyyy-MM-dd'T'HH:mm:ss"), "PLAYER_NAME": F.concat(F.lit("player "), F.col("PLAYER_ID").cast("string"))}
+    )
+    for side in (other, g.where(f"NOT ({odd})")):
+        side.write.mode("append").partitionBy("SEASON", "GAME_TYPE").parquet(f"{root}/ext")
+    cut = jobs.current_cutoff(spark, f"{root}/ext")
+    past = jobs.land_past(spark, f"{root}/ext", f"{root}/past", cut)
+    cur = jobs.land_current(spark, f"{root}/ext", f"{root}/cur", cut)
+    return combine.union_by_name(*(spark.read.parquet(r.path) for r in (past, cur)))
+
+
+def q_landed_with_failure(spark, d):
+    """Past seasons of which one has a file that is no Parquet: it is left out and reported, the others land."""
+    root = _scratch(spark, "landed-with-failure")
+    history, current = _extracts(spark, d, root)
+    broken = landed.list_seasons(spark, history)[1]
+    storage.write_text(spark, f"{history}/SEASON={broken}/GAME_TYPE=Playoffs/part-broken.parquet", "not a Parquet file")
+    out = jobs.land_past(spark, history, f"{root}/out", jobs.current_cutoff(spark, current))
+    rows = spark.read.parquet(out.path).groupBy("SEASON", "GAME_TYPE").agg(F.count(F.lit(1)).alias("N_ROWS"), F.sum("PTS").alias("PTS"))
+    failed = out.failed.groupBy("SEASON").agg(F.count(F.lit(1)).alias("N_FAILED"))
+    return rows.join(failed, "SEASON", "full").withColumn("N_FAILED", F.coalesce("N_FAILED", F.lit(0).cast("bigint")))
+
+
 def _team_logs(spark, d):
     return _games(spark, d).select("TEAM_ID", "GAME_ID", "GAME_DATE", "SEASON", F.lit("home").alias("SIDE")).distinct()
 
@@ -289,6 +318,46 @@ def _stamped(df):
     return df.withColumn("STAMPED", F.col("LAST_UPDATE").isNotNull()).drop("LAST_UPDATE")
 
 
+#: What a dashboard table is checked by: the entity's columns and the table's figures.
+DASHBOARD = {
+    "facts_named": ("concat_ws('/', PLAYER_NAME, TEAM_NAME, TEAM_ABBREVIATION, GAME_ID)", {"PTS": "PTS"}),
+    "totals_by_player": ("concat_ws('/', PLAYER_ID, GAME_TYPE)", {"GAMES": "GAMES", "PTS": "PTS"}),
+    "totals_by_team": ("concat_ws('/', TEAM_ID, GAME_TYPE)", {"GAMES": "GAMES", "PTS": "PTS"}),
+    "totals_by_season_type": ("GAME_TYPE", {"GAMES": "GAMES", "PTS": "PTS"}),
+    "rank_players": ("concat_ws('/', PLAYER_ID, GAME_TYPE)", {"PTS": "PTS", "PLACE": "PTS_RANK"}),
+    "rank_teams": ("concat_ws('/', TEAM_ID, GAME_TYPE)", {"PTS": "PTS", "PLACE": "PTS_RANK"}),
+    "trend_team": ("cast(TEAM_ID as string)", {"GAMES": "GAMES", "PTS": "PTS_CHANGE"}),
+    "trend_player": ("cast(PLAYER_ID as string)", {"GAMES": "GAMES", "PTS": "PTS_CHANGE"}),
+    "top_k": ("cast(PLAYER_ID as string)", {"PTS": "PTS"}),
+    "top_k_per_season": ("cast(PLAYER_ID as string)", {"PTS": "PTS", "PLACE": "POS"}),
+    "compare_teams": ("'1/2/3'", {"GAMES": "TEAM_1_PTS", "PTS": "TEAM_2_PTS", "PLACE": "TEAM_3_PTS"}),
+}
+
+
+def q_dashboard_tables(spark, d):
+    """Every table of the dashboard job as it was written, one row for each of its rows."""
+    root = _scratch(spark, "dashboard")
+    _facts(spark, d).write.parquet(f"{root}/facts")
+    tables = jobs.dashboard(
+        spark.read.parquet(f"{root}/facts"), q_dim_players(spark, d), q_dim_teams(spark, d), proxy.COMPARED_TEAMS
+    )
+    parts = []
+    for path in jobs.write_dashboard(tables, f"{root}/out"):
+        name = path.rsplit("/", 1)[1]
+        df = spark.read.parquet(path)
+        entity, figures = DASHBOARD[name]
+        season = "SEASON_YEAR" if "SEASON_YEAR" in df.columns else "cast(null as string)"
+        parts.append(
+            df.selectExpr(
+                f"'{name}' as TABLE_NAME",
+                f"{season} as SEASON_YEAR",
+                f"{entity} as ENTITY",
+                *[f"cast({figures.get(c, 'null')} as bigint) as {c}" for c in ("GAMES", "PTS", "PLACE")],
+            )
+        )
+    return combine.union_all(*parts)
+
+
 def q_refreshed_players(spark, d):
     root = _scratch(spark, "players")
     proxy.players(spark, d).write.json(f"{root}/list")
@@ -354,6 +423,8 @@ QUERIES: dict[str, Builder] = {
     "landed_current": q_landed_current,
     "landed_without_type": q_landed_without_type,
     "landed_mixed": q_landed_mixed,
+    "landed_mixed_folders": q_landed_mixed_folders,
+    "landed_with_failure": q_landed_with_failure,
     "landed_team_past": q_landed_team_past,
     "landed_seasons": q_landed_seasons,
     "merge_job_result": q_merge_job_result,
@@ -362,4 +433,5 @@ QUERIES: dict[str, Builder] = {
     "staging_view": q_staging_view,
     "enforced_schema": q_enforced_schema,
     "year_starts": q_year_starts,
+    "dashboard_tables": q_dashboard_tables,
 }

@@ -236,6 +236,16 @@ BODIES = {
         f"select {_landed_cols()}, case when cast(SEASON as int) % 2 = 1 then 'player ' || cast(PLAYER_ID as varchar) end as PLAYER_NAME "
         "from games where GAME_DATE is not null"
     ),
+    "landed_mixed_folders": (
+        f"select {_landed_cols()}, case when cast(GAME_ID as bigint) % 2 = 1 then 'player ' || cast(PLAYER_ID as varchar) end as PLAYER_NAME "
+        "from games where GAME_DATE is not null"
+    ),
+    "landed_with_failure": (
+        "select coalesce(r.SEASON, f.SEASON) as SEASON, r.GAME_TYPE, r.N_ROWS, r.PTS, cast(coalesce(f.n, 0) as bigint) as N_FAILED "
+        "from (select SEASON, GAME_TYPE, count(*) as N_ROWS, sum(PTS) as PTS from past_raw "
+        "where not (GAME_TYPE = 'Playoffs' and SEASON in (select SEASON from broken)) group by all) r "
+        "full join broken f on f.SEASON = r.SEASON"
+    ),
     "landed_team_past": (
         "select distinct TEAM_ID, GAME_ID, GAME_DATE, SEASON, case when cast(SEASON as int) % 2 = 1 then 'home' end as SIDE from past_raw"
     ),
@@ -259,4 +269,38 @@ BODIES = {
     ),
 }
 
+# The second of the seasons before the latest.
+BODIES["landed_with_failure"] = (
+    "select * from (with broken as (select SEASON, 1 as n from found_seasons "
+    "where SEASON <> (select max(SEASON) from found_seasons) order by SEASON limit 1 offset 1) "
+    + BODIES["landed_with_failure"]
+    + ")"
+)
+
+
+def _dashboard_sql() -> str:
+    """Every report's own SQL, one row for each of its rows."""
+    figures = {
+        "facts_named": ("PLAYER_NAME || '/' || TEAM_NAME || '/' || TEAM_ABBREVIATION || '/' || GAME_ID", "null", "PTS", "null"),
+        "totals_by_player": ("PLAYER_ID || '/' || GAME_TYPE", "GAMES", "PTS", "null"),
+        "totals_by_team": ("TEAM_ID || '/' || GAME_TYPE", "GAMES", "PTS", "null"),
+        "totals_by_season_type": ("GAME_TYPE", "GAMES", "PTS", "null"),
+        "rank_players": ("PLAYER_ID || '/' || GAME_TYPE", "null", "PTS", "PTS_RANK"),
+        "rank_teams": ("TEAM_ID || '/' || GAME_TYPE", "null", "PTS", "PTS_RANK"),
+        "trend_team": ("TEAM_ID", "GAMES", "PTS_CHANGE", "null"),
+        "trend_player": ("PLAYER_ID", "GAMES", "PTS_CHANGE", "null"),
+        "top_k": ("PLAYER_ID", "null", "PTS", "null"),
+        "top_k_per_season": ("PLAYER_ID", "null", "PTS", "POS"),
+        "compare_teams": ("'1/2/3'", "TEAM_1_PTS", "TEAM_2_PTS", "TEAM_3_PTS"),
+    }
+    parts = [
+        f"select '{name}' as TABLE_NAME, {'null' if name == 'top_k' else 'SEASON_YEAR'} as SEASON_YEAR, cast({entity} as varchar) as ENTITY, "
+        f"cast({games} as bigint) as GAMES, cast({pts} as bigint) as PTS, cast({place} as bigint) as PLACE from ({BODIES[name]})"
+        for name, (entity, games, pts, place) in figures.items()
+    ]
+    return " union all ".join(parts)
+
+
+BODIES["dashboard_tables"] = _dashboard_sql()
+
 ORACLE_SQL = {name: PRELUDE + body for name, body in BODIES.items()}

@@ -120,3 +120,22 @@ def test_rank_of_ratios_and_of_one_value(spark):
     want = df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
     got = reports.rank_within(df, ["S"], "PTS")
     assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, (tuple(r) for r in want.collect())))
+
+
+def test_ranges_have_equal_depth_whatever_the_values(spark):
+    """One outlier, ties and exponents: no range holds a twentieth of the distinct values, equal values are together."""
+    from pyspark.sql import Window
+
+    one = spark.range(20_000).selectExpr("'a' as S", "cast(id as double) as PTS").unionByName(spark.createDataFrame([("a", 1e18)], "S string, PTS double"))
+    steep = spark.range(5_000).selectExpr("'b' as S", "pow(1.1, id) as PTS")
+    few = spark.range(5_000).selectExpr("cast(null as string) as S", "cast(id % 7 as double) as PTS")
+    df = one.unionByName(steep).unionByName(few).unionByName(spark.createDataFrame([("a", None)], "S string, PTS double"))
+    hist = df.groupBy("S", "PTS").count()
+    dealt = reports.dealt_by_value(hist, ["S"], "PTS")
+    share = dealt.groupBy("S", "_range").count().join(hist.groupBy("S").agg(F.count(F.lit(1)).alias("of")), "S")
+    assert share.agg(F.max(F.col("count") / F.col("of"))).first()[0] <= 0.05
+    assert dealt.count() == hist.count()
+    w = Window.partitionBy("S").orderBy(F.col("PTS").desc())
+    want = df.select("*", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    assert reports.rank_within(df, ["S"], "PTS").exceptAll(want).isEmpty()
+    assert want.exceptAll(reports.rank_within(df, ["S"], "PTS")).isEmpty()
