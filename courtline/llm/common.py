@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,22 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """The session with ``values``, as it was before when the block ends: what is lazy must be stored within."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut to ``rows`` rows: what a worker turns into Python objects at once, whatever the session's setting."""
     for b in batches:

@@ -98,7 +98,7 @@ _SKETCHED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sam
 
 def _sketched(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.pieces(batches):
             sets = [shingles(t, width) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -116,7 +116,7 @@ def _sketched(width: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.pieces(batches):
             sets = [shingles(t, width) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -179,15 +179,14 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``classes`` with ``same``, the digest of the row's set, and ``first``, whether its class is the one of its component to keep."""
-    spark = docs.sparkSession
-    common.short_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = common.stored(
         texts.mapInArrow(_sketched(width), "doc_id long, n_shingles long, same binary, bands array<long>"), "sketches"
     )
     full = rows.filter("n_shingles > 0")
     same = full.groupBy("same").agg(F.min("doc_id").alias("doc_id")).withColumn("class", _class_of(F.col("doc_id"), F.col("same")))
-    found = _links(texts, full, same, width, percent)
+    with common.settings(docs.sparkSession, RUNTIME_FILTER):
+        found = common.stored(_links(texts, full, same, width, percent), "links")
     merged = components(found)
     named = (
         same.join(merged.withColumnRenamed("node", "class"), "class", "left")
@@ -214,15 +213,12 @@ RUNTIME_FILTER = {
 
 def _links(texts: DataFrame, full: DataFrame, same: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (a, b) between classes that make all links' components."""
-    spark = texts.sparkSession
     heads = full.select("same", "bands", "doc_id").join(same, ["same", "doc_id"]).dropDuplicates(["same"])
     member = heads.select(F.col("class").alias("id"), "doc_id", "same", F.explode(F.transform("bands", lambda h, i: F.xxhash64(h, i))).alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = common.stored(member.join(shared, "bucket").drop("n"), "buckets")
     # a stored list of keys tells the planner its true size: it broadcasts a short one and else filters the texts
     # with a Bloom filter of it before they are shuffled
-    for name, value in RUNTIME_FILTER.items():
-        spark.conf.set(name, value)
     near = common.stored(member.groupBy("id", "doc_id", "same").agg(F.count(F.lit(1)).alias("shared")), "near").filter("shared > 0")
     member = member.select("id", "bucket")
     # of the texts of a repeated doc_id, those of the classes: rows meet by their sets
@@ -258,20 +254,32 @@ def _links(texts: DataFrame, full: DataFrame, same: DataFrame, width: int, perce
     found = found.withColumn("c", F.coalesce("component", "id"))
     mixed = found.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("bucket")
     group = common.stored(found.join(mixed, "bucket").select("pivot", "id", "c").distinct(), "mixed")
-    return edges.union(_linked(_beyond(group, sets, percent), sets, percent))
+    return edges.union(_beyond(group, sets, percent))
+
+
+#: Members of one (pivot, item) group that are compared with one of them before all pairs are, and how often at most.
+CROWD, ROUNDS = 32, 4
 
 
 def _beyond(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components ``c`` under one pivot, all that may be linked.
+    """Links (a, b) between the different components ``c`` under one pivot: with those inside of components, all there are.
 
     The symmetric difference of x and y is that of their differences dx and dy
     to the pivot. A link allows at most h = (|x| + |y|) (100 - p) / (100 + p)
     differing shingles, so dx and dy have at least o = (|dx| + |dy| - h) / 2 in
     common. Of two members in different components one, x, isn't linked with
     the pivot; then o > 0 (sizes differ by no more than differences do). So
-    with the shingles of dy in any order, rarest first, one of the first
-    |dy| - o + 1 is in dx: members join on those. Copies of one template differ
-    from it in shingles that hardly two of them share, so they meet few others.
+    with the shingles of both in one order, rarest first, one of the first
+    |dx| - o + 1 of dx is one of the first |dy| - o + 1 of dy: members join on
+    those. Copies of one template differ from it in shingles that hardly two
+    of them share, so they meet few others.
+
+    Members far from the pivot may still be a cluster of their own, all of
+    which share what sets them apart. So groups of more than ``CROWD`` members
+    of several components are first compared with one of their members each,
+    which is linear in the group, and components are joined by the links found,
+    again as long as some are. All pairs are then made of members whose
+    components still differ; no link is lost, whatever the rounds found.
     """
     p = percent
     own = group.join(sets.select("id", F.col("items").alias("x")), "id")
@@ -286,12 +294,47 @@ def _beyond(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ranked = one.join(often, ["pivot", "item"], "left").withColumn(
         "k", F.row_number().over(Window.partitionBy("pivot", "id").orderBy(F.coalesce("often", F.lit(1)), "item")) - 1
     )
-    ranked = ranked.filter("often IS NOT NULL")
-    y = ranked.filter(F.col("k") * (100 + p) < F.col("apart") * 100).select("pivot", "item", "k", *[F.col(c).alias(f"y_{c}") for c in ("id", "c", "size", "apart")])
-    x = ranked.filter("far").select("pivot", "item", "id", "c", "size", "apart")
-    enough = 2 * (F.col("y_apart") - F.col("k")) * (100 + p) >= (F.col("apart") + F.col("y_apart")) * (100 + p) - (F.col("size") + F.col("y_size")) * (100 - p)
-    met = x.join(y, ["pivot", "item"]).filter((F.col("c") != F.col("y_c")) & enough)
-    return met.select(F.greatest("id", "y_id").alias("a"), F.least("id", "y_id").alias("b")).distinct()
+    # a member meets x, which is far, within its first places; x itself, within all
+    ranked = ranked.filter((F.col("often").isNotNull()) & (F.col("far") | (F.col("k") * (100 + p) < F.col("apart") * 100)))
+    ranked = common.stored(ranked.drop("often"), "ranked")
+    found = []
+    while len(found) < ROUNDS:
+        who = F.struct(F.xxhash64(F.lit(len(found)), "id").alias("u"), "id", "c", "size", "apart", "far", "k")
+        crowd = ranked.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.max(who).alias("y"))
+        crowd = crowd.filter(f"n > {CROWD} AND lo != hi").select("pivot", "item", *[F.col(f"y.{c}").alias(f"y_{c}") for c in _MEMBER])
+        star = common.stored(_met(ranked.join(crowd, ["pivot", "item"]), p), "star")
+        if star.isEmpty():
+            break
+        links = common.stored(_linked(star.select("a", "b"), sets, p).join(star, ["a", "b"]), "links")
+        if links.isEmpty():
+            break
+        found.append(links.select("a", "b"))
+        merged = components(links.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).withColumnRenamed("node", "c")
+        ranked = common.stored(ranked.join(merged, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component"), "ranked")
+    y = ranked.filter(F.col("k") * (100 + p) < F.col("apart") * 100).select("pivot", "item", *[F.col(c).alias(f"y_{c}") for c in _MEMBER])
+    rest = _linked(_met(ranked.filter("far").join(y, ["pivot", "item"]), p).select("a", "b"), sets, p)
+    for links in found:
+        rest = rest.union(links)
+    return rest
+
+
+_MEMBER = ("id", "c", "size", "apart", "far", "k")
+
+
+def _met(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, c_a, c_b), once each: those of the pairs (x and y_ columns, met at places k and y_k) that may be linked."""
+    p = percent
+    # twice (100 + p) o, and what is left of each from the place on
+    least = (F.col("apart") + F.col("y_apart")) * (100 + p) - (F.col("size") + F.col("y_size")) * (100 - p)
+    room = [2 * (F.col(f"{s}apart") - F.col(f"{s}k")) * (100 + p) >= least for s in ("", "y_")]
+    met = pairs.filter((F.col("c") != F.col("y_c")) & (F.col("far") | F.col("y_far")) & room[0] & room[1])
+    first = F.col("id") > F.col("y_id")
+    return met.select(
+        F.greatest("id", "y_id").alias("a"),
+        F.least("id", "y_id").alias("b"),
+        F.when(first, F.col("c")).otherwise(F.col("y_c")).alias("c_a"),
+        F.when(first, F.col("y_c")).otherwise(F.col("c")).alias("c_b"),
+    ).distinct()
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -314,9 +357,12 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     @F.arrow_udf("binary")
     def digest(texts: pa.Array) -> pa.Array:
         """That of the set of shingles; null for a text without words."""
-        sets = [shingles(t, width) for t in texts.to_pylist()]
+        out = []
+        for t in texts:  # one text at a time
+            s = shingles(t.as_py(), width)
+            out.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
         _WORDS.clear()
-        return pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+        return pa.array(out, pa.binary())
 
     rest = docs.join(again, docs["doc_id"] == again["_again"], "left_semi").withColumn("_set", digest("text"))
     wordless = rest.filter("_set IS NULL").drop("_set")

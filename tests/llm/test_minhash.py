@@ -132,3 +132,66 @@ def test_repeated_ids_with_different_texts(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(want)
     got = minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r["component_id"] for r in got) == sorted([7] * 33 + [3] * 2 + [-5] * 2)
+
+
+def _far_clusters(spark, n, clusters):
+    """Members that differ from the pivot in a block that their cluster shares and a few items of their own."""
+    sets_, group = [(0, list(range(200)))], []
+    for c in range(clusters):
+        for i in range(n):
+            me = 1 + c * n + i
+            block = range(10_000 * (c + 1), 10_000 * (c + 1) + 60)
+            sets_.append((me, [*range(140), *block, *(10**7 + 3 * me + k for k in range(3))]))
+            group.append((0, me, me))
+    return spark.createDataFrame(group, "pivot long, id long, c long"), spark.createDataFrame(sets_, "id long, items array<long>")
+
+
+def test_clusters_far_from_the_pivot_are_linear(spark, monkeypatch):
+    """All members of a cluster share the items that set them apart from the pivot: pairs grow with the members, and all are linked."""
+    made = []
+    met = minhash._met
+
+    def counted(pairs, percent):
+        out = met(pairs, percent)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_met", counted)
+    total = {}
+    for n in (50, 100):
+        made.clear()
+        group, items = _far_clusters(spark, n, 3)
+        links = minhash._beyond(group, items, 80)
+        got = components.components(links).groupBy("component").count().collect()
+        assert sorted(r["count"] for r in got) == [n] * 3
+        total[n] = sum(made)
+    assert total[50] <= 4 * 150 and total[100] <= 2.2 * total[50]
+
+
+def test_beyond_against_brute_force(spark):
+    """Random sets around a pivot, linked or not, in small and crowded groups."""
+    rng = random.Random(4)
+    for size, crowd in ((70, 100), (45, 5)):
+        sets_ = {0: set(range(100))}
+        for i in range(1, size):
+            s = set(sets_[rng.choice([0, *range(max(1, i - 5), i)])])
+            s -= set(rng.sample(sorted(s), rng.randrange(12)))
+            s |= {rng.randrange(100, 160) for _ in range(rng.randrange(12))}
+            sets_[i] = s
+        want = {(i, j) for i in sets_ for j in sets_ if 0 < j < i and 100 * len(sets_[i] & sets_[j]) >= 80 * len(sets_[i] | sets_[j])}
+        near = [i for i in sets_ if i and 100 * len(sets_[i] & sets_[0]) >= 80 * len(sets_[i] | sets_[0])]
+        group = spark.createDataFrame([(0, i, 0 if i in near else i) for i in sets_ if i], "pivot long, id long, c long")
+        items = spark.createDataFrame([(i, sorted(s)) for i, s in sets_.items()], "id long, items array<long>")
+        old, minhash.CROWD = minhash.CROWD, crowd
+        links = minhash._beyond(group, items, 80)
+        minhash.CROWD = old
+        edges = links.union(spark.createDataFrame([(i, 0) for i in near], "a long, b long"))
+        got = {r["node"]: r["component"] for r in components.components(edges).collect()}
+        whole = components.components(spark.createDataFrame([*want, *((i, 0) for i in near)], "a long, b long"))
+        assert got == {r["node"]: r["component"] for r in whole.collect()}
+
+
+def test_settings_are_put_back(spark):
+    before = {k: spark.conf.get(k, None) for k in (*minhash.RUNTIME_FILTER, "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    minhash.keep_one(odd_documents(spark)).count()
+    assert before == {k: spark.conf.get(k, None) for k in before}
