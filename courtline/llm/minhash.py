@@ -257,8 +257,9 @@ def _links(texts: DataFrame, full: DataFrame, same: DataFrame, width: int, perce
     return edges.union(_beyond(group, sets, percent))
 
 
-#: Members of one (pivot, item) group that are compared with one of them before all pairs are, and how often at most.
-CROWD, ROUNDS = 32, 4
+#: Members of one (pivot, item) group that are compared with one of them before all pairs are, how often at most, and
+#: the part of these pairs that must be links for components to be joined by them.
+CROWD, ROUNDS, WORTH = 32, 4, 0.05
 
 
 def _beyond(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,7 +279,7 @@ def _beyond(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     which share what sets them apart. So groups of more than ``CROWD`` members
     of several components are first compared with one of their members each,
     which is linear in the group, and components are joined by the links found,
-    again as long as some are. All pairs are then made of members whose
+    again as long as there are clusters to find. All pairs are then made of members whose
     components still differ; no link is lost, whatever the rounds found.
     """
     p = percent
@@ -303,10 +304,10 @@ def _beyond(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         crowd = ranked.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.max(who).alias("y"))
         crowd = crowd.filter(f"n > {CROWD} AND lo != hi").select("pivot", "item", *[F.col(f"y.{c}").alias(f"y_{c}") for c in _MEMBER])
         star = common.stored(_met(ranked.join(crowd, ["pivot", "item"]), p), "star")
-        if star.isEmpty():
+        if not (pairs := star.count()):
             break
         links = common.stored(_linked(star.select("a", "b"), sets, p).join(star, ["a", "b"]), "links")
-        if links.isEmpty():
+        if links.count() < WORTH * pairs:
             break
         found.append(links.select("a", "b"))
         merged = components(links.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).withColumnRenamed("node", "c")
