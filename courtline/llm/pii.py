@@ -4,8 +4,8 @@ The patterns give the base spans, which always stay. The network learns from
 labelled spans, the base spans of a bounded sample of documents and re-written
 forms of them ("name at host", numbers without their usual marks), and adds
 spans that the patterns miss. It is trained and run in numpy: overlapping
-windows of the whole text are tagged in batches, and each character takes the
-tag of the window that holds it away from its edges.
+windows of the whole text are scored in batches, their scores are stitched, and
+one best path is decoded over the whole text.
 """
 
 from __future__ import annotations
@@ -111,35 +111,45 @@ def start_weights(seed: int) -> dict[str, np.ndarray]:
 def emissions(w: dict[str, np.ndarray], x: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Tag scores [T, TAGS, B] of windows ``x`` [T, B]; ``keep`` gets what the gradient needs.
 
-    Gates are rows (input, forget, output, candidate) and windows are columns,
-    so that each step is one matrix product and contiguous row operations. A
-    sigmoid is taken as a tanh of half its argument.
+    Both directions are steps of one recurrence: the first axis is the
+    direction, gates (input, forget, output, candidate) are rows and windows
+    are columns, so that each step is one matrix product for both and
+    contiguous row operations. A sigmoid is taken as a tanh of half its
+    argument. Padding (0, after the text) leaves the backward state empty, so
+    a window's scores do not depend on those it runs with.
     """
     steps, n = x.shape
-    out = np.empty((steps, TAGS, n), np.float32)
-    out[:] = w["bias"][:, None]
+    whole = int((x != 0).all(1).sum())
     half = np.full((4 * HIDDEN, 1), 0.5, np.float32)
     half[3 * HIDDEN :] = 1
-    for d in "fb":
-        wx, wh, wo = half * w["x" + d], half * w["h" + d], w["o" + d]
-        h = np.zeros((HIDDEN, n), np.float32)
-        c = np.zeros((HIDDEN, n), np.float32)
-        z, u = np.empty((4 * HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
-        for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            before = (h, c)
-            np.take(wx, x[t], axis=1, out=z, mode="clip")
-            z += np.matmul(wh, h, out=u)
-            np.tanh(z, out=z)
-            gates = z[: 3 * HIDDEN]
-            gates *= 0.5
-            gates += 0.5
-            c = z[HIDDEN : 2 * HIDDEN] * c
-            c += z[:HIDDEN] * z[3 * HIDDEN :]
-            s = np.tanh(c)
-            h = z[2 * HIDDEN : 3 * HIDDEN] * s
-            out[t] += wo @ h
-            if keep is not None:
-                keep[d, t] = (z.copy(), *before, c, s, h)
+    wx = [half * w["x" + d] for d in "fb"]
+    wh = np.stack([half * w["h" + d] for d in "fb"])
+    h = np.zeros((2, HIDDEN, n), np.float32)
+    c = np.zeros((2, HIDDEN, n), np.float32)
+    z, u = np.empty((2, 4 * HIDDEN, n), np.float32), np.empty((2, 4 * HIDDEN, n), np.float32)
+    held = np.empty((steps, 2, HIDDEN, n), np.float32)
+    i, f, o, a = (z[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+    gates = z[:, : 3 * HIDDEN]
+    for t in range(steps):
+        before = (h, c)
+        for d, at in enumerate((t, steps - 1 - t)):
+            np.take(wx[d], x[at], axis=1, out=z[d], mode="clip")
+        z += np.matmul(wh, h, out=u)
+        np.tanh(z, out=z)
+        gates *= 0.5
+        gates += 0.5
+        c = f * c
+        c += i * a
+        if steps - 1 - t >= whole:
+            c[1] *= x[steps - 1 - t] != 0
+        s = np.tanh(c)
+        h = np.multiply(o, s, out=held[t])
+        if keep is not None:
+            for d, (name, at) in enumerate((("f", t), ("b", steps - 1 - t))):
+                keep[name, at] = (z[d].copy(), before[0][d], before[1][d], c[d], s[d], h[d])
+    out = np.matmul(w["of"], held[:, 0])
+    out += np.matmul(w["ob"], held[::-1, 1])
+    out += w["bias"][:, None]
     return out
 
 
@@ -156,6 +166,8 @@ def back(w: dict[str, np.ndarray], x: np.ndarray, keep: dict, g: np.ndarray) ->
             grad["o" + d] += g[t] @ h.T
             dh = w["o" + d].T @ g[t] + dh_next
             dc = dh * o * (1 - s * s) + dc_next
+            if d == "b":
+                dc *= x[t] != 0
             dz = np.concatenate([dc * a * i * (1 - i), dc * c0 * f * (1 - f), dh * s * o * (1 - o), dc * i * (1 - a * a)])
             dc_next = dc * f
             dh_next = w["h" + d].T @ dz
@@ -196,30 +208,72 @@ def crf_gradient(e: np.ndarray, move: np.ndarray, y: np.ndarray, real: np.ndarra
     return float((z - gold).mean()), (ge * real[:, None, :] / n).astype(np.float32), (gm / n).astype(np.float32)
 
 
-def decode(e: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """Best tags [T, B] for scores [T, TAGS, B]."""
+def decode(e: np.ndarray, move: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+    """Best tags [T, B] for scores [T, TAGS, B]; ``first`` and ``last`` are scores of the ends' tags [TAGS, B]."""
     steps, tags, n = e.shape
     from_ = np.empty((steps, tags, n), np.uint8)
-    score = e[0].copy()
+    score = e[0] if first is None else e[0] + first
     for t in range(1, steps):
-        new = np.empty_like(score)
-        for j in range(tags):
-            best, arg = score[0] + move[0, j], from_[t, j]
-            arg[:] = 0
-            for i in range(1, tags):
-                v = score[i] + move[i, j]
-                np.copyto(arg, np.uint8(i), where=v > best)
-                np.maximum(best, v, out=best)
-            new[j] = best
-        score = new + e[t]
+        both = score[:, None, :] + move[:, :, None]
+        from_[t] = both.argmax(0)
+        score = both.max(0) + e[t]
     out = np.empty((steps, n), np.uint8)
-    out[-1] = score.argmax(0)
+    out[-1] = (score if last is None else score + last).argmax(0)
     col = np.arange(n)
     for t in range(steps - 1, 0, -1):
         out[t - 1] = from_[t][out[t], col]
     return out
 
 
+#: Stretches decoded at once have no more than so many places.
+PLACES = 200_000
+
+
+def decode_texts(scores_: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
+    """Best tags of whole texts by their scores [TAGS, length]: one path over all of each text.
+
+    Where no tag is so far ahead that it wins whatever its neighbours are (its
+    lead is more than changing to it can lose in transitions), the best path
+    goes through it. So the path is cut there, exactly, and only the stretches
+    between are decoded, those of all texts by their lengths. A stretch before
+    such a place may be lengthened by places without a tag.
+    """
+    e = np.concatenate(scores_, axis=1) if scores_ else np.zeros((TAGS, 0), np.float32)
+    n = e.shape[1]
+    ends = np.cumsum([x.shape[1] for x in scores_])
+    tags = np.zeros(n, np.uint8)
+    # the most that going from and to tag k, rather than no tag, can gain over all neighbours
+    gain = np.maximum((move - move[:, :1]).max(0), 0) + np.maximum((move - move[:1]).max(1), 0)
+    open_ = np.zeros(n, bool)
+    for k in range(1, TAGS):
+        open_ |= e[k] + gain[k] >= e[0]
+    starts = np.zeros(n + 1, bool)
+    starts[ends] = starts[0] = True  # of texts
+    a = np.flatnonzero(open_ & (starts[:-1] | ~np.r_[False, open_[:-1]]))
+    b = 1 + np.flatnonzero(open_ & (starts[1:] | ~np.r_[open_[1:], False]))
+    cut = starts[b]  # ends with its text
+    order = np.lexsort((b - a, cut))
+    lengths, before = (b - a)[order], int((~cut).sum())
+    no_tag = np.full(TAGS, -1e9, np.float32)
+    no_tag[0] = 0
+    at = 0
+    while at < len(order):
+        alike = before if at < before else len(order)
+        most = lengths[at] + lengths[at] // 8 + 2 if at < before else lengths[at]
+        to = at + int(np.searchsorted(lengths[at:alike], most, side="right"))
+        to = min(to, at + max(1, PLACES // int(most)))
+        part = order[at:to]
+        size = (b[part] - a[part]).max()
+        place = a[part] + np.arange(size)[:, None]
+        inside = place < b[part]
+        x = np.where(inside[:, None], np.take(e, np.minimum(place, n - 1), axis=1).transpose(1, 0, 2), no_tag[:, None])
+        first = np.where(starts[a[part]], 0, move[0][:, None])
+        best = decode(x, move, first.astype(np.float32), None if cut[part[0]] else np.repeat(move[:, :1], len(part), 1))
+        tags[place[inside]] = best[inside]
+        at = to
+    return np.split(tags, ends[:-1]) if scores_ else []
+
+
 def train(windows: list[tuple[str, list[Span]]], steps: int = 250, batch: int = 48, length: int = 80, seed: int = 0) -> dict[str, np.ndarray] | None:
     """Weights from labelled windows, by Adam; None without any labelled span."""
     if not any(spans for _, spans in windows):
@@ -254,22 +308,20 @@ def train(windows: list[tuple[str, list[Span]]], steps: int = 250, batch: int =
     return w
 
 
-def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 1024) -> list[np.ndarray]:
-    """The tag of every character of every text, by overlapping windows over the whole texts.
+#: How much the places of an overlap count, from a window's edge inwards; the other window has the rest.
+_RAMP = np.arange(1, 2 * MARGIN + 1, dtype=np.float32) / (2 * MARGIN + 1)
 
-    Windows are ``WINDOW`` long and overlap by twice ``MARGIN``; where two
-    overlap, the one in which a character is farther from an edge decides.
-    Windows of like length run together.
+
+def scores(w: dict[str, np.ndarray], classes: list[np.ndarray], batch: int = 1024) -> list[np.ndarray]:
+    """Scores [TAGS, length] of whole texts, stitched from overlapping windows.
+
+    Windows are ``WINDOW`` long and overlap by twice ``MARGIN``. Where two
+    overlap, their scores are averaged, each counting the more the farther the
+    place is from that window's edge. Windows of like length run together.
     """
-    classes = [char_classes(t) for t in texts]
-    tags = [np.zeros(len(c), np.uint8) for c in classes]
-    core = WINDOW - 2 * MARGIN
-    jobs = [
-        (min(len(c), a + WINDOW) - a, i, a)
-        for i, c in enumerate(classes)
-        for a in range(0, max(1, len(c) - 2 * MARGIN), core)
-        if len(c)
-    ]
+    total = [np.zeros((TAGS, len(c)), np.float32) for c in classes]
+    step = WINDOW - 2 * MARGIN
+    jobs = [(min(len(c), a + WINDOW) - a, i, a) for i, c in enumerate(classes) for a in range(0, max(1, len(c) - 2 * MARGIN), step) if len(c)]
     jobs.sort()
     for at in range(0, len(jobs), batch):
         part = jobs[at : at + batch]
@@ -277,13 +329,22 @@ def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 1024) -> list[n
         for j, (n, i, a) in enumerate(part):
             x[:n, j] = classes[i][a : a + n]
         e = emissions(w, x)
-        e[x.astype(bool)[:, None, :].repeat(TAGS, 1) == 0] = 0
-        best = decode(e, w["move"])
+        follows = np.array([a > 0 for _, _, a in part])
+        followed = np.array([a + n < len(classes[i]) for n, i, a in part])  # such windows are whole
+        if follows.any():
+            e[: 2 * MARGIN, :, follows] *= _RAMP[:, None, None]
+        if followed.any():
+            e[WINDOW - 2 * MARGIN :, :, followed] *= _RAMP[::-1, None, None]
+        e = np.ascontiguousarray(e.transpose(2, 1, 0))
         for j, (n, i, a) in enumerate(part):
-            lo = 0 if a == 0 else MARGIN
-            hi = n if a + n == len(classes[i]) else n - MARGIN
-            tags[i][a + lo : a + hi] = best[lo:hi, j]
-    return tags
+            total[i][:, a : a + n] += e[j, :, :n]
+    return total
+
+
+def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 1024) -> list[np.ndarray]:
+    """The tag of every character of every text: the windows' stitched scores, decoded once over each whole text."""
+    classes = [char_classes(t) for t in texts]
+    return decode_texts(scores(w, classes, batch), w["move"])
 
 
 def runs(tags: np.ndarray, text: str) -> list[Span]:
@@ -360,7 +421,7 @@ _EXAMPLE = "doc_id long, text string, spans array<struct<kind: string, start: in
 
 def _examples(length: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.pieces(batches):
             rows = [(r["doc_id"], *x) for r in b.to_pylist() if r["text"] for x in examples(r["text"], base_spans(r["text"]), length, most)]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -376,7 +437,6 @@ def _examples(length: int, most: int):
 
 def fit(docs: DataFrame, sample: int = 4000, per_doc: int = 4, length: int = 80) -> dict[str, np.ndarray] | None:
     """Train on labelled windows of ``sample`` documents (lowest key hashes), at most ``per_doc`` spans of each."""
-    common.short_batches(docs.sparkSession)
     ids = common.sample_ids(docs.filter("text IS NOT NULL AND doc_id IS NOT NULL"), sample)  # bounded by ``sample``
     rows = (
         docs.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -406,15 +466,14 @@ def scanner(spark: SparkSession, w: dict[str, np.ndarray] | None):
     @F.arrow_udf("struct<n: array<long>, base: string, spans: string>")
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = find(sent.value, [t or "" for t in texts.to_pylist()])
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array([[sum(k == x[0] for x in base) for k in KINDS] for base, _ in found], pa.list_(pa.int64())),
-                    pa.array([joined(base) for base, _ in found], pa.string()),
-                    pa.array([joined(spans) for _, spans in found], pa.string()),
-                ],
-                ["n", "base", "spans"],
-            )
+            n, base, spans = [], [], []
+            for at in range(0, len(texts), common.ARROW_ROWS):
+                for b, s in find(sent.value, [t or "" for t in texts[at : at + common.ARROW_ROWS].to_pylist()]):
+                    n.append([sum(k == x[0] for x in b) for k in KINDS])
+                    base.append(joined(b))
+                    spans.append(joined(s))
+            arrays = [pa.array(n, pa.list_(pa.int64())), pa.array(base, pa.string()), pa.array(spans, pa.string())]
+            yield pa.StructArray.from_arrays(arrays, ["n", "base", "spans"])
 
     return scan
 
@@ -428,7 +487,6 @@ def detect(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> Dat
     doc_id and text are read; other columns may have any name. Counts and
     checksum are those of the base spans; ``spans`` has the learned ones too.
     """
-    common.short_batches(docs.sparkSession)
     scan = scanner(docs.sparkSession, weights if weights is not None else fit(docs))
     rows = docs.select("doc_id", scan("text").alias("_s"))
     return rows.select(
@@ -448,15 +506,17 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
     """``docs`` with all found spans of ``text`` masked and ``n_chars``, where there is one, counted anew; null stays null."""
-    common.short_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(weights if weights is not None else fit(docs))
 
     @F.arrow_udf("string")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            whole = texts.to_pylist()
-            found = find(sent.value, [t or "" for t in whole])
-            yield pa.array([None if t is None else masked(t, spans) for t, (_, spans) in zip(whole, found, strict=True)], pa.string())
+            out = []
+            for at in range(0, len(texts), common.ARROW_ROWS):
+                whole = texts[at : at + common.ARROW_ROWS].to_pylist()
+                found = find(sent.value, [t or "" for t in whole])
+                out += [None if t is None else masked(t, spans) for t, (_, spans) in zip(whole, found, strict=True)]
+            yield pa.array(out, pa.string())
 
     out = docs.withColumn("text", clean(docs["text"]))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
