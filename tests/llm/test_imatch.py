@@ -1,32 +1,80 @@
+import collections
 import hashlib
+import math
 
 import numpy as np
+import xxhash
 
 from courtline.llm import imatch
 from courtline.llm.common import table
 from llm_util import collected, empty, odd_documents
 
 
-def brute(rows, band):
-    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+def hashed(word):
+    """The term's 64-bit hash: xxh3 and the finalizer, in plain integers."""
+    x = xxhash.xxh3_64_intdigest(word)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> shift)) * by % 2**64
+    return x ^ (x >> 31)
+
+
+def words(text):
+    return {hashed(w) for w in (text or "").encode().lower().split()}
+
+
+def frequent_terms(texts, most=0.05):
+    n = collections.Counter(t for text in texts for t in words(text))
+    return {t for t, k in n.items() if k > max(1, most * len(texts))}
+
+
+def mixed(x):
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> shift)) * by % 2**64
+    return x ^ (x >> 31)
+
+
+def print_of(text, frequent):
+    """The fingerprint by its definition, one term and one draw at a time."""
+    terms = sorted(words(text) - frequent)
+    if not terms:
+        return "-"
+    low = round(math.log2(len(terms)))
+    out = []
+    for f in range(24):
+        salt = (f + 1) * 0x9E3779B97F4A7C15 % 2**64
+        drawn = [(t, mixed((t + salt) % 2**64)) for t in terms]
+        for level in range(low, low + 3):
+            kept = [t for t, d in drawn if d < 2**64 >> level]
+            out.append(f"{xxhash.xxh32_intdigest(b''.join(t.to_bytes(8, 'little') for t in kept)):08x}" if kept else "-")
+    return f"{low}:" + ",".join(out)
+
+
+def brute(rows, frequent):
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1]), r[1] or ""))
     out = []
     for i, (d, t) in enumerate(rows):
         t, nxt = t or "", rows[(i + 1) % len(rows)][1] or ""
         half = len(t) // 2
         new = t[: len(t) - half] + nxt[:half]
-        a, b, c = (imatch.fingerprint(x, band) for x in (t, new, nxt))
+        a, b, c = (print_of(x, frequent) for x in (t, new, nxt))
         out.append((d, len(t), hashlib.sha256(new.encode()).hexdigest(), a, b, imatch.likeness(a, b), imatch.likeness(a, c)))
     return out
 
 
+def signed(text):
+    """Spark's xxhash64 of the text."""
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
 def key(r):
     return (r[0] is None, r[0] or 0, *map(str, r[1:]))
 
 
 def check(df, **options):
-    band = imatch.lexicon(df)
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
     got = sorted(map(tuple, imatch.compare(df, **options).collect()), key=key)
-    assert got == sorted(brute([(r["doc_id"], r["text"]) for r in df.collect()], band), key=key)
+    assert got == sorted(brute(rows, frequent_terms([t for _, t in rows])), key=key)
     return got
 
 
@@ -51,15 +99,41 @@ def test_odd_rows(spark):
     assert check(one)[0][6] == 1.0  # a single document is its own next one
 
 
-def test_document_frequencies_cover_all_documents(spark):
-    from courtline.llm.minhash import mix, word_hashes
+def test_frequencies_are_exact_over_all_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    want = frequent_terms([r["text"] for r in docs.select("text").collect()])
+    for parts in (1, 7, 300):  # tasks that hold most terms back, and tasks of a few documents
+        assert set(imatch.too_frequent(docs.repartition(parts)).tolist()) == want
+    for most in (0.002, 0.3):
+        want = frequent_terms([r["text"] for r in docs.select("text").collect()], most)
+        assert set(imatch.too_frequent(docs, most).tolist()) == want
+
+
+def test_terms_at_the_bound(spark):
+    """Terms in exactly and in just over a twentieth of all documents, spread so that tasks hold them back."""
+    rows = [(i, " ".join(["rare%d" % i, *(["at"] if i % 20 == 0 else []), *(["over"] if i % 20 == 1 or i == 2 else [])])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    assert set(imatch.too_frequent(df).tolist()) == {hashed(b"over")}
+
+
+def test_one_row_and_long_documents_have_the_same_law(spark):
+    one = spark.createDataFrame([(1, "a b c a")], "doc_id long, text string")
+    assert imatch.too_frequent(one).tolist() == []  # in one document: never too frequent
+    two = spark.createDataFrame([(1, "a b c a"), (2, "a x")], "doc_id long, text string")
+    assert set(imatch.too_frequent(two).tolist()) == {hashed(b"a")}
+    same = spark.createDataFrame([(1, "a b"), (2, "a b")], "doc_id long, text string")
+    assert {r["fingerprint"] for r in imatch.compare(same).collect()} == {"-"}
+    long_ = spark.createDataFrame([(i, " ".join(f"t{(i * 37 + k) % 9000}" for k in range(5000))) for i in range(12)], "doc_id long, text string")
+    check(long_)
+
 
-    docs = table(spark, "/root/testdata/sf0.001", "documents")
-    n = np.zeros(imatch.CLASSES, int)
-    for r in docs.collect():
-        n[np.unique(imatch.classes_of(mix(word_hashes(r["text"]))))] += 1
-    want = (n >= 2) & (n <= 0.05 * docs.count())
-    assert (imatch.lexicon(docs.repartition(6)) == want).all()
+def test_a_hot_id_is_split(spark):
+    """Half of all rows have one id, a quarter none: several blocks each, in one order."""
+    rows = [(7, f"w{i} x{i % 5} y") for i in range(120)] + [(None, f"n{i} x{i % 3}") for i in range(60)] + [(i, f"v{i} y") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ends, first, parts = imatch._blocks(df, 10)
+    assert sorted(parts.tolist())[-2:] == [6, 13] and len(first) == len(parts) == len(ends) + 2
+    check(df, rows_per_block=10)
 
 
 def test_likeness():
@@ -72,7 +146,7 @@ def test_likeness():
 
 
 def test_likeness_approaches_the_share_of_common_terms():
-    band = np.ones(imatch.CLASSES, bool)
+    band = np.zeros(0, np.uint64)
     near = []
     for k in range(60):
         mine = [f"a{k}.{i}" for i in range(200)]
