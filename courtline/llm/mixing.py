@@ -2,8 +2,8 @@
 
 Each source's documents fall into permuted blocks by a hash of their key. The
 mix takes whole passes over a source and then, of one more pass, the first
-blocks in permuted order up to the target, the last block being cut at a finer
-hash. A tree over the output shards splits the taken blocks: at each node a
+blocks in permuted order up to the target; of the block that the target cuts,
+parts by a finer hash as far as they fit. A tree over the output shards splits the taken blocks: at each node a
 multivariate hypergeometric draw says how many blocks of each source go left,
 so that shards have equal numbers of blocks and random, disjoint contents.
 Within a shard, rows are ordered by a hash of key and pass.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.llm import common
@@ -89,86 +89,61 @@ def mix(
     mix takes the row: none, one or two. Sources take the weights of ``cycle``
     in code point order, null last (null is a source of its own; empty names
     come first). Null and empty texts have size 0 and are drawn like others; a
-    source of no words has target 0 and draws none. Repeated rows are drawn
-    alike. An empty table gives no rows. Columns named like the added ones are
-    replaced.
+    source of no words has target 0 and draws none. Rows are told apart by
+    doc_id and text: those that repeat both are drawn alike, others not,
+    whatever their ids. An empty table gives no rows. Columns named like the
+    added ones are replaced.
 
-    What reaches the driver is one row for each source (the mix has a weight
-    for each) and ``BLOCKS`` sums for each; and, for the block that the
-    target cuts, sums over its hash parts.
+    What reaches the driver is one row for each source: the mix has a weight
+    for each. The sums of its blocks and parts stay in tables.
     """
-    base = docs.withColumns(
-        {
-            "size": words(F.col("text")) if size is None else size,
-            "_u": F.xxhash64(F.lit(seed), F.col("doc_id")),
-        }
-    ).withColumns({"_block": F.pmod("_u", F.lit(BLOCKS)).cast("int")})
-    narrow = common.stored(base.select("source", "size", "_u", "_block"), "sizes")
+    unit = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    base = docs.withColumns({"size": words(F.col("text")) if size is None else size, "_u": unit})
+    base = base.withColumns({"_block": F.pmod("_u", F.lit(BLOCKS)).cast("int"), "_part": F.pmod(F.shiftright("_u", 12), F.lit(PARTS)).cast("int")})
+    narrow = common.stored(base.select("source", "size", "_block", "_part"), "sizes")
     spark = docs.sparkSession
-    total = {r["source"]: r for r in narrow.groupBy("source").agg(F.sum("size").alias("n")).collect()}  # one row for each source
+    total = {r["source"]: r["n"] for r in narrow.groupBy("source").agg(F.sum("size").alias("n")).collect()}  # one row for each source
     names = sorted((s for s in total if s is not None), key=lambda s: s.encode("utf-8", "surrogatepass")) + [None] * (None in total)
-    sizes = [int(total[s]["n"]) for s in names]
-    weights = [cycle[i % len(cycle)] for i in range(len(names))]
-    target = targets(sizes, weights, share * sum(sizes))
-
-    # the order of a source's blocks in the last pass is a keyed permutation; which block the target cuts:
-    orders = [np.random.default_rng([seed, i]).permutation(BLOCKS) for i in range(len(names))]
-    number = spark.createDataFrame([(s, i) for i, s in enumerate(names)] or [(None, 0)], "_s string, _i int")
-    inner = narrow.join(F.broadcast(number), F.col("source").eqNullSafe(F.col("_s")))
-    sums = np.zeros((len(names), BLOCKS), np.int64)
-    for r in inner.groupBy("_i", "_block").agg(F.sum("size").alias("n")).collect():  # BLOCKS rows for each source at most
-        sums[r["_i"], r["_block"]] = r["n"]
-    passes, cut, need = [], [], []
-    for i, (s, t) in enumerate(zip(sizes, target, strict=True)):
-        whole = int(t // s) if s else 0
-        rest = t - whole * s
-        running = np.cumsum(sums[i][orders[i]])
-        k = int(np.searchsorted(running, rest, side="right")) if rest > 0 else 0  # blocks that fit whole
-        passes.append(whole)
-        cut.append(k)
-        need.append(rest - (int(running[k - 1]) if k else 0))
-    # within the cut block: the least hash parts, up to what is still needed
-    edge = spark.createDataFrame(
-        [(i, int(orders[i][k])) for i, k in enumerate(cut) if k < BLOCKS and need[i] > 0] or [(-1, -1)], "_ci int, _cb int"
-    )
-    part = F.pmod(F.shiftright("_u", 12), F.lit(PARTS)).cast("int")
-    held = (
-        inner.join(F.broadcast(edge), (F.col("_i") == F.col("_ci")) & (F.col("_block") == F.col("_cb")))
-        .groupBy("_i", part.alias("_part"))
-        .agg(F.sum("size").alias("n"))
-    )
-    limit = [0] * len(names)
-    got = [0.0] * len(names)
-    done = [False] * len(names)
-    for r in held.orderBy("_i", "_part").toLocalIterator():  # the sums of one block at a time
-        i = r["_i"]
-        if not done[i]:
-            if got[i] + r["n"] / 2 <= need[i]:
-                got[i] += r["n"]
-                limit[i] = r["_part"] + 1
-            else:
-                done[i] = True
-
-    # draws of a source: its blocks, pass by pass in permuted order; a shard takes a range of them
-    drawn = [p * BLOCKS + (k + (lim > 0) if s else 0) for p, k, lim, s in zip(passes, cut, limit, sizes, strict=True)]
+    sizes = [int(total[s]) for s in names]
+    target = targets(sizes, [cycle[i % len(cycle)] for i in range(len(names))], share * sum(sizes))
+    passes = [int(t // s) if s else 0 for s, t in zip(sizes, target, strict=True)]
+    rows = [(n, i, s, float(t), p, float(t - p * s)) for i, (n, s, t, p) in enumerate(zip(names, sizes, target, passes, strict=True))]
+    sources = spark.createDataFrame(rows, "_s string, _i int, source_size long, target double, _passes int, _rest double")
+    sources = common.stored(sources, "sources")
+
+    def of_source(df: DataFrame) -> DataFrame:
+        return df.join(sources, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+
+    # a source's blocks in a keyed order, the same in each pass: which of them the last pass takes whole, and which it cuts
+    order = Window.partitionBy("_i").orderBy(F.xxhash64(F.lit(seed), F.lit("order"), "_i", "_block"), "_block")
+    blocks = of_source(narrow.groupBy("source", "_block").agg(F.sum("size").alias("n"))).withColumn("_place", F.row_number().over(order) - 1)
+    blocks = blocks.withColumn("_upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = blocks.select("_i", "_block", "_place", ((F.col("_upto") <= F.col("_rest")) & (F.col("_rest") > 0)).alias("_whole"), (F.col("_rest") - F.col("_upto") + F.col("n")).alias("_need"))
+    blocks = common.stored(blocks, "blocks")
+    cut = blocks.filter("NOT _whole AND _need > 0").groupBy("_i").agg(F.min(F.struct("_place", "_block", "_need")).alias("_cut"))
+    cut = cut.select("_i", "_cut._block", "_cut._need")
+    held = of_source(narrow).join(cut, ["_i", "_block"]).groupBy("_i", "_block", "_part", "_need").agg(F.sum("size").alias("n"))
+    fits = common.stored(held.groupBy("_i").applyInPandas(_fitting, "_i int, _block int, _part int, _fits boolean"), "parts")
+
+    # draws of a source: its blocks, pass by pass in that order; a shard takes a range of them
+    counts = {r["_i"]: r for r in blocks.groupBy("_i").agg(F.count(F.lit(1)).alias("all"), F.count_if("_whole").alias("whole")).collect()}
+    some = {r["_i"] for r in fits.filter("_fits").select("_i").distinct().collect()}
+    drawn = [p * counts[i]["all"] + counts[i]["whole"] + (i in some) if s else 0 for i, (p, s) in enumerate(zip(passes, sizes, strict=True))]
     ends = np.cumsum(split_tree(drawn, shards, seed), axis=1)
-    table = spark.createDataFrame(
-        [
-            (names[i], sizes[i], float(target[i]), passes[i], cut[i], limit[i], orders[i].argsort().tolist(), ends[i].tolist())
-            for i in range(len(names))
-        ],
-        "_s string, source_size long, target double, _passes int, _cut int, _limit int, _place array<int>, _ends array<long>",
-    )
-    joined = base.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_s")))  # one row of BLOCKS numbers for each source
-    place = F.col("_place")[F.col("_block")]
-    last = (place < F.col("_cut")) | ((place == F.col("_cut")) & (part < F.col("_limit")))
+    number = [(i, counts[i]["all"], ends[i].tolist()) for i in range(len(names))]
+    numbers = common.stored(spark.createDataFrame(number, "_i int, _all long, _ends array<long>"), "ends")
+    of_source_too = sources.join(numbers, "_i")
+    joined = base.join(_small(of_source_too, len(names)), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    joined = joined.join(_small(blocks.drop("_need"), sum(r["all"] for r in counts.values())), ["_i", "_block"], "left")
+    joined = joined.join(_small(fits, fits.count()), ["_i", "_block", "_part"], "left")
+    last = F.col("_whole") | F.coalesce("_fits", F.lit(False))
     times = F.when(F.col("source_size") > 0, F.col("_passes") + last.cast("int")).otherwise(0)
 
     def draw(k: Column) -> Column:
-        at = k * BLOCKS + place
+        at = k * F.col("_all") + F.col("_place")
         return F.struct(
             F.size(F.filter(F.col("_ends"), lambda e: e <= at)).alias("shard"),
-            F.xxhash64(F.lit(seed), F.lit("order"), F.col("_u"), k).alias("position"),
+            F.xxhash64(F.lit(seed), F.lit("position"), F.col("_u"), k).alias("position"),
         )
 
     draws = F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), draw)).otherwise(
@@ -176,13 +151,42 @@ def mix(
     )
     out = joined.withColumn("draws", draws)
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "draws")]
-    return out.select(*kept, "size", "source_size", "target", "draws")
+    return out.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", "draws")
+
+
+def _fitting(parts):
+    """Which parts of one source's cut block are taken: one after another, as long as they fit, and the last that comes nearer so."""
+    parts = parts.sort_values("_part")
+    need, fits = float(parts["_need"].iloc[0]) if len(parts) else 0.0, []
+    for n in parts["n"].tolist():
+        take = n <= need
+        fits.append(take)
+        need -= n if take else 0
+    # of those that didn't fit, the smallest one if it is nearer to the target with it
+    left = [(n, j) for j, (n, took) in enumerate(zip(parts["n"].tolist(), fits, strict=True)) if not took]
+    if left and min(left)[0] < 2 * need:
+        fits[min(left)[1]] = True
+    return parts[["_i", "_block", "_part"]].assign(_fits=fits)
+
+
+#: Rows of a plan that are sent to every task; a longer one (of hundreds of sources) is joined by its keys.
+BROADCAST_ROWS = 1 << 20
+
+
+def _small(plan: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(plan) if rows <= BROADCAST_ROWS else plan
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words the mix takes of the row, repeats counted)."""
+    """doc_id, size, source_size, target, taken (words the mix takes of the row, repeats counted), and each draw's shard and position."""
     return mix(docs.select("doc_id", "text", "source"), **options).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).cast("long").alias("taken")
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.size("draws")).cast("long").alias("taken"),
+        F.col("draws.shard").alias("shards"),
+        F.col("draws.position").alias("positions"),
     )
 
 

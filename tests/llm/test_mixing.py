@@ -43,6 +43,9 @@ def check(df, near=True):
         for d in docs:
             most[d["source"]] = max(most[d["source"]], len((d["text"] or "").encode().split()))
         assert all(abs(got[s] - want[s]) <= most[s] for s in want), (got, want)
+    for r in rows:  # the tree's shards and the order within them, one for each time
+        assert len(r["shards"]) == len(r["positions"]) == (r["taken"] // r["size"] if r["size"] else len(r["shards"]))
+        assert all(0 <= x < 8 for x in r["shards"]) and len(set(r["positions"])) == len(r["positions"])
     return rows
 
 
@@ -96,3 +99,54 @@ def test_targets():
     assert mixing.targets([], [], 0.0) == []
     assert mixing.targets([10, 0, 10], [5, 2, 1], 30) == [20, 0, 10]
     assert mixing.targets([100, 100], [1, 1], 300) == [150, 150]
+
+
+def test_repeated_and_missing_ids_are_divisible(spark):
+    """One id, or none, on all rows of a source: taken comes within a document of the target all the same."""
+    rows = [(7, f"t{i} " * 10, "a") for i in range(500)] + [(None, f"n{i} " * 10, "b") for i in range(500)] + [(i, f"c{i} " * 10, "c") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, target = collections.Counter(), {}
+    for r, s in ((r, r["source_size"]) for r in mixing.mix(df).collect()):
+        got[r["source"]] += r["size"] * len(r["draws"])
+        target[r["source"]] = r["target"]
+    assert all(abs(got[s] - target[s]) <= 10 for s in target), (got, target)
+
+
+def test_filling_goes_on_past_a_part_that_does_not_fit(spark):
+    import pandas as pd
+
+    parts = pd.DataFrame({"_i": 0, "_block": 3, "_part": [0, 1, 2, 3, 4], "_need": 10.0, "n": [4, 50, 5, 3, 8]})
+    assert mixing._fitting(parts)["_fits"].tolist() == [True, False, True, False, False]
+    assert mixing._fitting(parts.assign(_need=10.9, n=[4, 50, 5, 3, 8]))["_fits"].tolist() == [True, False, True, True, False]
+    rows = [(0, "w " * 3000, "a")] + [(i, "x " * 7, "a") for i in range(1, 900)] + [(i, "y " * 3, "b") for i in range(1000, 1900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check(df)
+
+
+def test_shards_come_from_the_tree(spark):
+    """Blocks of each shard are as many as the tree gave it, and every drawn block is in one shard for each pass."""
+    import numpy as np
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = mixing.mix(docs.select("doc_id", "text", "source")).selectExpr("source", "size", "source_size", "target", "draws", "xxhash64(0, doc_id, text) AS u").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    names = sorted((s for s in by if s is not None), key=str.encode) + [None] * (None in by)
+    per = np.zeros((len(names), 8), int)
+    for i, s in enumerate(names):
+        seen = {}
+        for r in by[s]:
+            for k, d in enumerate(r["draws"]):
+                seen.setdefault((k, r["u"] % 4096), set()).add(d["shard"])
+        assert all(len(x) == 1 for x in seen.values())
+        for x in seen.values():
+            per[i, x.pop()] += 1
+    assert (per == mixing.split_tree(per.sum(1), 8, 0)).all()
+
+
+def test_plans_joined_by_keys_give_the_same(spark, monkeypatch):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    want = sorted(map(repr, mixing.taken(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", -1)
+    assert sorted(map(repr, mixing.taken(docs).collect())) == want
