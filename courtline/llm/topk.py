@@ -24,22 +24,27 @@ from courtline.llm import common
 BLOCK, QUERIES, SEED, RATIO, COORDINATES_FROM = 4096, 1024, 4096, 1.1, 0.4
 #: Blocks of queries and of vectors in one cell of the grid.
 CELL = 8
+#: Vectors this long or longer can have products beyond 64 bits.
+LONGEST = 2.0**31
+#: Parts in which block headers meet.
+SALTS = 16
 _SLACK = 1e-6  # of the bounds, far above rounding: candidates may be too many, never too few
 
 
 def integers(vectors: DataFrame, scale: int = 64, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """(vec_id, v array<long>, dim, norm) with ``floor(scale * x)``; vectors null or with null or non-finite components are left out."""
+    """(vec_id, v array<long>, dim, norm) with ``floor(scale * x)``; vectors null or with null or non-finite components are left out.
+
+    A vector of length ``LONGEST`` or more raises: its products could exceed 64 bits.
+    """
     x = F.transform(F.col(column), lambda c: c.cast("double"))
     sound = F.col(column).isNotNull() & F.forall(F.col(column), lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
     return (
         vectors.filter(sound & F.col(key).isNotNull())
-        .select(F.col(key).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * float(scale)).cast("long")).alias("v"))
-        .withColumns(
-            {
-                "dim": F.size("v"),
-                "norm": F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))),
-            }
-        )
+        .select(F.col(key).cast("long").alias("vec_id"), F.transform(x, lambda c: F.try_multiply(c, F.lit(float(scale)))).alias("_x"))
+        .withColumn("norm", F.sqrt(F.aggregate("_x", F.lit(0.0), lambda a, c: a + F.pow(F.abs(c) + 1, F.lit(2.0)))))
+        .withColumn("_x", F.when(F.col("norm") < LONGEST, F.col("_x")).otherwise(F.raise_error(F.concat(F.lit("vector too long for 64-bit products: vec_id "), F.col("vec_id")))))
+        .withColumn("v", F.transform("_x", lambda c: F.floor(c).cast("long")))
+        .select("vec_id", "v", F.size("v").alias("dim"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))).alias("norm"))
     )
 
 
@@ -174,7 +179,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20, scale: int = 64,
     vec_id); candidates are all vectors but those with the query's own id.
     Ties go to the smaller vec_id; repeated rows of another id are candidates
     each. Vectors that are null, or hold null or non-finite components, and rows without vec_id take no
-    part; vectors of another dimension than the query's aren't its
+    part; a vector too long for 64-bit products raises; vectors of another dimension than the query's aren't its
     candidates; zero vectors score 0; an empty table gives no rows. Only
     vec_id and embedding are read.
 
@@ -183,13 +188,18 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20, scale: int = 64,
     each query.
     """
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     rows = common.numbered(integers(vectors, scale), "vectors")
-    index = common.stored(blocks(rows, block), "blocks").withColumn("block", F.xxhash64("dim", "bucket", "sub"))
-    asked = common.stored(blocks(rows.filter(is_query), queries), "queries").select(
-        "dim", F.col("bucket").alias("q_bucket"), F.col("sub").alias("q_sub"), F.col("most").alias("q_most"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q")
-    )
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows are whole blocks now
+    with common.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+        index = common.stored(blocks(rows, block), "blocks")
+        asked = common.stored(blocks(rows.filter(is_query), queries), "queries").select(
+            "dim", F.col("bucket").alias("q_bucket"), F.col("sub").alias("q_sub"), F.col("most").alias("q_most"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q")
+        )
+    with common.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "4"}):  # rows are whole blocks now
+        return common.stored(_found(asked, index, k), "nearest")
+
+
+def _found(asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """The k best of each query of the query blocks in the vector blocks."""
     asked = asked.repartition(max(1, asked.count()), "dim", "q_bucket", "q_sub")  # rows are large, the table isn't
 
     # the seed: each dimension's longest vectors, whole blocks until there are enough
@@ -205,21 +215,34 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20, scale: int = 64,
     first = common.stored(run(asked.join(longest, "dim"), F.lit(None).cast("binary")), "first")
     # k-th best so far of each query; a query with fewer has no bound
     bound = _first(first, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    floors = common.stored(_with_floors(asked, bound), "floors")
     rest = index.join(seed, ["dim", "bucket", "sub"], "left_anti")
-    floors = _with_floors(asked, bound)
-    # a grid of cells of CELL x CELL blocks, so that no task meets all queries or all vectors; within a cell, two
-    # blocks meet unless the greatest product of their norms is under every bound
-    down, across = max(1, -(-floors.count() // CELL)), max(1, -(-index.count() // CELL))
-
-    def dealt(df: DataFrame, own: str, n: int, other: str, m: int, *key: str) -> DataFrame:
-        df = df.withColumn(own, F.pmod(F.xxhash64(*key), F.lit(n)).cast("int"))
-        return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-
-    left = dealt(floors, "_down", down, "_across", across, "q_bucket", "q_sub")
-    right = dealt(rest, "_across", across, "_down", down, "bucket", "sub")
-    pairs = left.join(right, ["dim", "_down", "_across"]).filter(F.col("least") <= F.col("q_most") * F.col("most") * (1 + _SLACK))
-    found = first.union(run(pairs, F.col("floor")))
-    return _first(found, k).select("query_id", "rank", "vec_id", "score")
+    left, right = cells(floors, rest)
+    pairs = left.join(right, ["dim", "_down", "_across"]).filter(_may(F.col("least")))
+    return _first(first.union(run(pairs, F.col("floor"))), k).select("query_id", "rank", "vec_id", "score")
+
+
+def _may(least: F.Column) -> F.Column:
+    """Whether the greatest product of two blocks' norms reaches the least bound of the queries."""
+    return least <= F.col("q_most") * F.col("most") * (1 + _SLACK)
+
+
+def cells(floors: DataFrame, rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Query blocks and vector blocks, once for each cell of the grid that they are needed in (_down, _across).
+
+    A cell has up to ``CELL`` query blocks and as many vector blocks of like
+    norms, so that no task meets all queries or all vectors. First the headers
+    alone meet (norms and bounds, no vectors): a block is sent to a cell only
+    for some block of the cell that the bound leaves it.
+    """
+    heads = floors.select("dim", "q_bucket", "q_sub", "q_most", "least").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    heads = heads.withColumn("_down", F.xxhash64("q_bucket", F.floor(F.col("q_sub") / CELL)))
+    others = rest.select("dim", "bucket", "sub", "most").withColumn("_salt", F.pmod(F.xxhash64("bucket", "sub"), F.lit(SALTS)).cast("int"))
+    others = others.withColumn("_across", F.xxhash64("bucket", F.floor(F.col("sub") / CELL)))
+    met = common.stored(heads.join(others, ["dim", "_salt"]).filter(_may(F.col("least"))).drop("_salt", "q_most", "most", "least"), "met")
+    down = met.select("dim", "q_bucket", "q_sub", "_down", "_across").distinct()
+    across = met.select("dim", "bucket", "sub", "_across", "_down").distinct()
+    return floors.join(down, ["dim", "q_bucket", "q_sub"]), rest.join(across, ["dim", "bucket", "sub"])
 
 
 def _with_floors(asked: DataFrame, bound: DataFrame) -> DataFrame:

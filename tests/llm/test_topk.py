@@ -71,3 +71,31 @@ def test_odd_vectors(spark):
 def test_products_are_exact():
     a = np.array([[3_000_000_019, 1]], np.int64)
     assert topk.products(a, np.array([[1_000_000_007, 1]], np.int64))[0, 0] == 3_000_000_019 * 1_000_000_007 + 1
+
+
+def test_vectors_beyond_64_bits_raise(spark):
+    import pytest
+
+    for x in (3e17, 1e300, 2.0**26):
+        df = spark.createDataFrame([(0, [x, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="64-bit"):
+            run(df)
+    rows = [(0, [2.0**24, -(2.0**24)]), (1, [2.0**24, 1.0]), (2, [-(2.0**24), 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert run(df) == brute(rows, 20, 20)
+
+
+def test_session_is_left_as_it_was(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    run(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>"))
+    assert spark.conf.get(key) == before
+
+
+def test_blocks_go_only_where_a_bound_leaves_them(spark):
+    """Headers meet first: a block that every query's bound rules out is sent nowhere, another to its cells alone."""
+    floors = spark.createDataFrame([(2, b, 0, 10.0, least) for b, least in ((1, 50), (2, 200), (3, 10**9))], "dim int, q_bucket long, q_sub int, q_most double, least long")
+    rest = spark.createDataFrame([(2, b, s, most) for b, s, most in ((1, 0, 1.0), (2, 0, 6.0), (3, 0, 30.0), (3, 9, 30.0))], "dim int, bucket long, sub int, most double")
+    left, right = topk.cells(floors, rest)
+    assert sorted((r["q_bucket"]) for r in left.collect()) == [1, 1, 1, 2, 2]  # cells of (2, 0), (3, 0) and (3, 9); of (3, 0) and (3, 9)
+    assert sorted((r["bucket"], r["sub"]) for r in right.collect()) == [(2, 0), (3, 0), (3, 0), (3, 9), (3, 9)]
