@@ -2,8 +2,8 @@
 
 DataFrame functions only. A file's passages (its lines, as many successive
 words as a template has, wherever lines break, and the whole of a licence file)
-are compared with each template on words weighted by inverse document frequency
-over all files. Files without a licence of their own take that of the nearest
+are compared with each template (licence texts, file headers and one-line
+notices) on words weighted by inverse document frequency over all files. Files without a licence of their own take that of the nearest
 directory above that holds a licence file.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.llm import common
+from courtline.llm import common, licence_texts
 
 # Short notices of common licences.
 TEMPLATES = {
@@ -42,7 +42,10 @@ NEIGHBOURS = {
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
     "CC0-1.0": "Licensed under CC0 1.0.",
 }
-NOTICES = TEMPLATES | NEIGHBOURS
+#: All that passages are compared with; what follows a slash tells a licence's templates apart.
+NOTICES = TEMPLATES | NEIGHBOURS | licence_texts.TEXTS
+#: A licence that a file names by its identifier.
+IDENTIFIER = r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9][A-Za-z0-9.+-]*)"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 
 
@@ -112,8 +115,10 @@ def own_licenses(files: DataFrame, templates: Mapping[str, str] = NOTICES, least
     template's weightier words can't reach ``least`` (by Cauchy-Schwarz on the
     rest), so only files with such words are cut into passages: lines, runs of
     as many words as the template has, and the whole text where ``path`` is
-    that of a licence file. The best passage counts, ties go to the template
-    last by name.
+    that of a licence file. A licence stated by its SPDX identifier counts as a
+    passage of score 1. The best passage counts; ties go to an identifier, then
+    to a text or header (a notice may be a part of it), then to the licence last
+    by name.
     """
     vocabulary = {name: _words(text) for name, text in templates.items()}
     terms = set().union(*vocabulary.values())
@@ -153,8 +158,12 @@ def own_licenses(files: DataFrame, templates: Mapping[str, str] = NOTICES, least
     rest = one.join(held, "t").groupBy("_row").agg(F.sum(F.pow(F.log((1 + n) / (1 + F.col("held"))) + 1, 2)).alias("_rest"))
     score = F.col("dot") / F.sqrt(F.col("_n") + F.coalesce("_rest", F.lit(0.0)))
     best = near.join(rest, "_row", "left").withColumn("score", score)
-    best = best.filter(F.col("score") >= least).select("file_id", F.round("score", 9).alias("score"), "license")
-    return best.groupBy("file_id").agg(F.max("score").alias("score"), F.max_by("license", F.struct("score", F.col("license"))).alias("license"))
+    best = best.filter(F.col("score") >= least).select(
+        "file_id", F.round("score", 9).alias("score"), F.col("license").contains("/").cast("int").alias("_told"), F.substring_index("license", "/", 1).alias("license")
+    )
+    stated = files.select("file_id", F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(1))).alias("license"))
+    best = best.unionByName(stated.select("file_id", F.lit(1.0).alias("score"), F.lit(2).alias("_told"), "license"))
+    return best.groupBy("file_id").agg(F.max("score").alias("score"), F.max_by("license", F.struct("score", "_told", "license")).alias("license"))
 
 
 def scan(files: DataFrame, templates: Mapping[str, str] = NOTICES, least: float = 0.75) -> DataFrame:

@@ -1,3 +1,4 @@
+import collections
 import math
 import re
 
@@ -12,27 +13,59 @@ def words(text):
     return {w for w in re.split("[^a-z0-9]+", "".join(c.lower() if c.isascii() else c for c in text)) if w}
 
 
-def brute(files, templates=licenses.TEMPLATES, least=0.75):
-    """Own licences by comparing every line with every template."""
+def sequence(text):
+    return [w for w in re.split("[^a-z0-9]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w]
+
+
+def anchors_of(v, weight, least):
+    """A template's weightier words: any words without one of these weigh too little."""
+    order = sorted(v, key=lambda w: (-weight[w], w))
+    norm = sum(weight[w] ** 2 for w in v)
+    for i in range(len(order)):
+        if sum(weight[w] ** 2 for w in order[i:]) < least**2 * norm * (1 - 1e-9):
+            return set(order[:i])
+    return set(order)
+
+
+def brute(files, templates=licenses.NOTICES, least=0.75):
+    """Own licences by comparing every passage (line, run of a template's length that holds its anchors, whole licence file) with every template."""
     n = len(files)
     vocab = {k: words(t) for k, t in templates.items()}
-    held = {w: sum(w in words(t or "") for _, _, t in files) for w in set().union(*vocab.values())}
-    weight = {w: math.log((1 + n) / (1 + c)) + 1 for w, c in held.items()}
-    other = math.log((1 + n) / 2) + 1
+    held = collections.Counter(w for _, _, t in files for w in words(t or ""))
+    weight = collections.defaultdict(lambda: math.log(1 + n) + 1, {w: math.log((1 + n) / (1 + c)) + 1 for w, c in held.items()})
+    norms = {k: math.sqrt(sum(weight[x] ** 2 for x in v)) for k, v in vocab.items()}
+    anchors = {k: anchors_of(v, weight, least) for k, v in vocab.items()}
+    by_length = {}
+    for k, t in templates.items():
+        by_length.setdefault(len(sequence(t)), set()).update(anchors[k])
+    known = set().union(*anchors.values())
     own = {}
-    for f, _, text in files:
-        for line in (text or "").split("\n"):
-            w = words(line)
-            norm = math.sqrt(sum(weight.get(x, other) ** 2 for x in w))
-            for name, v in vocab.items():
-                s = sum(weight[x] ** 2 for x in w & v) / (norm * math.sqrt(sum(weight[x] ** 2 for x in v))) if w else 0
-                if s >= least and (f not in own or (round(s, 9), name) > (own[f][0], own[f][1])):
-                    own[f] = (round(s, 9), name)
+    for f, path, text in files:
+        seq = sequence(text)
+        # what a passage has in common with a template, its file has too
+        may = [k for k, v in vocab.items() if sum(weight[x] ** 2 for x in set(seq) & v) >= (least**2 - 1e-9) * norms[k] ** 2]
+        found = [(1.0, 2, x) for x in re.findall(licenses.IDENTIFIER, text or "")]
+        parts = []
+        if may:
+            parts = [words(line) for line in (text or "").split("\n")]
+            if path is not None and re.search(licenses.LICENSE_FILE.replace("(?i)", ""), path, re.I):
+                parts.append(set(seq))
+            for k, mine in by_length.items():
+                parts += [set(r) for r in (seq[i : i + k] for i in range(max(1, len(seq) - k + 1))) if mine & set(r)]
+        for w in parts:
+            if w & known:
+                norm = math.sqrt(sum(weight[x] ** 2 for x in w))
+                for k in may:
+                    s = sum(weight[x] ** 2 for x in w & vocab[k]) / (norm * norms[k])
+                    if s >= least:
+                        found.append((round(s, 9), int("/" in k), k.partition("/")[0]))
+        if found:
+            own[f] = max(found + [own[f]] if f in own else found)
     given = {}
     for f, path, _ in files:
         if path is not None and f in own and re.search(licenses.LICENSE_FILE.replace("(?i)", ""), path, re.I):
             d = path.rpartition("/")[0]
-            given[d] = min(given.get(d, (0, "~")), (-own[f][0], own[f][1]))
+            given[d] = min(given.get(d, (0, "~")), (-own[f][0], own[f][2]))
     out = []
     for f, path, _ in files:
         d, found = (path.rpartition("/")[0] if path is not None else None), None
@@ -41,7 +74,7 @@ def brute(files, templates=licenses.TEMPLATES, least=0.75):
                 found = (d, given[d][1])
                 break
             d = d.rpartition("/")[0] if d else None
-        out.append((f, path, own.get(f, (None, None))[1], *(found or (None, None)), own[f][1] if f in own else found and found[1]))
+        out.append((f, path, own.get(f, (None,) * 3)[2], *(found or (None, None)), own[f][2] if f in own else found and found[1]))
     return out
 
 
@@ -120,4 +153,25 @@ def test_nearest_of_like_notices(spark):
     ]
     files = spark.createDataFrame(rows, "file_id long, path string, text string")
     got = {r["file_id"]: (r["license"], r["score"]) for r in licenses.own_licenses(files).collect()}
-    assert got == {i: (name, 1.0) for i, name in enumerate(names)}
+    assert got == {i: (name.partition("/")[0], 1.0) for i, name in enumerate(names)}
+
+
+def test_real_licence_files_and_identifiers(spark):
+    """Whole texts with a copyright line, titles, headers in comments, identifiers; a text that is none of them."""
+    texts = licenses.licence_texts.TEXTS
+    comment = lambda t, mark: "\n".join(mark + line for line in t.split("\n"))
+    rows = [
+        (1, "a/LICENSE", "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + texts["MIT/text"]), (2, "a/src/x.py", "code"),
+        (3, "b/LICENSE", "\n" * 3 + " " * 30 + texts["Apache-2.0/title"].replace("\n", "\n" + " " * 20) + "\n1. Definitions.\n" + "some more words of it " * 20),
+        (4, "c/x.c", "// SPDX-License-Identifier: MIT\nint main;"), (5, "c/y.c", "/* SPDX-License-Identifier: (GPL-2.0-only OR MIT) */"),
+        (6, "d/x.py", comment(texts["GPL-3.0/header"], "# ") + "\nimport os\n" + "other code here\n" * 30), (7, "e/x.py", comment(texts["AGPL-3.0/header"], "# ")),
+        (8, "f/COPYING", texts["BSD-2-Clause/text"]), (9, "g/COPYING", "Copyright 2001 Them\n" + texts["BSD-3-Clause/text"]),
+        (10, "h/LICENSE", "This is a text about software and the warranty of nobody, and of no licence."), (11, "b/x.py", "code"),
+        *[(100 + i, f"z/{i}", f"the words of the file and of number{i} in it, to be or not to be with any other") for i in range(200)],
+    ]
+    got = check(spark.createDataFrame(rows, "file_id long, path string, text string"))
+    by = {r[0]: r[5] for r in got}
+    assert [by[i] for i in range(1, 12)] == [
+        "MIT", "MIT", "Apache-2.0", "MIT", "GPL-2.0-only", "GPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", None, "Apache-2.0"
+    ]
+    assert not any(by[100 + i] for i in range(200))
