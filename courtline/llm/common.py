@@ -15,13 +15,12 @@ from courtline import session
 ARROW_ROWS = 256
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Parts of a value's rows in a sample.
+SALTS = 64
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @contextlib.contextmanager
@@ -84,5 +83,9 @@ def sample_ids(docs: DataFrame, n: int, by: str | None = None) -> DataFrame:
     key = F.xxhash64(F.lit("sample"), "doc_id")
     if by is None:
         return docs.select("doc_id").distinct().orderBy(key, "doc_id").limit(n)
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(key, "doc_id"))
-    return docs.select(by, "doc_id").distinct().withColumn("_rank", rank).filter(F.col("_rank") <= n).select("doc_id")
+    out = docs.select(by, "doc_id", F.pmod(key, F.lit(SALTS)).alias("_salt")).distinct()
+    # the lowest of each part of a value first, so that a value with a third of all rows isn't ordered in one task
+    for group in ([by, "_salt"], [by]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(key, "doc_id"))
+        out = out.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    return out.select("doc_id")

@@ -99,7 +99,7 @@ def train(examples: list[tuple[str, np.ndarray]], landmarks_per_lang: int = 16,
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = np.zeros(ORDERS * BUCKETS, bool)
-    for b in batches:
+    for b in common.pieces(batches):
         rows = [r for r in b.to_pylist() if r["text"] and LETTER.search(r["text"])]
         yield pa.RecordBatch.from_pydict(
             {"doc_id": [r["doc_id"] for r in rows], "lang": [r["lang"] for r in rows], "grams": [ngrams(r["text"], seen).astype(np.int32) for r in rows]},
@@ -118,16 +118,11 @@ def fit(docs: DataFrame, per_lang: int = 200, landmarks_per_lang: int = 16, ridg
     The sample is the documents with the lowest key hashes; what reaches the
     driver is their n-gram places, at most ``ORDERS * BUCKETS`` numbers each.
     """
-    common.short_batches(docs.sparkSession)
     free = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = common.sample_ids(free, per_lang, by="lang")  # at most per_lang for each language: bounded
-    rows = (
-        free.join(F.broadcast(ids), "doc_id", "left_semi")
-        .select("doc_id", "lang", "text")
-        .mapInArrow(_examples, "doc_id long, lang string, grams array<int>")
-        .dropDuplicates(["doc_id", "lang"])
-        .collect()
-    )
+    # of rows that repeat a doc_id, the least text: the same in every run
+    texts = free.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows = texts.select("doc_id", "lang", "text").mapInArrow(_examples, "doc_id long, lang string, grams array<int>").collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"]))
     return train([(r["lang"], np.array(r["grams"], np.int64)) for r in rows], landmarks_per_lang, ridge)
 
@@ -139,7 +134,11 @@ def predictor(spark: SparkSession, model: Model):
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            langs, score = sent.value.predict(texts.to_pylist())
+            langs, score = [], []
+            for at in range(0, len(texts), common.ARROW_ROWS):
+                some, scores = sent.value.predict(texts[at : at + common.ARROW_ROWS].to_pylist())
+                langs += list(some)
+                score += list(scores)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
 
     return language
@@ -153,7 +152,6 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     empty table none; of all columns only doc_id, text and, to learn, lang
     are read, and other columns may have any name.
     """
-    common.short_batches(docs.sparkSession)
     language = predictor(docs.sparkSession, model or fit(docs))
     return docs.select("doc_id", held_out().alias("held_out"), language("text").alias("_p")).select(
         "doc_id", "held_out", "_p.lang_pred", "_p.score"
@@ -165,7 +163,6 @@ def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     Where nothing could be learned, the rows whose text has a letter.
     """
-    common.short_batches(docs.sparkSession)
     model = model or fit(docs)
     language = predictor(docs.sparkSession, model)
     name = "_language"
