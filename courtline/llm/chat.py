@@ -32,8 +32,9 @@ def rotate(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
     they are, since the mask is by position. An empty table gives no rows.
     Only conv_id, turn, role and text are read.
 
-    Long dialogues are rendered in parts of ``per_part`` turn numbers, so no
-    group grows with a conversation; ``mask`` is "start:end" by comma in
+    Long dialogues are rendered in parts of ``per_part`` turn numbers, so a
+    group is as large as the turns that share these numbers: it grows with a
+    conversation only where its turns have no numbers or repeat them. ``mask`` is "start:end" by comma in
     characters of the part's text, end exclusive.
     """
     said = turns.select(

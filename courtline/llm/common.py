@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """``ARROW_ROWS`` rows in a batch where neither deployment nor session has set another number: the library's default.
+
+    It bounds what the JVM holds of a batch; ``pieces`` bounds what a worker does.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key) and spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """The session with ``values``, as it was before when the block ends: what is lazy must be stored within."""

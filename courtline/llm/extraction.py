@@ -420,6 +420,7 @@ def extract(pages: DataFrame, bound: int = BROADCAST) -> DataFrame:
     cannot clash. Whole pages are shuffled only where the hosts' templates are
     beyond ``bound`` bytes, and then no host is in one task.
     """
+    common.short_batches(pages.sparkSession)
     host = F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),

@@ -240,7 +240,7 @@ def decode_texts(scores_: list[np.ndarray], move: np.ndarray) -> list[np.ndarray
     """
     e = np.concatenate(scores_, axis=1) if scores_ else np.zeros((TAGS, 0), np.float32)
     n = e.shape[1]
-    ends = np.cumsum([x.shape[1] for x in scores_])
+    ends = np.cumsum([x.shape[1] for x in scores_], dtype=np.int64)
     tags = np.zeros(n, np.uint8)
     # the most that going from and to tag k, rather than no tag, can gain over all neighbours
     gain = np.maximum((move - move[:, :1]).max(0), 0) + np.maximum((move - move[:1]).max(1), 0)
@@ -274,7 +274,7 @@ def decode_texts(scores_: list[np.ndarray], move: np.ndarray) -> list[np.ndarray
     return np.split(tags, ends[:-1]) if scores_ else []
 
 
-def train(windows: list[tuple[str, list[Span]]], steps: int = 250, batch: int = 48, length: int = 80, seed: int = 0) -> dict[str, np.ndarray] | None:
+def train(windows: list[tuple[str, list[Span]]], steps: int = 400, batch: int = 48, length: int = 80, seed: int = 0) -> dict[str, np.ndarray] | None:
     """Weights from labelled windows, by Adam; None without any labelled span."""
     if not any(spans for _, spans in windows):
         return None
@@ -394,7 +394,9 @@ def variants(kind: str, part: str) -> list[str]:
     if kind == "phone":
         return [part.lstrip("+"), "00" + part[1:], part[1:].replace(" ", ".")]
     if kind == "card":
-        return [part.replace(" ", "").replace("-", ""), part.replace(" ", "."), part.replace("-", ".")]
+        digits = re.sub("[^0-9]", "", part)
+        groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return [".".join(groups), "/".join(groups), " - ".join(groups)]
     return [part.replace(".", " . "), part.replace(".", "[.]")]
 
 
@@ -437,6 +439,7 @@ def _examples(length: int, most: int):
 
 def fit(docs: DataFrame, sample: int = 4000, per_doc: int = 4, length: int = 80) -> dict[str, np.ndarray] | None:
     """Train on labelled windows of ``sample`` documents (lowest key hashes), at most ``per_doc`` spans of each."""
+    common.short_batches(docs.sparkSession)
     ids = common.sample_ids(docs.filter("text IS NOT NULL AND doc_id IS NOT NULL"), sample)  # bounded by ``sample``
     rows = (
         docs.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -487,6 +490,7 @@ def detect(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> Dat
     doc_id and text are read; other columns may have any name. Counts and
     checksum are those of the base spans; ``spans`` has the learned ones too.
     """
+    common.short_batches(docs.sparkSession)
     scan = scanner(docs.sparkSession, weights if weights is not None else fit(docs))
     rows = docs.select("doc_id", scan("text").alias("_s"))
     return rows.select(
@@ -506,6 +510,7 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
     """``docs`` with all found spans of ``text`` masked and ``n_chars``, where there is one, counted anew; null stays null."""
+    common.short_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(weights if weights is not None else fit(docs))
 
     @F.arrow_udf("string")

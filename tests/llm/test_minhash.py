@@ -192,6 +192,12 @@ def test_beyond_against_brute_force(spark):
 
 
 def test_settings_are_put_back(spark):
-    before = {k: spark.conf.get(k, None) for k in (*minhash.RUNTIME_FILTER, "spark.sql.execution.arrow.maxRecordsPerBatch")}
-    minhash.keep_one(odd_documents(spark)).count()
-    assert before == {k: spark.conf.get(k, None) for k in before}
+    """Those of one operator are restored; the number of rows in a batch is a default that a session's own setting outranks."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, rows = {k: spark.conf.get(k, None) for k in minhash.RUNTIME_FILTER}, spark.conf.get(key)
+    spark.conf.set(key, "777")
+    try:
+        minhash.keep_one(odd_documents(spark)).count()
+        assert before == {k: spark.conf.get(k, None) for k in before} and spark.conf.get(key) == "777"
+    finally:
+        spark.conf.set(key, rows)

@@ -65,11 +65,58 @@ def test_network_finds_held_out_and_rewritten_spans(spark):
     tags = pii.tag(w, held)
     hit = [(g[a:b] == 1 + pii.ORDER[k]).mean() > 0.8 for t, g in zip(held, tags, strict=True) for k, a, b in pii.base_spans(t)]
     assert sum(hit) >= 0.9 * len(hit)
+    # rewritten spans of held-out documents, of every kind, at offsets all over a window and its overlaps
+    prose = next(t for t in texts[4000:] if not pii.base_spans(t) and 900 < len(t) < 3000)
+    for kind in pii.KINDS:
+        own = [t[a:b] for t in texts[4000:] for k, a, b in pii.base_spans(t) if k == kind][:8]
+        for n in range(3):
+            made = []
+            for at in range(0, pii.WINDOW, 5):
+                forms = pii.variants(kind, own[at % len(own)])
+                off = prose.index(" ", 100 + at) + 1
+                text = prose[:off] + forms[n % len(forms)] + " " + prose[off:]
+                if not pii.base_spans(text):
+                    made.append((text, off, off + len(forms[n % len(forms)])))
+            found = pii.find(w, [m[0] for m in made])
+            hit = [any(k == kind and min(b, d) - max(a, c) >= 0.8 * (b - a) for k, c, d in all_) for (_, a, b), (_, all_) in zip(made, found, strict=True)]
+            assert sum(hit) >= 0.85 * len(hit), (kind, n, sum(hit), len(hit))
     changed = "Th enou thonan bosbt.42 at mail8.example.com thblewhor the or"
     assert pii.base_spans(changed) == []
     assert [k for k, *_ in pii.find(w, [changed])[0][1]] == ["email"]
 
 
+def test_one_best_path_over_whole_texts():
+    """Cut at sure places and decoded in pieces, it is the path of one decode; scores sum to one window's where none overlap."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    move = rng.normal(0, 1, (pii.TAGS, pii.TAGS)).astype(np.float32)
+    texts = []
+    for n in (0, 1, 2, 3, 50, 400, 401, 2000):
+        e = rng.normal(0, 2, (pii.TAGS, n)).astype(np.float32)
+        e[0] += np.repeat(rng.choice([0, 4, 30], n // 5 + 1), 5)[:n]
+        texts.append(e)
+    got = pii.decode_texts(texts, move)
+    for e, tags in zip(texts, got, strict=True):
+        assert len(tags) == e.shape[1]
+        if len(tags):
+            assert np.array_equal(tags, pii.decode(np.ascontiguousarray(e.T)[:, :, None], move)[:, 0])
+    assert pii.decode_texts([], move) == [] and pii.tag(pii.start_weights(1), []) == []
+
+
+def test_scores_do_not_depend_on_the_batch():
+    import numpy as np
+
+    w = pii.start_weights(1)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abc @.1") for _ in range(n)) for n in (10, 100, 224, 225, 256, 257, 480, 1500)]
+    together = pii.scores(w, [pii.char_classes(t) for t in texts])
+    for t, e in zip(texts, together, strict=True):
+        assert np.allclose(e, pii.scores(w, [pii.char_classes(t)])[0], atol=1e-4)
+    short = pii.emissions(w, pii.char_classes(texts[2])[:, None])[:, :, 0].T
+    assert np.allclose(together[2], short, atol=1e-4)
+
+
 def test_windows_cover_whole_texts():
     import numpy as np
 

@@ -46,3 +46,29 @@ def test_write(spark, tmp_dir):
     sharding.write(docs, tmp_dir + "/shards", (1.0,) * 4)
     back = spark.read.parquet(tmp_dir + "/shards")
     assert sorted(back.drop("shard").collect()) == sorted(docs.collect())
+
+
+def test_every_shard_by_an_independent_rendezvous(spark):
+    """Scores from xxh64 of the key's and shard's bytes, in plain Python, over the whole table and uneven weights."""
+    import math
+    import struct
+
+    import xxhash
+
+    def score(key, shard, weight, seed=0):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        if key is not None:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", key), h)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", shard), h)
+        return -math.log(((h >> 11) + 0.5) / 2**53) / weight
+
+    def of(key, weights):
+        return min((score(key, i, w), i) for i, w in enumerate(weights))[1]
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    for weights in ((1.0,) * 8, (3.0, 1.0, 0.5)):
+        rows = sharding.assign(docs, weights).collect()
+        assert all(r["shard"] == of(r["doc_id"], weights) for r in rows)
+        assert all(r["grown_shard"] == of(r["doc_id"], [*weights, weights[-1]]) for r in rows)
+    (none,) = sharding.assign(odd_documents(spark).filter("doc_id IS NULL")).select("shard").distinct().collect()
+    assert none["shard"] == of(None, (1.0,) * 8)
