@@ -37,7 +37,7 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,17 +185,46 @@ def with_year(df: DataFrame) -> DataFrame:
     return df.withColumn(YEAR, fn.game_year("GAME_DATE"))
 
 
+#: Quantile ranks of a clustering column, as bits.
+RANK_BITS = 5
+
+
+def curve(df: DataFrame, columns=schemas.CLUSTER_COLUMNS) -> Column:
+    """Places of rows on a space-filling curve over the ranks of ``columns``: their bits taken in turn.
+
+    Ranks are between quantiles of the column (one aggregate of these columns),
+    so that an uneven spread of ids makes no uneven cells. Rows near each other
+    on the curve are near in every column, not only in the first.
+    """
+    n = 1 << RANK_BITS
+    at = F.array(*[F.lit(i / n) for i in range(1, n)])
+    cuts = df.agg(*[F.percentile_approx(c, at, F.lit(100 * n)).alias(c) for c in columns]).first()
+    place = F.lit(0)
+    for i, c in enumerate(columns):
+        rank = _cuts_up_to(cuts[c], F.col(c)) if cuts[c] else F.lit(0)
+        for bit in range(RANK_BITS):
+            to = bit * len(columns) + len(columns) - 1 - i
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), to))
+    return place
+
+
+def _cuts_up_to(cuts: list, value: Column) -> Column:
+    return F.size(F.filter(F.array(*[F.lit(v) for v in cuts]), lambda cut: cut <= value))
+
+
 def clustered(df: DataFrame) -> DataFrame:
-    """Range-partition on (year, team, player, game) and sort inside files.
+    """Range-partition on year and the curve over team and player, and sort inside files.
 
     Range partitioning spreads one large year over many tasks (GAME_ID at the
-    end splits even a single hot team and player), and each written file
-    holds a narrow TEAM_ID range, so Parquet min/max statistics skip row
-    groups for team and player filters. The number of ranges is the session's
+    end splits even a single hot team and player), and each written file holds
+    a narrow range of teams and one of players, so that file bounds and Parquet
+    statistics skip for either. The number of ranges is the session's
     ``spark.sql.shuffle.partitions``; AQE merges small ones.
     """
-    df = with_year(df).repartitionByRange(YEAR, *schemas.CLUSTER_COLUMNS, "GAME_ID")
-    return df.sortWithinPartitions(YEAR, *schemas.CLUSTER_COLUMNS)
+    df = with_year(df)
+    placed = df.withColumn("_place", curve(df))
+    placed = placed.repartitionByRange(YEAR, "_place", *schemas.CLUSTER_COLUMNS, "GAME_ID")
+    return placed.sortWithinPartitions(YEAR, "_place", *schemas.CLUSTER_COLUMNS).drop("_place")
 
 
 # Upper bound of rows per written file of the fact table (a split bound on
@@ -206,6 +235,7 @@ MAX_RECORDS_PER_FILE = 5_000_000
 _RUN = "RUN"
 
 FACT_TABLE_SCHEMA = T.StructType(schemas.FACT.fields + [T.StructField(YEAR, schemas.LONG, True)])
+_BOUNDS = T.StructType([T.StructField("file", T.StringType(), True)] + [T.StructField(f"{n}_{c}", schemas.LONG, True) for c in schemas.CLUSTER_COLUMNS for n in ("least", "most")])
 _KEY_SCHEMA = T.StructType([f for f in schemas.FACT.fields if f.name in KEYS])
 
 
@@ -230,7 +260,8 @@ class FactTable:
 
     ``path/_manifests/<n>.json`` names, for each year, the folder
     ``data/RUN=<run>/GAME_YEAR=<year>`` with its rows and the one under
-    ``keys`` with its keys in buckets. Their number is set when the table is
+    ``keys`` with its keys in buckets; ``bounds/RUN=<run>`` has the least and
+    greatest team and player of each file. The buckets' number is set when the table is
     created (``buckets``, or that session's ``spark.sql.shuffle.partitions``);
     a join reads them as they lie in sessions with no more shuffle partitions.
     The highest n is the table. Folders that no kept manifest names are
@@ -275,6 +306,33 @@ class FactTable:
         paths = [f"{self.path}/{f}" for f in folders]
         return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).drop(_RUN)
 
+    def read_for(self, spark: SparkSession, teams=(), players=(), version: int | None = None) -> DataFrame:
+        """Rows of the given teams and players (all, where none are given), from the files whose bounds they are in."""
+        asked = {"TEAM_ID": list(teams), "PLAYER_ID": list(players)}
+        files = self.files_for(spark, asked, version)
+        rows = self._scan(spark, files)
+        for c, values in asked.items():
+            if values:
+                rows = rows.where(F.col(c).isin(values))
+        return rows
+
+    def files_for(self, spark: SparkSession, asked: dict, version: int | None = None) -> list[str]:
+        """Files below ``path`` that may have rows with one of the ``asked`` values of each column.
+
+        The bounds of all files are a table beside the rows; only the names of
+        the files to be read come back.
+        """
+        folders = list(self.manifest(spark, version).values())
+        if not folders:
+            return []
+        runs = sorted({f.split("/")[1] for f in folders})
+        bounds = spark.read.schema(_BOUNDS).parquet(*[f"{self.path}/bounds/{r}" for r in runs])
+        near = F.substring_index("file", "/", 3).isin(folders)
+        for c, values in asked.items():
+            if values:
+                near = near & _any_between(values, F.col(f"least_{c}"), F.col(f"most_{c}"))
+        return sorted(r["file"] for r in bounds.where(near).select("file").collect())
+
     def years(self, spark: SparkSession) -> list:
         """Years present (None for rows without a GAME_DATE)."""
         return sorted(self.manifest(spark), key=lambda y: (y is None, y))
@@ -290,6 +348,29 @@ class FactTable:
         rows = self.read(spark, years={y for y in self.years(spark) if y is not None and s.year <= y <= e.year})
         return rows.where(F.col(YEAR).between(s.year, e.year) & F.col("GAME_DATE").between(F.lit(s), F.lit(e)))
 
+    def changes(self, spark: SparkSession, since: int, until: int | None = None) -> tuple[DataFrame, set]:
+        """Rows of the years that were rewritten between two versions, and those years.
+
+        Old rows have ``_SIGN`` -1, new ones 1: what is added up over them is the
+        difference of the versions. Rows that a rewrite kept are on both sides.
+        """
+        old, new = self.manifest(spark, since), self.manifest(spark, until)
+        years = {y for y in set(old) | set(new) if old.get(y) != new.get(y)}
+        sides = [
+            self._scan(spark, [m[y] for y in years if y in m]).withColumn("_SIGN", F.lit(sign)) for m, sign in ((old, -1), (new, 1))
+        ]
+        return union_all(*sides), years
+
+    def difference(self, spark: SparkSession, since: int, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(rows added, rows removed) between two versions, whatever their load stamp; a changed row is in both."""
+        changes, _ = self.changes(spark, since, until)
+        columns = [c for c in changes.columns if c not in ("_SIGN", "LAST_UPDATE")]
+        net = changes.groupBy(*columns).agg(F.sum("_SIGN").alias("_n")).where("_n != 0")
+        return tuple(
+            net.where(F.col("_n") * sign > 0).select(*columns, F.explode(F.array_repeat(F.lit(0), F.abs("_n").cast("int"))).alias("_again")).drop("_again")
+            for sign in (1, -1)
+        )
+
     def keys(self, spark: SparkSession, version: int | None = None) -> tuple[DataFrame, str | None]:
         """The table's keys with their years, as a bucketed scan, and the name of its catalog entry (to be dropped).
 
@@ -427,7 +508,11 @@ class FactTable:
             .partitionBy(YEAR)
             .parquet(f"{self.path}/{rows}")
         )
-        written = self._scan_run(spark, rows).select(*KEYS, YEAR)
+        written = self._scan_run(spark, rows)
+        relative = F.concat(F.lit(rows), F.regexp_extract("_metadata.file_path", f"{re.escape(run)}(/.*)$", 1))
+        bounds = [f(c).alias(f"{n}_{c}") for c in schemas.CLUSTER_COLUMNS for n, f in (("least", F.min), ("most", F.max))]
+        written.groupBy(relative.alias("file")).agg(*bounds).write.parquet(f"{self.path}/bounds/{_RUN}={run}")
+        written = written.select(*KEYS, YEAR)
         name = f"courtline_keys_{uuid.uuid4().hex}"
         try:
             (
@@ -476,7 +561,7 @@ class FactTable:
         for v in old:
             storage.delete(spark, f"{self.manifests}/{v}.json")
         gone = []
-        for kind in ("data", "keys"):
+        for kind in ("data", "keys", "bounds"):
             for run in storage.list_partition_values(spark, f"{self.path}/{kind}", _RUN):
                 folder = f"{self.path}/{kind}/{_RUN}={run}"
                 if run not in named and storage.modified(spark, folder) <= before:
@@ -490,6 +575,10 @@ class FactTable:
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
+def _any_between(values: list, least: Column, most: Column) -> Column:
+    return F.exists(F.array(*[F.lit(v) for v in values]), lambda v: v.between(least, most))
+
+
 def _buckets(spark: SparkSession, entries: dict, given: int | None) -> int:
     """That of the table, else the given number, else the session's shuffle partitions."""
     of_table = next((e["buckets"] for e in entries.values()), None)

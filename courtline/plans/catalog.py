@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from courtline import schemas, session
 from courtline.functions import columns as fn
-from courtline.operators import combine, conform, merge, reports, split
+from courtline.operators import combine, conform, merge, reports, split, totals
 from courtline.plans import jobs, proxy
 from courtline.sources import Registry, landed, storage
 
@@ -267,6 +267,22 @@ def q_landed_mixed_folders(spark, d):
     return combine.union_by_name(*(spark.read.parquet(r.path) for r in (past, cur)))
 
 
+def q_landed_incremental(spark, d):
+    """A second landing after one season's extracts were corrected and another's were added: it reads these two."""
+    root = _scratch(spark, "landed-incremental")
+    g = _games(spark, d)
+    names = [r["SEASON"] for r in split.seasons(proxy.team_year_totals(g)).collect()]
+    first, last = names[0], names[-2]
+    cut = split.cutoff_value(g)
+    wrong = g.where(F.col("SEASON") != last).withColumn("PTS", F.when(F.col("SEASON") == first, F.col("PTS") + 1).otherwise(F.col("PTS")))
+    wrong.write.partitionBy("SEASON", "GAME_TYPE").parquet(f"{root}/ext")
+    jobs.land_past_changes(spark, f"{root}/ext", f"{root}/out", cut)
+    storage.delete(spark, f"{root}/ext/SEASON={first}")
+    g.where(F.col("SEASON").isin(first, last)).write.mode("append").partitionBy("SEASON", "GAME_TYPE").parquet(f"{root}/ext")
+    rows, result = jobs.land_past_changes(spark, f"{root}/ext", f"{root}/out", cut)
+    return rows.withColumn("READ_AGAIN", F.col("SEASON").isin(result.landed))
+
+
 def q_landed_with_failure(spark, d):
     """Past seasons of which one has a file that is no Parquet: it is left out and reported, the others land."""
     root = _scratch(spark, "landed-with-failure")
@@ -314,6 +330,20 @@ def q_merge_job_result(spark, d):
     return table.withColumn("STAMPED", F.col("LAST_UPDATE").isNotNull()).drop("LAST_UPDATE")
 
 
+def q_totals_incremental(spark, d):
+    """Player totals kept up to date over three merges: even games with one point more, then the past, then the current side."""
+    root = _scratch(spark, "totals-incremental")
+    g = _games(spark, d)
+    cut = split.cutoff_value(g)
+    none = g.where("false")
+    prior = g.where("cast(GAME_ID as bigint) % 2 = 0").withColumn("PTS", F.col("PTS") + 1)
+    table, kept = merge.FactTable(f"{root}/facts"), totals.TotalsTable(f"{root}/totals", ["PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"])
+    for current, past in ((none, prior), (none, split.past_side(g, cut)), (split.current_side(g, cut), none)):
+        jobs.refresh_facts(spark, current, past, table.path, on_duplicate="latest")
+        kept.refresh(spark, table)
+    return kept.read(spark)
+
+
 def _stamped(df):
     return df.withColumn("STAMPED", F.col("LAST_UPDATE").isNotNull()).drop("LAST_UPDATE")
 
@@ -425,9 +455,11 @@ QUERIES: dict[str, Builder] = {
     "landed_mixed": q_landed_mixed,
     "landed_mixed_folders": q_landed_mixed_folders,
     "landed_with_failure": q_landed_with_failure,
+    "landed_incremental": q_landed_incremental,
     "landed_team_past": q_landed_team_past,
     "landed_seasons": q_landed_seasons,
     "merge_job_result": q_merge_job_result,
+    "totals_incremental": q_totals_incremental,
     "refreshed_players": q_refreshed_players,
     "refreshed_teams": q_refreshed_teams,
     "staging_view": q_staging_view,

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from courtline import schemas, session
 from courtline.operators import combine, conform, merge, reports, split
-from courtline.sources import landed, sinks
+from courtline.sources import footers, landed, ledger, sinks
 
 # The game types that extracts are landed for.
 GAME_TYPES = ("Regular Season", "Playoffs")
@@ -103,15 +103,24 @@ def current_cutoff(spark: SparkSession, current_extracts: str, season: str | Non
     """First game date of the current season, by which every feed is split.
 
     The season is the latest ``SEASON=`` folder of the current extracts
-    unless given; only that season's dates are read. Raises ``EmptyCutoff``
-    where there is none.
+    unless given. Its least date is taken from the footers of that season's
+    files, which reads no data; where they don't tell it, from that one column.
+    Raises ``EmptyCutoff`` where there is none.
     """
     if season is None:
         found = landed.list_seasons(spark, current_extracts)
         if not found:
             raise split.EmptyCutoff(f"no season under {current_extracts}")
         season = found[-1]
-    return split.cutoff_value(_read(spark, current_extracts, game_types, [season]).select("SEASON", "GAME_DATE"))
+    tags = ("SEASON",) if game_types is None else ("SEASON", "GAME_TYPE")
+    files = footers.season_files(spark, current_extracts, season, tags, None if game_types is None else lambda v: v[1] in game_types)
+    try:
+        least = footers.least_date(spark, files, "GAME_DATE")
+    except footers.NoStatistics:
+        return split.cutoff_value(_read(spark, current_extracts, game_types, [season]).select("SEASON", "GAME_DATE"))
+    if least is None:
+        raise split.EmptyCutoff(f"no dated game of {season} under {current_extracts}")
+    return least
 
 
 def land_past(
@@ -147,6 +156,33 @@ def land_past(
     )
 
 
+def land_past_changes(
+    spark: SparkSession,
+    extracts_root: str,
+    out_path: str,
+    cutoff: dt.date | str,
+    team_totals_root: str | None = None,
+    game_types=GAME_TYPES,
+) -> tuple[DataFrame, ledger.LedgerResult]:
+    """``land_past`` by a ledger: only seasons whose extracts are new or changed since are read; returns all landed rows.
+
+    A new cutoff lands all seasons again. Seasons that can't be read keep
+    their last landing and are reported.
+    """
+    listed, _, _ = _coverage(spark, extracts_root, team_totals_root)
+    tags = ["SEASON"] if game_types is None else ["SEASON", "GAME_TYPE"]
+    contract = schemas.without(schemas.RAW_GAME_LOG, "GAME_TYPE") if game_types is None else schemas.RAW_GAME_LOG
+
+    def prepare(logs: DataFrame) -> DataFrame:
+        if game_types is not None:
+            logs = logs.where(F.col("GAME_TYPE").isin(list(game_types)))
+        return split.past_side(_prepare(logs), cutoff)
+
+    seasons = ledger.LandedSeasons(out_path, tags)
+    result = seasons.land(spark, extracts_root, prepare, f"{cutoff}", contract, listed)
+    return seasons.read(spark), result
+
+
 def land_current(
     spark: SparkSession,
     extracts_root: str,

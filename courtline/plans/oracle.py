@@ -110,7 +110,7 @@ player_season as (
 """
 
 
-def _totals_sql(by: list[str]) -> str:
+def _totals_sql(by: list[str], source: str = "facts") -> str:
     keys = ", ".join(by)
     aggs = ["count(*) as GAMES", "count(case when WL = 'W' then 1 end) as WINS"]
     for m in SUMMED:
@@ -124,7 +124,7 @@ def _totals_sql(by: list[str]) -> str:
         f"select *, {ratio.format(a='FGM', b='FGA', n='FG_PCT')}, "
         f"{ratio.format(a='FG3M', b='FG3A', n='FG3_PCT')}, "
         f"{ratio.format(a='FTM', b='FTA', n='FT_PCT')} "
-        f"from (select {keys}, {', '.join(aggs)} from facts group by {keys})"
+        f"from (select {keys}, {', '.join(aggs)} from {source} group by {keys})"
     )
 
 
@@ -246,6 +246,10 @@ BODIES = {
         "where not (GAME_TYPE = 'Playoffs' and SEASON in (select SEASON from broken)) group by all) r "
         "full join broken f on f.SEASON = r.SEASON"
     ),
+    "landed_incremental": (
+        f"select {_landed_cols()}, SEASON = (select min(SEASON) from found_seasons) or SEASON = "
+        "(select max(SEASON) from found_seasons where SEASON < (select max(SEASON) from found_seasons)) as READ_AGAIN from past_raw"
+    ),
     "landed_team_past": (
         "select distinct TEAM_ID, GAME_ID, GAME_DATE, SEASON, case when cast(SEASON as int) % 2 = 1 then 'home' end as SIDE from past_raw"
     ),
@@ -302,5 +306,6 @@ def _dashboard_sql() -> str:
 
 
 BODIES["dashboard_tables"] = _dashboard_sql()
+BODIES["totals_incremental"] = _totals_sql(["PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"], f"({BODIES['merge_job_result']})")
 
 ORACLE_SQL = {name: PRELUDE + body for name, body in BODIES.items()}

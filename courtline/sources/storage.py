@@ -62,6 +62,13 @@ def list_data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n, is_file in names if is_file and not n.startswith(("_", ".")))
 
 
+def list_file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, length, time of change in milliseconds) of the files that ``list_data_files`` names."""
+    fs, p = _fs(spark, path)
+    states = [(st.getPath().getName(), st.isFile(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p)]
+    return sorted((n, length, changed) for n, is_file, length, changed in states if is_file and not n.startswith(("_", ".")))
+
+
 def leaf_folders(spark: SparkSession, root: str, columns) -> list[tuple[str, ...]]:
     """Value tuples of the partition folders ``root/<c1>=…/<c2>=…`` (a listing; no data is read)."""
     columns = list(columns)

@@ -280,3 +280,57 @@ def test_seasons_that_are_not_listed_are_reported(spark, tmp_dir):
     out = jobs.land_past(spark, ext, os.path.join(tmp_dir, "out"), "2100-01-01", team_totals_root=ty)
     assert [r.SEASON for r in out.skipped.collect()] == ["2050"] and [r.SEASON for r in out.unlisted.collect()] == ["1996"]
     assert {r.SEASON for r in spark.read.parquet(out.path).select("SEASON").distinct().collect()} == {"1997"}
+
+
+def test_a_second_landing_reads_only_what_changed(spark, tmp_dir):
+    ext, out = os.path.join(tmp_dir, "ext"), os.path.join(tmp_dir, "out")
+    g = conform.enforce_schema(proxy.game_logs(spark, SF_SMALL), schemas.RAW_GAME_LOG).where("SEASON in ('1995', '1996', '1997')")
+    g.write.partitionBy("SEASON", "GAME_TYPE").parquet(ext)
+    rows = lambda df: sorted(map(repr, df.select("SEASON", "PLAYER_ID", "GAME_ID", "TEAM_ID", "PTS", "GAME_TYPE").collect()))
+
+    def full(cut):
+        return rows(spark.read.parquet(jobs.land_past(spark, ext, os.path.join(tmp_dir, "full"), cut).path))
+
+    df, res = jobs.land_past_changes(spark, ext, out, "1997-06-01")
+    assert res.landed == ["1995", "1996", "1997"] and rows(df) == full("1997-06-01")
+    df, res = jobs.land_past_changes(spark, ext, out, "1997-06-01")
+    assert (res.landed, res.kept, res.version) == ([], ["1995", "1996", "1997"], 1)
+    # one season more files with a column of their own, one is gone
+    more = g.where("SEASON = '1996'").limit(5).withColumn("PTS", F.col("PTS") + 100).withColumn("PLAYER_NAME", F.lit("x"))
+    more.write.mode("append").partitionBy("SEASON", "GAME_TYPE").parquet(ext)
+    storage.delete(spark, f"{ext}/SEASON=1995")
+    df, res = jobs.land_past_changes(spark, ext, out, "1997-06-01")
+    assert (res.landed, res.kept, res.dropped) == (["1996"], ["1997"], ["1995"])
+    assert rows(df) == full("1997-06-01") and df.where("PLAYER_NAME = 'x'").count() == 5
+    # a season that can't be read keeps its landing; a new cutoff lands all the others again
+    storage.write_text(spark, f"{ext}/SEASON=1996/GAME_TYPE=Playoffs/part-x.parquet", "no footer")
+    before = rows(df.where("SEASON = '1996'"))
+    df, res = jobs.land_past_changes(spark, ext, out, "1997-03-01")
+    assert (res.landed, res.kept) == (["1997"], ["1996"]) and [v[0] for v, _, _ in res.failed] == ["1996"]
+    assert rows(df.where("SEASON = '1996'")) == before
+    assert rows(df.where("SEASON = '1997'")) == [r for r in full("1997-03-01") if "SEASON='1997'" in r]
+
+
+def test_cutoff_from_footers_reads_no_data(spark, tmp_dir, monkeypatch):
+    """Date-times as extracts have them; text, where the footers don't tell, is read; nulls don't count."""
+    ext = os.path.join(tmp_dir, "ext")
+    g = conform.enforce_schema(proxy.game_logs(spark, SF_SMALL), schemas.RAW_GAME_LOG)
+    latest = g.agg(F.max("SEASON")).first()[0]
+    holes = g.withColumn("GAME_DATE", F.when(F.col("PTS") > 5, F.col("GAME_DATE")))
+    holes.repartition(3).write.partitionBy("SEASON", "GAME_TYPE").parquet(ext)
+    want = split.cutoff_value(holes)
+    text = holes.where(F.col("SEASON") == latest).withColumn("GAME_DATE", F.date_format("GAME_DATE", "yyyy-MM-dd'T'HH:mm:ss"))
+    text.write.partitionBy("SEASON", "GAME_TYPE").parquet(ext + "-text")
+    none = holes.where(F.col("SEASON") == latest).withColumn("GAME_DATE", F.lit(None).cast("timestamp_ntz"))
+    none.write.partitionBy("SEASON", "GAME_TYPE").parquet(ext + "-none")
+    assert jobs.current_cutoff(spark, ext + "-text") == want
+
+    def read(*args):
+        raise AssertionError("data was read")
+
+    monkeypatch.setattr(split, "cutoff_value", read)
+    assert jobs.current_cutoff(spark, ext) == want
+    with pytest.raises(split.EmptyCutoff):
+        jobs.current_cutoff(spark, ext + "-none")
+    with pytest.raises(AssertionError, match="data was read"):
+        jobs.current_cutoff(spark, ext + "-text")

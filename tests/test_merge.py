@@ -324,3 +324,31 @@ def test_new_keys_narrow_and_wide_agree(spark):
     a = sorted(repr(tuple(r)) for r in merge.new_keys(src, tgt).drop("LAST_UPDATE").collect())
     b = sorted(repr(tuple(r)) for r in merge.new_keys(src, tgt, narrow=False).drop("LAST_UPDATE").collect())
     assert a == b and len(a) == 4
+
+
+def test_files_are_skipped_by_team_and_by_player(spark, tmp_dir):
+    """A file of the table holds few teams and few players: either filter reads under two fifths of the files."""
+    off = "spark.sql.adaptive.coalescePartitions.enabled"
+    before, parts = spark.conf.get(off), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(off, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = [game(game_id=f"{i:010d}", team=100 + i * 7919 % 60, player=i * 104729 % 997, date="2024-03-01") for i in range(6000)]
+        t = merge.FactTable(f"{tmp_dir}/facts", buckets=8)
+        t.merge(spark, _typed(spark, rows), _typed(spark, []))
+    finally:
+        spark.conf.set(off, before)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    t.merge(spark, _typed(spark, [game(game_id="0000009999", team=100, player=-5, date="2023-03-01")]), _typed(spark, []))
+    files = len(t.files_for(spark, {}))
+    assert files > 40
+    all_ = _rows(t.read(spark), ("TEAM_ID", "PLAYER_ID", "GAME_ID"))
+    for team in (100, 131, 159):
+        assert len(t.files_for(spark, {"TEAM_ID": [team]})) <= 0.4 * files
+        got = _rows(t.read_for(spark, teams=[team]), ("TEAM_ID", "PLAYER_ID", "GAME_ID"))
+        assert got == [r for r in all_ if r[0] == team]
+    for player in (0, 500, 996):
+        assert len(t.files_for(spark, {"PLAYER_ID": [player]})) <= 0.4 * files
+        assert _rows(t.read_for(spark, players=[player]), ("TEAM_ID", "PLAYER_ID", "GAME_ID")) == [r for r in all_ if r[1] == player]
+    assert len(t.files_for(spark, {"TEAM_ID": [110], "PLAYER_ID": [300]})) <= 0.15 * files
+    assert t.read_for(spark, teams=[100], players=[-5]).count() == 1 and t.read_for(spark, teams=[-1]).count() == 0
