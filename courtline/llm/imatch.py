@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm import common
-from courtline.llm.minhash import _WORDS, mix, word_hashes
+from courtline.llm.minhash import mix
 
 #: The greatest part of all documents that a term of the lexicon is in.
 MOST = 0.05
@@ -39,9 +39,31 @@ _SALTS = np.array([(f + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for f in range(FAMIL
 _DRAWS = 2_000_000
 
 
+#: The base of a word's hash: the sum of its bytes plus one times the base's powers, modulo 2^64, and ``mix`` of that.
+BASE = 0x9E3779B97F4A7C15
+_powers = np.ones(1, np.uint64)
+
+
+def _up_to(n: int) -> np.ndarray:
+    """The first ``n`` powers of BASE."""
+    global _powers
+    if len(_powers) < n:
+        _powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(2 * n, BASE, np.uint64))])
+    return _powers
+
+
 def terms_of(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's terms (words, A-Z lower-cased)."""
-    return np.unique(mix(word_hashes(text)))
+    """Sorted distinct 64-bit hashes of a text's terms (words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased), all words at once."""
+    b = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8) if text else np.zeros(0, np.uint8)
+    inside = (b != 32) & ((b < 9) | (b > 13))
+    starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]])) if len(b) else np.zeros(0, np.int64)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    spans = np.diff(starts, append=len(b))
+    place = np.arange(starts[0], len(b)) - np.repeat(starts, spans)
+    value = (b[starts[0] :].astype(np.uint64) + np.uint64(1)) * _up_to(int(spans.max()))[place]
+    value[~inside[starts[0] :]] = 0
+    return np.unique(mix(np.add.reduceat(value, starts - starts[0])))
 
 
 #: Terms of a task's documents that are gathered before they are counted.
@@ -75,7 +97,6 @@ def _counted(low: float | None, wanted: np.ndarray | None):
             if size > _GATHERED:
                 add_up()
         add_up()
-        _WORDS.clear()  # workers outlive tasks
         keep = n >= (low * docs if low is not None else 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None, *terms[keep].view(np.int64).tolist()], pa.int64()), pa.array([docs, *n[keep].tolist()], pa.int64())], names=["term", "n"]
@@ -140,10 +161,15 @@ def fingerprint(text: str | None, frequent: np.ndarray) -> str:
         for f, t, d in zip(rows.tolist(), terms[columns].tolist(), draws[rows, columns].tolist(), strict=True):
             found[at + f].append((t, d))
     out = []
-    for kept in found:  # in the order of the terms
-        for limit in limits:
-            kept = [x for x in kept if x[1] < limit]
-            out.append(f"{xxhash.xxh32_intdigest(b''.join(t.to_bytes(8, 'little') for t, _ in kept)):08x}" if kept else NONE)
+    for kept in found:  # in the order of the terms; most subsets have one or none, and many a level that of the one before
+        size, digest = 0, NONE
+        for level, limit in enumerate(limits):
+            if level and kept:
+                kept = [x for x in kept if x[1] < limit]
+            if len(kept) != size:
+                size = len(kept)
+                digest = f"{xxhash.xxh32_intdigest(b''.join([t.to_bytes(8, 'little') for t, _ in kept])):08x}" if kept else NONE
+            out.append(digest)
     return f"{low}:" + ",".join(out)
 
 
@@ -272,7 +298,6 @@ def compare(docs: DataFrame, frequent: np.ndarray | None = None, rows_per_block:
             if len(part) == common.ARROW_ROWS:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), _OUT, strict=True)], schema=_OUT)
                 part = []
-        _WORDS.clear()
         if part:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), _OUT, strict=True)], schema=_OUT)
 
