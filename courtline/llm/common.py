@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,6 +58,15 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterato
             yield b.slice(at, rows)
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: a worker outlives its tasks, and its memory counts as the executor's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed arrays otherwise
+    if trim is not None:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lineage cut that survives lost executors."""
     return session.staged(df, name)

@@ -44,7 +44,9 @@ class WordIds(dict):
     """
 
     #: Words held at most when a batch begins, and those kept between tasks: the first ones met, which are the common ones.
-    LIMIT, KEPT = 250_000, 100_000
+    LIMIT, KEPT = 250_000, 150_000
+    #: Words up to which letters with their mark are held as words of their own.
+    JOINED = 150_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -77,9 +79,13 @@ class WordIds(dict):
             self[w] = self.one(w)
 
     def of(self, word: str) -> bytes:
-        """Ids of a learned word: its own, or those of its letters and its mark."""
+        """Ids of a learned word: its own, or those of its letters and its mark, which are kept while there is room."""
         ids = self.get(word)
-        return self[word[:-1]] + self[word[-1]] if ids is None else ids
+        if ids is None:
+            ids = self[word[:-1]] + self[word[-1]]
+            if len(self) < self.JOINED:
+                self[word] = ids
+        return ids
 
     def _encode(self, words: list[str], between: str, ends) -> None:
         """Add ``words``, joined by ``between``: cut after the tokens that ``ends`` marks, or at the cutting mark."""
@@ -163,6 +169,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     common.short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.give_back()  # what other operators' tasks left in this worker
         for b in common.pieces(batches):
             rows: list[tuple] = []
             for doc_id, raw in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist(), tokenizer), strict=True):
@@ -175,6 +182,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             )
         forget(tokenizer)  # workers outlive tasks, and other operators need their memory
+        common.give_back()
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECE)
     return out if with_ids else out.drop("ids")

@@ -98,3 +98,21 @@ def test_sequences(spark):
     texts = [r["text"] for r in docs.collect()]
     assert sum(len(r["ids"]) for r in rows) == sum(map(len, plain(texts)))
     assert max(len(r["ids"]) for r in rows) <= 512
+
+
+def test_words_with_a_mark_are_put_together_once():
+    packing._VOCABULARIES.pop(tokenizer_path(), None)
+    texts = ["plain words, with marks. words, again!"] * 3
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.encode(texts, tokenizer_path())] == plain(texts)
+    known = packing._VOCABULARIES[tokenizer_path()]
+    assert {"words,", "marks.", "again!"} <= set(known)
+    assert len(known) <= known.JOINED
+
+
+def test_workers_give_memory_back(monkeypatch, spark):
+    called = []
+    monkeypatch.setattr(packing.common, "give_back", lambda: called.append(1))
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: (list(run(iter(self.toArrow().to_batches()))), self.selectExpr("doc_id", "1 as ids"))[1])
+    packing.pieces(docs, tokenizer_path())
+    assert len(called) == 2
