@@ -30,8 +30,13 @@ def _games(spark, d):
     return proxy.game_logs(spark, d)
 
 
-def _sides(spark, d):
-    g = _games(spark, d)
+def _stored_games(spark, d):
+    """The game logs for a query that reads them several times: joined once."""
+    return proxy.game_logs(spark, d, stored=True)
+
+
+def _sides(spark, d, g=None):
+    g = _games(spark, d) if g is None else g
     cut = split.cutoff_value(g)
     return split.current_side(g, cut), split.past_side(g, cut)
 
@@ -41,14 +46,14 @@ def _landed(raw: DataFrame) -> DataFrame:
     return conform.parse_dates(conform.fill_stats(raw))
 
 
-def _typed_sides(spark, d):
-    cur, past = _sides(spark, d)
+def _typed_sides(spark, d, g=None):
+    cur, past = _sides(spark, d, g)
     return conform.conform_games(cur, stamp=False), conform.conform_games(past, stamp=False)
 
 
-def _facts(spark, d):
+def _facts(spark, d, g=None):
     """Content of the fact table after a first run (every dated game row)."""
-    g = _games(spark, d)
+    g = _games(spark, d) if g is None else g
     return conform.conform_games(g.where(F.col("GAME_DATE").isNotNull()), stamp=False)
 
 
@@ -120,13 +125,15 @@ def q_skipped_seasons(spark, d):
 
 
 def q_new_past_keys(spark, d):
-    cur, past = _typed_sides(spark, d)
-    return merge.new_keys(past, _target(_facts(spark, d)))
+    g = _stored_games(spark, d)
+    cur, past = _typed_sides(spark, d, g)
+    return merge.new_keys(past, _target(_facts(spark, d, g)))
 
 
 def q_merged_facts(spark, d):
-    cur, past = _typed_sides(spark, d)
-    return merge.merge_plan(_target(_facts(spark, d)), cur, past)
+    g = _stored_games(spark, d)
+    cur, past = _typed_sides(spark, d, g)
+    return merge.merge_plan(_target(_facts(spark, d, g)), cur, past)
 
 
 def q_sample_run(spark, d):
@@ -205,7 +212,7 @@ def _scratch(spark, name):
 
 def _extracts(spark, d, root, games=None, tags=("SEASON", "GAME_TYPE")):
     """Landed extracts as the feeds are: the latest season in a root of its own."""
-    g = _games(spark, d) if games is None else games
+    g = _stored_games(spark, d) if games is None else games
     latest = g.agg(F.max("SEASON")).first()[0]
     for name, side in (("history", g.where(F.col("SEASON") != latest)), ("current", g.where(F.col("SEASON") == latest))):
         side.write.partitionBy(*tags).parquet(f"{root}/{name}")
@@ -227,7 +234,7 @@ def q_landed_current(spark, d):
 
 def q_landed_without_type(spark, d):
     root = _scratch(spark, "landed-without-type")
-    history, current = _extracts(spark, d, root, _games(spark, d).drop("GAME_TYPE"), ("SEASON",))
+    history, current = _extracts(spark, d, root, _stored_games(spark, d).drop("GAME_TYPE"), ("SEASON",))
     cut = jobs.current_cutoff(spark, current, game_types=None)
     cur = jobs.land_current(spark, current, f"{root}/cur", game_types=None)
     past = jobs.land_past(spark, history, f"{root}/past", cut, game_types=None)
@@ -237,7 +244,7 @@ def q_landed_without_type(spark, d):
 def q_landed_mixed(spark, d):
     """Odd seasons carry integer statistics, text dates and a column of their own."""
     root = _scratch(spark, "landed-mixed")
-    g = _games(spark, d)
+    g = _stored_games(spark, d)
     odd = g.where("cast(SEASON as int) % 2 = 1").withColumns(
         {c: F.col(c).cast("bigint") for c in ("FGM", "OREB", "PTS", "FTA", "PF")}
         | {"GAME_DATE": F.date_format("GAME_DATE", "yyyy-MM-dd'T'HH:mm:ss"), "PLAYER_NAME": F.concat(F.lit("player "), F.col("PLAYER_ID").cast("string"))}
@@ -253,7 +260,7 @@ def q_landed_mixed(spark, d):
 def q_landed_mixed_folders(spark, d):
     """Files of two schemas within each folder of a season: numbers or integers, date-times or text, a column that one has."""
     root = _scratch(spark, "landed-mixed-folders")
-    g = _games(spark, d)
+    g = _stored_games(spark, d)
     odd = "cast(GAME_ID as bigint) % 2 = 1"
     other = g.where(odd).withColumns(
         {c: F.col(c).cast("bigint") for c in ("FGM", "OREB", "PTS", "FTA", "PF")}
@@ -270,7 +277,7 @@ def q_landed_mixed_folders(spark, d):
 def q_landed_incremental(spark, d):
     """A second landing after one season's extracts were corrected and another's were added: it reads these two."""
     root = _scratch(spark, "landed-incremental")
-    g = _games(spark, d)
+    g = _stored_games(spark, d)
     names = [r["SEASON"] for r in split.seasons(proxy.team_year_totals(g)).collect()]
     first, last = names[0], names[-2]
     cut = split.cutoff_value(g)
@@ -295,15 +302,16 @@ def q_landed_with_failure(spark, d):
     return rows.join(failed, "SEASON", "full").withColumn("N_FAILED", F.coalesce("N_FAILED", F.lit(0).cast("bigint")))
 
 
-def _team_logs(spark, d):
-    return _games(spark, d).select("TEAM_ID", "GAME_ID", "GAME_DATE", "SEASON", F.lit("home").alias("SIDE")).distinct()
+def _team_logs(g):
+    return g.select("TEAM_ID", "GAME_ID", "GAME_DATE", "SEASON", F.lit("home").alias("SIDE")).distinct()
 
 
 def q_landed_team_past(spark, d):
     """Team logs by name: even seasons have text dates and no SIDE."""
     root = _scratch(spark, "landed-team-past")
-    _, current = _extracts(spark, d, root)
-    logs = _team_logs(spark, d)
+    g = _stored_games(spark, d)
+    _, current = _extracts(spark, d, root, g)
+    logs = _team_logs(g)
     even = logs.where("cast(SEASON as int) % 2 = 0").drop("SIDE")
     even = even.withColumn("GAME_DATE", F.date_format("GAME_DATE", "yyyy-MM-dd'T'HH:mm:ss"))
     for side in (even, logs.where("cast(SEASON as int) % 2 = 1")):
@@ -321,7 +329,7 @@ def q_landed_seasons(spark, d):
 def q_merge_job_result(spark, d):
     """Create from the even games with one point more, then merge both sides."""
     root = _scratch(spark, "merge-job")
-    g = _games(spark, d)
+    g = _stored_games(spark, d)
     cut = split.cutoff_value(g)
     prior = g.where("cast(GAME_ID as bigint) % 2 = 0").withColumn("PTS", F.col("PTS") + 1)
     jobs.refresh_facts(spark, g.where("false"), prior, f"{root}/facts", on_duplicate="latest")
@@ -333,7 +341,7 @@ def q_merge_job_result(spark, d):
 def q_totals_incremental(spark, d):
     """Player totals kept up to date over three merges: even games with one point more, then the past, then the current side."""
     root = _scratch(spark, "totals-incremental")
-    g = _games(spark, d)
+    g = _stored_games(spark, d)
     cut = split.cutoff_value(g)
     none = g.where("false")
     prior = g.where("cast(GAME_ID as bigint) % 2 = 0").withColumn("PTS", F.col("PTS") + 1)

@@ -8,9 +8,13 @@ DuckDB evaluate alike, so the oracle queries start from the same rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtline import session
+
 # The proxy mapping of a raw player game log.
 # Stats are cast to double, as extracts carry them (NaN for missing).
 GAME_LOG_EXPR = {
@@ -89,11 +93,19 @@ def _select(df: DataFrame, exprs: dict) -> DataFrame:
     return df.select(*[F.expr(e).alias(n) for n, e in exprs.items()])
 
 
-def game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw game logs: line items joined to their orders."""
+def game_logs(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """Raw game logs: line items joined to their orders.
+
+    ``stored`` joins them once, for queries that read the logs several times:
+    the two tables' columns that the logs are made of, under the shared folder.
+    """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
-    return _select(li.join(o, F.col("l_orderkey") == F.col("o_orderkey")), GAME_LOG_EXPR)
+    joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    if stored:
+        used = [c for c in joined.columns if any(re.search(rf"\b{c}\b", e) for e in GAME_LOG_EXPR.values())]
+        joined = session.staged(joined.select(*used), "games")
+    return _select(joined, GAME_LOG_EXPR)
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
