@@ -320,9 +320,14 @@ def q_landed_team_past(spark, d):
     return spark.read.parquet(out.path)
 
 
+#: Folders that the teams' yearly totals lie in: a folder for each team would be as many files as there are teams.
+TEAM_GROUPS = 64
+
+
 def q_landed_seasons(spark, d):
     root = _scratch(spark, "team-totals")
-    proxy.team_year_totals(_games(spark, d)).repartition("TEAM_ID").write.partitionBy("TEAM_ID").parquet(root)
+    totals_by_year = proxy.team_year_totals(_games(spark, d)).withColumn("TEAM_GROUP", F.pmod("TEAM_ID", F.lit(TEAM_GROUPS)))
+    totals_by_year.repartition("TEAM_GROUP").write.partitionBy("TEAM_GROUP").parquet(root)
     return split.seasons(landed.read_team_year_totals(spark, root))
 
 
