@@ -7,13 +7,15 @@ file is opened. Extracts differ in their physical types (a statistic is an
 integer in a season without missing values, a date is text or a date-time) and
 in their columns, also within a folder. Spark's own schema merge reads the
 footers of all files in one distributed job; where it finds types that do not
-agree or a file that is none, the files are halved until each part merges.
+agree or a file that is none, the files are parted by the job that wrote them,
+and these parts are halved, until each part merges.
 Parts whose types agree are read in one scan, conformed, and the scans are
 appended by name. A folder with an unreadable file can be set aside.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -33,6 +35,10 @@ from courtline.sources import storage
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
+# Name of a file that Spark wrote: the id is that of the write job.
+_WRITE = re.compile(r"part-\d+-([0-9a-f-]{36})")
+
+
 def list_seasons(spark: SparkSession, root: str, column: str = "SEASON") -> list[str]:
     """Seasons that have a folder under ``root``, ascending; rows without a season aren't one."""
     found = storage.list_partition_values(spark, root, column)
@@ -84,8 +90,9 @@ class UnreadableExtract(ValueError):
 def _footers(spark: SparkSession, root: str, files: list[str], drop) -> tuple[list[Scan], list[tuple[str, str]]]:
     """The scans that read ``files``, and (file, error) of those that can't be.
 
-    One distributed job reads all footers; only where it fails, each half
-    is tried again.
+    One distributed job reads all footers; where it fails, the files of each
+    write job (which share its id in their names) are tried together, and only
+    where these fail, each half of them.
     """
     try:
         schema = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*files).schema
@@ -95,14 +102,28 @@ def _footers(spark: SparkSession, root: str, files: list[str], drop) -> tuple[li
             said = e.java_exception.getMessage() if isinstance(e, Py4JJavaError) else str(e)
             return [], [(files[0], (said or type(e).__name__).strip().split("\n")[0][:500])]
     half = len(files) // 2
-    scans, failed = _footers(spark, root, files[:half], drop)
-    for scan in (rest := _footers(spark, root, files[half:], drop))[0]:
-        fits = next((s for s in scans if s.takes(scan.schema)), None)
-        if fits is None:
-            scans.append(scan)
-        else:
-            fits.add(scan)
-    return scans, failed + rest[1]
+    scans: list[Scan] = []
+    failed: list[tuple[str, str]] = []
+    for part in _by_write(files) or (files[:half], files[half:]):
+        found, bad = _footers(spark, root, part, drop)
+        for scan in found:
+            fits = next((s for s in scans if s.takes(scan.schema)), None)
+            if fits is None:
+                scans.append(scan)
+            else:
+                fits.add(scan)
+        failed += bad
+    return scans, failed
+
+
+def _by_write(files: list[str]) -> list[list[str]]:
+    """The files of each write job; none where there is one job, or nearly as many as files."""
+    jobs: dict[str, list[str]] = {}
+    for f in files:
+        name = f.rpartition("/")[2]
+        made = _WRITE.match(name)
+        jobs.setdefault(made[1] if made else "", []).append(f)
+    return list(jobs.values()) if 1 < len(jobs) <= len(files) // 2 else []
 
 
 def read_laid_out(
@@ -212,8 +233,9 @@ def read_game_logs(
 
 
 def read_team_year_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Per-team yearly totals laid out ``TEAM_ID=…/``, all teams in one scan."""
-    return spark.read.schema(schemas.TEAM_YEAR_TOTALS).option("basePath", root).parquet(root)
+    """Per-team yearly totals laid out ``TEAM_ID=…/``, or with TEAM_ID in files of many teams, in one scan."""
+    totals = spark.read.schema(schemas.TEAM_YEAR_TOTALS).option("basePath", root).parquet(root)
+    return totals.select(*schemas.TEAM_YEAR_TOTALS.names)
 
 
 def read_list(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
