@@ -160,17 +160,28 @@ def key_report(df: DataFrame, keys=KEYS) -> dict:
     return row.asDict()
 
 
-def validate_keys(df: DataFrame, keys=KEYS, on_duplicate: str = "error") -> tuple[DataFrame, dict]:
+def keep_latest_of(df: DataFrame, again: DataFrame, keys=KEYS) -> DataFrame:
+    """``keep_latest`` of the rows whose key is in ``again``, beside all others as they are (no key part is null).
+
+    Where few keys repeat, they are broadcast, and only their rows are shuffled.
+    """
+    keys = list(keys)
+    once = df.join(again.select(*keys), keys, "left_anti").select(*df.columns)
+    return once.union(keep_latest(df.join(again.select(*keys), keys, "left_semi").select(*df.columns), keys))
+
+
+def validate_keys(df: DataFrame, keys=KEYS, on_duplicate: str = "error", hold=lambda again: again) -> tuple[DataFrame, dict]:
     """Raise on null key parts; raise or keep the latest row on duplicates.
 
-    Returns the (possibly de-duplicated) frame and the key report.
+    Returns the (possibly de-duplicated) frame and the key report. ``hold``
+    may store the repeated keys, which the frame reads twice.
     """
     rep = key_report(df, keys)
     if rep["null_rows"]:
         raise NullKeyError(rep["null_rows"], split_null_keys(df, keys)[1])
     if rep["dup_keys"]:
         if on_duplicate == "latest":
-            return keep_latest(df, keys), rep
+            return keep_latest_of(df, hold(duplicate_keys(df, keys).select(*keys)), keys), rep
         sample = [tuple(r) for r in duplicate_keys(df, keys).limit(5).collect()]
         raise DuplicateKeyError(rep["dup_keys"], sample)
     return df, rep
@@ -430,6 +441,12 @@ class FactTable:
         incremental = not full_refresh and bool(old)
         scratch: list[str] = []
         entered: list[str] = []
+
+        def hold(again: DataFrame) -> DataFrame:
+            again, p = _stage(spark, again, "repeated-keys")
+            scratch.append(p)
+            return again
+
         try:
             moved: set = set()
             if incremental:
@@ -447,17 +464,13 @@ class FactTable:
             incoming, p = _stage(spark, incoming, "incoming")
             scratch.append(p)
             try:
-                checked, rep = validate_keys(incoming, on_duplicate=on_duplicate)
+                incoming, rep = validate_keys(incoming, on_duplicate=on_duplicate, hold=hold)
             except NullKeyError as e:
                 # Keep the rejected rows where they outlive this run's scratch.
                 e.rejects.write.mode("overwrite").parquet(self.rejects_path)
                 e.rejects = spark.read.parquet(self.rejects_path)
                 raise
-            n_in = rep["rows"]
-            if checked is not incoming:
-                incoming, p = _stage(spark, checked, "incoming-dedup")
-                scratch.append(p)
-                n_in = rep["rows"] - rep["dup_rows"]
+            n_in = rep["rows"] - rep["dup_rows"]
 
             # Distinct years: bounded by the calendar, a few values.
             in_years = {r[0] for r in incoming.select(YEAR).distinct().collect()}
@@ -466,8 +479,7 @@ class FactTable:
                 # Years of target rows that are replaced (a game may move to another year).
                 replaced = met.join(current.select(*KEYS), KEYS, "left_semi")
                 moved = {r[0] for r in replaced.select(YEAR).distinct().collect()}
-                kept = self._scan(spark, [e["folder"] for y, e in old.items() if y in in_years | moved])
-                kept = kept.join(replaced.select(*KEYS), KEYS, "left_anti")
+                kept = self._kept(spark, old, in_years, moved, replaced)
                 source = kept.unionByName(incoming.select(*kept.columns))
             touched = in_years | moved if incremental else in_years | set(old)
             own = self._write(spark, source, base, _buckets(spark, old, self.buckets)) if touched else {}
@@ -497,6 +509,14 @@ class FactTable:
             for p in scratch:
                 storage.delete(spark, p)
 
+    def _kept(self, spark: SparkSession, old: dict, in_years: set, moved: set, replaced: DataFrame) -> DataFrame:
+        """Rows of the touched years that stay. Years without a replaced key (not in ``moved``) are not joined with these."""
+        whole = self._scan(spark, [e["folder"] for y, e in old.items() if y in in_years - moved])
+        if not moved:
+            return whole
+        part = self._scan(spark, [e["folder"] for y, e in old.items() if y in moved])
+        return whole.unionByName(part.join(replaced.select(*KEYS), KEYS, "left_anti").select(*whole.columns))
+
     def _write(self, spark: SparkSession, source: DataFrame, base: int, buckets: int) -> dict:
         """Write rows and keys of the touched years into folders of this run's own: year -> manifest entry."""
         run = f"{base + 1}-{uuid.uuid4().hex}"

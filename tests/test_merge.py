@@ -349,3 +349,26 @@ def test_files_are_skipped_by_team_and_by_player(spark, tmp_dir):
         assert _rows(t.read_for(spark, players=[player]), ("TEAM_ID", "PLAYER_ID", "GAME_ID")) == [r for r in all_ if r[1] == player]
     assert len(t.files_for(spark, {"TEAM_ID": [110], "PLAYER_ID": [300]})) <= 0.15 * files
     assert t.read_for(spark, teams=[100], players=[-5]).count() == 1 and t.read_for(spark, teams=[-1]).count() == 0
+
+
+def test_only_rows_of_repeated_keys_are_reduced(spark):
+    rows = [game(player=i, game_id="0000000001") for i in range(4)] + [game(player=2, game_id="0000000001", pts=31.0)]
+    df = _typed(spark, rows).drop("LAST_UPDATE")
+    held = []
+    out, rep = merge.validate_keys(df, on_duplicate="latest", hold=lambda again: held.append(again) or again)
+    assert rep["dup_rows"] == 1 and [r["PLAYER_ID"] for r in held[0].collect()] == [2]
+    assert _rows(out) == _rows(merge.keep_latest(df)) and out.columns == df.columns
+
+
+def test_years_without_a_replaced_key_are_not_joined(spark, tmp_dir):
+    t = _table(spark, tmp_dir)
+    old = [game(player=1, game_id="0000000001", date="2022-03-01"), game(player=2, game_id="0000000002", date="2023-03-01")]
+    t.merge(spark, _typed(spark, []), _typed(spark, old))
+    entries = {e["year"]: e for e in t._entries(spark, 1)}
+    gone = spark.createDataFrame([(2, 2, 10)], merge._KEY_SCHEMA).select(*merge.KEYS)
+    keys = t.read(spark).where("PLAYER_ID = 2").select(*merge.KEYS)
+    assert "Join" not in t._kept(spark, entries, {2022, 2023}, set(), gone)._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["PLAYER_ID"] for r in t._kept(spark, entries, {2022, 2023}, {2023}, keys).collect()] == [1]
+    # rows are added to a year that keeps all of its own, another year's row is replaced
+    t.merge(spark, _typed(spark, [game(player=2, game_id="0000000002", date="2023-03-01", pts=9.0)]), _typed(spark, [game(player=5, game_id="0000000005", date="2022-04-01")]))
+    assert [(r[0], r[3]) for r in _rows(t.read(spark))] == [(1, 20), (2, 9), (5, 20)]
