@@ -29,7 +29,16 @@ END_ID = 1
 _CUT = "\x01"
 #: Outside of these, lower-casing a character by itself and composing it are the same everywhere, and letters are letters.
 _UNSAFE = re.compile("[\u0130\u0250-\U0010ffff]")
-_MARKS = frozenset(".,;:!?")
+_PUNCTUATION = r"[!-/:-@\[-`{-~]"
+#: Marks between a letter or digit and white space: the tokenizer parts them from what is before them.
+_MARKS = re.compile(f"{_PUNCTUATION}(?<=[0-9A-Za-z\u00df-\u00f6\u00f8-\u00ff]{_PUNCTUATION}){_PUNCTUATION}*+(?![^ ])")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies, by byte; the space stays."""
+    plain = [*range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [*range(0x20), 0x20, *range(0x7F, 0xA1), 0xAD]
+    return {b: chr(256 + i) for i, b in enumerate(others)} | {b: chr(b) for b in plain}
 
 
 class WordIds(dict):
@@ -37,17 +46,18 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins characters across it, so a
     text's ids are its words' ids one after another. Words split at ASCII
-    white space only; any other white space is left to the tokenizer. Letters
-    and a mark after them are the letters' ids and the mark's. New words are
-    encoded together: plain letters are cut where a token ends a word, others
-    between marks that are a token of their own.
+    white space only; any other white space is left to the tokenizer. New words
+    are encoded together: plain letters are cut where a token ends a word, others
+    between marks that are a token of their own. Plain letters need none of the
+    tokenizer's normalizing and splitting, so its merges alone are run on them,
+    where that gives what the whole tokenizer gives for every such letter.
     """
 
     #: Words held at most when a batch begins, and those kept between tasks: the first ones met, which are the common ones.
     LIMIT, KEPT = 250_000, 100_000
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
@@ -57,43 +67,52 @@ class WordIds(dict):
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.letters = byte_letters()
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        every = [chr(i) for i in range(0x250) if chr(i).isalpha() and not _UNSAFE.search(chr(i))]
+        probe = [" ".join([c, f"th{c}", f"{c}{c}er", f"a{c}e"]) for c in every]
+        if [self._merged(p) for p in probe] != [self._whole(p) for p in probe]:
+            self._merged = self._whole
+
+    def _merged(self, text: str) -> list[int]:
+        """Ids of words of plain letters by the merges alone."""
+        text = text.lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return self.merges.encode(text, add_special_tokens=False).ids
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def one(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self._whole(word), "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        """Add ``words``, of letters and a mark the letters and the mark."""
-        marked = [w for w in words if w[-1:] in _MARKS and w[:-1].isalpha() and not _UNSAFE.search(w)]
-        parts = words.difference(marked)
-        parts.update(w[:-1] for w in marked)
-        parts.update(w[-1] for w in marked)
-        new = [w for w in parts if w not in self]
-        letters = [w for w in new if w.isalpha() and not _UNSAFE.search(w)]
-        self._encode(letters, " ", lambda ids: self.ends[ids])
-        others = set(new).difference(letters)
+        """Add ``words``."""
+        ascii_ = [w for w in words if w.isascii() and w.isalpha()]
+        others = words.difference(ascii_)
+        letters = [w for w in others if w.isalpha() and not _UNSAFE.search(w)]
+        others.difference_update(letters)
         whole = [w for w in others if self.joint and _CUT not in w and "<|" not in w]
-        self._encode(whole, f" {_CUT} ", None)
+        self._encode(ascii_, " ", self._merged, True)
+        self._encode(letters, " ", self._merged, True)
+        self._encode(whole, f" {_CUT} ", self._whole, False)
         for w in others.difference(whole):
             self[w] = self.one(w)
 
-    def of(self, word: str) -> bytes:
-        """Ids of a learned word: its own, or those of its letters and its mark."""
-        ids = self.get(word)
-        return self[word[:-1]] + self[word[-1]] if ids is None else ids
-
-    def _encode(self, words: list[str], between: str, ends) -> None:
-        """Add ``words``, joined by ``between``: cut after the tokens that ``ends`` marks, or at the cutting mark."""
-        parts = [words[at : at + 500] for at in range(0, len(words), 500)]
-        coded = self.tokenizer.encode_batch_fast([between.join(p) for p in parts], add_special_tokens=False)
-        for part, code in zip(parts, coded, strict=True):
-            ids = np.array(code.ids, "<u4")
+    def _encode(self, words: list[str], between: str, code, ends: bool) -> None:
+        """Add ``words``, joined by ``between``: cut after the tokens that end a word, or at the cutting mark."""
+        for at in range(0, len(words), 500):
+            part = words[at : at + 500]
+            ids = np.array(code(between.join(part)), "<u4")
             raw = ids.tobytes()
-            if ends is None:
+            if ends:
+                stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                starts = [0, *stops[:-1]]
+            else:
                 cuts = (np.flatnonzero(ids == self.cut[0]) * 4).tolist()
                 starts, stops = [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]
-            else:
-                stops = ((np.flatnonzero(ends(ids)) + 1) * 4).tolist()
-                starts = [0, *stops[:-1]]
             if len(stops) != len(part) or stops[-1] != len(raw):
                 self.update((w, self.one(w)) for w in part)
             else:
@@ -109,7 +128,7 @@ def words_of(text: str) -> list[str]:
     for c in "\n\t\v\f\r":
         if c in text:
             text = text.replace(c, " ")
-    return text.split(" ")
+    return _MARKS.sub(r" \g<0>", text).split(" ")
 
 
 def encode(texts: list[str | None], path: str, end_id: int = END_ID) -> list[bytes]:
@@ -122,17 +141,13 @@ def encode(texts: list[str | None], path: str, end_id: int = END_ID) -> list[byt
     end = np.array([end_id], "<u4").tobytes()
     # a special token's string may hold white space or join words: such a text is encoded as a whole
     words = [[] if t is None or "<|" in t else words_of(t) for t in texts]
-    coded = [list(map(known.get, w)) for w in words]
-    gaps = [_gaps(c) for c in coded]
-    new = {ws[i] for ws, at in zip(words, gaps, strict=True) for i in at}
+    new = set().union(*words).difference(known)
     if new:
         known.learn(new)
-    out = []
-    for text, ws, c, at in zip(texts, words, coded, gaps, strict=True):
-        for i in at:
-            c[i] = known.of(ws[i])
-        out.append((known.one(text) if text is not None and "<|" in text else b"".join(c)) + end)
-    return out
+    return [
+        (known.one(text) if text is not None and "<|" in text else b"".join(map(known.__getitem__, ws))) + end
+        for text, ws in zip(texts, words, strict=True)
+    ]
 
 
 def forget(path: str) -> None:
@@ -144,17 +159,6 @@ def forget(path: str) -> None:
         known.update(first)
 
 
-def _gaps(coded: list) -> list[int]:
-    """Places of None."""
-    at, i = [], -1
-    try:
-        while True:
-            i = coded.index(None, i + 1)
-            at.append(i)
-    except ValueError:
-        return at
-
-
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 

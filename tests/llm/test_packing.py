@@ -107,3 +107,24 @@ def test_workers_give_memory_back(monkeypatch, spark):
     monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: (list(run(iter(self.toArrow().to_batches()))), self.selectExpr("doc_id", "1 as ids"))[1])
     packing.pieces(docs, tokenizer_path())
     assert len(called) == 2
+
+
+def test_new_words_run_the_merges_alone(monkeypatch):
+    """Plain letters, and marks after letters, are learned without the whole tokenizer, once for all words they follow."""
+    known = packing.WordIds(tokenizer_path())
+    monkeypatch.setitem(packing._VOCABULARIES, tokenizer_path(), known)
+    seen = []
+    whole = known._whole
+    monkeypatch.setattr(known, "_whole", lambda text: seen.append(text) or whole(text))
+    texts = ["Réseau, Éclair! thère. abc$$$ abc,&&& x1. Œuvre; end?", "the end, there."]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.encode(texts, tokenizer_path())]
+    assert got == plain(texts)
+    assert not any(w in t for t in seen for w in ("réseau", "éclair", "abc", "there", "œuvre"))
+    assert {"réseau", "abc", "$$$", ",&&&", "there", "."} <= known.keys() and "there." not in known
+
+
+def test_marks_of_any_sort():
+    rng = random.Random(2)
+    alphabet = ["a", "é", "ß", "x1", "9", "'s", "'", ",", ".", "...", "!", "&&", "$", "(", ")", "-", "_", "́", "̸", "Σ", ";", "<", "=", " ", " ", "\n", " ", "×", "ª"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(4000)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.encode(texts, tokenizer_path())] == plain(texts)
