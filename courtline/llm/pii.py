@@ -111,46 +111,46 @@ def start_weights(seed: int) -> dict[str, np.ndarray]:
 def emissions(w: dict[str, np.ndarray], x: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Tag scores [T, TAGS, B] of windows ``x`` [T, B]; ``keep`` gets what the gradient needs.
 
-    Both directions are steps of one recurrence: the first axis is the
-    direction, gates (input, forget, output, candidate) are rows and windows
-    are columns, so that each step is one matrix product for both and
-    contiguous row operations. A sigmoid is taken as a tanh of half its
-    argument. Padding (0, after the text) leaves the backward state empty, so
-    a window's scores do not depend on those it runs with.
+    Both directions are steps of one recurrence. The first axis of ``z`` is the
+    gate (input, forget, output, candidate), then come direction, window and
+    unit: a character's share of a gate is one run of memory, each step gathers
+    those of both directions at once, and all row operations are contiguous. A
+    sigmoid is taken as a tanh of half its argument. Padding (0, after the text)
+    leaves the backward state empty, so a window's scores do not depend on
+    those it runs with.
     """
     steps, n = x.shape
     whole = int((x != 0).all(1).sum())
-    half = np.full((4 * HIDDEN, 1), 0.5, np.float32)
-    half[3 * HIDDEN :] = 1
-    wx = [half * w["x" + d] for d in "fb"]
-    wh = np.stack([half * w["h" + d] for d in "fb"])
-    h = np.zeros((2, HIDDEN, n), np.float32)
-    c = np.zeros((2, HIDDEN, n), np.float32)
-    z, u = np.empty((2, 4 * HIDDEN, n), np.float32), np.empty((2, 4 * HIDDEN, n), np.float32)
-    held = np.empty((steps, 2, HIDDEN, n), np.float32)
-    i, f, o, a = (z[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
-    gates = z[:, : 3 * HIDDEN]
+    half = np.array([0.5, 0.5, 0.5, 1], np.float32)[:, None, None]
+    wx = half * np.concatenate([w["x" + d].reshape(4, HIDDEN, CLASSES).transpose(0, 2, 1) for d in "fb"], 1)
+    wh = half[:, None] * np.stack([w["h" + d].reshape(4, HIDDEN, HIDDEN).transpose(0, 2, 1) for d in "fb"], 1)
+    wx, wh = np.ascontiguousarray(wx), np.ascontiguousarray(wh)
+    places = np.concatenate([x, x[::-1] + np.intp(CLASSES)], 1, dtype=np.intp)  # a step's rows of wx
+    h, c, s = (np.zeros((2, n, HIDDEN), np.float32) for _ in range(3))
+    z, u = np.empty((4, 2, n, HIDDEN), np.float32), np.empty((4, 2, n, HIDDEN), np.float32)
+    held = np.empty((steps, 2, n, HIDDEN), np.float32)
+    i, f, o, a = z
+    gates, both = z[:3], z.reshape(4, 2 * n, HIDDEN)
     for t in range(steps):
-        before = (h, c)
-        for d, at in enumerate((t, steps - 1 - t)):
-            np.take(wx[d], x[at], axis=1, out=z[d], mode="clip")
-        z += np.matmul(wh, h, out=u)
+        before = (h, c.copy()) if keep is not None else None
+        np.take(wx, places[t], axis=1, out=both, mode="clip")
+        z += np.matmul(h, wh, out=u)
         np.tanh(z, out=z)
         gates *= 0.5
         gates += 0.5
-        c = f * c
-        c += i * a
+        c *= f
+        c += np.multiply(i, a, out=s)
         if steps - 1 - t >= whole:
-            c[1] *= x[steps - 1 - t] != 0
-        s = np.tanh(c)
-        h = np.multiply(o, s, out=held[t])
+            c[1] *= (x[steps - 1 - t] != 0)[:, None]
+        h = np.multiply(o, np.tanh(c, out=s), out=held[t])
         if keep is not None:
             for d, (name, at) in enumerate((("f", t), ("b", steps - 1 - t))):
-                keep[name, at] = (z[d].copy(), before[0][d], before[1][d], c[d], s[d], h[d])
-    out = np.matmul(w["of"], held[:, 0])
-    out += np.matmul(w["ob"], held[::-1, 1])
-    out += w["bias"][:, None]
-    return out
+                rows = (np.ascontiguousarray(v[d].T) for v in (*before, c, s, h))
+                keep[name, at] = (z[:, d].transpose(0, 2, 1).reshape(4 * HIDDEN, n), *rows)
+    out = np.matmul(held[:, 0], w["of"].T)
+    out += np.matmul(held[:, 1], w["ob"].T)[::-1]
+    out += w["bias"]
+    return out.transpose(0, 2, 1)
 
 
 def back(w: dict[str, np.ndarray], x: np.ndarray, keep: dict, g: np.ndarray) -> dict[str, np.ndarray]:
@@ -211,17 +211,15 @@ def crf_gradient(e: np.ndarray, move: np.ndarray, y: np.ndarray, real: np.ndarra
 def decode(e: np.ndarray, move: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
     """Best tags [T, B] for scores [T, TAGS, B]; ``first`` and ``last`` are scores of the ends' tags [TAGS, B]."""
     steps, tags, n = e.shape
-    from_ = np.empty((steps, tags, n), np.uint8)
-    score = e[0] if first is None else e[0] + first
+    score = np.empty((steps, tags, n), np.result_type(e, move))
+    score[0] = e[0] if first is None else e[0] + first
     for t in range(1, steps):
-        both = score[:, None, :] + move[:, :, None]
-        from_[t] = both.argmax(0)
-        score = both.max(0) + e[t]
+        (score[t - 1][:, None, :] + move[:, :, None]).max(0, out=score[t])
+        score[t] += e[t]
     out = np.empty((steps, n), np.uint8)
-    out[-1] = (score if last is None else score + last).argmax(0)
-    col = np.arange(n)
+    out[-1] = (score[-1] if last is None else score[-1] + last).argmax(0)
     for t in range(steps - 1, 0, -1):
-        out[t - 1] = from_[t][out[t], col]
+        out[t - 1] = (score[t - 1] + move[:, out[t]]).argmax(0)  # only of the tag gone to
     return out
 
 
@@ -294,7 +292,7 @@ def train(windows: list[tuple[str, list[Span]]], steps: int = 400, batch: int =
         rows = np.concatenate([rng.choice(marked, batch // 2), rng.choice(plain, batch - batch // 2)])
         keep: dict = {}
         xs, ys = np.ascontiguousarray(x[rows].T), y[rows].T.astype(np.int64)
-        e = emissions(w, xs, keep)
+        e = np.ascontiguousarray(emissions(w, xs, keep))
         _, ge, gm = crf_gradient(e, w["move"], ys, xs > 0)
         grad = back(w, xs, keep, ge)
         grad["move"] = gm

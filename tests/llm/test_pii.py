@@ -1,7 +1,10 @@
 import hashlib
+import itertools
 import random
 import re
 
+import numpy as np
+
 from courtline.llm import pii
 from courtline.llm.common import table
 from llm_util import collected, empty, odd_documents
@@ -173,3 +176,39 @@ def test_redact(spark):
     assert rows[3]["text"] is None and rows[1]["text"].startswith("the quick")
     assert pii.redact(docs).columns == docs.columns
     assert pii.masked("abcdef", [("ip", 0, 3), ("card", 2, 4)]) == "[IP]ef"
+
+
+def test_scores_by_a_plain_recurrence(monkeypatch):
+    """Each direction by itself, one window and one step at a time; the operator gathers once a step for both."""
+    w = pii.start_weights(3)
+    texts = ["mail a.b@example.com now", "x", "Ünï 10.0.0.1"]
+    steps = max(map(len, texts))
+    x = np.zeros((steps, len(texts)), np.uint8)
+    for j, t in enumerate(texts):
+        x[: len(t), j] = pii.char_classes(t)
+    gathers = []
+    take = np.take
+    monkeypatch.setattr(pii.np, "take", lambda *a, **k: gathers.append(1) or take(*a, **k))
+    got = pii.emissions(w, x)
+    assert len(gathers) == steps
+    for j, t in enumerate(texts):
+        want = np.tile(w["bias"].astype(float), (len(t), 1))
+        for d in "fb":
+            h, c = np.zeros(pii.HIDDEN), np.zeros(pii.HIDDEN)
+            for at in range(len(t)) if d == "f" else range(len(t) - 1, -1, -1):
+                i, f, o, a = np.split(w["x" + d][:, x[at, j]] + w["h" + d] @ h, 4)
+                c = c / (1 + np.exp(-f)) + np.tanh(a) / (1 + np.exp(-i))
+                h = np.tanh(c) / (1 + np.exp(-o))
+                want[at] += w["o" + d] @ h
+        assert np.allclose(got[: len(t), :, j], want, atol=1e-4)
+
+
+def test_best_paths_by_all_paths():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        e = rng.integers(-2, 3, (4, pii.TAGS, 2)).astype(np.float32)
+        move = rng.integers(-2, 3, (pii.TAGS, pii.TAGS)).astype(np.float32)
+        got = pii.decode(e, move)
+        for j in range(2):
+            value = lambda p: sum(e[t, k, j] for t, k in enumerate(p)) + sum(move[a, b] for a, b in itertools.pairwise(p))
+            assert value(got[:, j]) == max(map(value, itertools.product(range(pii.TAGS), repeat=4)))
