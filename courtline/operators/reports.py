@@ -14,7 +14,7 @@ before the shuffle), and windows only run over the aggregated rows:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.functions import columns as fn
@@ -165,11 +165,13 @@ def rank_within(df: DataFrame, partition, metric: str, ranges: int = 64) -> Data
     return df.join(ranks, _same(df, ranks, [*part, metric], "_r_"), "inner").select(*df.columns, f"{metric}_RANK", f"{metric}_DENSE_RANK")
 
 
-def trend(facts: DataFrame, entity: str, metric: str = "PTS", season_col: str = "SEASON_YEAR") -> DataFrame:
-    """Per entity and season: the metric, its previous-season value and change."""
-    per = facts.groupBy(entity, season_col).agg(
-        F.count(F.lit(1)).alias("GAMES"), F.sum(metric).alias(metric)
-    )
+def trend(facts: DataFrame, entity: str, metric: str = "PTS", season_col: str = "SEASON_YEAR", games: Column | None = None) -> DataFrame:
+    """Per entity and season: the metric, its previous-season value and change.
+
+    ``games`` counts a group's games where a row of ``facts`` is not one game.
+    """
+    games = F.count(F.lit(1)) if games is None else games
+    per = facts.groupBy(entity, season_col).agg(games.alias("GAMES"), F.sum(metric).alias(metric))
     w = Window.partitionBy(entity).orderBy(season_col)
     prev = F.lag(metric).over(w)
     return per.select("*", prev.alias(f"PREV_{metric}"), (F.col(metric) - prev).alias(f"{metric}_CHANGE"))

@@ -360,27 +360,31 @@ def dashboard(
 ) -> dict[str, DataFrame]:
     """The report tables of the dashboard, as DataFrames.
 
-    What the ranks read twice is staged under the shared checkpoint folder.
+    The totals by player and by team are staged under the shared checkpoint
+    folder; ranks, trends, top lists and the comparison add up their rows, so
+    the facts are not shuffled again for each of them.
     """
-    per_player = facts.groupBy("PLAYER_ID", "SEASON_YEAR", "GAME_TYPE").agg(F.sum("PTS").alias("PTS"))
-    per_team = facts.groupBy("TEAM_ID", "SEASON_YEAR", "GAME_TYPE").agg(F.sum("PTS").alias("PTS"))
-    per_player, per_team = session.staged(per_player, "player-points"), session.staged(per_team, "team-points")
-    career = facts.groupBy("PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
-    per_season = facts.groupBy("SEASON_YEAR", "PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
+    by_player = session.staged(reports.totals(facts, ["PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"]), "player-totals")
+    by_team = session.staged(reports.totals(facts, ["TEAM_ID", "SEASON_YEAR", "GAME_TYPE"]), "team-totals")
+    per_player = by_player.select("PLAYER_ID", "SEASON_YEAR", "GAME_TYPE", "PTS")
+    per_team = by_team.select("TEAM_ID", "SEASON_YEAR", "GAME_TYPE", "PTS")
+    career = by_player.groupBy("PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
+    per_season = by_player.groupBy("SEASON_YEAR", "PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
+    games = F.sum("GAMES")
     out = {
         "facts_named": reports.with_names(facts, players, teams),
-        "totals_by_player": reports.totals(facts, ["PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"]),
-        "totals_by_team": reports.totals(facts, ["TEAM_ID", "SEASON_YEAR", "GAME_TYPE"]),
+        "totals_by_player": by_player,
+        "totals_by_team": by_team,
         "totals_by_season_type": reports.totals(facts, ["SEASON_YEAR", "GAME_TYPE"]),
         "rank_players": reports.rank_within(per_player, ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
         "rank_teams": reports.rank_within(per_team, ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
-        "trend_team": reports.trend(facts, "TEAM_ID", "PTS"),
-        "trend_player": reports.trend(facts, "PLAYER_ID", "PTS"),
+        "trend_team": reports.trend(by_team, "TEAM_ID", "PTS", games=games),
+        "trend_player": reports.trend(by_player, "PLAYER_ID", "PTS", games=games),
         "top_k": reports.top_k(career, "PTS", k, "PLAYER_ID"),
         "top_k_per_season": reports.top_k_per_group(per_season, ["SEASON_YEAR"], "PTS", k_per_season, "PLAYER_ID"),
     }
     if named_teams:
-        out["compare_teams"] = reports.compare(facts, "TEAM_ID", named_teams, "PTS")
+        out["compare_teams"] = reports.compare(by_team, "TEAM_ID", named_teams, "PTS")
     return out
 
 

@@ -1,10 +1,11 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from courtline import schemas
-from courtline.operators import conform, merge, split
+from courtline.operators import conform, merge, reports, split
 from courtline.plans import jobs, proxy
 from courtline.sources import Registry, landed, storage
 from tests.conftest import SF_SMALL
@@ -183,6 +184,37 @@ def test_dashboard_tables(spark, tmp_dir):
     ]
 
 
+def test_dashboard_adds_up_staged_totals(spark, tmp_dir):
+    """Null points and keys count as in the facts; those tables read the staged totals only."""
+    rng = random.Random(3)
+    rows = [
+        (rng.choice([1, 2, 3, None]), rng.choice([1, 2, None]), rng.choice(["2001", "2002", "2003", None]), rng.choice(["A", "B", None]), rng.choice([None, 0, 5, 7]))
+        for _ in range(120)
+    ]
+    stats = [F.lit(1).cast("bigint").alias(m) for m in reports.SUM_METRICS if m != "PTS"]
+    at = os.path.join(tmp_dir, "facts")
+    facts = spark.createDataFrame(rows, "PLAYER_ID long, TEAM_ID long, SEASON_YEAR string, GAME_TYPE string, PTS long")
+    facts.select("*", *stats, F.lit("W").alias("WL"), F.lit("1").alias("GAME_ID")).write.parquet(at)
+    facts = spark.read.parquet(at)
+    names = spark.createDataFrame([(1, "one", "ONE")], "ID long, FULL_NAME string, ABBREVIATION string")
+    tables = jobs.dashboard(facts, names, names, named_teams=(1, 2), k=4, k_per_season=4)
+    reads = {n for n, t in tables.items() if any(f.startswith(f"file://{at}/") for f in t.inputFiles())}
+    assert reads == {"facts_named", "totals_by_season_type"}
+    per = lambda *by: facts.groupBy(*by).agg(F.sum("PTS").alias("PTS"))
+    want = {
+        "trend_team": reports.trend(facts, "TEAM_ID"),
+        "trend_player": reports.trend(facts, "PLAYER_ID"),
+        "rank_players": reports.rank_within(per("PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"), ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
+        "rank_teams": reports.rank_within(per("TEAM_ID", "SEASON_YEAR", "GAME_TYPE"), ["SEASON_YEAR", "GAME_TYPE"], "PTS"),
+        "top_k": reports.top_k(per("PLAYER_ID"), "PTS", 4, "PLAYER_ID"),
+        "top_k_per_season": reports.top_k_per_group(per("SEASON_YEAR", "PLAYER_ID"), ["SEASON_YEAR"], "PTS", 4, "PLAYER_ID"),
+        "compare_teams": reports.compare(facts, "TEAM_ID", (1, 2)),
+    }
+    for name, df in want.items():
+        assert tables[name].columns == df.columns
+        assert sorted(map(str, tables[name].collect())) == sorted(map(str, df.collect())), name
+
+
 def test_refresh_facts_rejects_bad_casts(spark, tmp_dir):
     from tests.fixtures import frame, game
 
