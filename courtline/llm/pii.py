@@ -30,7 +30,8 @@ Span = tuple[str, int, int]
 # they keep long runs linear.
 _HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_DIGIT = re.compile("[0-9]")
+_IP = re.compile(r"[0-9](?<![0-9]{2})[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -58,6 +59,8 @@ def emails(text: str) -> list[Span]:
 def base_spans(text: str) -> list[Span]:
     """Pattern matches of the whole text, by start, then kind."""
     found = emails(text) if "@" in text else []
+    if _DIGIT.search(text) is None:  # an e-mail address alone needs none
+        return found
     for m in _IP.finditer(text):
         if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in m[0].split(".")):
             found.append(("ip", m.start(), m.end()))
@@ -92,6 +95,8 @@ CLASSES = 131
 
 
 def char_classes(text: str) -> np.ndarray:
+    if text.isascii():
+        return np.frombuffer(text.encode(), np.uint8) + np.uint8(1)
     a = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     return np.where(a < 128, a + 1, np.where(a < 0x2000, LETTER, MARK)).astype(np.uint8)
 
@@ -114,45 +119,70 @@ def emissions(w: dict[str, np.ndarray], x: np.ndarray, keep: dict | None = None)
     Both directions are steps of one recurrence. The first axis of ``z`` is the
     gate (input, forget, output, candidate), then come direction, window and
     unit: a character's share of a gate is one run of memory, each step gathers
-    those of both directions at once, and all row operations are contiguous. A
-    sigmoid is taken as a tanh of half its argument. Padding (0, after the text)
-    leaves the backward state empty, so a window's scores do not depend on
-    those it runs with.
+    those of both directions at once, and all row operations are contiguous.
+    Learning takes a sigmoid as a tanh of half its argument. Scoring takes
+    sigmoids only, by the cheaper exp, a tanh being a sigmoid of twice its
+    argument; cells and outputs are held at half their size, and the factors lie
+    in the weights. Padding (0, after the text) leaves the backward state empty,
+    so a window's scores do not depend on those it runs with.
     """
     steps, n = x.shape
     whole = int((x != 0).all(1).sum())
-    half = np.array([0.5, 0.5, 0.5, 1], np.float32)[:, None, None]
-    wx = half * np.concatenate([w["x" + d].reshape(4, HIDDEN, CLASSES).transpose(0, 2, 1) for d in "fb"], 1)
-    wh = half[:, None] * np.stack([w["h" + d].reshape(4, HIDDEN, HIDDEN).transpose(0, 2, 1) for d in "fb"], 1)
+    scale = np.array([0.5, 0.5, 0.5, 1] if keep is not None else [-1, -1, -1, -2], np.float32)[:, None, None]
+    size = np.float32(1 if keep is not None else 2)  # of an output, as held
+    wx = scale * np.concatenate([w["x" + d].reshape(4, HIDDEN, CLASSES).transpose(0, 2, 1) for d in "fb"], 1)
+    wh = size * scale[:, None] * np.stack([w["h" + d].reshape(4, HIDDEN, HIDDEN).transpose(0, 2, 1) for d in "fb"], 1)
     wx, wh = np.ascontiguousarray(wx), np.ascontiguousarray(wh)
-    places = np.concatenate([x, x[::-1] + np.intp(CLASSES)], 1, dtype=np.intp)  # a step's rows of wx
+    wo = [np.ascontiguousarray(size * w["o" + d].T) for d in "fb"]
     h, c, s = (np.zeros((2, n, HIDDEN), np.float32) for _ in range(3))
     z, u = np.empty((4, 2, n, HIDDEN), np.float32), np.empty((4, 2, n, HIDDEN), np.float32)
-    held = np.empty((steps, 2, n, HIDDEN), np.float32)
+    places, row = np.empty((2, n), np.intp), np.empty((n, TAGS), np.float32)  # a step's rows of wx, a direction's scores
+    out = np.empty((steps, n, TAGS), np.float32)
     i, f, o, a = z
     gates, both = z[:3], z.reshape(4, 2 * n, HIDDEN)
-    for t in range(steps):
-        before = (h, c.copy()) if keep is not None else None
-        np.take(wx, places[t], axis=1, out=both, mode="clip")
-        z += np.matmul(h, wh, out=u)
-        np.tanh(z, out=z)
-        gates *= 0.5
-        gates += 0.5
-        c *= f
-        c += np.multiply(i, a, out=s)
-        if steps - 1 - t >= whole:
-            c[1] *= (x[steps - 1 - t] != 0)[:, None]
-        h = np.multiply(o, np.tanh(c, out=s), out=held[t])
-        if keep is not None:
-            for d, (name, at) in enumerate((("f", t), ("b", steps - 1 - t))):
-                rows = (np.ascontiguousarray(v[d].T) for v in (*before, c, s, h))
-                keep[name, at] = (z[:, d].transpose(0, 2, 1).reshape(4 * HIDDEN, n), *rows)
-    out = np.matmul(held[:, 0], w["of"].T)
-    out += np.matmul(held[:, 1], w["ob"].T)[::-1]
+    with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0, as it should be
+        for t in range(steps):
+            before = (h.copy(), c.copy()) if keep is not None else None
+            places[0] = x[t]
+            np.add(x[steps - 1 - t], CLASSES, out=places[1], dtype=np.intp)
+            np.take(wx, places.reshape(-1), axis=1, out=both, mode="clip")
+            z += np.matmul(h, wh, out=u)
+            if keep is not None:
+                np.tanh(z, out=z)
+                gates *= 0.5
+                gates += 0.5
+            else:
+                sigmoid(z)
+                a -= 0.5
+            c *= f
+            c += np.multiply(i, a, out=s)
+            if steps - 1 - t >= whole:
+                c[1] *= (x[steps - 1 - t] != 0)[:, None]
+            if keep is not None:
+                np.tanh(c, out=s)
+            else:
+                sigmoid(np.multiply(c, -4, out=s))
+                s -= 0.5
+            np.multiply(o, s, out=h)
+            for d, at in enumerate((t, steps - 1 - t)):
+                if 2 * t + d < steps:  # the first direction to come to ``at``
+                    np.matmul(h[d], wo[d], out=out[at])
+                else:
+                    out[at] += np.matmul(h[d], wo[d], out=row)
+                if keep is not None:
+                    rows = (np.array(v[d].T, order="C") for v in (*before, c, s, h))
+                    keep["fb"[d], at] = (z[:, d].transpose(0, 2, 1).reshape(4 * HIDDEN, n), *rows)
     out += w["bias"]
     return out.transpose(0, 2, 1)
 
 
+def sigmoid(z: np.ndarray) -> None:
+    """The sigmoid of minus ``z``, in its place."""
+    np.exp(z, out=z)
+    z += 1
+    np.divide(np.float32(1), z, out=z)
+
+
 def back(w: dict[str, np.ndarray], x: np.ndarray, keep: dict, g: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the weights, given that of the tag scores ``g`` [T, TAGS, B]."""
     steps, n = x.shape
@@ -223,6 +253,14 @@ def decode(e: np.ndarray, move: np.ndarray, first: np.ndarray | None = None, las
     return out
 
 
+def gains(move: np.ndarray) -> np.ndarray:
+    """The greatest gain [set, tag] over each set of neighbours, as bits, given that of each neighbour [neighbour, tag]."""
+    sets = np.arange(2**TAGS)[:, None] >> np.arange(TAGS) & 1
+    out = np.where(sets[:, :, None] == 1, move[None], -np.inf).max(1)
+    out[0] = 0
+    return out.astype(np.float32)
+
+
 #: Stretches decoded at once have no more than so many places.
 PLACES = 200_000
 
@@ -232,21 +270,39 @@ def decode_texts(scores_: list[np.ndarray], move: np.ndarray) -> list[np.ndarray
 
     Where no tag is so far ahead that it wins whatever its neighbours are (its
     lead is more than changing to it can lose in transitions), the best path
-    goes through it. So the path is cut there, exactly, and only the stretches
-    between are decoded, those of all texts by their lengths. A stretch before
-    such a place may be lengthened by places without a tag.
+    goes through it. Tags that lose whatever their neighbours are can't be those
+    neighbours, so the rest is narrowed twice more by what is left. The path is
+    cut at the sure places, exactly, and only the stretches between are decoded,
+    those of all texts by their lengths. A stretch before such a place may be
+    lengthened by places without a tag.
     """
-    e = np.concatenate(scores_, axis=1) if scores_ else np.zeros((TAGS, 0), np.float32)
-    n = e.shape[1]
+    e = np.concatenate([x.T for x in scores_]) if scores_ else np.zeros((0, TAGS), np.float32)
+    n = len(e)
     ends = np.cumsum([x.shape[1] for x in scores_], dtype=np.int64)
     tags = np.zeros(n, np.uint8)
-    # the most that going from and to tag k, rather than no tag, can gain over all neighbours
-    gain = np.maximum((move - move[:, :1]).max(0), 0) + np.maximum((move - move[:1]).max(1), 0)
-    open_ = np.zeros(n, bool)
-    for k in range(1, TAGS):
-        open_ |= e[k] + gain[k] >= e[0]
     starts = np.zeros(n + 1, bool)
     starts[ends] = starts[0] = True  # of texts
+    # the most that tag k, rather than no tag, can gain over two sets of neighbours; the empty set is a text's edge
+    before_, after_ = gains(move - move[:, :1]).T, gains((move - move[:1]).T).T
+    both = (before_[:, :, None] + after_[:, None]).reshape(TAGS, -1)
+    most_ = np.maximum(before_[:, -1], 0) + np.maximum(after_[:, -1], 0)
+    rows, open_ = np.ascontiguousarray(e.T), np.zeros(n, bool)
+    for k in range(1, TAGS):
+        open_ |= rows[k] + most_[k] >= rows[0]
+    may = open_ * np.uint8(2**TAGS - 2) + np.uint8(1)  # the set of tags that a place may have, as bits
+    at = np.flatnonzero(open_)
+    for _ in range(2):
+        left, right = may.take(at - 1, mode="wrap"), may.take(at + 1, mode="wrap")
+        left[starts[at]], right[starts[at + 1]] = 0, 0
+        sides = left * np.intp(2**TAGS) + right
+        own, tags_ = rows[0].take(at, mode="clip"), np.ones(len(at), np.uint8)
+        for k in range(1, TAGS):
+            best = rows[k].take(at, mode="clip")
+            best += both[k].take(sides, mode="clip")
+            tags_ += (best >= own) * np.uint8(1 << k)
+        may[at] &= tags_
+        at = at[may[at] > 1]
+    open_ = may > 1
     a = np.flatnonzero(open_ & (starts[:-1] | ~np.r_[False, open_[:-1]]))
     b = 1 + np.flatnonzero(open_ & (starts[1:] | ~np.r_[open_[1:], False]))
     cut = starts[b]  # ends with its text
@@ -264,7 +320,7 @@ def decode_texts(scores_: list[np.ndarray], move: np.ndarray) -> list[np.ndarray
         size = (b[part] - a[part]).max()
         place = a[part] + np.arange(size)[:, None]
         inside = place < b[part]
-        x = np.where(inside[:, None], np.take(e, np.minimum(place, n - 1), axis=1).transpose(1, 0, 2), no_tag[:, None])
+        x = np.where(inside[:, None], e.take(np.minimum(place, n - 1), axis=0).transpose(0, 2, 1), no_tag[:, None])
         first = np.where(starts[a[part]], 0, move[0][:, None])
         best = decode(x, move, first.astype(np.float32), None if cut[part[0]] else np.repeat(move[:, :1], len(part), 1))
         tags[place[inside]] = best[inside]
@@ -317,26 +373,27 @@ def scores(w: dict[str, np.ndarray], classes: list[np.ndarray], batch: int = 102
     overlap, their scores are averaged, each counting the more the farther the
     place is from that window's edge. Windows of like length run together.
     """
-    total = [np.zeros((TAGS, len(c)), np.float32) for c in classes]
+    starts = np.cumsum([0, *map(len, classes)])
+    total = np.zeros((starts[-1], TAGS), np.float32)  # of all texts, a place's scores side by side
     step = WINDOW - 2 * MARGIN
     jobs = [(min(len(c), a + WINDOW) - a, i, a) for i, c in enumerate(classes) for a in range(0, max(1, len(c) - 2 * MARGIN), step) if len(c)]
     jobs.sort()
     for at in range(0, len(jobs), batch):
         part = jobs[at : at + batch]
-        x = np.zeros((part[-1][0], len(part)), np.uint8)
-        for j, (n, i, a) in enumerate(part):
-            x[:n, j] = classes[i][a : a + n]
-        e = emissions(w, x)
+        x = np.zeros((len(part), part[-1][0]), np.uint8)
+        for row, (n, i, a) in zip(x, part, strict=True):
+            row[:n] = classes[i][a : a + n]
+        e = emissions(w, np.ascontiguousarray(x.T)).transpose(0, 2, 1)
         follows = np.array([a > 0 for _, _, a in part])
         followed = np.array([a + n < len(classes[i]) for n, i, a in part])  # such windows are whole
         if follows.any():
-            e[: 2 * MARGIN, :, follows] *= _RAMP[:, None, None]
+            e[: 2 * MARGIN] *= np.where(follows, _RAMP[: len(e), None], np.float32(1))[:, :, None]
         if followed.any():
-            e[WINDOW - 2 * MARGIN :, :, followed] *= _RAMP[::-1, None, None]
-        e = np.ascontiguousarray(e.transpose(2, 1, 0))
-        for j, (n, i, a) in enumerate(part):
-            total[i][:, a : a + n] += e[j, :, :n]
-    return total
+            e[WINDOW - 2 * MARGIN :] *= np.where(followed, _RAMP[::-1, None], np.float32(1))[:, :, None]
+        e = np.ascontiguousarray(e.transpose(1, 0, 2))
+        for one, (n, i, a) in zip(e, part, strict=True):
+            total[starts[i] + a : starts[i] + a + n] += one[:n]
+    return [t.T for t in np.split(total, starts[1:-1])] if classes else []
 
 
 def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 1024) -> list[np.ndarray]:
@@ -347,6 +404,8 @@ def tag(w: dict[str, np.ndarray], texts: list[str], batch: int = 1024) -> list[n
 
 def runs(tags: np.ndarray, text: str) -> list[Span]:
     """Runs of one tag, across windows, without white space at their ends; runs of under six characters or without a digit, @ or "at" are dropped."""
+    if not tags.any():
+        return []
     edge = np.flatnonzero(np.diff(tags, prepend=0, append=0))
     found = []
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):

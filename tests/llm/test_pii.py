@@ -212,3 +212,38 @@ def test_best_paths_by_all_paths():
         for j in range(2):
             value = lambda p: sum(e[t, k, j] for t, k in enumerate(p)) + sum(move[a, b] for a, b in itertools.pairwise(p))
             assert value(got[:, j]) == max(map(value, itertools.product(range(pii.TAGS), repeat=4)))
+
+
+def test_places_that_lose_to_sure_neighbours_are_not_decoded(monkeypatch):
+    """A weak lead is open until its neighbours are known: then the path is cut there, and still is the one best path."""
+    rng = np.random.default_rng(9)
+    move = (3 * np.eye(pii.TAGS) - 1.5 + rng.normal(0, 0.1, (pii.TAGS, pii.TAGS))).astype(np.float32)
+    texts = []
+    for n in (1, 2, 300, 2000):
+        e = rng.normal(0, 0.3, (pii.TAGS, n)).astype(np.float32)
+        e[0] += np.where(rng.random(n) < 0.3, 4, 9)  # less and more than transitions can change
+        e[1 + n % 4, n // 2 : n // 2 + 20] += 8
+        texts.append(e)
+    whole = [pii.decode(np.ascontiguousarray(e.T)[:, :, None], move)[:, 0] for e in texts]
+    places = []
+    decode = pii.decode
+    monkeypatch.setattr(pii, "decode", lambda x, *a: places.append(x.shape[0] * x.shape[2]) or decode(x, *a))
+    got = pii.decode_texts(texts, move)
+    assert all(np.array_equal(a, b) for a, b in zip(got, whole, strict=True)) and any(t.any() for t in got)
+    assert sum(places) < 200
+
+
+def test_scoring_takes_no_tanh_and_stands_large_weights(monkeypatch):
+    w = {k: 300 * v if k[0] == "x" else v for k, v in pii.start_weights(4).items()}
+    x = np.random.default_rng(1).integers(1, pii.CLASSES, (60, 5)).astype(np.uint8)
+    x[50:, 2] = 0
+    kept = pii.emissions(w, x, {})
+    monkeypatch.setattr(pii.np, "tanh", None)
+    with np.errstate(invalid="raise", divide="raise"):
+        got = pii.emissions(w, x)
+    assert np.isfinite(got).all()
+    real = np.broadcast_to((x != 0)[:, None], got.shape)
+    assert np.allclose(got[real], kept[real], atol=1e-3)
+    small = pii.start_weights(4)
+    monkeypatch.undo()
+    assert np.allclose(pii.emissions(small, x)[real], pii.emissions(small, x, {})[real], atol=1e-5)
