@@ -43,9 +43,20 @@ def to_bigint(c, source_type: T.DataType | None = None, strict: bool = True) ->
         return _cast(c, schemas.LONG, strict)
     if isinstance(source_type, T.BooleanType):
         return c.cast("int").cast(schemas.LONG)
+    if isinstance(source_type, (T.FloatType, T.DoubleType)):
+        return _half_away(c.cast("double"), strict)
     return _cast(F.round(c), schemas.LONG, strict)
 
 
+def _half_away(c: Column, strict: bool) -> Column:
+    """A double rounded half away from zero, as bigint: its whole part, and that of twice the rest.
+
+    Both are exact. ``round`` makes a decimal number of each value.
+    """
+    whole = _cast(c, schemas.LONG, strict)
+    return whole + ((c - whole) * 2).cast(schemas.LONG)
+
+
 def to_decimal(c, source_type: T.DataType | None = None, precision: int = 38, scale: int = 9, strict: bool = True) -> Column:
     """Cast to a decimal; NaN is null."""
     return _cast(missing_as_null(c, source_type), T.DecimalType(precision, scale), strict)

@@ -13,10 +13,12 @@ string, which is ambiguous without a separator. Null key parts are rejected
 and duplicate incoming keys fail the run (or keep the latest row with
 ``on_duplicate="latest"``), as a warehouse MERGE does.
 
-A run never changes files a reader may hold. It writes the years it touches as
-new folders of its own and then commits a manifest that names one folder for
-each year; the highest manifest is the table. A run that fails at any point
-leaves the table as it was, and running it again is safe.
+A run never changes files a reader may hold. It writes new folders of its own
+and then commits a manifest that names the folders of each year; the highest
+manifest is the table. A year of which a row is replaced is written anew, one
+that only gets rows has them in a further folder, beside those it has; with
+``MAX_FOLDERS`` of them it is written anew as well. A run that fails at any
+point leaves the table as it was, and running it again is safe.
 
 Runs may overlap. A run remembers the version it read and commits the next one
 only if no other run has. If one has, the years that it changed are compared
@@ -212,15 +214,23 @@ def curve(df: DataFrame, columns=schemas.CLUSTER_COLUMNS) -> Column:
     cuts = df.agg(*[F.percentile_approx(c, at, F.lit(100 * n)).alias(c) for c in columns]).first()
     place = F.lit(0)
     for i, c in enumerate(columns):
-        rank = _cuts_up_to(cuts[c], F.col(c)) if cuts[c] else F.lit(0)
-        for bit in range(RANK_BITS):
-            to = bit * len(columns) + len(columns) - 1 - i
-            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), to))
+        to = [bit * len(columns) + len(columns) - 1 - i for bit in range(RANK_BITS)]
+        places = [sum((rank >> bit & 1) << at for bit, at in enumerate(to)) for rank in range(n)]
+        if cuts[c]:
+            place = place.bitwiseOR(_by_rank(cuts[c], F.col(c), places))
     return place
 
 
-def _cuts_up_to(cuts: list, value: Column) -> Column:
-    return F.size(F.filter(F.array(*[F.lit(v) for v in cuts]), lambda cut: cut <= value))
+def _by_rank(cuts: list, value: Column, of: list) -> Column:
+    """``of[r]`` for the number r of ``cuts`` (ascending) up to ``value``, found by halving; ``of[0]`` for null."""
+
+    def among(least: int, most: int) -> Column:
+        if least == most:
+            return F.lit(of[least])
+        half = (least + most + 1) // 2
+        return F.when(value < cuts[half - 1], among(least, half - 1)).otherwise(among(half, most))
+
+    return F.when(value.isNull(), F.lit(of[0])).otherwise(among(0, len(cuts)))
 
 
 def clustered(df: DataFrame) -> DataFrame:
@@ -242,6 +252,9 @@ def clustered(df: DataFrame) -> DataFrame:
 # file size, not a cap on data: a task with more rows writes more files).
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# Folders that a year lies in at most: one that has as many is written anew when it gets rows.
+MAX_FOLDERS = 8
+
 # Partition column above the year folders: the run that wrote them.
 _RUN = "RUN"
 
@@ -269,8 +282,8 @@ class MergeResult:
 class FactTable:
     """The year-partitioned, keyed fact table at ``path``.
 
-    ``path/_manifests/<n>.json`` names, for each year, the folder
-    ``data/RUN=<run>/GAME_YEAR=<year>`` with its rows and the one under
+    ``path/_manifests/<n>.json`` names, for each year, the folders
+    ``data/RUN=<run>/GAME_YEAR=<year>`` with its rows and those under
     ``keys`` with its keys in buckets; ``bounds/RUN=<run>`` has the least and
     greatest team and player of each file. The buckets' number is set when the table is
     created (``buckets``, or that session's ``spark.sql.shuffle.partitions``);
@@ -292,23 +305,25 @@ class FactTable:
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def _entries(self, spark: SparkSession, version: int) -> list[dict]:
-        return json.loads(storage.read_text(spark, f"{self.manifests}/{version}.json")) if version else []
+        entries = json.loads(storage.read_text(spark, f"{self.manifests}/{version}.json")) if version else []
+        # a year of a manifest of former times is in one folder
+        return [e if "folders" in e else {"year": e["year"], "folders": [e["folder"]], "keys": [e["keys"]], "buckets": e["buckets"]} for e in entries]
 
     def _latest(self, spark: SparkSession) -> int:
         """The highest version, 0 for no table."""
         return max(self.versions(spark), default=0)
 
-    def manifest(self, spark: SparkSession, version: int | None = None) -> dict[int | None, str]:
-        """Year -> folder below ``path``; the latest version unless given, empty for no table."""
+    def manifest(self, spark: SparkSession, version: int | None = None) -> dict[int | None, list[str]]:
+        """Year -> folders below ``path``; the latest version unless given, empty for no table."""
         version = self._latest(spark) if version is None else version
-        return {e["year"]: e["folder"] for e in self._entries(spark, version)}
+        return {e["year"]: e["folders"] for e in self._entries(spark, version)}
 
     def exists(self, spark: SparkSession) -> bool:
         return bool(self.versions(spark))
 
     def read(self, spark: SparkSession, version: int | None = None, years=None) -> DataFrame:
         """The table (of a version, of some ``years``) as one scan of the folders that its manifest names."""
-        return self._scan(spark, [f for y, f in self.manifest(spark, version).items() if years is None or y in years])
+        return self._scan(spark, [f for y, folders in self.manifest(spark, version).items() if years is None or y in years for f in folders])
 
     def _scan(self, spark: SparkSession, folders: list[str]) -> DataFrame:
         if not folders:
@@ -333,7 +348,7 @@ class FactTable:
         The bounds of all files are a table beside the rows; only the names of
         the files to be read come back.
         """
-        folders = list(self.manifest(spark, version).values())
+        folders = [f for of_year in self.manifest(spark, version).values() for f in of_year]
         if not folders:
             return []
         runs = sorted({f.split("/")[1] for f in folders})
@@ -360,15 +375,17 @@ class FactTable:
         return rows.where(F.col(YEAR).between(s.year, e.year) & F.col("GAME_DATE").between(F.lit(s), F.lit(e)))
 
     def changes(self, spark: SparkSession, since: int, until: int | None = None) -> tuple[DataFrame, set]:
-        """Rows of the years that were rewritten between two versions, and those years.
+        """Rows of the folders that one of two versions has and the other has not, and the years of these.
 
         Old rows have ``_SIGN`` -1, new ones 1: what is added up over them is the
-        difference of the versions. Rows that a rewrite kept are on both sides.
+        difference of the versions. Rows that a rewrite kept are on both sides;
+        of a year that only got rows, these alone are read.
         """
         old, new = self.manifest(spark, since), self.manifest(spark, until)
         years = {y for y in set(old) | set(new) if old.get(y) != new.get(y)}
         sides = [
-            self._scan(spark, [m[y] for y in years if y in m]).withColumn("_SIGN", F.lit(sign)) for m, sign in ((old, -1), (new, 1))
+            self._scan(spark, [f for y in years for f in m.get(y, []) if f not in other.get(y, [])]).withColumn("_SIGN", F.lit(sign))
+            for m, other, sign in ((old, new, -1), (new, old, 1))
         ]
         return union_all(*sides), years
 
@@ -396,14 +413,15 @@ class FactTable:
         name = f"courtline_keys_{uuid.uuid4().hex}"
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _KEY_SCHEMA.fields)
         by = ", ".join(KEYS)
-        # one partition column, a number of the entry: null years are partitions like others
+        # one partition column, a number of the folder: null years are partitions like others
         spark.sql(
             f"CREATE TABLE {name} ({columns}, AT INT) USING parquet PARTITIONED BY (AT) "
             f"CLUSTERED BY ({by}) INTO {entries[0]['buckets']} BUCKETS LOCATION '{_quoted(self.path)}/keys'"
         )
-        parts = " ".join(f"PARTITION (AT = {i}) LOCATION '{_quoted(self.path)}/{_quoted(e['keys'])}'" for i, e in enumerate(entries))
+        folders = [(e["year"], k) for e in entries for k in e["keys"]]
+        parts = " ".join(f"PARTITION (AT = {i}) LOCATION '{_quoted(self.path)}/{_quoted(k)}'" for i, (_, k) in enumerate(folders))
         spark.sql(f"ALTER TABLE {name} ADD {parts}")
-        years = F.element_at(F.array(*[F.lit(e["year"]).cast("bigint") for e in entries]), F.col("AT") + 1)
+        years = F.element_at(F.array(*[F.lit(y).cast("bigint") for y, _ in folders]), F.col("AT") + 1)
         return spark.table(name).select(*KEYS, years.alias(YEAR)), name
 
     # ------------------------------------------------------------- write ---
@@ -429,7 +447,8 @@ class FactTable:
         one read, it is made anew, ``attempts`` times at most.
         """
         for made in range(attempts):
-            out = self._merge_once(spark, current, past, full_refresh, on_duplicate)
+            with session.for_writes(spark):
+                out = self._merge_once(spark, current, past, full_refresh, on_duplicate)
             if out is not None:
                 out.conflicts += made
                 return out
@@ -450,8 +469,7 @@ class FactTable:
         try:
             moved: set = set()
             if incremental:
-                asked, p = _stage(spark, current.select(*KEYS).union(past.select(*KEYS)).distinct(), "asked-keys")
-                scratch.append(p)
+                asked = current.select(*KEYS).union(past.select(*KEYS)).distinct()
                 target, name = self.keys(spark, base)
                 entered.append(name)
                 met, p = _stage(spark, target.join(asked, KEYS, "left_semi"), "met-keys")
@@ -463,6 +481,8 @@ class FactTable:
             # Incoming rows come out of casts and joins and are read several times below.
             incoming, p = _stage(spark, incoming, "incoming")
             scratch.append(p)
+            # what this run asked the target for: keys that it has, and those of the rows that come in
+            asked = met.select(*KEYS).union(incoming.select(*KEYS)) if incremental else None
             try:
                 incoming, rep = validate_keys(incoming, on_duplicate=on_duplicate, hold=hold)
             except NullKeyError as e:
@@ -475,14 +495,20 @@ class FactTable:
             # Distinct years: bounded by the calendar, a few values.
             in_years = {r[0] for r in incoming.select(YEAR).distinct().collect()}
             source = incoming
+            grown: set = set()
             if incremental:
-                # Years of target rows that are replaced (a game may move to another year).
-                replaced = met.join(current.select(*KEYS), KEYS, "left_semi")
+                # Target rows that are replaced: past rows come in where the target has not their key, so the current ones have it.
+                replaced, p = _stage(spark, met.join(incoming.select(*KEYS), KEYS, "left_semi"), "replaced-keys")
+                scratch.append(p)
+                # Their years (a game may move to another year).
                 moved = {r[0] for r in replaced.select(YEAR).distinct().collect()}
-                kept = self._kept(spark, old, in_years, moved, replaced)
+                grown = {y for y in in_years - moved if y in old and len(old[y]["folders"]) < MAX_FOLDERS}
+                kept = self._kept(spark, old, in_years - grown, moved, replaced)
                 source = kept.unionByName(incoming.select(*kept.columns))
             touched = in_years | moved if incremental else in_years | set(old)
             own = self._write(spark, source, base, _buckets(spark, old, self.buckets)) if touched else {}
+            # others' commits leave the touched years as they were, or this run is made anew
+            own |= {y: own[y] | {f: old[y][f] + own[y][f] for f in ("folders", "keys")} for y in grown}
 
             version, now, conflicts = base, old, 0
             while True:
@@ -510,11 +536,11 @@ class FactTable:
                 storage.delete(spark, p)
 
     def _kept(self, spark: SparkSession, old: dict, in_years: set, moved: set, replaced: DataFrame) -> DataFrame:
-        """Rows of the touched years that stay. Years without a replaced key (not in ``moved``) are not joined with these."""
-        whole = self._scan(spark, [e["folder"] for y, e in old.items() if y in in_years - moved])
+        """Rows of the years to be written anew that stay. Years without a replaced key (not in ``moved``) are not joined with these."""
+        whole = self._scan(spark, [f for y, e in old.items() if y in in_years - moved for f in e["folders"]])
         if not moved:
             return whole
-        part = self._scan(spark, [e["folder"] for y, e in old.items() if y in moved])
+        part = self._scan(spark, [f for y, e in old.items() if y in moved for f in e["folders"]])
         return whole.unionByName(part.join(replaced.select(*KEYS), KEYS, "left_anti").select(*whole.columns))
 
     def _write(self, spark: SparkSession, source: DataFrame, base: int, buckets: int) -> dict:
@@ -525,13 +551,15 @@ class FactTable:
             clustered(source)
             .write.mode("errorifexists")
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .option("compression", session.codec(spark))
             .partitionBy(YEAR)
             .parquet(f"{self.path}/{rows}")
         )
         written = self._scan_run(spark, rows)
-        relative = F.concat(F.lit(rows), F.regexp_extract("_metadata.file_path", f"{re.escape(run)}(/.*)$", 1))
+        relative = F.concat(F.lit(rows), F.regexp_extract("file", f"{re.escape(run)}(/.*)$", 1))
         bounds = [f(c).alias(f"{n}_{c}") for c in schemas.CLUSTER_COLUMNS for n, f in (("least", F.min), ("most", F.max))]
-        written.groupBy(relative.alias("file")).agg(*bounds).write.parquet(f"{self.path}/bounds/{_RUN}={run}")
+        bounds = written.groupBy(F.col("_metadata.file_path").alias("file")).agg(*bounds).withColumn("file", relative)
+        bounds.write.parquet(f"{self.path}/bounds/{_RUN}={run}")
         written = written.select(*KEYS, YEAR)
         name = f"courtline_keys_{uuid.uuid4().hex}"
         try:
@@ -540,6 +568,7 @@ class FactTable:
                 .write.partitionBy(YEAR)
                 .bucketBy(buckets, *KEYS)
                 .option("path", f"{self.path}/{keys}")
+                .option("compression", session.codec(spark))
                 .format("parquet")
                 .saveAsTable(name)
             )
@@ -548,7 +577,7 @@ class FactTable:
         out = {}
         for y in _years_at(spark, f"{self.path}/{rows}"):
             year = f"{YEAR}={_NULL_FOLDER if y is None else y}"
-            out[y] = {"year": y, "folder": f"{rows}/{year}", "keys": f"{keys}/{year}", "buckets": buckets}
+            out[y] = {"year": y, "folders": [f"{rows}/{year}"], "keys": [f"{keys}/{year}"], "buckets": buckets}
         return out
 
     def _scan_run(self, spark: SparkSession, rows: str) -> DataFrame:
@@ -559,7 +588,7 @@ class FactTable:
         changed = {y for y in set(old) | set(newer) if old.get(y) != newer.get(y)}
         if changed & touched:
             return False
-        folders = [m[y]["keys"] for m in (old, newer) for y in changed if y in m]
+        folders = [k for m in (old, newer) for y in changed if y in m for k in m[y]["keys"]]
         if not folders:
             return True
         there = spark.read.schema(_KEY_SCHEMA).parquet(*[f"{self.path}/{f}" for f in folders])
@@ -577,7 +606,7 @@ class FactTable:
             return []
         before = time.time() - older_than_hours * 3600
         old = [v for v in found[:-keep] if storage.modified(spark, f"{self.manifests}/{v}.json") <= before]
-        named = {re.search(f"{_RUN}=([^/]+)", e["folder"])[1] for v in found if v not in old for e in self._entries(spark, v)}
+        named = {re.search(f"{_RUN}=([^/]+)", f)[1] for v in found if v not in old for e in self._entries(spark, v) for f in e["folders"]}
         for v in old:
             storage.delete(spark, f"{self.manifests}/{v}.json")
         gone = []
@@ -619,5 +648,5 @@ def _years_at(spark: SparkSession, path: str) -> set:
 def _stage(spark: SparkSession, df: DataFrame, name: str):
     """Write ``df`` to the shared checkpoint folder and read it back."""
     path = session.scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", session.codec(spark)).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,11 +63,45 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     return d
 
 
+def codec(spark: SparkSession) -> str:
+    """Compression of the library's Parquet files: zstd, where neither deployment nor session names one."""
+    return spark.conf.get("spark.sql.parquet.compression.codec", None) or "zstd"
+
+
+#: Defaults of the library's own writes, for as long as these run.
+_FOR_WRITES = {
+    # Spark removes the shuffle files of each query when it ends. Else they stay on the executors' disks until the driver's
+    # garbage collector finds their queries, so that a job of many writes keeps the shuffles of all.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # The JVM interprets methods of more bytes, and a projection or an aggregate of the fact table's columns in one method is larger.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+@contextmanager
+def for_writes(spark: SparkSession):
+    """Within the block the session has the defaults of ``_FOR_WRITES`` that neither deployment nor session has set.
+
+    What is lazy must be written within it; a frame that is collected twice
+    would run its stages again.
+    """
+    mine = [k for k in _FOR_WRITES if spark.conf.get(k, None) is None]
+    for k in mine:
+        spark.conf.set(k, _FOR_WRITES[k])
+    try:
+        yield
+    finally:
+        for k in mine:
+            spark.conf.unset(k)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read back: later steps read it without computing it again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with for_writes(spark):
+        df.write.option("compression", codec(spark)).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

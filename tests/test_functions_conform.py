@@ -122,3 +122,16 @@ def test_cast_rejects_split_and_strict_failure(spark):
         conform.conform_games(raw).collect()
     lenient = {r.ID: r.GAME_ID for r in conform.conform_games(raw, strict=False).collect()}
     assert lenient["100000000x210"] is None
+
+
+def test_doubles_round_as_decimal_rounding_does(spark):
+    values = [0.49999999999999994, 0.5, -0.5, 1.4999999999999998, -2.5, 3.5, 4503599627370495.5, -4503599627370495.5, 9007199254740993.0, 1e18, -0.0, 7.0, 12.3, float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(fn.to_bigint("x", df.schema["x"].dataType), F.round(F.when(~F.isnan("x"), F.col("x"))).cast("bigint")).collect()
+    assert [r[0] for r in got] == [r[1] for r in got] and got[0][0] == 0 and got[6][0] == 4503599627370496
+    wide = spark.createDataFrame([(1e30,), (float("inf"),)], "x double")
+    assert [r[0] for r in wide.select(fn.to_bigint("x", wide.schema["x"].dataType, strict=False)).collect()] == [None, None]
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        wide.select(fn.to_bigint("x", wide.schema["x"].dataType)).collect()
+    exact = df.select(fn.to_bigint("x", df.schema["x"].dataType).alias("n"))
+    assert "round(" not in exact._jdf.queryExecution().optimizedPlan().toString()

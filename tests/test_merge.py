@@ -323,6 +323,49 @@ def test_new_keys_narrow_and_wide_agree(spark):
     assert a == b and len(a) == 4
 
 
+def test_a_year_that_only_gets_rows_is_not_rewritten(spark, tmp_dir, monkeypatch):
+    """Added rows lie in a further folder, beside those of the year, up to a number of folders; a replaced row has its year rewritten."""
+    t = _table(spark, tmp_dir)
+    none = _typed(spark, [])
+    t.merge(spark, none, _typed(spark, [_of(1995, i) for i in range(1, 6)] + [_of(1996, 9)]))
+    first = t.manifest(spark)
+    res = t.merge(spark, none, _typed(spark, [_of(1995, 3, pts=9.0), _of(1995, 6)]))  # one known key, one new
+    grown = t.manifest(spark)
+    assert res.years_written == [1995] and res.incoming_rows == 1
+    assert len(grown[1995]) == 2 and grown[1995][0] == first[1995][0] and grown[1996] == first[1996]
+    changes, years = t.changes(spark, 1, 2)
+    assert years == {1995} and [(r.GAME_ID, r["_SIGN"]) for r in changes.collect()] == [(6, 1)]  # the year's other rows are not read
+    assert sorted((r.GAME_ID, r.PTS) for r in t.read(spark).collect()) == [(i, 1) for i in range(1, 7)] + [(9, 1)]
+    assert sorted((r.GAME_ID, r.GAME_YEAR) for r in t.keys(spark)[0].collect()) == [(i, 1995) for i in range(1, 7)] + [(9, 1996)]
+    monkeypatch.setattr(merge, "MAX_FOLDERS", 2)
+    t.merge(spark, none, _typed(spark, [_of(1995, 7)]))
+    assert len(t.manifest(spark)[1995]) == 1 and t.manifest(spark)[1995][0] not in grown[1995]
+    t.merge(spark, _typed(spark, [_of(1995, 2, pts=4.0), _of(1996, 10)]), none)
+    assert [len(f) for f in t.manifest(spark).values()] == [1, 2]
+    assert sorted((r.GAME_ID, r.PTS) for r in t.read(spark).collect()) == sorted([(i, 4 if i == 2 else 1) for i in range(1, 8)] + [(9, 1), (10, 1)])
+    t.vacuum(spark, keep=1, older_than_hours=0)
+    assert t.read(spark).count() == 9 and len(t.files_for(spark, {"TEAM_ID": [10]})) >= 3
+
+
+def test_overlapping_runs_add_to_one_year(spark, tmp_dir, monkeypatch):
+    t = _table(spark, tmp_dir)
+    none = _typed(spark, [])
+    t.merge(spark, none, _typed(spark, [_of(1995, 1)]))
+    _while_writing(monkeypatch, t, lambda: t.merge(spark, none, _typed(spark, [_of(1995, 2, pts=5.0), _of(1995, 3)])))
+    assert t.merge(spark, none, _typed(spark, [_of(1995, 2, pts=7.0), _of(1995, 4)])).conflicts == 1
+    assert sorted((r.GAME_ID, r.PTS) for r in t.read(spark).collect()) == [(1, 1), (2, 5), (3, 1), (4, 1)]
+
+
+def test_manifests_of_one_folder_a_year_are_read(spark, tmp_dir):
+    t = _table(spark, tmp_dir)
+    t.merge(spark, _typed(spark, [_of(1995, 1), _of(1996, 2)]), _typed(spark, []))
+    former = [{"year": e["year"], "folder": e["folders"][0], "keys": e["keys"][0], "buckets": e["buckets"]} for e in t._entries(spark, 1)]
+    assert merge.storage.write_text(spark, f"{t.manifests}/2.json", merge.json.dumps(former))
+    t.merge(spark, _typed(spark, [_of(1996, 2, pts=3.0)]), _typed(spark, [_of(1995, 3)]))
+    assert sorted((r.GAME_ID, r.PTS) for r in t.read(spark).collect()) == [(1, 1), (2, 3), (3, 1)]
+    assert t.read(spark, 2).count() == 2
+
+
 def test_files_are_skipped_by_team_and_by_player(spark, tmp_dir):
     """A file of the table holds few teams and few players: either filter reads under two fifths of the files."""
     off = "spark.sql.adaptive.coalescePartitions.enabled"
@@ -372,3 +415,39 @@ def test_years_without_a_replaced_key_are_not_joined(spark, tmp_dir):
     # rows are added to a year that keeps all of its own, another year's row is replaced
     t.merge(spark, _typed(spark, [game(player=2, game_id="0000000002", date="2023-03-01", pts=9.0)]), _typed(spark, [game(player=5, game_id="0000000005", date="2022-04-01")]))
     assert [(r[0], r[3]) for r in _rows(t.read(spark))] == [(1, 20), (2, 9), (5, 20)]
+
+
+def test_places_on_the_curve_count_the_cuts_up_to_a_value(spark):
+    cuts = [1, 3, 3, 8]
+    df = spark.createDataFrame([(v,) for v in (None, 0, 1, 2, 3, 7, 8, 9)], "v bigint")
+    got = [r[0] for r in df.select(merge._by_rank(cuts, F.col("v"), [10, 11, 12, 13, 14])).collect()]
+    assert got == [10, 10, 11, 11, 13, 13, 14, 14]
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_dir):
+    """A merge leaves no shuffle files on the executors' disks, and the session's settings as they were."""
+    import glob
+    import time
+
+    from courtline import session
+
+    def files():
+        return set(glob.glob(f"{spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().getConf())}/blockmgr-*/*/shuffle_*.data"))
+
+    keys = list(session._FOR_WRITES)
+    before = files()
+    t = _table(spark, tmp_dir)
+    for pts in (1.0, 2.0):
+        t.merge(spark, _typed(spark, [_of(1995 + i % 3, i, pts=pts) for i in range(50)]), _typed(spark, []))
+    for _ in range(100):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and [spark.conf.get(k, None) for k in keys] == [None, None]
+    spark.conf.set(keys[0], "false")
+    try:
+        with session.for_writes(spark):
+            assert [spark.conf.get(k) for k in keys] == ["false", "8000"]
+        assert [spark.conf.get(k, None) for k in keys] == ["false", None]
+    finally:
+        spark.conf.unset(keys[0])
