@@ -2,8 +2,8 @@
 
 Every figure of ``reports.totals`` follows from sums: rows, wins, and for each
 metric its sum and how many rows have it. Such sums are kept per group with
-the version they are for. A refresh reads only the years that were rewritten
-since, the old rows counted down and the new ones up, and adds the result to the
+the version they are for. A refresh reads only the folders that came or went
+since, the old rows counted down and the new ones up, and adds them to the
 sums; rows that a rewrite left alone cancel out. A group without rows is
 dropped.
 """
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtline import session
 from courtline.functions import columns as fn
 from courtline.operators.merge import FactTable
 from courtline.operators.reports import SUM_METRICS
@@ -26,15 +27,24 @@ SIGN = "_SIGN"
 MEANS = {"PTS_PER_GAME": "PTS", "REB_PER_GAME": "REB", "AST_PER_GAME": "AST"}
 
 
-def additive(facts: DataFrame, by) -> DataFrame:
-    """The sums of each group; rows count as their ``_SIGN`` (1 or -1) where they have one."""
+def shares(facts: DataFrame, by) -> DataFrame:
+    """What each row adds to the sums of its group; rows count as their ``_SIGN`` (1 or -1) where they have one."""
     sign = F.col(SIGN) if SIGN in facts.columns else F.lit(1)
-    aggs = [F.sum(sign.cast("bigint")).alias("GAMES"), F.sum(F.when(F.col("WL") == "W", sign).otherwise(F.lit(0)).cast("bigint")).alias("WINS")]
+    out = [sign.cast("bigint").alias("GAMES"), F.when(F.col("WL") == "W", sign).otherwise(F.lit(0)).cast("bigint").alias("WINS")]
     for m in SUM_METRICS:
         value = F.when(sign > 0, F.col(m)).otherwise(-F.col(m))
-        aggs.append(F.coalesce(F.sum(value), F.lit(0)).cast(_kind(facts, m)).alias(f"SUM_{m}"))
-        aggs.append(F.sum(F.when(F.col(m).isNotNull(), sign).otherwise(F.lit(0)).cast("bigint")).alias(f"N_{m}"))
-    return facts.groupBy(*by).agg(*aggs)
+        out.append(F.coalesce(value, F.lit(0)).cast(_kind(facts, m)).alias(f"SUM_{m}"))
+        out.append(F.when(F.col(m).isNotNull(), sign).otherwise(F.lit(0)).cast("bigint").alias(f"N_{m}"))
+    return facts.select(*by, *out)
+
+
+def additive(facts: DataFrame, by) -> DataFrame:
+    """The sums of each group."""
+    return _summed(shares(facts, by), by)
+
+
+def _summed(shares: DataFrame, by) -> DataFrame:
+    return shares.groupBy(*by).agg(*[F.sum(c).cast(shares.schema[c].dataType).alias(c) for c in shares.columns if c not in by])
 
 
 def _kind(facts: DataFrame, metric: str) -> str:
@@ -43,11 +53,8 @@ def _kind(facts: DataFrame, metric: str) -> str:
 
 
 def added(sums: DataFrame, more: DataFrame, by) -> DataFrame:
-    """The sums of both, group by group; groups that no row is left of are gone."""
-    by = list(by)
-    both = sums.unionByName(more)
-    out = both.groupBy(*by).agg(*[F.sum(c).cast(sums.schema[c].dataType).alias(c) for c in sums.columns if c not in by])
-    return out.where(F.col("GAMES") > 0)
+    """The sums with ``more`` of them (sums or shares) put in, in one aggregate; groups that no row is left of are gone."""
+    return _summed(sums.unionByName(more), list(by)).where(F.col("GAMES") > 0)
 
 
 def finished(sums: DataFrame, by) -> DataFrame:
@@ -107,9 +114,10 @@ class TotalsTable:
             sums, years = additive(table.read(spark, now), self.by), len(table.manifest(spark, now))
         else:
             changes, changed = table.changes(spark, since, now)
-            sums, years = added(self.sums(spark), additive(changes, self.by), self.by), len(changed)
+            sums, years = added(self.sums(spark), shares(changes, self.by), self.by), len(changed)
         folder = f"sums/{now}-{uuid.uuid4().hex}"
-        sums.write.parquet(f"{self.path}/{folder}")
+        with session.for_writes(spark):
+            sums.write.option("compression", session.codec(spark)).parquet(f"{self.path}/{folder}")
         # of two refreshes to one version, either's sums are right
         storage.write_text(spark, f"{self.states}/{now}.json", json.dumps({"folder": folder}))
         return RefreshResult(now, since, years)

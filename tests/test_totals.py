@@ -67,3 +67,17 @@ def test_difference_of_two_versions(spark, tmp_dir):
     assert [(r.GAME_ID, r.PTS) for r in removed.collect()] == [(1, 1)]
     changes, years = table.changes(spark, 1, 2)
     assert years == {1995, 1997} and changes.agg(F.sum("_SIGN")).first()[0] == 1
+
+
+def test_a_refresh_adds_the_rows_that_came_in_one_aggregate(spark, tmp_dir):
+    table, kept = merge.FactTable(f"{tmp_dir}/facts"), totals.TotalsTable(f"{tmp_dir}/totals", BY)
+    none = _typed(spark, [])
+    table.merge(spark, none, _typed(spark, [_of(1995, i, team=10 + i % 2) for i in range(1, 8)]))
+    kept.refresh(spark, table)
+    table.merge(spark, none, _typed(spark, [_of(1995, 3, pts=99.0), _of(1995, 8, WL=None, AST=None, MIN=None), _of(1996, 9)]))
+    changes, _ = table.changes(spark, 1)
+    assert sorted(r.GAME_ID for r in changes.collect()) == [8, 9]
+    plan = totals.added(kept.sums(spark), totals.shares(changes, BY), BY)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+    assert kept.refresh(spark, table).years_read == 2
+    _same(spark, kept, table)
