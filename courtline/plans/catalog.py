@@ -380,7 +380,8 @@ DASHBOARD = {
 def q_dashboard_tables(spark, d):
     """Every table of the dashboard job as it was written, one row for each of its rows."""
     root = _scratch(spark, "dashboard")
-    _facts(spark, d).write.parquet(f"{root}/facts")
+    with session.for_writes(spark):
+        _facts(spark, d).write.option("compression", session.codec(spark)).parquet(f"{root}/facts")
     tables = jobs.dashboard(
         spark.read.parquet(f"{root}/facts"), q_dim_players(spark, d), q_dim_teams(spark, d), proxy.COMPARED_TEAMS
     )

@@ -362,7 +362,8 @@ def dashboard(
 
     The totals by player and by team are staged under the shared checkpoint
     folder; ranks, trends, top lists and the comparison add up their rows, so
-    the facts are not shuffled again for each of them.
+    the facts are not shuffled again for each of them. So are the names, of
+    which those that are small enough are broadcast.
     """
     by_player = session.staged(reports.totals(facts, ["PLAYER_ID", "SEASON_YEAR", "GAME_TYPE"]), "player-totals")
     by_team = session.staged(reports.totals(facts, ["TEAM_ID", "SEASON_YEAR", "GAME_TYPE"]), "team-totals")
@@ -372,7 +373,7 @@ def dashboard(
     per_season = by_player.groupBy("SEASON_YEAR", "PLAYER_ID").agg(F.sum("PTS").alias("PTS"))
     games = F.sum("GAMES")
     out = {
-        "facts_named": reports.with_names(facts, players, teams),
+        "facts_named": reports.with_names(facts, _names(players, "FULL_NAME"), _names(teams, "FULL_NAME", "ABBREVIATION")),
         "totals_by_player": by_player,
         "totals_by_team": by_team,
         "totals_by_season_type": reports.totals(facts, ["SEASON_YEAR", "GAME_TYPE"]),
@@ -388,10 +389,28 @@ def dashboard(
     return out
 
 
+#: Bytes of a dimension's names, as rows in memory, that are broadcast at most.
+BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 64
+
+
+def _names(dimension: DataFrame, *columns: str) -> DataFrame:
+    """ID and names of a dimension, with a broadcast hint where they are counted to be small: facts are then joined where they are read.
+
+    The planner guesses the size of a dimension that is a join from its inputs',
+    and AQE knows it when the facts have been shuffled.
+    """
+    names = session.staged(dimension.select("ID", *columns), "names")
+    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(_ROW_BYTES))
+    size = names.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    return F.broadcast(names) if size <= BROADCAST_BYTES else names
+
+
 def write_dashboard(tables: dict[str, DataFrame], out_root: str) -> list[str]:
     paths = []
     for name, df in tables.items():
         p = f"{out_root.rstrip('/')}/{name}"
-        sinks.write_table(df, p)
+        with session.for_writes(df.sparkSession):
+            sinks.write_table(df, p)
         paths.append(p)
     return paths

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from courtline import session
+
 
 def write_landed(df: DataFrame, path: str, partition_by=None) -> None:
     """Replace a landed extract as a whole, partitions that get no row included."""
@@ -15,7 +17,7 @@ def write_landed(df: DataFrame, path: str, partition_by=None) -> None:
 
 def write_table(df: DataFrame, path: str) -> None:
     """Full-refresh table: rebuilt whole on every run."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", session.codec(df.sparkSession)).parquet(path)
 
 
 def save_table(df: DataFrame, name: str) -> None:

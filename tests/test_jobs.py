@@ -215,6 +215,33 @@ def test_dashboard_adds_up_staged_totals(spark, tmp_dir):
         assert sorted(map(str, tables[name].collect())) == sorted(map(str, df.collect())), name
 
 
+def test_dashboard_names_are_broadcast_where_they_are_small(spark, tmp_dir, monkeypatch):
+    """By a count of their bytes, whatever the planner guesses; beyond it by a join of shuffled rows, with the same result."""
+    at = os.path.join(tmp_dir, "facts")
+    rows = [(p, t) for p in (1, 2, 3, None) for t in (1, 2, None)]
+    facts = spark.createDataFrame(rows, "PLAYER_ID long, TEAM_ID long").select(
+        "*", F.lit("2001").alias("SEASON_YEAR"), F.lit("A").alias("GAME_TYPE"), F.lit("W").alias("WL"), *[F.lit(1).cast("bigint").alias(m) for m in reports.SUM_METRICS]
+    )
+    facts.write.parquet(at)
+    facts = spark.read.parquet(at)
+    names = spark.createDataFrame([(1, "one", "ONE"), (2, None, None), (2, "two", "TWO"), (None, "none", "NO")], "ID long, FULL_NAME string, ABBREVIATION string")
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k, None) for k in limits]
+    found = []
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        for most, join in ((jobs.BROADCAST_BYTES, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+            monkeypatch.setattr(jobs, "BROADCAST_BYTES", most)
+            named = jobs.dashboard(facts, names, names)["facts_named"]
+            assert named._jdf.queryExecution().executedPlan().toString().count(join) == 2
+            found.append(sorted(map(str, named.collect())))
+    finally:
+        for k, v in zip(limits, before, strict=True):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert found[0] == found[1] == sorted(map(str, reports.with_names(facts, names, names).collect()))
+
+
 def test_refresh_facts_rejects_bad_casts(spark, tmp_dir):
     from tests.fixtures import frame, game
 
