@@ -74,7 +74,7 @@ def test_a_refresh_adds_the_rows_that_came_in_one_aggregate(spark, tmp_dir):
     none = _typed(spark, [])
     table.merge(spark, none, _typed(spark, [_of(1995, i, team=10 + i % 2) for i in range(1, 8)]))
     kept.refresh(spark, table)
-    table.merge(spark, none, _typed(spark, [_of(1995, 3, pts=99.0), _of(1995, 8, WL=None, AST=None, MIN=None), _of(1996, 9)]))
+    table.merge(spark, none, _typed(spark, [_of(1995, 3, team=11, pts=99.0), _of(1995, 8, WL=None, AST=None, MIN=None), _of(1996, 9)]))
     changes, _ = table.changes(spark, 1)
     assert sorted(r.GAME_ID for r in changes.collect()) == [8, 9]
     plan = totals.added(kept.sums(spark), totals.shares(changes, BY), BY)._jdf.queryExecution().optimizedPlan().toString()
